@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quipu.operators.clean import text_columns
 from quipu.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
-from quipu.session import materialize
+from quipu.session import local_frame, materialize
 
 SCHEMA = "column string, value string, code bigint"
 
@@ -56,7 +57,7 @@ def fit_dictionary(df: DataFrame, columns: list[str] | None = None) -> Dictionar
     """
     columns = text_columns(df) if columns is None else columns
     if not columns:
-        return Dictionary(df.sparkSession.createDataFrame([], SCHEMA), {})
+        return Dictionary(local_frame(df.sparkSession, [], SCHEMA), {})
     within = (1 << 33) - 1  # monotonically_increasing_id keeps the row in the low 33 bits
     placed = (
         distinct_values(df, columns)
@@ -71,28 +72,25 @@ def fit_dictionary(df: DataFrame, columns: list[str] | None = None) -> Dictionar
         F.min("place").alias("first"),
         F.sum(F.octet_length("value")).alias("bytes"),
     )
-    # One row per column and partition: as many as there are tasks, not values.
-    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first"))
-    rows = placed.join(F.broadcast(starts.select("column", "part", "start")), ["column", "part"])
+    # The table is sorted by column, so there are no more rows here than tasks and columns.
+    sizes = {c: (0, 0) for c in columns}
+    starts = []
+    for r in parts.orderBy("column", "part").collect():
+        before, size = sizes[r["column"]]
+        starts.append((r["column"], r["part"], before - r["first"]))
+        sizes[r["column"]] = (before + r["n"], size + r["bytes"])
+    start_of = local_frame(df.sparkSession, starts, "column string, part int, start bigint")
+    rows = placed.join(F.broadcast(start_of), ["column", "part"])
     rows = rows.select("column", "value", (F.col("place") + F.col("start")).alias("code"))
-    return Dictionary(rows, _sizes(parts.select("column", "n", "bytes"), columns))
+    return Dictionary(materialize(rows, "dictionary", ["column"]), sizes)
 
 
 def as_dictionary(rows: DataFrame) -> Dictionary:
     """A dictionary from rows that exist already."""
-    parts = rows.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")
-    )
-    return Dictionary(rows.select("column", "value", "code"), _sizes(parts, []))
-
-
-def _sizes(parts: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
-    """Counts and bytes per column: one driver row per column of the table."""
-    totals = parts.groupBy("column").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
-    found = {r["column"]: (r["n"], r["bytes"]) for r in totals.collect()}
-    names = columns or sorted(found)
-    return {c: found.get(c, (0, 0)) for c in names}
+    parts = rows.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes"))
+    # One driver row per column of the table.
+    sizes = {r["column"]: (r["n"], r["bytes"]) for r in parts.orderBy("column").collect()}
+    return Dictionary(rows.select("column", "value", "code"), sizes)
 
 
 def save_dictionary(dictionary: Dictionary, path: str, mode: str = "overwrite") -> None:
@@ -117,13 +115,12 @@ def encode(
     """
     if unseen not in ("error", "null", "quarantine"):
         raise ValueError(f"unknown policy {unseen!r}")
-    wanted = [c for c in (columns or df.columns) if c in dictionary.sizes and c in df.columns]
-    out, order = df, df.columns
+    order = df.columns
+    wanted = _covered(df, dictionary, columns)
+    out = _as_text(df, wanted)
     for c in wanted:
-        coded = f"_code_{c}"
-        codes = dictionary.codes(c).withColumnRenamed("_code", coded)
-        texts = out.withColumn(c, F.col(c).cast("string"))
-        out = lookup_join(texts, codes, [c], small=dictionary.is_small(c))
+        codes = dictionary.codes(c).withColumnRenamed("_code", f"_code_{c}")
+        out = lookup_join(out, codes, [c], small=dictionary.is_small(c))
 
     def missed(c: str):
         return F.col(f"_code_{c}").isNull() & F.col(c).isNotNull()
@@ -142,9 +139,19 @@ def encode(
     return out.select(*selected)
 
 
+def _covered(df: DataFrame, dictionary: Dictionary, columns: list[str] | None) -> list[str]:
+    present = set(df.columns)
+    return [c for c in (columns or df.columns) if c in dictionary.sizes and c in present]
+
+
+def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    others = set(columns) - set(text_columns(df))
+    return df.withColumns({c: F.col(c).cast("string") for c in others}) if others else df
+
+
 def decode(df: DataFrame, dictionary: Dictionary, columns: list[str] | None = None) -> DataFrame:
     """Put the values back in place of their codes."""
-    wanted = [c for c in (columns or df.columns) if c in dictionary.sizes and c in df.columns]
+    wanted = _covered(df, dictionary, columns)
     out, order = df, df.columns
     for c in wanted:
         values = dictionary.codes(c).select(F.col("_code").alias(c), F.col(c).alias(f"_value_{c}"))
@@ -154,14 +161,15 @@ def decode(df: DataFrame, dictionary: Dictionary, columns: list[str] | None = No
 
 def unseen_rows(df: DataFrame, dictionary: Dictionary, columns: list[str] | None = None) -> DataFrame:
     """The rows of ``df``, as they were, with at least one value outside the dictionary."""
-    wanted = [c for c in (columns or df.columns) if c in dictionary.sizes and c in df.columns]
-    out, order = df, df.columns
+    wanted = _covered(df, dictionary, columns)
+    copies = df.withColumns({f"_text_{c}": F.col(c).cast("string") for c in wanted})
+    out = copies
     for c in wanted:
-        codes = dictionary.codes(c).withColumnRenamed("_code", f"_code_{c}")
-        out = lookup_join(out, codes, [c], small=dictionary.is_small(c))
+        codes = dictionary.codes(c).select(F.col(c).alias(f"_text_{c}"), F.col("_code").alias(f"_code_{c}"))
+        out = lookup_join(out, codes, [f"_text_{c}"], small=dictionary.is_small(c))
     names = [F.when(F.col(f"_code_{c}").isNull() & F.col(c).isNotNull(), F.lit(c)) for c in wanted]
     found = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
-    return out.withColumn("unseen", found).filter(F.size("unseen") > 0).select(*order, "unseen")
+    return out.withColumn("unseen", found).filter(F.size("unseen") > 0).select(*df.columns, "unseen")
 
 
 MAX_INDICATORS = 1_000

@@ -85,9 +85,10 @@ def _gain(feature: str, value: str, target: str) -> str:
 
 
 def _binned(column: str, bins: int) -> str:
+    """How many distinct quantiles lie below the value."""
     shares = ", ".join(str(i / bins) for i in range(1, bins))
-    edges = f"(SELECT list_distinct(quantile_disc({column}, [{shares}])) FROM source)"
-    return f"len(list_filter({edges}, e -> e < {column}))"
+    edges = f"SELECT DISTINCT unnest(quantile_disc({column}, [{shares}])) AS edge FROM lines"
+    return f"(SELECT count(*) FROM ({edges}) WHERE edge < lines.{column})"
 
 
 def _uniform(name: str, key: str) -> str:
@@ -121,11 +122,11 @@ REQUESTS = f"""
     requests AS (SELECT row_id, row_id % 17 = 0 AS cut_off, row_id % 13 = 0 AS wrong_type, row_id % 11 = 0 AS no_hijos,
                  row_id % 23 = 0 AS long_marriage, row_id % 29 = 0 AS unknown_place FROM typed),
     missing AS (SELECT *, CASE WHEN cut_off THEN '{",".join(MARRIAGES.features)}'
-                ELSE array_to_string(list_filter([CASE WHEN no_hijos THEN 'hijos_2' END,
-                CASE WHEN wrong_type THEN 'edad_1' END], x -> x IS NOT NULL), ',') END AS missing FROM requests),
-    outcomes AS (SELECT row_id, array_to_string(list_filter([CASE WHEN missing <> '' THEN 'missing' END,
+                ELSE concat_ws(',', CASE WHEN no_hijos THEN 'hijos_2' END, CASE WHEN wrong_type THEN 'edad_1' END)
+                END AS missing FROM requests),
+    outcomes AS (SELECT row_id, concat_ws('+', CASE WHEN missing <> '' THEN 'missing' END,
                 CASE WHEN long_marriage AND NOT cut_off THEN 'violations' END,
-                CASE WHEN unknown_place AND NOT cut_off THEN 'unseen' END], x -> x IS NOT NULL), '+') AS reasons FROM missing)"""
+                CASE WHEN unknown_place AND NOT cut_off THEN 'unseen' END) AS reasons FROM missing)"""
 
 
 def _json_names(names: list[str]) -> str:
@@ -167,10 +168,10 @@ ORACLE: dict[str, str] = {
     "features_target": f"WITH {TYPED} SELECT * EXCLUDE (es_divorcio) FROM typed",
     "target_column": f"WITH {TYPED} SELECT es_divorcio FROM typed",
     "validate_ranges": """
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, array_to_string(list_filter([
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, concat_ws(',',
             CASE WHEN l_quantity < 5 OR l_quantity > 40 THEN 'l_quantity' END,
             CASE WHEN l_discount < 0.01 OR l_discount > 0.09 THEN 'l_discount' END,
-            CASE WHEN l_linenumber < 1 OR l_linenumber > 6 THEN 'l_linenumber' END], x -> x IS NOT NULL), ',') AS violations
+            CASE WHEN l_linenumber < 1 OR l_linenumber > 6 THEN 'l_linenumber' END) AS violations
         FROM lineitem""",
     "validate_required": f"""
         WITH {REQUESTS}
@@ -183,12 +184,12 @@ ORACLE: dict[str, str] = {
         FROM labels""",
     "assemble_features": 'SELECT event_id, value AS "first", CAST(user_id AS DOUBLE) AS "second" FROM events',
     "alignment_check": """
-        SELECT (SELECT count(*) FROM documents) AS left_rows, (SELECT count(*) FROM labels) AS right_rows,
-            (SELECT count(DISTINCT doc_id) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS left_only,
-            (SELECT count(DISTINCT doc_id) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)) AS right_only,
-            (SELECT count(*) FROM (SELECT doc_id FROM documents GROUP BY 1 HAVING count(*) > 1
-                UNION SELECT doc_id FROM labels GROUP BY 1 HAVING count(*) > 1)) AS repeated,
-            left_rows = right_rows AND left_only = 0 AND right_only = 0 AND repeated = 0 AS aligned""",
+        WITH l AS (SELECT doc_id, count(*) AS n FROM documents GROUP BY 1),
+        r AS (SELECT doc_id, count(*) AS n FROM labels GROUP BY 1),
+        both_sides AS (SELECT coalesce(l.n, 0) AS l, coalesce(r.n, 0) AS r FROM l FULL OUTER JOIN r USING (doc_id)),
+        report AS (SELECT CAST(sum(l) AS BIGINT) AS left_rows, CAST(sum(r) AS BIGINT) AS right_rows,
+            count(*) FILTER (r = 0) AS left_only, count(*) FILTER (l = 0) AS right_only, count(*) FILTER (l > 1 OR r > 1) AS repeated FROM both_sides)
+        SELECT *, left_rows = right_rows AND left_only = 0 AND right_only = 0 AND repeated = 0 AS aligned FROM report""",
     "concat_xy": "SELECT doc_id, lang, n_chars, quality FROM documents JOIN labels USING (doc_id)",
     "label_dictionary": f"""
         SELECT 'p_name' AS "column", value, code FROM {_codes('p_name', 'part')}
@@ -230,9 +231,10 @@ ORACLE: dict[str, str] = {
         UNION ALL {_gain('l_linenumber', 'l_linenumber', 'l_linestatus')}
         UNION ALL {_gain('l_quantity', 'l_quantity', 'l_linestatus')}""",
     "information_gain_binned": f"""
-        WITH source AS (SELECT l_quantity, l_discount, l_extendedprice > 30000 AS expensive FROM lineitem)
-        {_gain('l_quantity', _binned('l_quantity', 8), 'expensive')}
-        UNION ALL {_gain('l_discount', _binned('l_discount', 8), 'expensive')}""",
+        WITH lines AS (SELECT l_quantity, l_discount, l_extendedprice > 30000 AS expensive FROM lineitem),
+        source AS (SELECT expensive, {_binned('l_quantity', 8)} AS q, {_binned('l_discount', 8)} AS d FROM lines)
+        {_gain('l_quantity', 'q', 'expensive')}
+        UNION ALL {_gain('l_discount', 'd', 'expensive')}""",
     "accuracy": "SELECT avg(CAST(quality = toxic AS INTEGER)) AS accuracy FROM labels",
     "f1_binary": """
         SELECT 2.0::DOUBLE * count_if(quality = 1 AND toxic = 1)
@@ -319,6 +321,9 @@ ORACLE: dict[str, str] = {
             printf('%.4f', abs(p_retailprice - p_size) / CAST(p_size AS DOUBLE) * 100) AS shown FROM part""",
     "train_and_promote": """
         SELECT DISTINCT 'model' AS name, 'champion' AS alias, CAST(2 AS INTEGER) AS version FROM orders""",
+    "score_requests": f"""
+        WITH {REQUESTS}
+        SELECT row_id, CASE WHEN reasons = '' THEN 'accepted' ELSE reasons END AS status, reasons = '' AS answered FROM outcomes""",
     "score_stream_matches_batch": f"""
         WITH {REQUESTS}
         SELECT CASE WHEN reasons = '' THEN 'accepted' ELSE reasons END AS status, count(*) AS n_rows, CAST(0 AS BIGINT) AS differing

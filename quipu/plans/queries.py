@@ -562,12 +562,13 @@ def train_and_promote(spark, folder):
     encoded, _ = etl.encode_table(fixtures.raw_marriages(spark, folder), MARRIAGES)
     encoded = materialize(encoded, "encoded")
     parts = split.train_test_split(encoded, ["row_id"], SEED, TEST_SIZE, stratify=MARRIAGES.target)
+    parts = materialize(parts, "split", ["split"])
     sides = {name: parts.filter(F.col("split") == name) for name in ("train", "test")}
     store = Store(spark, new_path(spark, "store"))
     label = MARRIAGES.target
     common = (store, "promotion", "model", sides["train"], sides["test"], MARRIAGES.features, label)
-    train.train_initial(*common, models.tree_classifier(label, 2))
-    train.retrain(*common, models.forest_classifier(label, **TREES))
+    train.train_initial(*common, models.tree_classifier(label, 1))
+    train.retrain(*common, models.tree_classifier(label, 6))
     train.retrain(*common, models.tree_classifier(label, 1))
     standing = registry.resolve_alias(store.table("model_aliases"), store.table("model_versions"), train.CHAMPION)
     return standing.select("name", "alias", "version")
@@ -576,6 +577,7 @@ def train_and_promote(spark, folder):
 def _scoring(spark, folder):
     """A dictionary and a model trained on the encoded marriage table."""
     encoded, dictionary = etl.encode_table(fixtures.raw_marriages(spark, folder), MARRIAGES)
+    encoded = materialize(encoded, "encoded")
     estimator = models.forest_classifier(MARRIAGES.target, **TREES)
     return dictionary, models.fit(encoded, estimator, MARRIAGES.features)
 
@@ -593,7 +595,8 @@ def score_requests(spark, folder):
     dictionary, model = _scoring(spark, folder)
     requests = fixtures.marriage_requests(spark, folder)
     scored = score.score_requests(requests, "body", MARRIAGES, dictionary, model, ["row_id"])
-    return _outcomes(scored.accepted, scored.quarantined)
+    outcomes = _outcomes(scored.accepted, scored.quarantined)
+    return outcomes.select("row_id", "status", F.col("str_output").isNotNull().alias("answered"))
 
 
 @query

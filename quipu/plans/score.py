@@ -12,6 +12,7 @@ from quipu.operators.encode import Dictionary, encode
 from quipu.operators.models import label_scores, predict
 from quipu.operators.validate import route
 from quipu.schema import Table
+from quipu.session import materialize
 from quipu.sources.requests import CORRUPT, parse_requests
 
 
@@ -35,11 +36,11 @@ def score_requests(
 ) -> Scored:
     """Score a table of request texts.
 
-    Both results come from one narrow plan and filter it, so either can be
-    written alone; persist the input when both are.
+    The texts are parsed, checked and encoded in one pass, and the outcome is
+    written; replies and quarantine each read only their own rows of it.
     """
-    checked = check_requests(df, body, spec, dictionary, keep)
+    checked = materialize(check_requests(df, body, spec, dictionary, keep), "checked-requests", ["valid"])
     good = checked.filter("valid").select(*keep, *spec.features)
     replies = label_scores(predict(good, model)).select(*keep, "int_output", "str_output")
-    bad = checked.filter(~F.col("valid")).select(*keep, "missing", "violations", "unseen", F.col(CORRUPT).alias("corrupt"))
+    bad = checked.filter("NOT valid").select(*keep, "missing", "violations", "unseen", F.col(CORRUPT).alias("corrupt"))
     return Scored(replies, bad)

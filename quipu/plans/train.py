@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Row
 from quipu.operators import models
 from quipu.operators.metrics import score
 from quipu.operators.registry import challenge, decide
+from quipu.session import local_frame
 from quipu.sources.documents import signature, write_json
 from quipu.sources.store import Store
 
@@ -100,7 +101,7 @@ def promote(store: Store, name: str, test: DataFrame, label: str, version: int,
 
 def _decision(store: Store, champion: float | None, challenger: float) -> Row:
     schema = "champion_score double, challenger_score double"
-    return decide(store.spark.createDataFrame([(champion, challenger)], schema)).first()
+    return decide(local_frame(store.spark, [(champion, challenger)], schema)).first()
 
 
 def compare(test: DataFrame, label: str, champion: PipelineModel, challenger: PipelineModel) -> DataFrame:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
@@ -63,7 +67,7 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quipu/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors, fixes the
@@ -71,5 +75,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     the true size of the table.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A few rows made on the driver, as a table whose size the planner knows.
+
+    Passed as Arrow data, so that no Python worker is needed to read it.
+    """
+    target = to_arrow_schema(T.StructType.fromDDL(schema))
+    columns = zip(*rows) if rows else [[] for _ in target]
+    arrays = [
+        pa.array([list(v.items()) if isinstance(v, dict) else v for v in column], type=field.type)
+        for column, field in zip(columns, target)
+    ]
+    return spark.createDataFrame(pa.table(arrays, schema=target), schema=T.StructType.fromDDL(schema))

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quipu.session import local_frame
+
 ENTRIES = "key string, value string"
 
 
@@ -32,7 +34,7 @@ def read_entries(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ENTRIES)
+        return local_frame(spark, [], ENTRIES)
     parsed = documents.select(F.parse_json("value").alias("document"))
     exploded = parsed.lateralJoin(spark.tvf.variant_explode(F.col("document").outer()))
     return exploded.select("key", F.to_json("value").alias("value"))

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quipu.session import local_frame
+
 
 def read_json_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a document; an absent one is empty, any other failure is raised."""
@@ -28,7 +30,7 @@ def signature(df: DataFrame, features: list[str], output: str) -> DataFrame:
     spark = df.sparkSession
     inputs = df.select(*features).schema
     outputs = df.select(output).schema
-    return spark.createDataFrame([(inputs.json(), outputs.json())], "inputs string, outputs string")
+    return local_frame(spark, [(inputs.json(), outputs.json())], "inputs string, outputs string")
 
 
 def signature_schema(text: str) -> T.StructType:

@@ -7,7 +7,7 @@ was promoted last stands.
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.operators import models, registry
+from quipu.session import local_frame
 
 SCHEMAS = {
     "experiments": "name string, experiment_id string, created_at timestamp",
@@ -30,6 +31,10 @@ SCHEMAS = {
 }
 
 
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
 class Store:
     """The registry's tables and the few writes that keep its rules."""
 
@@ -44,19 +49,19 @@ class Store:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], SCHEMAS[name])
+            return local_frame(self.spark, [], SCHEMAS[name])
 
     def append(self, name: str, rows: list[tuple]) -> None:
-        frame = self.spark.createDataFrame(rows, SCHEMAS[name])
+        frame = local_frame(self.spark, rows, SCHEMAS[name])
         frame.coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
 
     def get_or_create_experiment(self, name: str) -> str:
-        new = self.spark.createDataFrame([(name, uuid.uuid4().hex, datetime.now())], SCHEMAS["experiments"])
+        new = local_frame(self.spark, [(name, uuid.uuid4().hex, _now())], SCHEMAS["experiments"])
         self._append_absent("experiments", new)
         return self.table("experiments").filter(F.col("name") == name).first()["experiment_id"]
 
     def create_model_if_absent(self, name: str, description: str | None = None) -> None:
-        new = self.spark.createDataFrame([(name, description, datetime.now())], SCHEMAS["registered_models"])
+        new = local_frame(self.spark, [(name, description, _now())], SCHEMAS["registered_models"])
         self._append_absent("registered_models", new)
 
     def _append_absent(self, table: str, new: DataFrame) -> None:
@@ -77,7 +82,7 @@ class Store:
         run_id = uuid.uuid4().hex
         texts = {k: str(v) for k, v in (params or {}).items()}
         numbers = {k: float(v) for k, v in (metrics or {}).items()}
-        self.append("runs", [(run_id, parent, experiment, name, texts, numbers, tags or {}, datetime.now())])
+        self.append("runs", [(run_id, parent, experiment, name, texts, numbers, tags or {}, _now())])
         return run_id
 
     def register(
@@ -85,7 +90,7 @@ class Store:
     ) -> int:
         """Add the next version of a model, creating the model if it is new."""
         self.create_model_if_absent(name)
-        new = self.spark.createDataFrame([(name, source, 0)], "name string, source string, seq int")
+        new = local_frame(self.spark, [(name, source, 0)], "name string, source string, seq int")
         number = registry.assign_versions(new, self.table("model_versions"), "seq").first()["version"]
         texts = {k: str(v) for k, v in (tags or {}).items()}
         self.append("model_versions", [(name, number, source, run_id, registry.NO_STAGE, texts)])
@@ -95,7 +100,7 @@ class Store:
         known = self.table("model_versions").filter((F.col("name") == name) & (F.col("version") == version))
         if known.isEmpty():
             raise ValueError(f"model {name} has no version {version}")
-        self.append("model_aliases", [(name, alias, version, datetime.now())])
+        self.append("model_aliases", [(name, alias, version, _now())])
 
     def resolve(self, name: str, alias: str) -> Row | None:
         """The version an alias stands for, or None when there is no such alias."""

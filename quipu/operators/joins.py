@@ -18,7 +18,6 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # Keys taken out of the shuffle.  A key outside the HOT_KEYS most frequent ones
 # holds at most 1 / (HOT_KEYS + 1) of the rows.
 HOT_KEYS = 1_000
-SPREAD = 4_096
 
 
 def fits_broadcast(lookup: DataFrame) -> bool:
@@ -50,7 +49,7 @@ def hot_key_join(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     The most frequent keys are found by a pre-aggregated count and resolved by a
     broadcast of at most ``HOT_KEYS`` rows.  Only the other rows meet the look-up
     in a shuffle, where no key is large; rows that are already resolved travel
-    under a spread key, so they do not pile up in one task either.
+    under the hash of the whole row, so they do not pile up in one task either.
     """
     added = [c for c in lookup.columns if c not in on]
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
@@ -73,20 +72,21 @@ def hot_key_join(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     resolved = F.coalesce(F.col("_is_hot"), F.lit(False))
     for c in on:
         resolved = resolved | F.col(c).isNull()
-    spread = F.when(resolved, F.pmod(F.xxhash64(*hashable), F.lit(SPREAD)) + 1).otherwise(0)
+    # Part of the shuffle key: the hash of the key, or of the whole row once it is resolved.
+    place = F.when(resolved, F.xxhash64(*hashable)).otherwise(F.xxhash64(*on))
     cold = marked.select(
         *df.columns,
         "_is_hot",
         "_hot_found",
         *[F.when(~resolved, F.col(c)).alias(f"_cold_{c}") for c in on],
-        spread.cast("long").alias("_spread"),
+        place.alias("_place"),
     )
     right = wide.select(
         *[F.col(c).alias(f"_cold_{c}") for c in on],
-        F.lit(0).cast("long").alias("_spread"),
+        F.xxhash64(*on).alias("_place"),
         F.col("_found").alias("_cold_found"),
     )
-    joined = cold.join(right, [*[f"_cold_{c}" for c in on], "_spread"], "left")
+    joined = cold.join(right, [*[f"_cold_{c}" for c in on], "_place"], "left")
     answer = F.when(F.col("_is_hot"), F.col("_hot_found")).otherwise(F.col("_cold_found"))
     return joined.select(*df.columns, *[answer[c].alias(c) for c in added])
 

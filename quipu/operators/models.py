@@ -63,9 +63,10 @@ def linear_svm(label: str, c: float, rows: int, **params) -> LinearSVC:
     """A linear support-vector classifier with penalty ``c``.
 
     Spark averages the hinge loss over the rows where the penalty form sums it,
-    so ``1 / (rows * c)`` is the same trade-off.
+    so ``1 / (rows * c)`` is the same trade-off.  Every step of the solver reads
+    the table, and weakly penalized fits take many; ``maxIter`` bounds them.
     """
-    defaults = dict(regParam=1.0 / (rows * c), standardization=False, maxIter=100)
+    defaults = dict(regParam=1.0 / (rows * c), standardization=False, maxIter=100, tol=1e-3)
     return LinearSVC(featuresCol=VECTOR, labelCol=label, **{**defaults, **params})
 
 

@@ -29,10 +29,10 @@ def with_ranges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE)
         return df.withColumn("_range", F.lit(0)), 1
     place = F.col(order).cast("double")
     shares = [i / ranges for i in range(1, ranges)]
-    edges = df.agg(F.percentile_approx(place, shares, 10 * ranges).alias("e")).first()["e"]
+    edges = df.agg(F.percentile_approx(place, shares, max(10_000, 10 * ranges)).alias("e")).first()["e"]
     splits = [float("-inf"), *sorted(set(edges)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_place", outputCol="_range", handleInvalid="keep")
-    return cut.transform(df.withColumn("_place", place)).drop("_place"), len(splits)
+    return cut.transform(df.withColumn("_place", place)).drop("_place"), len(splits) - 1
 
 
 def running_max_before(

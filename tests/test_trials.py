@@ -1,0 +1,98 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quipu.operators import ordered, trials
+
+
+@pytest.fixture(scope="module")
+def values(spark):
+    draw = random.Random(5)
+    rows = [(s, i, draw.choice([0.0, 0.1, 0.2, draw.random()])) for s in ("a", "b", None) for i in range(400)]
+    draw.shuffle(rows)
+    return spark.createDataFrame(rows, "study string, trial long, value double"), rows
+
+
+@pytest.mark.parametrize("rows_per_range", [37, 1_000_000])
+def test_running_maximum_and_numbers(values, rows_per_range):
+    df, rows = values
+    out = ordered.running_max_before(df, "trial", {"top": "value"}, ["study"], rows_per_range)
+    found = {(r.study, r.trial): r.top for r in out.collect()}
+    numbers = ordered.numbered(df.filter("trial % 3 = 0"), "trial", ["study"], "n", rows_per_range)
+    numbers = {(r.study, r.trial): r.n for r in numbers.collect()}
+    for s in ("a", "b", None):
+        own = sorted((t, v) for study, t, v in rows if study == s)
+        assert found[s, 0] is None
+        for i in range(1, 400):
+            assert found[s, i] == max(v for _, v in own[:i])
+        assert [numbers[s, t] for t in range(0, 400, 3)] == list(range(1, 135))
+
+
+def _emitted(pairs):
+    """The reported trials, told one after another."""
+    best, winner, out = None, None, []
+    for trial, value in sorted(pairs):
+        best = value if best is None else max(best, value)
+        if best and winner != best:
+            out.append((trial, value, winner))
+            winner = best
+    return out
+
+
+@pytest.mark.parametrize("rows_per_range", [37, 1_000_000])
+def test_running_champion(values, rows_per_range):
+    df, rows = values
+    out = trials.running_champion(df, study=["study"], rows_per_range=rows_per_range).collect()
+    for s in ("a", "b", None):
+        found = sorted((r.trial, r.value, r.previous) for r in out if r.study == s)
+        assert found == _emitted([(t, v) for study, t, v in rows if study == s])
+
+
+@pytest.mark.parametrize(
+    "series",
+    [[0.0, 0.0, 0.5, 0.5, 0.75], [0.3, 0.2, 0.3], [-0.5, 0.0, 0.25], [0.0], [1.0, 2.0, 3.0]],
+)
+def test_zero_and_first_champions(spark, series):
+    df = spark.createDataFrame(list(enumerate(series)), "trial long, value double")
+    out = trials.running_champion(df).orderBy("trial").collect()
+    assert [(r.trial, r.value, r.previous) for r in out] == _emitted(list(enumerate(series)))
+    for r in out:
+        if r.previous is None:
+            assert r.kind == "initial" and r.message == f"Initial trial {r.trial} achieved value: {r.value:.4f}"
+        else:
+            percent = abs(r.previous - r.value) / r.value * 100
+            assert r.improvement_percent == pytest.approx(percent)
+            assert r.message.endswith(f"with {percent:.4f}% improvement")
+
+
+def test_best_trial_takes_the_lowest_number_on_a_tie(spark):
+    df = spark.createDataFrame([(3, 0.9), (1, 0.9), (2, 0.1), (0, None)], "trial long, value double")
+    assert trials.best_trial(df).first().trial == 1
+
+
+def test_draws_depend_on_seed_and_trial_only(spark):
+    df = spark.range(500).withColumnRenamed("id", "trial")
+    one = {tuple(r) for r in trials.draw_trials(df, "trial", 1).collect()}
+    assert one == {tuple(r) for r in trials.draw_trials(df.repartition(3), "trial", 1).collect()}
+    assert one != {tuple(r) for r in trials.draw_trials(df, "trial", 2).collect()}
+    rows = trials.draw_trials(df, "trial", 1).collect()
+    assert {r.classifier for r in rows} == set(trials.FAMILIES)
+    for r in rows:
+        assert (r.svc_c is not None) == (r.classifier == "SVC_linear")
+        assert r.svc_c is None or 0.01 <= r.svc_c < 100
+        assert r.tree_max_depth is None or 2 <= r.tree_max_depth <= 32
+        assert r.rf_n_estimators is None or 2 <= r.rf_n_estimators <= 10
+    assert {r.rf_n_estimators for r in rows} == {None, *range(2, 11)}
+
+
+def test_mean_of_folds(spark):
+    df = spark.createDataFrame([(0, 0, 0.5), (0, 1, 1.0), (1, 0, 0.25)], "trial long, fold int, score double")
+    assert {r.trial: r.mean_score for r in trials.mean_of_folds(df).collect()} == {0: 0.75, 1: 0.25}
+
+
+def test_ranges_are_of_like_size(spark):
+    df = spark.range(10_000).withColumn("x", F.col("id") * F.col("id"))
+    ranged, n = ordered.with_ranges(df, "x", 1000)
+    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+    assert n == len(sizes) == 10 and max(sizes) <= 1001

@@ -82,7 +82,7 @@ def fit_dictionary(df: DataFrame, columns: list[str] | None = None) -> Dictionar
     start_of = local_frame(df.sparkSession, starts, "column string, part int, start bigint")
     rows = placed.join(F.broadcast(start_of), ["column", "part"])
     rows = rows.select("column", "value", (F.col("place") + F.col("start")).alias("code"))
-    return Dictionary(materialize(rows, "dictionary", ["column"]), sizes)
+    return Dictionary(materialize(rows, "dictionary"), sizes)
 
 
 def as_dictionary(rows: DataFrame) -> Dictionary:

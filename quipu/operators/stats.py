@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.operators.encode import distinct_values
+from quipu.operators.encode import Dictionary, distinct_values
+
+MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
 
 
 def category_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -13,31 +15,32 @@ def category_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return distinct_values(df, columns)
 
 
-def category_map(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The sorted distinct values of each column as one array.
+def category_map(dictionary: Dictionary, columns: list[str]) -> DataFrame:
+    """The sorted values of each column as one array, for a description.
 
-    For descriptions, where an array is what is wanted; columns with very many
-    values belong in :func:`category_values`.
+    The arrays end up in one document, so their size is checked first; columns
+    with more values stay a table, see :func:`category_values`.
     """
-    values = distinct_values(df, columns).groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    return values
+    size = sum(dictionary.sizes[c][1] for c in columns)
+    if size > MAX_DOCUMENT_BYTES:
+        raise ValueError(f"{size} bytes of values do not belong in one document")
+    rows = dictionary.rows.filter(F.col("column").isin(columns))
+    return rows.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("values"))
 
 
-def pearson(a: str, b: str) -> Column:
-    """Correlation of two columns over the rows where both are present.
+def correlation_with_target(df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """``(feature, correlation)``, ascending; Pearson's over the rows with both values.
 
-    Null where either column is constant; ``corr`` would divide by zero there.
+    The features are stacked and aggregated per name, so the generated code does
+    not grow with their number; only one small row per feature and task is
+    shuffled.  Null where a column is constant: ``corr`` would divide by zero.
     """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
-
-
-def correlation_with_target(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """``(feature, correlation)``, ascending, from one aggregation over the table."""
-    one_row = df.agg(*[pearson(c, target).alias(c) for c in features])
-    report = one_row.unpivot([], features, "feature", "correlation")
+    x, y = F.col("x"), F.col("_y")
+    values = [F.col(c).cast("double").alias(c) for c in features]
+    long = df.select(F.col(target).cast("double").alias("_y"), *values).unpivot("_y", features, "feature", "x")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    ratio = F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+    report = long.groupBy("feature").agg(ratio.alias("correlation"))
     return report.orderBy(F.col("correlation").asc_nulls_last(), "feature")
 
 

@@ -54,12 +54,20 @@ def encode_table(raw: DataFrame, spec: Table, null_policy: str = "error") -> tup
 
 
 def describe(
-    raw: DataFrame, encoded: DataFrame, spec: Table, categories: list[str], moment: Column
+    raw: DataFrame,
+    encoded: DataFrame,
+    dictionary: Dictionary,
+    spec: Table,
+    categories: list[str],
+    moment: Column,
 ) -> DataFrame:
-    """The data dictionary of a table before and after it was cleaned, as entries."""
+    """The data dictionary of a table before and after it was cleaned, as entries.
+
+    The values come from the fitted dictionary; the tables give only their schemas.
+    """
     before = features_only(raw, spec.target).drop(spec.key)
     after = features_only(encoded, spec.target).drop(spec.key)
-    values = category_map(raw, categories)
+    values = category_map(dictionary, categories)
     # One entry per described column.
     row = values.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("column", "values")))).alias("v"))
     return entries(
@@ -108,7 +116,7 @@ def run(
     encoded = spark.read.schema(encoded.schema).parquet(layout.encoded)
     save_dictionary(dictionary, layout.dictionary)
 
-    new = describe(raw, encoded, spec, categories, F.current_timestamp())
+    new = describe(raw, encoded, dictionary, spec, categories, F.current_timestamp())
     merged = merge_entries(read_entries(spark, layout.description), new, ["key"])
     # The document is read and replaced, so its new form is fixed first.
     write_entries(materialize(merged, "description"), layout.description)

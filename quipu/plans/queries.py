@@ -54,11 +54,11 @@ def csv_roundtrip(spark, folder):
 @query
 def data_dictionary(spark, folder):
     raw = fixtures.raw_marriages(spark, folder)
-    encoded, _ = etl.encode_table(raw, MARRIAGES)
+    encoded, dictionary = etl.encode_table(raw, MARRIAGES)
     newest = table(spark, folder, "orders").agg(F.max("o_orderdate").cast("string").alias("d")).first()["d"]
     moment = F.lit(newest).cast("timestamp")
     path = new_path(spark, "description")
-    described = etl.describe(raw, encoded, MARRIAGES, DESCRIBED_CATEGORIES, moment)
+    described = etl.describe(raw, encoded, dictionary, MARRIAGES, DESCRIBED_CATEGORIES, moment)
     write_entries(registry.merge_entries(read_entries(spark, path), described, ["key"]), path)
     return read_entries(spark, path)
 

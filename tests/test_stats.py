@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.operators import metrics, stats
+from quipu.operators import encode, metrics, stats
 
 
 def test_correlation_skips_nulls_and_constant_columns(spark):
@@ -52,7 +52,7 @@ def test_information_gain_of_bins(spark):
 
 def test_category_map(spark):
     df = spark.createDataFrame([("b", "1"), ("a", "1"), ("b", None), ("ñ", "2")], "x string, y string")
-    found = {r["column"]: r["values"] for r in stats.category_map(df, ["x", "y"]).collect()}
+    found = {r["column"]: r["values"] for r in stats.category_map(encode.fit_dictionary(df), ["x", "y"]).collect()}
     assert found == {"x": ["a", "b", "ñ"], "y": ["1", "2"]}
 
 

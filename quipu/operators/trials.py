@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.numbers import draw_choice, draw_log_float, draw_log_int, improvement_percent, uniform
-from quipu.functions.text import fixed4
 from quipu.operators.ordered import ROWS_PER_RANGE, running_max_before
 
-# Model families and the ranges of their parameters.
+# Model families, the ranges of their parameters, and the messages
+# about a new best trial.
 FAMILIES = ["SVC_linear", "DecisionTreeClassifier", "RandomForest"]
 SVC_C = (0.01, 100.0)
 TREE_DEPTH = (2, 32)
 FOREST_DEPTH = (2, 32)
 FOREST_TREES = (2, 10)
+INITIAL_MESSAGE = "Initial trial %s achieved value: %s"
+IMPROVED_MESSAGE = "Trial %s achieved value: %s with % .4f%% improvement"
 
 
 def draw_trials(df: DataFrame, trial: str, seed: int) -> DataFrame:
@@ -64,12 +66,9 @@ def running_champion(
     emitted = prior.filter(better & (F.col(value) != 0))
     percent = improvement_percent(F.col("previous"), F.col(value))
     initial = F.col("previous").isNull()
-    number, reached = F.col(trial).cast("string"), fixed4(F.col(value))
-    first = F.concat(F.lit("Initial trial "), number, F.lit(" achieved value: "), reached)
-    later = F.concat(
-        F.lit("Trial "), number, F.lit(" achieved value: "), reached,
-        F.lit(" with "), fixed4(percent), F.lit("% improvement"),
-    )
+    told = [F.col(trial).cast("string"), F.col(value).cast("string")]
+    first = F.format_string(INITIAL_MESSAGE, *told)
+    later = F.format_string(IMPROVED_MESSAGE, *told, percent)
     return emitted.select(
         *columns,
         "previous",

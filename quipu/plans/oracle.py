@@ -239,7 +239,7 @@ ORACLE: dict[str, str] = {
     "f1_binary": """
         SELECT 2.0::DOUBLE * count_if(quality = 1 AND toxic = 1)
             / (2 * count_if(quality = 1 AND toxic = 1) + count_if((quality = 1) <> (toxic = 1))) AS f1 FROM labels""",
-    "cv_mean": "SELECT o_custkey AS trial, round(avg(o_totalprice), 4) AS mean_score FROM orders GROUP BY 1",
+    "cv_mean": "SELECT o_custkey AS trial, avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS mean_score FROM orders GROUP BY 1",
     "scaler_stats": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM lineitem"""
         for c in LINE_FEATURES
@@ -264,8 +264,8 @@ ORACLE: dict[str, str] = {
         WITH {_running('')}
         SELECT trial, value, previous, CASE WHEN previous IS NULL THEN 'initial' ELSE 'improved' END AS kind,
             round(percent, 8) AS improvement_percent,
-            CASE WHEN previous IS NULL THEN printf('Initial trial %d achieved value: %.4f', trial, value)
-                 ELSE printf('Trial %d achieved value: %.4f with %.4f%% improvement', trial, value, percent) END AS message
+            CASE WHEN previous IS NULL THEN format('Initial trial {{}} achieved value: {{}}', trial, value)
+                 ELSE format('Trial {{}} achieved value: {{}} with {{: .4f}}% improvement', trial, value, percent) END AS message
         FROM improved""",
     "running_champion_per_study": f"""
         WITH {_running('PARTITION BY study')}

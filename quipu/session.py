@@ -63,8 +63,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/quipu/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses.
+
+    All paths of an application lie under one folder, which its owner can remove
+    when the application has ended.
+    """
+    return f"{shared_dir(spark)}/quipu/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -59,11 +59,11 @@ def test_zero_and_first_champions(spark, series):
     assert [(r.trial, r.value, r.previous) for r in out] == _emitted(list(enumerate(series)))
     for r in out:
         if r.previous is None:
-            assert r.kind == "initial" and r.message == f"Initial trial {r.trial} achieved value: {r.value:.4f}"
+            assert r.kind == "initial" and r.message == f"Initial trial {r.trial} achieved value: {r.value}"
         else:
             percent = abs(r.previous - r.value) / r.value * 100
             assert r.improvement_percent == pytest.approx(percent)
-            assert r.message.endswith(f"with {percent:.4f}% improvement")
+            assert r.message == f"Trial {r.trial} achieved value: {r.value} with {percent: .4f}% improvement"
 
 
 def test_best_trial_takes_the_lowest_number_on_a_tie(spark):

@@ -32,7 +32,8 @@ def with_ranges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE)
     edges = df.agg(F.percentile_approx(place, shares, max(10_000, 10 * ranges)).alias("e")).first()["e"]
     splits = [float("-inf"), *sorted(set(edges)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_place", outputCol="_range", handleInvalid="keep")
-    return cut.transform(df.withColumn("_place", place)).drop("_place"), len(splits) - 1
+    ranged = cut.transform(df.withColumn("_place", place)).drop("_place")
+    return ranged.withColumn("_range", F.col("_range").cast("int")), len(splits) - 1
 
 
 def running_max_before(

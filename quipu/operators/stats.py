@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.operators.encode import Dictionary, distinct_values
+from quipu.session import materialize
 
 MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
 
@@ -81,7 +82,8 @@ def information_gain(
     ]
     long = df.select(F.col(target).alias("_y"), *values).unpivot("_y", features, "feature", "value")
     cells = long.filter(F.col("value").isNotNull() & F.col("_y").isNotNull())
-    cells = cells.groupBy("feature", "value", "_y").agg(F.count(F.lit(1)).alias("n"))
+    # Both margins are summed from the counts, so the table itself is read once.
+    cells = materialize(cells.groupBy("feature", "value", "_y").agg(F.count(F.lit(1)).alias("n")), "counts")
 
     def weighed(n: str) -> Column:
         return F.sum(F.col(n) * F.ln(F.col(n).cast("double")))

@@ -319,12 +319,22 @@ ORACLE: dict[str, str] = {
     "improvement": """
         SELECT p_partkey, round(abs(p_retailprice - p_size) / CAST(p_size AS DOUBLE) * 100, 6) AS percent,
             printf('%.4f', abs(p_retailprice - p_size) / CAST(p_size AS DOUBLE) * 100) AS shown FROM part""",
+    "model_signature": f"""
+        SELECT 'inputs' AS side, unnest([{", ".join(f"'{c}'" for c in LINE_FEATURES)}]) AS name, 'double' AS type
+        UNION ALL SELECT 'outputs', 'prediction', 'double'""",
+    **{
+        name: """
+        SELECT count(*) AS n_rows, count(*) FILTER (l_extendedprice > 30000) AS n_positive, true AS beats_majority
+        FROM lineitem"""
+        for name in ("forest_classify", "tree_classify", "svm_classify")
+    },
+    "forest_regress": "SELECT count(*) AS n_rows, true AS beats_mean FROM lineitem",
     "train_and_promote": """
         SELECT DISTINCT 'model' AS name, 'champion' AS alias, CAST(2 AS INTEGER) AS version FROM orders""",
     "score_requests": f"""
         WITH {REQUESTS}
         SELECT row_id, CASE WHEN reasons = '' THEN 'accepted' ELSE reasons END AS status, reasons = '' AS answered FROM outcomes""",
-    "score_stream_matches_batch": f"""
+    "score_stream": f"""
         WITH {REQUESTS}
         SELECT CASE WHEN reasons = '' THEN 'accepted' ELSE reasons END AS status, count(*) AS n_rows, CAST(0 AS BIGINT) AS differing
         FROM outcomes GROUP BY 1""",

@@ -17,11 +17,11 @@ from quipu.schema import DESCRIBED_CATEGORIES, MARRIAGES
 from quipu.session import materialize, new_path
 from quipu.sources.delimited import read_csv, write_csv
 from quipu.sources.dictionary import read_entries, write_entries
-from quipu.sources.documents import read_json_or_empty, signature, write_json
+from quipu.sources.documents import read_json_or_empty, signature, signature_fields, write_json
 from quipu.sources.requests import CORRUPT, parse_requests
 from quipu.sources.store import Store
 from quipu.sources.tables import table
-from quipu.streaming.score import request_stream, score_stream
+from quipu.streaming import score as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -84,7 +84,7 @@ def model_signature(spark, folder):
     path = new_path(spark, "signature")
     described = signature(models.predict(lines, model), LINE_FEATURES, "prediction")
     write_json(described, path)
-    return read_json_or_empty(spark, path, described.schema)
+    return signature_fields(read_json_or_empty(spark, path, described.schema))
 
 
 # projection, casts, checks
@@ -493,14 +493,21 @@ def improvement(spark, folder):
 # models
 
 
-def _confusion(df, label, prediction="prediction"):
-    cells = df.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction"))
-    return cells.agg(F.count(F.lit(1)).alias("n"))
+def _verdict(scored, label):
+    """One row: all rows and positives, and whether the model beats the larger class."""
+    positive = F.avg(F.col(label).cast("double"))
+    found = scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(label) == 1).alias("n_positive"),
+        metrics.accuracy(label, "prediction").alias("_accuracy"),
+        F.greatest(positive, 1 - positive).alias("_majority"),
+    )
+    return found.select("n_rows", "n_positive", (F.col("_accuracy") > F.col("_majority")).alias("beats_majority"))
 
 
 def _classify(spark, folder, estimator):
     lines = fixtures.expensive_lines(spark, folder)
-    return _confusion(models.predict(lines, models.fit(lines, estimator, LINE_FEATURES)), "expensive")
+    return _verdict(models.predict(lines, models.fit(lines, estimator, LINE_FEATURES)), "expensive")
 
 
 @query
@@ -518,22 +525,18 @@ def svm_classify(spark, folder):
     lines = fixtures.expensive_lines(spark, folder)
     scaled = stats.standardize(lines, LINE_FEATURES)
     estimator = models.linear_svm("expensive", 1.0, scaled.count(), maxIter=20)
-    model = models.fit(scaled, estimator, LINE_FEATURES)
-    return _confusion(models.predict(scaled, model), "expensive")
+    return _verdict(models.predict(scaled, models.fit(scaled, estimator, LINE_FEATURES)), "expensive")
 
 
 @query
 def forest_regress(spark, folder):
-    lines = fixtures.expensive_lines(spark, folder)
-    features = ["l_quantity", "l_discount", "l_tax"]
-    model = models.fit(lines, models.forest_regressor("l_extendedprice", numTrees=10), features)
-    scored = models.predict(lines, model)
-    error = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), F.lit(2.0))))
-    return scored.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.round(error, 2).alias("rmse"),
-        F.round(F.stddev_pop("l_extendedprice"), 2).alias("baseline_rmse"),
-    )
+    lines = table(spark, folder, "lineitem")
+    net = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net")
+    features = ["l_extendedprice", "l_discount", "l_tax"]
+    rows = lines.select(*features, net)
+    scored = models.predict(rows, models.fit(rows, models.forest_regressor("net", numTrees=10), features))
+    error = F.avg(F.pow(F.col("prediction") - F.col("net"), F.lit(2.0)))
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), (error < F.var_pop("net") / 4).alias("beats_mean"))
 
 
 def _folded(spark, folder):
@@ -600,15 +603,15 @@ def score_requests(spark, folder):
 
 
 @query
-def score_stream_matches_batch(spark, folder):
+def score_stream(spark, folder):
     """Rows per outcome, and how many of them a stream over the same requests got otherwise."""
     dictionary, model = _scoring(spark, folder)
     source = new_path(spark, "requests")
     requests = fixtures.marriage_requests(spark, folder)
     requests.repartition(4, "row_id").write.parquet(source)
     target = new_path(spark, "scored")
-    stream = request_stream(spark, source, requests.schema, maxFilesPerTrigger="2")
-    running = score_stream(
+    stream = streaming.request_stream(spark, source, requests.schema, maxFilesPerTrigger="2")
+    running = streaming.score_stream(
         stream, "body", MARRIAGES, dictionary, model, ["row_id"], target, new_path(spark, "stream-checkpoint")
     )
     running.awaitTermination()

@@ -6,6 +6,7 @@ import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quipu.session import local_frame
@@ -33,6 +34,13 @@ def signature(df: DataFrame, features: list[str], output: str) -> DataFrame:
     return local_frame(spark, [(inputs.json(), outputs.json())], "inputs string, outputs string")
 
 
+def signature_fields(signatures: DataFrame) -> DataFrame:
+    """One row ``(side, name, type)`` per field of a signature."""
+    texts = signatures.unpivot([], ["inputs", "outputs"], "side", "text")
+    fields = F.from_json("text", "fields array<struct<name string, type string>>")["fields"]
+    return texts.select("side", F.inline(fields))
+
+
 def signature_schema(text: str) -> T.StructType:
     """The schema a signature text describes."""
     return T.StructType.fromJson(json.loads(text))

@@ -30,6 +30,8 @@ def with_ranges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE)
     place = F.col(order).cast("double")
     shares = [i / ranges for i in range(1, ranges)]
     edges = df.agg(F.percentile_approx(place, shares, max(10_000, 10 * ranges)).alias("e")).first()["e"]
+    if not edges:  # every place is null
+        return df.withColumn("_range", F.lit(0)), 1
     splits = [float("-inf"), *sorted(set(edges)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_place", outputCol="_range", handleInvalid="keep")
     ranged = cut.transform(df.withColumn("_place", place)).drop("_place")

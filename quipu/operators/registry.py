@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quipu.operators.joins import lookup_join
 from quipu.operators.metrics import METRICS
 from quipu.operators.ordered import ROWS_PER_RANGE, numbered
+from quipu.session import materialize
 
 NO_STAGE = "None"
 
@@ -49,7 +50,7 @@ def assign_versions(
 ) -> DataFrame:
     """Number new versions per name, on from the highest existing one."""
     placed = numbered(new, order, [name], "_place", rows_per_range)
-    highest = existing.groupBy(name).agg(F.max(version).alias("_highest"))
+    highest = materialize(existing.groupBy(name).agg(F.max(version).alias("_highest")), "highest-versions")
     joined = lookup_join(placed, highest, [name])
     number = F.coalesce(F.col("_highest"), F.lit(0)) + F.col("_place")
     return joined.select(*new.columns, number.cast("int").alias(version))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,8 +58,8 @@ def bin_edges(df: DataFrame, columns: list[str], bins: int, accuracy: int = 10_0
 def bin_number(column: str, edges: list[float]) -> Column:
     """How many edges lie below the value: ``bins - 1`` of them at most."""
     value = F.col(column).cast("double")
-    points = F.array(*[F.lit(e) for e in edges]).cast("array<double>")
-    return F.when(value.isNotNull(), F.size(F.filter(points, lambda edge: value > edge)))
+    below = [(value > F.lit(edge)).cast("int") for edge in edges]
+    return F.when(value.isNotNull(), reduce(add, below, F.lit(0)))
 
 
 def information_gain(

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.functions.text import DASHED
-from quipu.operators.clean import bool_to_int, clean, features_only
+from quipu.operators.clean import bool_to_int, cast_types, clean, features_only
 from quipu.operators.encode import Dictionary, encode, fit_dictionary, load_dictionary, save_dictionary
 from quipu.operators.registry import merge_entries
-from quipu.operators.split import train_test_split
+from quipu.operators.split import paired_sample, train_test_split
 from quipu.operators.stats import category_map
-from quipu.schema import Table
+from quipu.schema import FLAG, Table
 from quipu.session import materialize
-from quipu.sources.delimited import read_csv
+from quipu.sources.delimited import read_csv, write_csv
 from quipu.sources.dictionary import entries, read_entries, write_entries
+from quipu.sources.store import Store
 
 
 @dataclass(frozen=True)
@@ -108,7 +110,8 @@ def run(
     one side touches only its files.
     """
     raw = read_csv(spark, source, spec.raw_schema())
-    bool_to_int(raw).write.mode("overwrite").parquet(layout.raw)
+    raw = bool_to_int(cast_types(raw, {spec.target: FLAG}))
+    raw.write.mode("overwrite").parquet(layout.raw)
     raw = spark.read.schema(raw.schema).parquet(layout.raw)
 
     encoded, dictionary = encode_table(raw, spec, null_policy)
@@ -131,3 +134,23 @@ def read_split(spark: SparkSession, layout: Layout, part: str) -> DataFrame:
 
 def read_dictionary(spark: SparkSession, layout: Layout) -> Dictionary:
     return load_dictionary(spark, layout.dictionary)
+
+
+def export_split(spark: SparkSession, layout: Layout, spec: Table, folder: str) -> None:
+    """Features and target of both parts as delimited text, each row with its key."""
+    for part in ("train", "test"):
+        rows = read_split(spark, layout, part)
+        write_csv(rows.select(spec.key, *spec.features), f"{folder}/{part}/X_{part}")
+        write_csv(rows.select(spec.key, spec.target), f"{folder}/{part}/y_{part}")
+
+
+def log_run(store: Store, experiment: str, layout: Layout, spec: Table, rows: int = 100, seed: int = 42) -> str:
+    """Log the run, with a sample of the same rows before and after cleaning."""
+    spark = store.spark
+    store.get_or_create_experiment(experiment)
+    run_id = store.log_run(experiment, f"ETL_run_{datetime.now():%Y/%m/%d-%H:%M:%S}", tags={"experiment": "etl"})
+    raw, encoded = spark.read.parquet(layout.raw), spark.read.parquet(layout.encoded)
+    before, after = paired_sample(raw, encoded, [spec.key], rows, seed)
+    before.write.parquet(f"{store.root}/artifacts/{run_id}/raw")
+    after.write.parquet(f"{store.root}/artifacts/{run_id}/clean")
+    return run_id

@@ -6,10 +6,14 @@ from datetime import datetime
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
+from quipu.functions.text import tags, trial_name
 from quipu.operators import models
 from quipu.operators.metrics import score
 from quipu.operators.registry import challenge, decide
+from quipu.operators.search import PARAMS, Search
+from quipu.operators.trials import mean_of_folds
 from quipu.session import local_frame
 from quipu.sources.documents import signature, write_json
 from quipu.sources.store import Store
@@ -108,3 +112,25 @@ def compare(test: DataFrame, label: str, champion: PipelineModel, challenger: Pi
     """Both models on the same rows, read once, and the decision."""
     both = models.predict(models.predict(test, champion, "champion"), challenger, "challenger")
     return challenge(both, label, "champion", "challenger")
+
+
+def log_search(store: Store, experiment: str, found: Search, metric: str = "f1") -> str:
+    """Log a search: one run for the whole, and under it one run per trial."""
+    store.get_or_create_experiment(experiment)
+    best = {p: found.best[p] for p in PARAMS if found.best[p] is not None}
+    name = f"best_hyperparam_{datetime.now():%Y/%m/%d-%H:%M:%S}"
+    parent = store.log_run(experiment, name, best, {f"best_train_{metric}": found.best["mean_score"]})
+    means = mean_of_folds(found.scores).join(F.broadcast(found.trials), "trial")
+    params = F.map_filter(tags(**{p: F.col(p) for p in PARAMS}), lambda _, value: value.isNotNull())
+    runs = means.select(
+        F.expr("uuid()").alias("run_id"),
+        F.lit(parent).alias("parent_run_id"),
+        F.lit(experiment).alias("experiment"),
+        trial_name(F.col("trial")).alias("name"),
+        params.alias("params"),
+        F.create_map(F.lit(metric), F.col("mean_score")).alias("metrics"),
+        F.create_map().cast("map<string,string>").alias("tags"),
+        F.current_timestamp().alias("started_at"),
+    )
+    store.append_rows("runs", runs)
+    return parent

@@ -52,8 +52,10 @@ class Store:
             return local_frame(self.spark, [], SCHEMAS[name])
 
     def append(self, name: str, rows: list[tuple]) -> None:
-        frame = local_frame(self.spark, rows, SCHEMAS[name])
-        frame.coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+        self.append_rows(name, local_frame(self.spark, rows, SCHEMAS[name]).coalesce(1))
+
+    def append_rows(self, name: str, rows: DataFrame) -> None:
+        rows.select(*self.table(name).columns).write.mode("append").parquet(f"{self.root}/{name}")
 
     def get_or_create_experiment(self, name: str) -> str:
         new = local_frame(self.spark, [(name, uuid.uuid4().hex, _now())], SCHEMAS["experiments"])

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quipu.operators import encode, models, search, validate
-from quipu.plans import score
+from quipu.plans import score, train
 from quipu.schema import LONG, MARRIAGES, TEXT, Field, Table
 from quipu.session import materialize
 from quipu.sources.requests import parse_requests
@@ -146,7 +146,7 @@ def test_codes_beyond_max_bins_train(spark):
     assert models.predict(df, model).filter("prediction = y").count() > 580
 
 
-def test_search_finds_and_refits_the_best(spark, trained):
+def test_search_finds_and_refits_the_best(spark, trained, tmp_path):
     _, coded, _ = trained
     folded = coded.withColumn("fold", (F.col("id") % 3).cast("int"))
     found = search.model_search(folded, SPEC.features, "y", n_trials=2, seed=4, parallelism=2)
@@ -154,3 +154,12 @@ def test_search_finds_and_refits_the_best(spark, trained):
     best = max(r.mean_score for r in search.mean_of_folds(found.scores).collect())
     assert found.best.mean_score == best
     assert models.predict(coded, found.model).count() == 400
+
+    store = Store(spark, str(tmp_path / "store"))
+    parent = train.log_search(store, "search", found)
+    runs = {r.name: r for r in store.table("runs").collect()}
+    assert len(runs) == 3 and runs["Trial: 0"].parent_run_id == parent == runs["Trial: 1"].parent_run_id
+    assert max(r.metrics["f1"] for n, r in runs.items() if n.startswith("Trial")) == best
+    top = next(r for r in runs.values() if r.run_id == parent)
+    assert top.metrics == {"best_train_f1": best} and top.params["classifier"] == found.best["classifier"]
+    assert top.params == runs[f"Trial: {found.best['trial']}"].params

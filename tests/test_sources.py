@@ -9,6 +9,7 @@ from quipu.plans import etl, fixtures
 from quipu.schema import DESCRIBED_CATEGORIES, MARRIAGES
 from quipu.sources.delimited import read_csv, write_csv
 from quipu.sources.dictionary import entries, read_entries, write_entries
+from quipu.sources.store import Store
 from quipu.sources.documents import read_json_or_empty, signature_schema
 
 
@@ -92,3 +93,16 @@ def test_etl_merges_the_description_of_an_earlier_run(spark, tmp_path):
     assert (train.count(), test.count()) == (1050, 450)
     assert train.columns == ["row_id", *MARRIAGES.features, MARRIAGES.target]
     assert etl.read_dictionary(spark, layout).columns == sorted(MARRIAGES.text_features)
+    assert spark.read.parquet(layout.raw).schema["es_divorcio"].dataType == T.IntegerType()
+
+    etl.export_split(spark, layout, MARRIAGES, str(tmp_path / "csv"))
+    schema = T.StructType.fromDDL("row_id long, es_divorcio int")
+    labels = read_csv(spark, str(tmp_path / "csv/test/y_test"), schema)
+    assert {tuple(r) for r in labels.collect()} == {tuple(r) for r in test.select("row_id", "es_divorcio").collect()}
+    assert read_csv(spark, str(tmp_path / "csv/train/X_train"), train.drop("es_divorcio").schema).count() == 1050
+
+    store = Store(spark, str(tmp_path / "store"))
+    run = etl.log_run(store, "etl", layout, MARRIAGES)
+    samples = [spark.read.parquet(f"{store.root}/artifacts/{run}/{side}") for side in ("raw", "clean")]
+    ids = [{r.row_id for r in s.select("row_id").collect()} for s in samples]
+    assert len(ids[0]) == 100 and ids[0] == ids[1]

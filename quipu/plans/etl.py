@@ -21,6 +21,10 @@ from quipu.sources.dictionary import entries, read_entries, write_entries
 from quipu.sources.store import Store
 
 
+# Fixed value: the prefix of a run name.
+ETL_RUN = "ETL_run_"
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the steps leave their tables."""
@@ -148,7 +152,7 @@ def log_run(store: Store, experiment: str, layout: Layout, spec: Table, rows: in
     """Log the run, with a sample of the same rows before and after cleaning."""
     spark = store.spark
     store.get_or_create_experiment(experiment)
-    run_id = store.log_run(experiment, f"ETL_run_{datetime.now():%Y/%m/%d-%H:%M:%S}", tags={"experiment": "etl"})
+    run_id = store.log_run(experiment, f"{ETL_RUN}{datetime.now():%Y/%m/%d-%H:%M:%S}", tags={"experiment": "etl"})
     raw, encoded = spark.read.parquet(layout.raw), spark.read.parquet(layout.encoded)
     before, after = paired_sample(raw, encoded, [spec.key], rows, seed)
     before.write.parquet(f"{store.root}/artifacts/{run_id}/raw")

@@ -18,7 +18,10 @@ from quipu.session import local_frame
 from quipu.sources.documents import signature, write_json
 from quipu.sources.store import Store
 
+# The alias of the model in use, and the prefixes of run names.
 CHAMPION = "champion"
+CHALLENGER_RUN = "Challenger_"
+SEARCH_RUN = "best_hyperparam_"
 
 
 def fit_and_log(
@@ -38,7 +41,7 @@ def fit_and_log(
     params = {p.name: v for p, v in estimator.extractParamMap().items()}
     params["model"] = type(estimator).__name__
     store.get_or_create_experiment(experiment)
-    run_name = f"Challenger_{datetime.now():%Y%m%d_%H%M%S}"
+    run_name = f"{CHALLENGER_RUN}{datetime.now():%Y%m%d_%H%M%S}"
     run_id = store.log_run(experiment, run_name, params, {metric: value}, {"experiment": "challenger models"})
     source = f"{store.root}/artifacts/{run_id}/model"
     models.save_model(model, source)
@@ -118,7 +121,7 @@ def log_search(store: Store, experiment: str, found: Search, metric: str = "f1")
     """Log a search: one run for the whole, and under it one run per trial."""
     store.get_or_create_experiment(experiment)
     best = {p: found.best[p] for p in PARAMS if found.best[p] is not None}
-    name = f"best_hyperparam_{datetime.now():%Y/%m/%d-%H:%M:%S}"
+    name = f"{SEARCH_RUN}{datetime.now():%Y/%m/%d-%H:%M:%S}"
     parent = store.log_run(experiment, name, best, {f"best_train_{metric}": found.best["mean_score"]})
     means = mean_of_folds(found.scores).join(F.broadcast(found.trials), "trial")
     params = F.map_filter(tags(**{p: F.col(p) for p in PARAMS}), lambda _, value: value.isNotNull())

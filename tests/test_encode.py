@@ -102,7 +102,8 @@ def test_encode_through_the_large_join(words, monkeypatch):
 
 
 def test_one_hot_of_the_older_table(spark):
-    """Level names and the dropped first level of the heart columns."""
+    """Level names and the dropped first level of an older table's columns."""
+    # The levels of each column and the names that come of them.
     levels = {"cp": [1, 2, 3, 4], "restecg": [0, 1, 2], "slope": [1, 2, 3], "ca": [0, 1, 2, 3], "thal": [3, 6, 7]}
     rows = [tuple(v[i % len(v)] for v in levels.values()) for i in range(12)]
     df = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in levels)).withColumn("age", F.lit(50))

@@ -8,12 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import bpe
+from quipu.llm import bpe, exact_dedup
 from quipu.llm.tables import table
 
 MULTILINGUAL = bpe.RankFile(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of equal texts; of each the row with the largest id stays."""
+    return exact_dedup.classes(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all texts by one shuffle of distinct words, and decode the ids again."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"), MULTILINGUAL)
@@ -26,7 +37,15 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents
+        WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
+}

@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import bpe, exact_dedup
+from quipu.llm import bpe, exact_dedup, token_files, warc
 from quipu.llm.tables import table
+from quipu.session import new_path
 
 MULTILINGUAL = bpe.RankFile(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+ENGLISH = bpe.TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"))
+ENGLISH_IDS = 50_257
+END_ID = 2
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,9 +40,25 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as archives, read them back, and put the transactions together."""
+    path = new_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.captures(warc.assemble(warc.read(spark, path)))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all token ids as files in the order of the documents, and read them back."""
+    path = new_path(spark, "token-files")
+    order = token_files.write(table(spark, sf_dir, "documents"), ENGLISH, ENGLISH_IDS, END_ID, path)
+    return token_files.checksums(token_files.read(spark, path, order))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op8_warc": op8_warc,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -48,4 +68,23 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op8_warc": """
+        WITH hashed AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+        ),
+        digits AS (
+            SELECT page_id, payload, translate(
+                       to_base(('0x' || substr(digest, 1, 10))::BIGINT, 32, 8) ||
+                       to_base(('0x' || substr(digest, 11, 10))::BIGINT, 32, 8) ||
+                       to_base(('0x' || substr(digest, 21, 10))::BIGINT, 32, 8) ||
+                       to_base(('0x' || substr(digest, 31, 10))::BIGINT, 32, 8),
+                       '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest
+            FROM hashed
+        )
+        SELECT page_id, strlen(payload) AS payload_bytes, payload_digest,
+               CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+        FROM digits
+        WINDOW same AS (PARTITION BY payload)
+    """,
 }

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +13,7 @@ from quipu.session import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,3 +23,20 @@ def bucketed(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
     name = f"quipu_{label}_{uuid.uuid4().hex}"
     df.write.format("parquet").bucketBy(buckets, key).option("path", new_path(spark, label)).saveAsTable(name)
     return spark.table(name)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="quipu-package-")) / "quipu.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted((root / "quipu").rglob("*.py")):
+            packed.write(source, source.relative_to(root))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

@@ -40,12 +40,14 @@ def _classes() -> np.ndarray:
     import regex
 
     table = np.full(0x110000, OTHER, dtype=np.uint8)
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    text = "".join(map(chr, points))
-    places = np.array(points)
-    for kind, pattern in ((SPACE, r"\p{White_Space}+"), (LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
-        for found in regex.finditer(pattern, text):
-            table[places[found.start() : found.end()]] = kind
+    kinds = [(SPACE, regex.compile(r"\p{White_Space}+")), (LETTER, regex.compile(r"\p{L}+")), (NUMBER, regex.compile(r"\p{N}+"))]
+    for base in range(0, 0x110000, 0x800):
+        if 0xD800 <= base < 0xE000:
+            continue
+        text = "".join(map(chr, range(base, base + 0x800)))
+        for kind, pattern in kinds:
+            for found in pattern.finditer(text):
+                table[base + found.start() : base + found.end()] = kind
     return table
 
 
@@ -191,7 +193,7 @@ def _block_rows(block: int, held: list[tuple[np.ndarray, ...]], buckets: int) ->
     ids, data, borders, begin, hashes = (list(part) for part in zip(*held))
     text = b"".join(d.tobytes() for d in data)
     shift = np.cumsum([0, *map(len, data)])
-    begin = np.concatenate([b + s for b, s in zip(begin, shift)])
+    begin = np.concatenate([b + s.astype(b.dtype) for b, s in zip(begin, shift)])
     borders = np.concatenate([[0], *(b[1:] + s for b, s in zip(borders, shift))])
     hashes = np.concatenate(hashes)
     end = np.append(begin[1:], len(text))
@@ -200,18 +202,19 @@ def _block_rows(block: int, held: list[tuple[np.ndarray, ...]], buckets: int) ->
     fresh = np.ones(len(ranked), dtype=bool)
     fresh[1:] = ranked[1:] != ranked[:-1]
     number = np.empty(len(hashes), dtype=np.int32)
-    number[order] = np.cumsum(fresh) - 1
+    number[order] = np.cumsum(fresh, dtype=np.int32) - 1
     at = np.flatnonzero(fresh)
     first, count = order[at], np.diff(np.append(at, len(ranked)))
+    del order, ranked, fresh, at
     spelled = [text[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
     bucket = (hashes[first] % np.uint64(buckets)).astype(np.int64)
     # Like words side by side compress best; any fixed order would do.
     by_bucket = np.lexsort((np.array(spelled, dtype="S8"), bucket)) if spelled else np.zeros(0, dtype=np.int64)
     count = count[by_bucket]
     # Positions hold ranks by frequency in the block; counts let the reader restore the order.
-    rank = np.empty(len(count), dtype=np.int64)
+    rank = np.empty(len(count), dtype=np.int32)
     rank[np.argsort(-count, kind="stable")] = np.arange(len(count))
-    place = np.empty(len(count), dtype=np.int64)
+    place = np.empty(len(count), dtype=np.int32)
     place[by_bucket] = rank
     sizes = np.diff(np.searchsorted(begin, borders))
     cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
@@ -240,7 +243,7 @@ def _split_blocks(buckets: int, limit: int):
                     held, size, block = [], 0, block + 1
                 begin = pretoken_starts(data, borders)
                 hashes = scan.range_hash(scan.prefix_sums(data), begin, np.append(begin[1:], len(data)))
-                held.append((ids[a:b], data.copy(), borders, begin, hashes))
+                held.append((ids[a:b], data.copy(), borders, begin if len(data) >= 1 << 30 else begin.astype(np.int32), hashes))
                 size += len(data)
         if held:
             yield _block_rows(block, held, buckets)
@@ -300,11 +303,14 @@ def _join_block(documents: pa.Table, words: pa.Table) -> pa.Table:
     size, flat = np.concatenate(word_sizes), np.concatenate(word_ids)
     start = np.cumsum(size) - size
     by_rank = np.argsort(-scan.unpress_numbers(counts).astype(np.int64), kind="stable")
-    place = by_rank[scan.unpress_numbers(payload)]
-    per_word = size[place]
-    out = flat[scan.ragged(start[place], per_word)].astype("<u4")
-    ends = np.concatenate([[0], np.cumsum(per_word)])
-    borders = ends[np.concatenate([[0], np.cumsum(scan.unpress_numbers(sizes), dtype=np.int64)])]
+    places = by_rank[scan.unpress_numbers(payload)].astype(np.int32)
+    tokens = np.concatenate([[0], np.cumsum(scan.unpress_numbers(sizes), dtype=np.int64)])
+    ends = np.concatenate([[0], np.cumsum(size[places])])
+    borders = ends[tokens]
+    out = np.empty(int(ends[-1]), dtype="<u4")
+    for a in range(0, len(places), 1 << 18):
+        of = places[a : a + (1 << 18)]
+        out[ends[a] : ends[a + len(of)]] = flat[scan.ragged(start[of], size[of])]
     return pa.table(
         {
             "doc_id": pa.array(np.frombuffer(ids, dtype="<i8"), type=pa.int64()),
@@ -373,7 +379,7 @@ def decode(encoded: DataFrame, words_of: RankFile, ids: str = "ids", out: str =
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             parts = []
-            for a, b, data, borders in scan.slices(column, limit=1 << 22):
+            for a, b, data, borders in scan.slices(column, limit=1 << 21):
                 token = np.frombuffer(data.tobytes(), dtype="<u4")
                 ends = np.concatenate([[0], np.cumsum(size[token])])
                 parts.append(scan.binary_column(flat[scan.ragged(start[token], size[token])], ends[borders // 4]))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import bpe, exact_dedup, token_files, warc
+from quipu.llm import bpe, exact_dedup, features, language, quality, token_files, warc
 from quipu.llm.tables import table
 from quipu.session import new_path
 
@@ -40,6 +40,24 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    out = features.held_out(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.where(~out))
+    rows = docs.select("doc_id", out.alias("held_out"), "text")
+    return language.predict(rows, model).drop("text")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labels outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = features.held_out(F.col("doc_id"), 3, 1)
+    model = quality.fit(docs, labels.where(~out))
+    rows = quality.score(docs.select("doc_id", out.alias("held_out"), "text"), model).drop("text")
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as archives, read them back, and put the transactions together."""
     path = new_path(spark, "warc")
@@ -57,6 +75,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_language": op4_language,
+    "op6_quality": op6_quality,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
 }

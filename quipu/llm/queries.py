@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import bpe, exact_dedup, features, language, quality, token_files, warc
+from quipu.llm import bpe, decontaminate, exact_dedup, features, language, ngram_join, quality, token_files, warc
 from quipu.llm.tables import table
 from quipu.session import new_path
 
@@ -49,6 +49,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(rows, model).drop("text")
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a Jaccard similarity of four-word shingles of 0.85 or more."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from labels outside the held-out fold."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -72,13 +77,20 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read(spark, path, order))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a test item, exact or edited."""
+    return decontaminate.pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_language": op4_language,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_quality": op6_quality,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -25,6 +25,8 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 IN_WORD = np.ones(256, dtype=bool)
 IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
+IN_TERM = np.zeros(256, dtype=bool)
+IN_TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 _powers: list[np.ndarray] = []
 
@@ -88,9 +90,13 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix(h + (end - start).astype(np.uint64) * _NGRAM[63])
 
 
-def words(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs outside 0x20 and 0x09-0x0D, within each text."""
-    inside = IN_WORD[data]
+def words(data: np.ndarray, borders: np.ndarray, inside: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of given bytes within each text.
+
+    By default these are all but 0x20 and 0x09-0x0D; ``IN_TERM`` takes ASCII letters and
+    digits and everything beyond ASCII.
+    """
+    inside = inside[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -101,9 +107,9 @@ def words(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def word_hashes(data: np.ndarray, borders: np.ndarray, fold: bool = True) -> tuple[np.ndarray, ...]:
+def word_hashes(data: np.ndarray, borders: np.ndarray, fold: bool = True, inside: np.ndarray = IN_WORD) -> tuple[np.ndarray, ...]:
     """Starts, ends and hashes of the words, and for each text where its words begin."""
-    start, end = words(data, borders)
+    start, end = words(data, borders, inside)
     hashes = range_hash(prefix_sums(FOLD[data] if fold else data), start, end)
     return start, end, hashes, np.searchsorted(start, borders)
 

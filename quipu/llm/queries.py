@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import bpe, decontaminate, exact_dedup, features, language, ngram_join, quality, token_files, warc
+from quipu.llm import bpe, decontaminate, exact_dedup, features, language, licenses, ngram_join, quality, suffix_dedup, token_files, warc
 from quipu.llm.tables import table
 from quipu.session import new_path
 
@@ -29,6 +29,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove all bytes covered by 100-byte strings that also start earlier."""
+    cut = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all texts by one shuffle of distinct words, and decode the ids again."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"), MULTILINGUAL)
@@ -63,6 +75,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all paragraphs of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.notices(docs, licenses.train(licenses.sample(docs)))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as archives, read them back, and put the transactions together."""
     path = new_path(spark, "warc")
@@ -84,10 +102,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_language": op4_language,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_quality": op6_quality,
+    "op7_licenses": op7_licenses,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_decontaminate": op10_decontaminate,

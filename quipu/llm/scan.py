@@ -177,3 +177,20 @@ def binary_column(data: np.ndarray, borders: np.ndarray) -> pa.Array:
     """An Arrow column of byte strings out of one array and the borders between them."""
     flat = pa.py_buffer(np.ascontiguousarray(data).view(np.uint8))
     return pa.Array.from_buffers(pa.large_binary(), len(borders) - 1, [None, pa.py_buffer(borders.astype(np.int64)), flat]).cast(pa.binary())
+
+
+def press_arrays(*arrays: np.ndarray) -> bytes:
+    """Several one-dimensional arrays in one compressed value."""
+    head = b"".join(a.dtype.str.encode().ljust(8) + len(a).to_bytes(8, "little") for a in arrays)
+    return press(bytes([len(arrays)]) + head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+
+
+def unpress_arrays(data: bytes) -> list[np.ndarray]:
+    raw = unpress(data).tobytes()
+    out, at = [], 1 + 16 * raw[0]
+    for k in range(raw[0]):
+        kind = np.dtype(raw[1 + 16 * k : 9 + 16 * k].decode().strip())
+        n = int.from_bytes(raw[9 + 16 * k : 17 + 16 * k], "little")
+        out.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
+        at += n * kind.itemsize
+    return out

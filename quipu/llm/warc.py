@@ -15,7 +15,9 @@ smallest page id is the response.  Columns beside the three named ones are not r
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -106,7 +108,10 @@ def write(
     lines.write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", pages_per_file).text(path)
 
 
-RECORD_SCHEMA = "type string, record_id string, concurrent_to string, refers_to string, target_uri string, payload_digest string, payload binary"
+RECORD_SCHEMA = (
+    "type string, record_id string, concurrent_to string, refers_to string, target_uri string, payload_digest string, "
+    "payload binary, payload_bytes long, payload_sha1 string"
+)
 
 
 def parse(data: bytes) -> Iterator[tuple]:
@@ -125,6 +130,7 @@ def parse(data: bytes) -> Iterator[tuple]:
         kind = headers["warc-type"]
         if headers.get("content-type", "").startswith("application/http"):
             block = block[block.index(b"\r\n\r\n") + 4 :]
+        digest = base64.b32encode(hashlib.sha1(block).digest()).decode()
         yield (
             kind,
             headers["warc-record-id"],
@@ -132,17 +138,17 @@ def parse(data: bytes) -> Iterator[tuple]:
             headers.get("warc-refers-to"),
             headers.get("warc-target-uri"),
             headers.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-            None if kind == "revisit" else block,
+            *((None, None, None) if kind == "revisit" else (block, len(block), digest)),
         )
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["type", "record_id", "concurrent_to", "refers_to", "target_uri", "payload_digest", "payload"]
-    types = [pa.string()] * 6 + [pa.binary()]
+    names = [part.split()[0] for part in RECORD_SCHEMA.split(", ")]
+    types = [pa.string()] * 6 + [pa.binary(), pa.int64(), pa.string()]
     for batch in batches:
         for content in batch.column(0):
             rows = list(parse(gzip.decompress(content.as_buffer())))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, types)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 9, types)], names=names)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -157,16 +163,16 @@ def assemble(records: DataFrame) -> DataFrame:
     Records with a repeated identifier count once.
     """
     answers = records.where("type IN ('response', 'revisit')")
-    answers = answers.select("record_id", F.struct("type", "target_uri", "payload_digest", "refers_to", "payload").alias("response"))
     once = Window.partitionBy("record_id").orderBy("record_id")
-    answers = answers.withColumn("copy", F.row_number().over(once)).where("copy = 1").drop("copy")
+    answers = answers.withColumn("copy", F.row_number().over(once)).where("copy = 1")
     sides = records.where("type IN ('request', 'metadata') AND concurrent_to IS NOT NULL")
-    sides = sides.select("concurrent_to", "type", F.struct(F.col("record_id").alias("id"), "payload").alias("side"))
-    both = sides.groupBy(F.col("concurrent_to").alias("record_id")).agg(
+    sides = sides.select(F.col("concurrent_to").alias("record_id"), "type", F.struct(F.col("record_id").alias("id"), "payload").alias("side"))
+    both = sides.groupBy("record_id").agg(
         F.min(F.when(F.col("type") == "request", F.col("side"))).alias("request"),
         F.min(F.when(F.col("type") == "metadata", F.col("side"))).alias("metadata"),
     )
-    return answers.join(both, "record_id", "left")
+    own = ["type", "target_uri", "payload_digest", "refers_to", "payload", "payload_bytes", "payload_sha1"]
+    return answers.join(both, "record_id", "left").select("record_id", F.struct(*own).alias("response"), "request", "metadata")
 
 
 def field(name: str) -> Column:
@@ -176,12 +182,11 @@ def field(name: str) -> Column:
 
 def captures(transactions: DataFrame) -> DataFrame:
     """Page, size, digest, type and revisited page of each assembled capture."""
-    response = F.col("response.payload")
     flat = transactions.select(
         "record_id",
         field("page-id").cast("long").alias("page_id"),
-        F.coalesce(F.octet_length(response).cast("long"), field("payload-bytes").cast("long")).alias("payload_bytes"),
-        F.coalesce(base32_sha1(response), F.col("response.payload_digest")).alias("payload_digest"),
+        F.coalesce("response.payload_bytes", field("payload-bytes").cast("long")).alias("payload_bytes"),
+        F.coalesce("response.payload_sha1", "response.payload_digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         F.col("response.refers_to").alias("refers_id"),
     )

@@ -156,3 +156,15 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows whose whole text scores at least ``least``, with all their columns."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text], F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [model.score(codes) >= least for codes in features.indicators(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["row"]).filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"]])).select("row.*")

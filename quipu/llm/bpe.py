@@ -14,6 +14,7 @@ result.  Columns beside the id and the text are not read.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 from quipu.llm import scan
 from quipu.llm.tables import bucketed
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
@@ -162,11 +163,19 @@ def _rank_encoder(path: str, pattern: str):
 
 @cache
 def _file_encoder(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(path)
     coder.encode_special_tokens = True
-    return lambda words: [e.ids for e in coder.encode_batch_fast(words, add_special_tokens=False)]
+
+    def encode(words: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for a in range(0, len(words), 1024):
+            out.extend(e.ids for e in coder.encode_batch_fast(words[a : a + 1024], add_special_tokens=False))
+        return out
+
+    return encode
 
 
 def _pack_words(words: list[bytes]) -> bytes:

@@ -38,7 +38,7 @@ from quipu.session import materialize
 
 LENGTH = 100
 ANCHOR = 32
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 FAN = 256
 
 BLOCKS = "block long, bucket int, ids binary, payload binary"

@@ -138,12 +138,14 @@ def _intervals(block: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tu
     return [(int(block[a]), -1, scan.press_arrays(start[a:b].astype("<u4"), end[a:b].astype("<u4"))) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def _same_as_before(right, left, right_size, left_size) -> np.ndarray:
+def _later_copies(right, left, right_size, left_size, id, position) -> np.ndarray:
+    """Which rows equal one before them that starts earlier; equal rows stand together in that order."""
     same = np.zeros(len(right_size), dtype=bool)
     if len(same) > 1:
         same[1:] = (right_size[1:] == right_size[:-1]) & (left_size[1:] == left_size[:-1])
         same[1:] &= (right[1:] == right[:-1]).all(axis=1) & (left[1:] == left[:-1]).all(axis=1)
-    return same
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+    return same & ((id != id[first]) | (position != position[first]))
 
 
 def _runs(buckets: int, length: int, k: int):
@@ -177,7 +179,7 @@ def _runs(buckets: int, length: int, k: int):
                 left = suffixes.strings(data, anchor[here] - 1, left_size, length - k, -1)
                 by = suffixes.sort_order(right, right_size, left, left_size, id[here], position[here])
                 here, right, left, right_size, left_size = here[by], right[by], left[by], right_size[by], left_size[by]
-                same = _same_as_before(right, left, right_size, left_size)
+                same = _later_copies(right, left, right_size, left_size, id[here], position[here])
                 again = here[same]
                 rows += _intervals(np.full(len(again), name), first[again], last[again] + length)
                 own = here[~same]
@@ -199,7 +201,7 @@ def _merged(payloads: list[bytes], length: int, k: int) -> tuple[dict[str, np.nd
     group = np.cumsum(prefix < length)
     by = suffixes.sort_order(group, whole["right_size"], whole["left"], whole["left_size"], whole["id"], whole["position"])
     whole = {name: values[by] for name, values in whole.items()}
-    same = _same_as_before(whole["right"], whole["left"], whole["right_size"], whole["left_size"])
+    same = _later_copies(*(whole[name] for name in ("right", "left", "right_size", "left_size", "id", "position")))
     start = whole["place"][same] - whole["left_size"][same]
     rows = _intervals(whole["block"][same], start, whole["place"][same] + whole["right_size"][same])
     return {name: values[~same] for name, values in whole.items()}, prefix[~same], rows

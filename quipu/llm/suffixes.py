@@ -92,8 +92,8 @@ def common_prefixes(rows: np.ndarray) -> np.ndarray:
 
 
 def front_code(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shared prefix of each row with the one before, and the bytes beyond it up to the row's size."""
-    shared = np.minimum(common_prefixes(rows), size)
+    """Common prefix of each row with the one before, and the bytes beyond it up to the row's size."""
+    shared = common_prefixes(rows)
     reach = np.arange(rows.shape[1])
     return shared.astype(np.uint8), rows[(reach >= shared[:, None]) & (reach < size[:, None])]
 
@@ -176,7 +176,7 @@ def merge(runs: list[np.ndarray], shared: list[np.ndarray]) -> tuple[np.ndarray,
 def covered(
     right: np.ndarray, left: np.ndarray, right_size: np.ndarray, left_size: np.ndarray, prefix: np.ndarray, rank: np.ndarray, length: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """For each row the least and the largest offset of a window that an earlier row has too.
+    """For each row the least and the largest offset of a window that a row of smaller rank has too.
 
     Rows are in the order of their right strings, and ``prefix`` are the common prefixes
     there.  A window at offset ``o`` is the first ``o`` bytes to the left of the anchor
@@ -199,9 +199,10 @@ def covered(
         left_group[by_left] = np.cumsum(left_prefix < o) if o else 0
         key = right_group[rows] * (n + 1) + left_group[rows]
         order = np.argsort(key, kind="stable")
-        again = np.zeros(len(rows), dtype=bool)
-        again[order[1:]] = key[order[1:]] == key[order[:-1]]
-        hit = rows[again]
+        rows, key = rows[order], key[order]
+        at = np.arange(len(rows))
+        first = np.maximum.accumulate(np.where(np.append(True, key[1:] != key[:-1]), at, 0))
+        hit = rows[rank[rows] > rank[rows[first]]]
         low[hit] = np.minimum(low[hit], o)
         high[hit] = o
     return low, high

@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from quipu.llm import scan
 from quipu.llm.tables import bucketed
 
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -180,7 +180,7 @@ def _file_encoder(path: str):
 
 def _pack_words(words: list[bytes]) -> bytes:
     sizes = np.fromiter(map(len, words), dtype="<u4", count=len(words))
-    return scan.press(np.uint32(len(words)).tobytes() + sizes.tobytes() + b"".join(words))
+    return scan.press(np.uint32(len(words)).tobytes() + sizes.tobytes() + b"".join(words), level=6)
 
 
 def _unpack_words(packed: bytes) -> list[bytes]:
@@ -250,6 +250,7 @@ def _split_blocks(buckets: int, limit: int):
                 if held and size + len(data) > limit:
                     yield _block_rows(block, held, buckets)
                     held, size, block = [], 0, block + 1
+                    scan.release()
                 begin = pretoken_starts(data, borders)
                 hashes = scan.range_hash(scan.prefix_sums(data), begin, np.append(begin[1:], len(data)))
                 held.append((ids[a:b], data.copy(), borders, begin if len(data) >= 1 << 30 else begin.astype(np.int32), hashes))
@@ -260,7 +261,7 @@ def _split_blocks(buckets: int, limit: int):
     return run
 
 
-def _encode_bucket(words_of, numbers: str):
+def _encode_bucket(words_of: RankFile | TokenizerFile, numbers: bool):
     def run(table: pa.Table) -> pa.Table:
         encode = words_of.encoder()
         known: dict[bytes, int] = {}
@@ -273,19 +274,17 @@ def _encode_bucket(words_of, numbers: str):
         flat = np.fromiter((i for word in ids for i in word), dtype="<u4", count=int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
         out = []
+        total = np.zeros(len(known), dtype=np.int64)
         for place, counts in zip(places, table.column("counts").to_pylist()):
-            size, of = sizes[place], scan.ragged(starts[place], sizes[place])
-            used = np.repeat(scan.unpress_numbers(counts).astype(np.int64), size)
-            total = np.bincount(flat[of], weights=used) if len(of) else np.zeros(0)
-            token = np.flatnonzero(total)
-            out.append(
-                (
-                    scan.press_numbers(np.concatenate([[len(place)], size, flat[of]])),
-                    scan.press_numbers(token) if numbers else None,
-                    scan.press(total[token].astype("<i8")) if numbers else None,
-                )
-            )
+            total[place] += scan.unpress_numbers(counts)
+            size = sizes[place]
+            out.append([scan.press_numbers(np.concatenate([[len(place)], size, flat[scan.ragged(starts[place], size)]])), None, None])
+        if numbers:
+            used = np.bincount(flat, weights=np.repeat(total, sizes))
+            token = np.flatnonzero(used)
+            out[0][1:] = scan.press_numbers(token), scan.press(used[token].astype("<i8"))
         payload, token, total = zip(*out)
+        scan.release()
         return pa.table(
             {
                 "block": table.column("block"),
@@ -320,6 +319,8 @@ def _join_block(documents: pa.Table, words: pa.Table) -> pa.Table:
     for a in range(0, len(places), 1 << 18):
         of = places[a : a + (1 << 18)]
         out[ends[a] : ends[a + len(of)]] = flat[scan.ragged(start[of], size[of])]
+    del places, ends, by_rank
+    scan.release()
     return pa.table(
         {
             "doc_id": pa.array(np.frombuffer(ids, dtype="<i8"), type=pa.int64()),

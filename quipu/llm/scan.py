@@ -7,6 +7,9 @@ text makes a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +33,17 @@ IN_TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80
 
 _powers: list[np.ndarray] = []
 
+_libc = ctypes.CDLL(ctypes.util.find_library("c")) if sys.platform == "linux" else None
+if not hasattr(_libc, "malloc_trim"):
+    _libc = None
+
+
+def release() -> None:
+    """Give freed memory back to the machine: a worker lives on, and its executor has a limit."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, row after the last, bytes, and borders of the texts, slice by slice.
@@ -154,8 +168,8 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
 
 
-def press(data: bytes | np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data if isinstance(data, bytes) else np.ascontiguousarray(data).tobytes())
+def press(data: bytes | np.ndarray, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data if isinstance(data, bytes) else np.ascontiguousarray(data).tobytes())
 
 
 def unpress(data: bytes, dtype: type = np.uint8) -> np.ndarray:

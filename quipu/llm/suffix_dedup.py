@@ -81,6 +81,7 @@ def _blocks(buckets: int, length: int, k: int, limit: int):
                 if held and size + len(data) > limit:
                     yield finish(block, held)
                     held, size, block = [], 0, block + 1
+                    scan.release()
                 held.append((ids[a:b], data.copy(), borders))
                 size += len(data)
         if held:
@@ -186,6 +187,7 @@ def _runs(buckets: int, length: int, k: int):
                 rows.append(
                     (name, int(b), _pack_run(right[~same], left[~same], right_size[~same], left_size[~same], id[own], position[own], anchor[own], np.full(len(own), name)))
                 )
+        scan.release()
         return pa.Table.from_batches([_rows(rows, ("block", "bucket", "payload"))])
 
     return run

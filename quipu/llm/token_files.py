@@ -31,8 +31,8 @@ from quipu.session import materialize
 MAGIC = b"QTOK"
 HEAD = "<4sBIQQ"
 HEAD_SIZE = struct.calcsize(HEAD)
-FILE_TEXT_BYTES = 32 << 20
-BLOCK_IDS = 1 << 22
+FILE_TEXT_BYTES = 16 << 20
+BLOCK_IDS = 1 << 19
 
 
 def lengths_table(bits: int) -> np.ndarray:
@@ -97,44 +97,58 @@ def token_order(words: bpe.Words, vocabulary: int, extra: dict[int, int]) -> np.
 
 
 def _coder(rank: np.ndarray, end_id: int, cuts: list[int], bits: int):
+    """One row for the documents of a batch that belong to the same file, packed together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            packed = []
+            counts, controls, packed = [], [], []
             for _, _, data, borders in scan.slices(batch.column(1)):
                 flat = rank[np.frombuffer(data.tobytes(), dtype="<u4")]
                 for a, b in zip((borders[:-1] // 4).tolist(), (borders[1:] // 4).tolist()):
                     control, coded = pack(np.append(flat[a:b], rank[end_id]), bits)
-                    packed.append(struct.pack("<II", b - a + 1, len(control)) + control + coded)
+                    counts.append(b - a + 1)
+                    controls.append(len(control))
+                    packed.append(control + coded)
             part = np.searchsorted(cuts, ids, side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), batch.column(0), pa.array(packed, type=pa.binary())], names=["part", "doc_id", "packed"]
-            )
+            rows = []
+            for p in np.unique(part):
+                own = np.flatnonzero(part == p)
+                sizes = [np.array([of[i] for i in own], dtype="<u4") for of in (counts, controls, list(map(len, packed)))]
+                whole = np.frombuffer(b"".join(packed[i] for i in own), dtype=np.uint8)
+                rows.append((int(p), scan.press_arrays(ids[own].astype("<i8"), *sizes, whole)))
+            columns = list(zip(*rows)) if rows else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], names=["part", "packed"])
 
     return run
 
 
 def _blocks(bits: int, block_ids: int):
-    def block(ids: list[int], documents: list[bytes]) -> bytes:
-        heads = [struct.unpack_from("<II", d) for d in documents]
-        control = b"".join(d[8 : 8 + h[1]] for d, h in zip(documents, heads))
-        data = b"".join(d[8 + h[1] :] for d, h in zip(documents, heads))
-        counts = np.array([h[0] for h in heads], dtype="<u4")
+    def block(ids: list[int], counts: list[int], controls: list[int], documents: list[bytes]) -> bytes:
+        control = b"".join(d[:n] for d, n in zip(documents, controls))
+        data = b"".join(d[n:] for d, n in zip(documents, controls))
         head = struct.pack(HEAD, MAGIC, bits, len(ids), len(control), len(data))
-        return head + np.array(ids, dtype="<i8").tobytes() + counts.tobytes() + control + data
+        return head + np.array(ids, dtype="<i8").tobytes() + np.array(counts, dtype="<u4").tobytes() + control + data
 
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        rows = sorted(zip(table.column("doc_id").to_pylist(), table.column("packed").to_pylist()))
+        rows = []
+        for packed in table.column("packed").to_pylist():
+            ids, counts, controls, sizes, whole = scan.unpress_arrays(packed)
+            ends = np.cumsum(sizes, dtype=np.int64)
+            whole = whole.tobytes()
+            rows += zip(ids.tolist(), counts.tolist(), controls.tolist(), [whole[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())])
+        rows.sort()
         out, held, size = [], [], 0
         for row in rows:
             held.append(row)
-            size += struct.unpack_from("<I", row[1])[0]
+            size += row[1]
             if size >= block_ids:
                 out.append(block(*zip(*held)))
                 held, size = [], 0
         if held:
             out.append(block(*zip(*held)))
+        scan.release()
         return pa.table({"part": pa.array([part] * len(out), pa.int32()), "block": pa.array(out, pa.binary())})
 
     return run
@@ -161,7 +175,7 @@ def write(
     if files > 1:
         cuts = docs.select(F.percentile_approx(key, F.lit([k / files for k in range(1, files)]), F.lit(10 * files))).first()[0]
     bits = control_bits(vocabulary)
-    coded = words.documents().select("doc_id", "ids").mapInArrow(_coder(rank, end_id, cuts, bits), "part int, doc_id long, packed binary")
+    coded = words.documents().select("doc_id", "ids").mapInArrow(_coder(rank, end_id, cuts, bits), "part int, packed binary")
     blocks = coded.groupBy("part").applyInArrow(_blocks(bits, block_ids), "part int, block binary")
     blocks.select("part", F.col("block").cast("string").alias("value")).write.partitionBy("part").text(path)
     return order
@@ -195,14 +209,17 @@ def _parse(order: np.ndarray):
                         names=["part", "doc_id", "start", "n_tokens", "ids"],
                     )
                     before += int(borders[-1])
+                    del ranks
+                scan.release()
 
     return run
 
 
 def read(spark: SparkSession, path: str, order: np.ndarray) -> DataFrame:
     """``part``, ``doc_id``, ``start`` (within the part), ``n_tokens``, ``ids`` of every document in the files."""
-    files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, part int").load(path)
-    return files.select("part", "content").mapInArrow(_parse(order), "part int, doc_id long, start long, n_tokens long, ids binary")
+    files = spark.read.format("binaryFile").load(path)
+    part = F.regexp_extract("path", r"part=(\d+)", 1).cast("int").alias("part")
+    return files.select(part, "content").mapInArrow(_parse(order), "part int, doc_id long, start long, n_tokens long, ids binary")
 
 
 def checksums(documents: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Passages of test items in training documents, edited ones too.
 
-Words are runs of letters and digits, lower-cased in ASCII.  Word n-grams of the test
-items are counted over all documents; of each item the rarer half are its seeds.  Where a
-stretch of a document, about as long as an item, holds enough of the item's seeds, local
+Words are lower-cased runs of ASCII letters and digits and of anything beyond ASCII.  Word n-grams of the test
+items are counted over all documents; those that are not far more frequent than the item's
+median n-gram are its seeds, however often the item itself was copied.  Where a stretch of a document, about as long as an item, holds enough of the item's seeds, local
 alignment (Smith-Waterman, words as letters) scores the stretch by the share of the
 item's own score.
 
@@ -28,6 +28,7 @@ from quipu.llm import scan
 SEED_WORDS = 3
 LEAST_SEEDS = 2
 LEAST_SCORE = 0.5
+FREQUENT, FEW = 4, 8
 MATCH, MISMATCH, GAP = 2, 1, 1
 BLOCK_BYTES = 16 << 20
 CELLS = 1 << 18
@@ -210,8 +211,8 @@ def pairs(
     seed_words: int = SEED_WORDS, least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``doc_id``, ``item_id``, best ``score``, and the words of the document that were aligned."""
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
+    tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.lower(item_text).alias("text"))
     tests = tests.where("item_id IS NOT NULL AND text IS NOT NULL").withColumn("size", F.octet_length("text"))
     total = tests.agg(F.sum("size")).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
@@ -226,7 +227,7 @@ def pairs(
         begins = parts[0][3] if parts else np.zeros(1, dtype=np.int64)
         every = _index(ids, words, begins, seed_words)
         counts = _counts(rows, every, seed_words)
-        items = _index(ids, words, begins, seed_words, _rarer_half(ids, words, begins, seed_words, every, counts), least_seeds)
+        items = _index(ids, words, begins, seed_words, _rare(ids, words, begins, seed_words, every, counts), least_seeds)
         part = rows.mapInArrow(_search(items, seed_words, least_score), schema)
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("score", -F.col("first_word"), F.col("last_word"))).alias("best")
@@ -234,15 +235,14 @@ def pairs(
     return joined.select("doc_id", "item_id", "best.score", (-F.col("best.col2")).alias("first_word"), F.col("best.last_word").alias("last_word"))
 
 
-def _rarer_half(ids: np.ndarray, words: np.ndarray, begins: np.ndarray, seed_words: int, every: Items, counts: np.ndarray) -> np.ndarray:
-    """Of each item's n-grams the half (rounded up) that occurs in the fewest documents, ties in order."""
+def _rare(ids: np.ndarray, words: np.ndarray, begins: np.ndarray, seed_words: int, every: Items, counts: np.ndarray) -> np.ndarray:
+    """Which n-grams of each item do not stand out as frequent among the item's own."""
     grams, starts = scan.ngram_hashes(words, begins, seed_words, whole_if_short=True)
-    seen = counts[np.searchsorted(every.grams, grams)] if len(grams) else np.zeros(0, dtype=np.int64)
-    owner = np.repeat(np.arange(len(ids)), np.diff(starts))
-    order = np.lexsort((np.arange(len(grams)), seen, owner))
-    rank = np.empty(len(grams), dtype=np.int64)
-    rank[order] = np.arange(len(grams)) - starts[owner[order]]
-    return rank < (np.diff(starts)[owner] + 1) // 2
+    if not len(grams):
+        return np.zeros(0, dtype=bool)
+    seen = counts[np.searchsorted(every.grams, grams)]
+    usual = np.array([np.median(seen[a:b]) if b > a else 0 for a, b in zip(starts[:-1], starts[1:])])
+    return seen <= FREQUENT * np.maximum(usual, FEW)[np.repeat(np.arange(len(ids)), np.diff(starts))]
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", **limits) -> DataFrame:

@@ -7,20 +7,28 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MAX_DEPTH = 30  # the deepest tree Spark ML grows
+
 
 def improvement_percent(previous: Column, best: Column) -> Column:
     """How far ``best`` is from ``previous``, in percent of ``best``."""
     return F.abs(previous - best) / best * 100
 
 
+def _parts(*keys: Column) -> list[Column]:
+    """Each key with its length before it, so that no two keys spell the same text; ``-`` for a null."""
+    texts = [k.cast("string") for k in keys]
+    return [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+
+
 def seeded_hash(seed: int, *keys: Column) -> Column:
     """A uniform hex text that depends on the seed and the key only."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys]))
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *_parts(*keys)))
 
 
 def uniform(seed: int, name: str, *keys: Column) -> Column:
     """A draw from [0, 1) per key; ``name`` separates draws of the same key."""
-    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), *[k.cast("string") for k in keys])), 1, 8)
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), *_parts(*keys))), 1, 8)
     return F.conv(digits, 16, 10).cast("long") / F.lit(float(2**32))
 
 

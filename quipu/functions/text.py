@@ -22,6 +22,15 @@ def fixed4(value: Column) -> Column:
     return F.format_string("%.4f", value)
 
 
+def plain_text(value: Column) -> Column:
+    """A number as text without an exponent, as far as 0.0001 and 16 digits go."""
+    text = value.cast("string")
+    digits = F.rtrim(text.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    spelled = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    size = F.abs(value.cast("double"))
+    return F.when(text.contains("E") & (size >= 1e-4) & (size < 1e16), spelled).otherwise(text)
+
+
 def tags(**values: Column) -> Column:
     """Named values as a text map; a null stays a null value."""
     pairs = [item for name, value in values.items() for item in (F.lit(name), value.cast("string"))]

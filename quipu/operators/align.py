@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,13 +43,16 @@ def concat_columns(left: DataFrame, right: DataFrame, key: list[str], check: boo
     """Features and target side by side, after the alignment check."""
     if check:
         require_aligned(left, right, key)
-    return left.join(right, key)
+    # A null is a key like any other, as in the check.
+    named = right.withColumnsRenamed({k: f"_of_{k}" for k in key})
+    same = reduce(and_, [left[k].eqNullSafe(named[f"_of_{k}"]) for k in key])
+    return left.join(named, same).drop(*[f"_of_{k}" for k in key])
 
 
 def partition_check(whole: DataFrame, parts: dict[str, DataFrame], key: list[str]) -> DataFrame:
     """One row: do the parts cover the whole, without overlap and without extras?
 
-    Every side is read once and counted per key in a single shuffle.
+    Every side is counted per key in a single shuffle.
     """
     tagged = whole.select(*key, F.lit(1).alias("_w"), F.lit(0).alias("_p"))
     for part in parts.values():

@@ -15,20 +15,27 @@ def project(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def cast_types(df: DataFrame, types: dict[str, T.DataType], on_error: str = "error") -> DataFrame:
-    """Cast by a column-to-type map, in place.
+    """Cast by a column-to-type map, in place; a missing column is an error.
 
     ``on_error="error"`` stops at a value that does not fit its type;
-    ``"null"`` leaves a null for the validation step to find.
+    ``"null"`` leaves a null for the validation step to find.  A number as text may
+    have a fraction where an integer is wanted, which is cut off: ``3.0`` is 3.
     """
     if on_error not in ("error", "null"):
         raise ValueError(f"unknown error policy {on_error!r}")
-    present = {name: type_ for name, type_ in types.items() if name in df.columns}
+    missing = [name for name in types if name not in df.columns]
+    if missing:
+        raise ValueError(f"no columns {missing}")
 
     def cast(name: str, type_: T.DataType) -> Column:
         column = F.col(name)
+        if isinstance(df.schema[name].dataType, T.StringType) and isinstance(type_, T.IntegralType):
+            number = column.cast("double") if on_error == "error" else column.try_cast("double")
+            whole = number.cast(type_) if on_error == "error" else number.try_cast(type_)
+            return F.coalesce(column.try_cast(type_), whole)
         return column.cast(type_) if on_error == "error" else column.try_cast(type_)
 
-    return df.withColumns({name: cast(name, type_) for name, type_ in present.items()})
+    return df.withColumns({name: cast(name, type_) for name, type_ in types.items()})
 
 
 def bool_to_int(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quipu.operators.clean import text_columns
-from quipu.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
+from quipu.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, HOT_SHARE, ROW_BYTES, hot_keys, lookup_join
 from quipu.session import local_frame, materialize
 
 SCHEMA = "column string, value string, code bigint"
@@ -26,9 +26,16 @@ class Dictionary:
     def columns(self) -> list[str]:
         return list(self.sizes)
 
-    def is_small(self, column: str) -> bool:
-        count, size = self.sizes[column]
-        return count <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    def small(self, columns: list[str]) -> set[str]:
+        """Those of the columns, smallest first, whose parts may be broadcast together."""
+        rows = total = 0
+        found = set()
+        for c in sorted(columns, key=lambda c: self.sizes[c][1] or 0):
+            count, size = self.sizes[c]
+            rows, total = rows + count, total + (size or 0) + ROW_BYTES * count
+            if rows <= BROADCAST_ROWS and total <= BROADCAST_BYTES:
+                found.add(c)
+        return found
 
     def codes(self, column: str) -> DataFrame:
         """The value-to-code table of one column."""
@@ -117,10 +124,12 @@ def encode(
         raise ValueError(f"unknown policy {unseen!r}")
     order = df.columns
     wanted = _covered(df, dictionary, columns)
-    out = _as_text(df, wanted)
+    out = source = _as_text(df, wanted)
+    small = dictionary.small(wanted)
+    hot = _hot_values(source, [c for c in wanted if c not in small])
     for c in wanted:
         codes = dictionary.codes(c).withColumnRenamed("_code", f"_code_{c}")
-        out = lookup_join(out, codes, [c], small=dictionary.is_small(c))
+        out = lookup_join(out, codes, [c], c in small, hot.get(c))
 
     def missed(c: str):
         return F.col(f"_code_{c}").isNull() & F.col(c).isNotNull()
@@ -144,6 +153,19 @@ def _covered(df: DataFrame, dictionary: Dictionary, columns: list[str] | None) -
     return [c for c in (columns or df.columns) if c in dictionary.sizes and c in present]
 
 
+def _hot_values(source: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
+    """The hot values of each column, all counted in one pass over the source."""
+    if not columns:
+        return {}
+    long = source.select(*columns).unpivot([], columns, "_column", "_value")
+    counts = long.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialize(counts.where("_n > 1"), "value-counts")
+    rows = source.count()
+    return {
+        c: counts.filter((F.col("_column") == c) & (F.col("_n") >= HOT_SHARE * rows)).select(F.col("_value").alias(c)) for c in columns
+    }
+
+
 def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
     others = set(columns) - set(text_columns(df))
     return df.withColumns({c: F.col(c).cast("string") for c in others}) if others else df
@@ -153,9 +175,11 @@ def decode(df: DataFrame, dictionary: Dictionary, columns: list[str] | None = No
     """Put the values back in place of their codes."""
     wanted = _covered(df, dictionary, columns)
     out, order = df, df.columns
+    small = dictionary.small(wanted)
     for c in wanted:
         values = dictionary.codes(c).select(F.col("_code").alias(c), F.col(c).alias(f"_value_{c}"))
-        out = lookup_join(out, values, [c], small=dictionary.is_small(c))
+        hot = None if c in small else hot_keys(df, [c])
+        out = lookup_join(out, values, [c], c in small, hot)
     return out.select(*[F.col(f"_value_{c}").alias(c) if c in wanted else F.col(c) for c in order])
 
 
@@ -164,31 +188,54 @@ def unseen_rows(df: DataFrame, dictionary: Dictionary, columns: list[str] | None
     wanted = _covered(df, dictionary, columns)
     copies = df.withColumns({f"_text_{c}": F.col(c).cast("string") for c in wanted})
     out = copies
+    small = dictionary.small(wanted)
+    hot = _hot_values(copies, [f"_text_{c}" for c in wanted if c not in small])
     for c in wanted:
         codes = dictionary.codes(c).select(F.col(c).alias(f"_text_{c}"), F.col("_code").alias(f"_code_{c}"))
-        out = lookup_join(out, codes, [f"_text_{c}"], small=dictionary.is_small(c))
+        out = lookup_join(out, codes, [f"_text_{c}"], c in small, hot.get(f"_text_{c}"))
     names = [F.when(F.col(f"_code_{c}").isNull() & F.col(c).isNotNull(), F.lit(c)) for c in wanted]
     found = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
     return out.withColumn("unseen", found).filter(F.size("unseen") > 0).select(*df.columns, "unseen")
 
 
-MAX_INDICATORS = 1_000
+def one_hot_sparse(df: DataFrame, dictionary: Dictionary, columns: list[str], out: str = "active", unseen: str = "error") -> DataFrame:
+    """The indicators that are set, as ascending places, in place of the columns.
+
+    The places number all levels but the lowest of each column, column after column,
+    so this form takes any number of levels.  A null sets none.
+    """
+    coded = encode(df, dictionary, columns, unseen)
+    start, places = 0, []
+    for c in columns:
+        places.append(F.when(F.col(c) > 0, F.col(c) - 1 + start))
+        start += max(dictionary.sizes[c][0] - 1, 0)
+    rest = [c for c in coded.columns if c not in columns]
+    return coded.select(*rest, F.array_compact(F.array(*places)).alias(out))
 
 
-def one_hot(df: DataFrame, dictionary: Dictionary, columns: list[str]) -> DataFrame:
+def one_hot(df: DataFrame, dictionary: Dictionary, columns: list[str], unseen: str = "error") -> DataFrame:
     """Indicator columns for all levels but the lowest, in place of each column.
 
-    The levels become column names, so their number is checked first.
+    The levels become column names; :func:`one_hot_sparse` is the form for very many.
+    A null sets no indicator.  A value outside the dictionary stops the job, or with
+    ``unseen="null"`` counts as a null.
     """
-    total = sum(dictionary.sizes[c][0] for c in columns)
-    if total > MAX_INDICATORS:
-        raise ValueError(f"{total} levels would become columns; at most {MAX_INDICATORS} can")
+    if unseen not in ("error", "null"):
+        raise ValueError(f"unknown policy {unseen!r}")
     kept = dictionary.rows.filter(F.col("column").isin(columns) & (F.col("code") > 0))
     levels: dict[str, list[str]] = {c: [] for c in columns}
     for row in kept.orderBy("column", "code").collect():
         levels[row["column"]].append(row["value"])
     plain = [c for c in df.columns if c not in columns]
-    flags = [
-        (F.col(c).cast("string") == F.lit(level)).alias(f"{c}_{level}") for c in columns for level in levels[c]
-    ]
+    lowest = {r["column"]: r["value"] for r in dictionary.rows.filter(F.col("column").isin(columns) & (F.col("code") == 0)).collect()}
+
+    def text(c: str) -> Column:
+        value = F.col(c).cast("string")
+        if unseen == "null":
+            return value
+        known = [x for x in (lowest.get(c), *levels[c]) if x is not None]
+        complaint = F.raise_error(F.concat(F.lit(f"unseen value in column {c}: "), value))
+        return F.when(value.isNull() | value.isin(known), value).otherwise(complaint)
+
+    flags = [F.coalesce(text(c) == F.lit(level), F.lit(False)).alias(f"{c}_{level}") for c in columns for level in levels[c]]
     return df.select(*plain, *flags)

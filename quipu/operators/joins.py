@@ -7,7 +7,6 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quipu.session import materialize
 
@@ -15,9 +14,12 @@ from quipu.session import materialize
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-# Keys taken out of the shuffle.  A key outside the HOT_KEYS most frequent ones
-# holds at most 1 / (HOT_KEYS + 1) of the rows.
-HOT_KEYS = 1_000
+# A key is hot when it holds at least this share of the rows, so there are at most
+# 1 / HOT_SHARE hot keys.
+HOT_SHARE = 0.001
+
+# What a row of a broadcast table takes besides its values.
+ROW_BYTES = 64
 
 
 def fits_broadcast(lookup: DataFrame) -> bool:
@@ -27,10 +29,12 @@ def fits_broadcast(lookup: DataFrame) -> bool:
         F.lit(0),
     )
     found = lookup.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
-    return found["n"] <= BROADCAST_ROWS and found["b"] <= BROADCAST_BYTES
+    return found["n"] <= BROADCAST_ROWS and found["b"] + ROW_BYTES * found["n"] <= BROADCAST_BYTES
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], small: bool | None = None) -> DataFrame:
+def lookup_join(
+    df: DataFrame, lookup: DataFrame, on: list[str], small: bool | None = None, hot: DataFrame | None = None
+) -> DataFrame:
     """Left join ``df`` to ``lookup``, whose rows are unique in ``on``.
 
     ``small`` says that the caller has checked the size of ``lookup``.  A small
@@ -40,23 +44,26 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], small: bool | N
         small = fits_broadcast(lookup)
     if small:
         return df.join(F.broadcast(lookup), on, "left")
-    return hot_key_join(df, lookup, on)
+    return hot_key_join(df, lookup, on, hot)
+
 
+def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
+    """The keys with at least ``HOT_SHARE`` of the rows of ``df``, from pre-aggregated counts."""
+    counts = materialize(df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.filter(F.col("_n") >= max(2.0, HOT_SHARE * total)).drop("_n")
 
-def hot_key_join(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
+
+def hot_key_join(df: DataFrame, lookup: DataFrame, on: list[str], hot: DataFrame | None = None) -> DataFrame:
     """Left join to a large unique table when some keys of ``df`` are very frequent.
 
-    The most frequent keys are found by a pre-aggregated count and resolved by a
-    broadcast of at most ``HOT_KEYS`` rows.  Only the other rows meet the look-up
-    in a shuffle, where no key is large; rows that are already resolved travel
-    under the hash of the whole row, so they do not pile up in one task either.
+    The hot keys, counted on ``df`` unless the caller has them, are resolved by a
+    broadcast of at most ``1 / HOT_SHARE`` rows.  The other rows meet the look-up in a
+    shuffle, where no key is large; rows that are already resolved are dealt out evenly
+    there, whatever they hold.
     """
     added = [c for c in lookup.columns if c not in on]
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = materialize(
-        counts.orderBy(F.desc("_n"), *on).limit(HOT_KEYS).drop("_n"),
-        "hot-keys",
-    )
+    hot = materialize(hot_keys(df, on) if hot is None else hot, "hot-keys")
     payload = F.struct(*added) if added else F.struct(F.lit(1).alias("_"))
     wide = lookup.select(*on, payload.alias("_found"))
     found = wide.join(F.broadcast(hot), on, "left_semi")
@@ -68,13 +75,12 @@ def hot_key_join(df: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
     same = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on]
     marked = df.join(F.broadcast(hot), _all(same), "left")
 
-    hashable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
     resolved = F.coalesce(F.col("_is_hot"), F.lit(False))
     for c in on:
         resolved = resolved | F.col(c).isNull()
-    # Part of the shuffle key: the hash of the key, or of the whole row once it is resolved.
-    place = F.when(resolved, F.xxhash64(*hashable)).otherwise(F.xxhash64(*on))
-    cold = marked.select(
+    # Part of the shuffle key: the hash of the key, or of the row's number once it is resolved.
+    place = F.when(resolved, F.xxhash64("_number")).otherwise(F.xxhash64(*on))
+    cold = marked.withColumn("_number", F.monotonically_increasing_id()).select(
         *df.columns,
         "_is_hot",
         "_hot_found",

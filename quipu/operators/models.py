@@ -9,11 +9,11 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quipu.functions.numbers import MAX_DEPTH
 from quipu.schema import NEGATIVE_LABEL, POSITIVE_LABEL
 from quipu.session import ensure_checkpoint_dir
 
 VECTOR = "_features"
-MAX_DEPTH = 30  # the deepest tree Spark ML grows
 
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
@@ -29,8 +29,8 @@ def forest_classifier(label: str, **params) -> RandomForestClassifier:
     """The production forest.
 
     Codes are plain numbers, not nominal attributes, so a column may have more
-    values than ``maxBins``.  Deep forests checkpoint their node ids, which keeps
-    the lineage short.
+    values than ``maxBins``.  Node ids are kept from level to level and checkpointed,
+    which keeps the lineage short.
     """
     defaults = dict(
         numTrees=100,
@@ -39,13 +39,20 @@ def forest_classifier(label: str, **params) -> RandomForestClassifier:
         featureSubsetStrategy="sqrt",
         bootstrap=False,
         seed=42,
+        cacheNodeIds=True,
     )
     return RandomForestClassifier(featuresCol=VECTOR, labelCol=label, **{**defaults, **params})
 
 
+def _depth(wanted: int) -> int:
+    if not 0 <= wanted <= MAX_DEPTH:
+        raise ValueError(f"trees grow to depth {MAX_DEPTH}, not {wanted}")
+    return wanted
+
+
 def tree_classifier(label: str, max_depth: int, **params) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(
-        featuresCol=VECTOR, labelCol=label, maxDepth=min(max_depth, MAX_DEPTH), **{"seed": 42, **params}
+        featuresCol=VECTOR, labelCol=label, maxDepth=_depth(max_depth), **{"seed": 42, "cacheNodeIds": True, **params}
     )
 
 
@@ -53,9 +60,9 @@ def small_forest(label: str, max_depth: int, trees: int, **params) -> RandomFore
     return RandomForestClassifier(
         featuresCol=VECTOR,
         labelCol=label,
-        maxDepth=min(max_depth, MAX_DEPTH),
+        maxDepth=_depth(max_depth),
         numTrees=trees,
-        **{"featureSubsetStrategy": "sqrt", "seed": 42, **params},
+        **{"featureSubsetStrategy": "sqrt", "seed": 42, "cacheNodeIds": True, **params},
     )
 
 
@@ -64,12 +71,19 @@ def linear_svm(label: str, c: float, rows: int, **params) -> LinearSVC:
 
     Spark averages the hinge loss over the rows where the penalty form sums it,
     so ``1 / (rows * c)`` is the same trade-off.  Every step of the solver reads
-    the table, and weakly penalized fits take many; ``maxIter`` bounds them.
+    the table, and weakly penalized fits take many.  ``maxIter`` bounds them; whether a
+    fit ended before that bound is what :func:`converged` tells.
     """
     defaults = dict(regParam=1.0 / (rows * c), standardization=False, maxIter=100, tol=1e-3)
     return LinearSVC(featuresCol=VECTOR, labelCol=label, **{**defaults, **params})
 
 
+def converged(model: PipelineModel) -> bool:
+    """Whether the solver of a support-vector model stopped by itself."""
+    fitted = model.stages[-1]
+    return fitted.summary().totalIterations < fitted.getMaxIter()
+
+
 def forest_regressor(label: str, **params) -> RandomForestRegressor:
     defaults = dict(numTrees=100, maxDepth=6, featureSubsetStrategy="3", seed=42)
     return RandomForestRegressor(featuresCol=VECTOR, labelCol=label, **{**defaults, **params})

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +33,10 @@ def absent_from(new: DataFrame, old: DataFrame, key: list[str]) -> DataFrame:
     rest = [c for c in new.columns if c not in key]
     pick = F.min(F.struct(*rest)).alias("_v") if rest else F.lit(None).alias("_v")
     once = new.groupBy(*key).agg(pick)
-    known = old.select(*key).distinct()
-    missing = once.join(known, key, "left_anti")
+    known = old.select(*[F.col(k).alias(f"_of_{k}") for k in key]).distinct()
+    # A null is a key like any other: it is inserted once.
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key])
+    missing = once.join(known, same, "left_anti")
     return missing.select(*key, *([f"_v.{c}" for c in rest]))
 
 

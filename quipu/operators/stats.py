@@ -7,6 +7,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quipu.operators.encode import Dictionary, distinct_values
 from quipu.session import materialize
@@ -72,13 +73,14 @@ def information_gain(
 ) -> DataFrame:
     """``(feature, information_gain)`` in nats, ascending.
 
-    Mutual information of the observed table of counts.  Columns in ``numeric``
-    are cut into bins of equal frequency first.  With ``n_xy`` rows per value and
+    Mutual information of the observed table of counts.  Columns in ``numeric``, by
+    default those of a fractional type, are cut into bins of equal frequency first.  With ``n_xy`` rows per value and
     class, ``n_x`` per value and ``n_y`` per class, the gain is
     ``(sum n_xy ln n_xy - sum n_x ln n_x - sum n_y ln n_y + n ln n) / n``, so
     nothing has to be joined back to the counts.
     """
-    numeric = numeric or []
+    if numeric is None:
+        numeric = [c for c in features if isinstance(df.schema[c].dataType, T.FractionalType)]
     edges = bin_edges(df, numeric, bins, accuracy) if numeric else {}
     values = [
         (bin_number(c, edges[c]) if c in edges else F.col(c)).cast("string").alias(c) for c in features

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.functions.numbers import draw_choice, draw_log_float, draw_log_int, improvement_percent, uniform
+from quipu.functions.numbers import MAX_DEPTH, draw_choice, draw_log_float, draw_log_int, improvement_percent, uniform
+from quipu.functions.text import plain_text
 from quipu.operators.ordered import ROWS_PER_RANGE, running_max_before
 
 # Model families, the ranges of their parameters, and the messages
 # about a new best trial.
 FAMILIES = ["SVC_linear", "DecisionTreeClassifier", "RandomForest"]
 SVC_C = (0.01, 100.0)
-TREE_DEPTH = (2, 32)
-FOREST_DEPTH = (2, 32)
+TREE_DEPTH = (2, MAX_DEPTH)  # the engine grows no deeper trees
+FOREST_DEPTH = (2, MAX_DEPTH)
 FOREST_TREES = (2, 10)
 INITIAL_MESSAGE = "Initial trial %s achieved value: %s"
 IMPROVED_MESSAGE = "Trial %s achieved value: %s with % .4f%% improvement"
@@ -55,10 +56,11 @@ def running_champion(
 
     A best value of 0 is not reported, and neither does it count as a champion:
     the next improvement is compared with the last value reported, and is the
-    initial one if there is none.
+    initial one if there is none.  A trial whose value is not a number is none.
     """
     columns = df.columns
-    marked = df.withColumn("_nonzero", F.nullif(F.col(value), F.lit(0).cast(df.schema[value].dataType)))
+    known = df.filter(~F.isnan(value))
+    marked = known.withColumn("_nonzero", F.nullif(F.col(value), F.lit(0).cast(df.schema[value].dataType)))
     prior = running_max_before(
         marked, trial, {"_best": value, "previous": "_nonzero"}, study, rows_per_range
     )
@@ -66,7 +68,7 @@ def running_champion(
     emitted = prior.filter(better & (F.col(value) != 0))
     percent = improvement_percent(F.col("previous"), F.col(value))
     initial = F.col("previous").isNull()
-    told = [F.col(trial).cast("string"), F.col(value).cast("string")]
+    told = [F.col(trial).cast("string"), plain_text(F.col(value))]
     first = F.format_string(INITIAL_MESSAGE, *told)
     later = F.format_string(IMPROVED_MESSAGE, *told, percent)
     return emitted.select(
@@ -84,12 +86,15 @@ def best_trial(
     value: str = "value",
     study: list[str] | None = None,
 ) -> DataFrame:
-    """The whole row of the highest value per study; the lowest trial number on a tie."""
+    """The whole row of the highest value per study; the lowest trial number on a tie.
+
+    Values that are null or not a number do not take part.
+    """
     study = study or []
     rest = [c for c in df.columns if c not in study]
     # Larger structs win: compare the value, then the trial number from above.
     rank = F.struct(F.col(value), (-F.col(trial)).alias("_t"))
-    scored = df.filter(F.col(value).isNotNull())
+    scored = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
     best = scored.groupBy(*study).agg(F.max_by(F.struct(*rest), rank).alias("_b"))
     return best.select(*study, "_b.*")
 

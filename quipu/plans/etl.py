@@ -16,7 +16,7 @@ from quipu.operators.split import paired_sample, train_test_split
 from quipu.operators.stats import category_map
 from quipu.schema import FLAG, Table
 from quipu.session import materialize
-from quipu.sources.delimited import read_csv, write_csv
+from quipu.sources.delimited import read_named, write_csv
 from quipu.sources.dictionary import entries, read_entries, write_entries
 from quipu.sources.store import Store
 
@@ -75,6 +75,7 @@ def describe(
     after = features_only(encoded, spec.target).drop(spec.key)
     values = category_map(dictionary, categories)
     # One entry per described column.
+    # The names of the entries.
     row = values.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("column", "values")))).alias("v"))
     return entries(
         row,
@@ -109,11 +110,14 @@ def run(
 ) -> None:
     """The whole flow over delimited text, each step leaving its table behind.
 
-    Between our own steps the tables are Parquet, so that later steps read only
+    Columns are found by the header's names, whatever else the file holds.  A file
+    without the key gets one, fixed by the first table that is written.  Between our own steps the tables are Parquet, so that later steps read only
     the columns they need.  The split table is partitioned by ``split``: reading
     one side touches only its files.
     """
-    raw = read_csv(spark, source, spec.raw_schema())
+    raw = read_named(spark, source, [spec.key, *spec.features, spec.target], optional=(spec.key,))
+    key = F.col(spec.key).cast("long") if spec.key in raw.columns else F.monotonically_increasing_id()
+    raw = raw.select(key.alias(spec.key), *spec.features, spec.target)
     raw = bool_to_int(cast_types(raw, {spec.target: FLAG}))
     raw.write.mode("overwrite").parquet(layout.raw)
     raw = spark.read.schema(raw.schema).parquet(layout.raw)

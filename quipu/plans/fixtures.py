@@ -68,6 +68,10 @@ def marriage_requests(spark: SparkSession, folder: str) -> DataFrame:
         "prov_insc", F.when(F.col("row_id") % 29 == 0, F.lit("Atlántida")).otherwise(F.col("prov_insc"))
     )
     good = to_request(MARRIAGES)
+    # Some send a whole number with a fraction of zero, or as text.
+    loose = F.when(F.col("row_id") % 5 == 0, F.regexp_replace(good, '"edad_2":([0-9]+)', '"edad_2":$1.0'))
+    loose = loose.when(F.col("row_id") % 5 == 1, F.regexp_replace(good, '"edad_2":([0-9]+)', '"edad_2":"$1"'))
+    good = loose.otherwise(good)
     wrong_type = F.regexp_replace(good, '"edad_1":[0-9]+', '"edad_1":"mucho"')
     cut_off = F.substring(good, 1, 40)
     body = F.when(F.col("row_id") % 17 == 0, cut_off).when(F.col("row_id") % 13 == 0, wrong_type).otherwise(good)
@@ -90,8 +94,8 @@ LINES = Table(
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def expensive_lines(spark: SparkSession, folder: str) -> DataFrame:
+def expensive_lines(spark: SparkSession, folder: str, keys: list[str] | None = None) -> DataFrame:
     """Order lines with a label that their features determine."""
     lines = table(spark, folder, "lineitem")
     expensive = (F.col("l_extendedprice") > 30_000).cast("int")
-    return lines.select(*LINE_FEATURES, expensive.alias("expensive"))
+    return lines.select(*(keys or []), *LINE_FEATURES, expensive.alias("expensive"))

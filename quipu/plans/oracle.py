@@ -12,10 +12,14 @@ NAMES = [*MARRIAGES.features, MARRIAGES.target]
 
 
 def _hash(*key: str) -> str:
-    texts = ", '|', ".join(f"CAST({k} AS VARCHAR)" for k in key)
+    texts = ", '|', ".join(_part(k) for k in key)
     return f"md5(concat('{SEED}|', {texts}))"
 
 
+def _part(key: str) -> str:
+    return f"length(CAST({key} AS VARCHAR)), ':', CAST({key} AS VARCHAR)"
+
+
 def _codes(column: str, source: str) -> str:
     return f"(SELECT value, row_number() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT {column} AS value FROM {source}))"
 
@@ -92,7 +96,7 @@ def _binned(column: str, bins: int) -> str:
 
 
 def _uniform(name: str, key: str) -> str:
-    digits = f"substr(md5(concat('{SEED}|{name}|', CAST({key} AS VARCHAR))), 1, 8)"
+    digits = f"substr(md5(concat('{SEED}|{name}|', {_part(key)})), 1, 8)"
     return f"(CAST(concat('0x', {digits}) AS BIGINT) / 4294967296.0::DOUBLE)"
 
 
@@ -175,10 +179,10 @@ ORACLE: dict[str, str] = {
         FROM lineitem""",
     "validate_required": f"""
         WITH {REQUESTS}
-        SELECT row_id, missing, cut_off OR wrong_type AS corrupt, missing = '' AS valid FROM missing""",
+        SELECT row_id, missing, cut_off AS corrupt, missing = '' AS valid FROM missing""",
     "unseen_labels": """
         SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS nation, 'nation' AS unseen FROM customer
-        WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier)""",
+        WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 0)""",
     "score_label": """
         SELECT doc_id, toxic AS int_output, CASE WHEN toxic > 0 THEN 'Divorcio' ELSE 'No divorcio' END AS str_output
         FROM labels""",
@@ -256,8 +260,8 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey AS trial, classifier,
             CASE WHEN classifier = 'SVC_linear' THEN round(exp(ln(0.01::DOUBLE) + {_uniform('svc_c', 'o_orderkey')}
                 * (ln(100.0::DOUBLE) - ln(0.01::DOUBLE))), 6) END AS svc_c,
-            CASE WHEN classifier = 'DecisionTreeClassifier' THEN {_log_int('tree_max_depth', 2, 32)} END AS tree_max_depth,
-            CASE WHEN classifier = 'RandomForest' THEN {_log_int('rf_max_depth', 2, 32)} END AS rf_max_depth,
+            CASE WHEN classifier = 'DecisionTreeClassifier' THEN {_log_int('tree_max_depth', 2, 30)} END AS tree_max_depth,
+            CASE WHEN classifier = 'RandomForest' THEN {_log_int('rf_max_depth', 2, 30)} END AS rf_max_depth,
             CASE WHEN classifier = 'RandomForest' THEN {_log_int('rf_n_estimators', 2, 10)} END AS rf_n_estimators
         FROM drawn""",
     "running_champion": f"""
@@ -288,9 +292,9 @@ ORACLE: dict[str, str] = {
         FROM orders WHERE o_orderstatus = 'F'
         QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_custkey DESC) = 1""",
     "insert_if_absent": """
-        SELECT s_nationkey AS name, min(s_suppkey) AS id FROM supplier GROUP BY 1
+        SELECT s_nationkey AS name, min(s_suppkey) AS id FROM supplier WHERE s_acctbal < 0 GROUP BY 1
         UNION ALL SELECT c_nationkey, min(c_custkey) FROM customer
-            WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier) GROUP BY 1""",
+            WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 0) GROUP BY 1""",
     "dictionary_merge": """
         SELECT coalesce(s_suppkey, p_partkey) AS key, CASE WHEN s_suppkey IS NOT NULL THEN s_name ELSE p_name END AS value
         FROM part FULL OUTER JOIN supplier ON p_partkey = s_suppkey""",
@@ -325,12 +329,32 @@ ORACLE: dict[str, str] = {
     **{
         name: """
         SELECT count(*) AS n_rows, count(*) FILTER (l_extendedprice > 30000) AS n_positive, true AS beats_majority
-        FROM lineitem"""
-        for name in ("forest_classify", "tree_classify", "svm_classify")
+        FROM lineitem WHERE substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 1) >= 'b'"""
+        for name in ("forest_classify", "tree_classify")
     },
-    "forest_regress": "SELECT count(*) AS n_rows, true AS beats_mean FROM lineitem",
+    "svm_classify": """
+        SELECT count(*) AS n_rows, count(*) FILTER (l_extendedprice > 30000) AS n_positive, true AS beats_majority, true AS converged
+        FROM lineitem WHERE substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 1) >= 'b'""",
+    "forest_regress": "SELECT count(*) AS n_rows, true AS beats_mean FROM lineitem WHERE substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 1) >= 'b'",
     "train_and_promote": """
-        SELECT DISTINCT 'model' AS name, 'champion' AS alias, CAST(2 AS INTEGER) AS version FROM orders""",
+        SELECT 'model' AS name, 'champion' AS alias, CAST(1 AS INTEGER) AS version, 'f1' AS metric, CAST(NULL AS BOOLEAN) AS challenger_better
+        UNION ALL SELECT 'model', 'champion', 2, 'accuracy', true""",
+    "cv_scores": "SELECT trial, CAST(fold AS INTEGER) AS fold, true AS is_score FROM range(2) t(trial), range(5) f(fold)",
+    "model_search": """
+        SELECT CAST(25 AS BIGINT) AS n_scores, CAST(5 AS BIGINT) AS n_trials, CAST(3 AS BIGINT) AS n_families, CAST(0 AS BIGINT) AS out_of_range,
+            true AS best_is_highest, 'model' AS name, CAST(1 AS INTEGER) AS version, true AS has_test_score""",
+    "ingest_wide_csv": f"""
+        WITH {TYPED}, {CLEAN} SELECT * EXCLUDE (row_id), (SELECT count(*) FROM orders) AS n_keys FROM cleaned""",
+    "score_accuracy": f"""
+        WITH {REQUESTS} SELECT count(*) AS n_rows, count(*) AS n_labelled, true AS accurate FROM outcomes WHERE reasons = ''""",
+    "stream_follows_champion": f"""
+        WITH {REQUESTS}, waves AS (SELECT substr(md5(CAST(row_id AS VARCHAR)), 1, 1) >= '8' AS second_wave FROM outcomes WHERE reasons = '')
+        SELECT second_wave, count(*) AS n_rows, true AS accurate, CAST(CASE WHEN second_wave THEN 2 ELSE 1 END AS INTEGER) AS version
+        FROM waves GROUP BY 1""",
+    "export_split": f"""
+        WITH {TYPED}, {CLEAN}, {ENCODED},
+        {_split('row_id', 'es_divorcio', 'encoded', '*', '0.3')}
+        SELECT * EXCLUDE (s) FROM parted""",
     "score_requests": f"""
         WITH {REQUESTS}
         SELECT row_id, CASE WHEN reasons = '' THEN 'accepted' ELSE reasons END AS status, reasons = '' AS answered FROM outcomes""",

@@ -13,7 +13,7 @@ from quipu.operators import align, clean, encode, metrics, models, registry, sea
 from quipu.operators.joins import hot_key_join
 from quipu.plans import etl, fixtures, score, train
 from quipu.plans.fixtures import LINE_FEATURES, LINES
-from quipu.schema import DESCRIBED_CATEGORIES, MARRIAGES
+from quipu.schema import DESCRIBED_CATEGORIES, MARRIAGES, POSITIVE_LABEL
 from quipu.session import materialize, new_path
 from quipu.sources.delimited import read_csv, write_csv
 from quipu.sources.dictionary import read_entries, write_entries
@@ -28,6 +28,7 @@ REGISTERED: dict[str, Query] = {}
 
 SEED = 42
 TEST_SIZE = 0.3
+SEARCH_TRIALS, SEARCH_SEED = 5, 17  # draws that hold every family
 TREES = {"numTrees": 10, "maxDepth": 5}
 
 
@@ -138,7 +139,9 @@ def validate_required(spark, folder):
 
 @query
 def unseen_labels(spark, folder):
-    suppliers = table(spark, folder, "supplier").select(F.col("s_nationkey").cast("string").alias("nation"))
+    """Customers of nations without a supplier in debt."""
+    suppliers = table(spark, folder, "supplier").where("s_acctbal < 0")
+    suppliers = suppliers.select(F.col("s_nationkey").cast("string").alias("nation"))
     customers = table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("nation"))
     dictionary = encode.fit_dictionary(suppliers, ["nation"])
     return encode.unseen_rows(customers, dictionary).select("c_custkey", "nation", _joined("unseen"))
@@ -275,7 +278,7 @@ def correlation_with_target(spark, folder):
 @query
 def information_gain(spark, folder):
     lines = table(spark, folder, "lineitem")
-    report = stats.information_gain(lines, ["l_returnflag", "l_linenumber", "l_quantity"], "l_linestatus")
+    report = stats.information_gain(lines, ["l_returnflag", "l_linenumber", "l_quantity"], "l_linestatus", numeric=[])
     return report.withColumn("information_gain", F.round("information_gain", 8))
 
 
@@ -402,7 +405,9 @@ def resolve_alias(spark, folder):
 
 @query
 def insert_if_absent(spark, folder):
-    old = table(spark, folder, "supplier").groupBy(F.col("s_nationkey").alias("name")).agg(F.min("s_suppkey").alias("id"))
+    """Nations of suppliers in debt, and those of customers under names that are not there."""
+    debtors = table(spark, folder, "supplier").where("s_acctbal < 0")
+    old = debtors.groupBy(F.col("s_nationkey").alias("name")).agg(F.min("s_suppkey").alias("id"))
     new = table(spark, folder, "customer").select(F.col("c_nationkey").alias("name"), F.col("c_custkey").alias("id"))
     return registry.insert_if_absent(old, new, ["name"])
 
@@ -505,14 +510,21 @@ def _verdict(scored, label):
     return found.select("n_rows", "n_positive", (F.col("_accuracy") > F.col("_majority")).alias("beats_majority"))
 
 
+def _sides(lines):
+    """Order lines to learn from and to be scored on, dealt by a hash of their order."""
+    held = F.substring(F.md5(F.col("l_orderkey").cast("string")), 1, 1) >= "b"
+    return lines.where(~held), lines.where(held)
+
+
 def _classify(spark, folder, estimator):
-    lines = fixtures.expensive_lines(spark, folder)
-    return _verdict(models.predict(lines, models.fit(lines, estimator, LINE_FEATURES)), "expensive")
+    seen, held = _sides(fixtures.expensive_lines(spark, folder, ["l_orderkey"]))
+    return _verdict(models.predict(held, models.fit(seen, estimator, LINE_FEATURES)), "expensive")
 
 
 @query
 def forest_classify(spark, folder):
-    return _classify(spark, folder, models.forest_classifier("expensive", **TREES))
+    """The production forest with its defaults."""
+    return _classify(spark, folder, models.forest_classifier("expensive"))
 
 
 @query
@@ -522,10 +534,10 @@ def tree_classify(spark, folder):
 
 @query
 def svm_classify(spark, folder):
-    lines = fixtures.expensive_lines(spark, folder)
-    scaled = stats.standardize(lines, LINE_FEATURES)
-    estimator = models.linear_svm("expensive", 1.0, scaled.count(), maxIter=20)
-    return _verdict(models.predict(scaled, models.fit(scaled, estimator, LINE_FEATURES)), "expensive")
+    lines = stats.standardize(fixtures.expensive_lines(spark, folder, ["l_orderkey"]), LINE_FEATURES)
+    seen, held = _sides(lines)
+    model = models.fit(seen, models.linear_svm("expensive", 1.0, seen.count()), LINE_FEATURES)
+    return _verdict(models.predict(held, model), "expensive").withColumn("converged", F.lit(models.converged(model)))
 
 
 @query
@@ -533,48 +545,73 @@ def forest_regress(spark, folder):
     lines = table(spark, folder, "lineitem")
     net = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net")
     features = ["l_extendedprice", "l_discount", "l_tax"]
-    rows = lines.select(*features, net)
-    scored = models.predict(rows, models.fit(rows, models.forest_regressor("net", numTrees=10), features))
+    seen, held = _sides(lines.select("l_orderkey", *features, net))
+    scored = models.predict(held, models.fit(seen, models.forest_regressor("net"), features))
     error = F.avg(F.pow(F.col("prediction") - F.col("net"), F.lit(2.0)))
     return scored.agg(F.count(F.lit(1)).alias("n_rows"), (error < F.var_pop("net") / 4).alias("beats_mean"))
 
 
-def _folded(spark, folder):
+def _encoded_sides(spark, folder):
+    """Train and test rows of the encoded marriage table."""
     encoded, _ = etl.encode_table(fixtures.raw_marriages(spark, folder), MARRIAGES)
     encoded = materialize(encoded, "encoded")
-    return split.stratified_folds(encoded, ["row_id"], SEED, 3, MARRIAGES.target)
+    parts = split.train_test_split(encoded, ["row_id"], SEED, TEST_SIZE, stratify=MARRIAGES.target)
+    parts = materialize(parts, "split", ["split"])
+    return {name: parts.filter(F.col("split") == name).drop("split") for name in ("train", "test")}
+
+
+def _folded(train_rows):
+    return split.stratified_folds(train_rows, ["row_id"], SEED, 5, MARRIAGES.target)
 
 
 @query
 def cv_scores(spark, folder):
+    """Five folds of each trial, and whether the score is one."""
     trial_rows = [
         {"trial": 0, "classifier": "DecisionTreeClassifier", "tree_max_depth": 3},
         {"trial": 1, "classifier": "RandomForest", "rf_max_depth": 4, "rf_n_estimators": 4},
     ]
-    return search.cv_scores(_folded(spark, folder), trial_rows, MARRIAGES.features, MARRIAGES.target)
+    folded = _folded(_encoded_sides(spark, folder)["train"])
+    scores = search.cv_scores(folded, trial_rows, MARRIAGES.features, MARRIAGES.target)
+    return scores.select("trial", "fold", F.col("score").between(0, 1).alias("is_score"))
 
 
 @query
 def model_search(spark, folder):
-    found = search.model_search(_folded(spark, folder), MARRIAGES.features, MARRIAGES.target, n_trials=3, seed=4)
-    return trials.mean_of_folds(found.scores).join(F.broadcast(found.trials), "trial")
+    """A search over all families, its winner scored on the test rows, registered and promoted."""
+    sides = _encoded_sides(spark, folder)
+    label = MARRIAGES.target
+    found = search.model_search(_folded(sides["train"]), MARRIAGES.features, label, n_trials=SEARCH_TRIALS, seed=SEARCH_SEED)
+    store = Store(spark, new_path(spark, "store"))
+    train.publish_search(store, "search", "model", found, sides["train"], sides["test"], MARRIAGES.features, label)
+    means = trials.mean_of_folds(found.scores)
+    first = means.orderBy(F.desc("mean_score"), "trial").limit(1).select(F.col("trial").alias("first"))
+    facts = found.scores.agg(
+        F.count(F.lit(1)).alias("n_scores"),
+        F.countDistinct("trial").alias("n_trials"),
+        F.count_if(~F.col("score").between(0, 1)).alias("out_of_range"),
+    )
+    families = found.trials.agg(F.countDistinct("classifier").alias("n_families"))
+    standing = registry.resolve_alias(store.table("model_aliases"), store.table("model_versions"), train.CHAMPION)
+    scored = store.table("model_aliases").select(F.col("challenger_score").between(0, 1).alias("has_test_score"))
+    joined = facts.crossJoin(families).crossJoin(first).crossJoin(standing.select("name", "version")).crossJoin(scored)
+    won = (F.col("first") == found.best["trial"]).alias("best_is_highest")
+    return joined.select("n_scores", "n_trials", "n_families", "out_of_range", won, "name", "version", "has_test_score")
 
 
 @query
 def train_and_promote(spark, folder):
-    encoded, _ = etl.encode_table(fixtures.raw_marriages(spark, folder), MARRIAGES)
-    encoded = materialize(encoded, "encoded")
-    parts = split.train_test_split(encoded, ["row_id"], SEED, TEST_SIZE, stratify=MARRIAGES.target)
-    parts = materialize(parts, "split", ["split"])
-    sides = {name: parts.filter(F.col("split") == name) for name in ("train", "test")}
+    """Three trainings; the alias stands for the second, with the scores that decided it."""
+    sides = _encoded_sides(spark, folder)
     store = Store(spark, new_path(spark, "store"))
     label = MARRIAGES.target
     common = (store, "promotion", "model", sides["train"], sides["test"], MARRIAGES.features, label)
     train.train_initial(*common, models.tree_classifier(label, 1))
     train.retrain(*common, models.tree_classifier(label, 6))
     train.retrain(*common, models.tree_classifier(label, 1))
-    standing = registry.resolve_alias(store.table("model_aliases"), store.table("model_versions"), train.CHAMPION)
-    return standing.select("name", "alias", "version")
+    return store.table("model_aliases").select(
+        "name", "alias", "version", "metric", (F.col("challenger_score") > F.col("champion_score")).alias("challenger_better")
+    )
 
 
 def _scoring(spark, folder):
@@ -617,7 +654,8 @@ def score_stream(spark, folder):
     running.awaitTermination()
     if running.exception() is not None:
         raise running.exception()
-    streamed = _outcomes(spark.read.parquet(f"{target}/accepted"), spark.read.parquet(f"{target}/quarantined"))
+    written = streaming.read_scored(spark, target, ["row_id"])
+    streamed = _outcomes(written.accepted, written.quarantined)
     scored = score.score_requests(spark.read.parquet(source), "body", MARRIAGES, dictionary, model, ["row_id"])
     batch = _outcomes(scored.accepted, scored.quarantined)
     both = batch.alias("b").join(streamed.alias("s"), "row_id", "full_outer")
@@ -630,11 +668,99 @@ def score_stream(spark, folder):
 # whole flows
 
 
+def _wide_csv(spark, folder):
+    """The marriage table as files come: other columns and another order, integers with a fraction."""
+    raw = fixtures.raw_marriages(spark, folder)
+    wide = raw.select(
+        *reversed(raw.columns[1:]), F.lit("x").alias("extra"), F.concat("dur_mat", F.lit(".0")).alias("_dur"), F.col("row_id")
+    )
+    path = new_path(spark, "wide-csv")
+    write_csv(wide.drop("dur_mat").withColumnRenamed("_dur", "dur_mat"), path)
+    return path
+
+
 @query
-def etl_flow(spark, folder):
-    """Delimited text in, encoded and split table out."""
+def ingest_wide_csv(spark, folder):
+    """Read a file without a key by the header's names; the rows get keys of their own."""
+    keyless = new_path(spark, "keyless-csv")
+    rows = spark.read.option("header", True).csv(_wide_csv(spark, folder)).drop("row_id")
+    write_csv(rows, keyless)
+    layout = etl.Layout(new_path(spark, "etl"))
+    etl.run(spark, keyless, layout, MARRIAGES, DESCRIBED_CATEGORIES, SEED, TEST_SIZE)
+    raw = spark.read.parquet(layout.raw)
+    typed = clean.clean(raw, MARRIAGES).drop("row_id")
+    keys = raw.agg(F.countDistinct("row_id").alias("n_keys"))
+    return typed.crossJoin(F.broadcast(keys))
+
+
+@query
+def score_accuracy(spark, folder):
+    """Replies to the good requests against the rule that the target follows."""
+    dictionary, model = _scoring(spark, folder)
+    requests = fixtures.marriage_requests(spark, folder)
+    replies = score.score_requests(requests, "body", MARRIAGES, dictionary, model, ["row_id"]).accepted
+    truth = fixtures.marriages(spark, folder).select("row_id", F.col(MARRIAGES.target).cast("int").alias("target"))
+    both = replies.join(truth, "row_id")
+    right = F.avg((F.col("int_output") == F.col("target")).cast("double"))
+    labelled = F.count_if((F.col("int_output") > 0) == (F.col("str_output") == POSITIVE_LABEL))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), labelled.alias("n_labelled"), (right > 0.75).alias("accurate"))
+
+
+@query
+def stream_follows_champion(spark, folder):
+    """A stream over two waves of requests, with a promotion between them."""
+    dictionary, _ = _scoring(spark, folder)
+    sides = _encoded_sides(spark, folder)
+    store = Store(spark, new_path(spark, "store"))
+    label = MARRIAGES.target
+    source, target, checkpoint = (new_path(spark, name) for name in ("requests", "scored", "stream-checkpoint"))
+    requests = fixtures.marriage_requests(spark, folder)
+    late = F.substring(F.md5(F.col("row_id").cast("string")), 1, 1) >= "8"
+    current = streaming.CurrentModel(store, "model")
+    used = []
+    for wave, flipped in ((requests.where(~late), False), (requests.where(late), True)):
+        rows = sides["train"].withColumn(label, 1 - F.col(label)) if flipped else sides["train"]
+        version, _ = train.fit_and_log(
+            store, "stream", "model", rows, sides["test"], MARRIAGES.features, label, models.forest_classifier(label, **TREES), "accuracy"
+        )
+        store.set_alias("model", train.CHAMPION, version)
+        wave.write.mode("append").parquet(source)
+        stream = streaming.request_stream(spark, source, requests.schema)
+        running = streaming.score_stream(stream, "body", MARRIAGES, dictionary, current, ["row_id"], target, checkpoint)
+        running.awaitTermination()
+        if running.exception() is not None:
+            raise running.exception()
+        used.append(current.version)
+    replies = streaming.read_scored(spark, target, ["row_id"]).accepted
+    truth = fixtures.marriages(spark, folder).select("row_id", F.col(label).cast("int").alias("target"))
+    second = F.substring(F.md5(F.col("row_id").cast("string")), 1, 1) >= "8"
+    right = F.avg((F.col("int_output") == F.when(second, 1 - F.col("target")).otherwise(F.col("target"))).cast("double"))
+    found = replies.join(truth, "row_id").groupBy(second.alias("second_wave")).agg(F.count(F.lit(1)).alias("n_rows"), (right > 0.75).alias("accurate"))
+    return found.withColumn("version", F.when(F.col("second_wave"), F.lit(used[1])).otherwise(F.lit(used[0])))
+
+
+@query
+def export_split(spark, folder):
+    """The files of a split, read again: features and target of both parts."""
     source = new_path(spark, "source-csv")
     write_csv(fixtures.raw_marriages(spark, folder), source)
+    layout, target = etl.Layout(new_path(spark, "etl")), new_path(spark, "export")
+    etl.run(spark, source, layout, MARRIAGES, DESCRIBED_CATEGORIES, SEED, TEST_SIZE)
+    etl.export_split(spark, layout, MARRIAGES, target)
+    found = None
+    for part in ("train", "test"):
+        x = spark.read.option("header", True).option("inferSchema", False).csv(f"{target}/{part}/X_{part}")
+        y = spark.read.option("header", True).csv(f"{target}/{part}/y_{part}")
+        typed = align.concat_columns(x, y, ["row_id"]).select(*[F.col(c).cast("long").alias(c) for c in [*x.columns, MARRIAGES.target]])
+        rows = typed.withColumn(MARRIAGES.target, F.col(MARRIAGES.target).cast("int")).withColumn("split", F.lit(part))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def etl_flow(spark, folder):
+    """Delimited text in, encoded and split table out."""
+    source = _wide_csv(spark, folder)
     layout = etl.Layout(new_path(spark, "etl"))
     etl.run(spark, source, layout, MARRIAGES, DESCRIBED_CATEGORIES, SEED, TEST_SIZE)
     return spark.read.parquet(layout.split)

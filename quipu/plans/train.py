@@ -13,6 +13,7 @@ from quipu.operators import models
 from quipu.operators.metrics import score
 from quipu.operators.registry import challenge, decide
 from quipu.operators.search import PARAMS, Search
+from quipu.operators.stats import correlation_with_target, information_gain
 from quipu.operators.trials import mean_of_folds
 from quipu.session import local_frame
 from quipu.sources.documents import signature, write_json
@@ -59,12 +60,13 @@ def train_initial(
     features: list[str],
     label: str,
     estimator: Estimator | None = None,
+    metric: str = "f1",
 ) -> int:
     """Train a first model and make it champion without a comparison."""
-    version, _ = fit_and_log(
-        store, experiment, name, train, test, features, label, estimator or models.forest_classifier(label), "f1"
+    version, value = fit_and_log(
+        store, experiment, name, train, test, features, label, estimator or models.forest_classifier(label), metric
     )
-    store.set_alias(name, CHAMPION, version)
+    store.set_alias(name, CHAMPION, version, metric, None, value)
     return version
 
 
@@ -77,17 +79,22 @@ def retrain(
     features: list[str],
     label: str,
     estimator: Estimator | None = None,
+    metric: str = "accuracy",
 ) -> Row:
-    """Train a challenger and promote it if it is strictly more accurate."""
+    """Train a challenger and promote it if it is strictly better by the metric."""
     version, value = fit_and_log(
-        store, experiment, name, train, test, features, label, estimator or models.forest_classifier(label), "accuracy"
+        store, experiment, name, train, test, features, label, estimator or models.forest_classifier(label), metric
     )
-    return promote(store, name, test, label, version, value)
+    return promote(store, name, test, label, version, value, metric)
 
 
-def promote(store: Store, name: str, test: DataFrame, label: str, version: int, value: float) -> Row:
+def promote(
+    store: Store, name: str, test: DataFrame, label: str, version: int, value: float, metric: str = "accuracy"
+) -> Row:
     """Decide between the champion and a challenger of known score.
 
+    The metric and both scores are stored with the promotion.
+
     Without a champion the newest version in no stage is promoted.  "Without"
     means that there is no alias: a champion that cannot be loaded is an error.
     """
@@ -96,13 +103,13 @@ def promote(store: Store, name: str, test: DataFrame, label: str, version: int,
         newest = store.latest(name)
         if newest is None:
             raise LookupError(f"model {name} has no version to promote")
-        store.set_alias(name, CHAMPION, newest["version"])
+        store.set_alias(name, CHAMPION, newest["version"], metric, None, value)
         return _decision(store, None, value)
     champion = models.load_model(store.spark, standing["source"])
-    scored = score(models.predict(test, champion), "accuracy", label, "prediction").first()["accuracy"]
+    scored = score(models.predict(test, champion), metric, label, "prediction").first()[metric]
     decision = _decision(store, scored, value)
     if decision["promote"]:
-        store.set_alias(name, CHAMPION, version)
+        store.set_alias(name, CHAMPION, version, metric, scored, value)
     return decision
 
 
@@ -137,3 +144,24 @@ def log_search(store: Store, experiment: str, found: Search, metric: str = "f1")
     )
     store.append_rows("runs", runs)
     return parent
+
+
+def publish_search(
+    store: Store, experiment: str, name: str, found: Search, train: DataFrame, test: DataFrame, features: list[str], label: str, metric: str = "f1"
+) -> tuple[int, float]:
+    """Log a search, score its refitted winner on the test rows, and make it champion.
+
+    The model is saved with its signature, its version carries the winner's
+    parameters and score, and the association reports stay with the run.
+    """
+    parent = log_search(store, experiment, found, metric)
+    value = score(models.predict(test, found.model), metric, label, "prediction").first()[metric]
+    folder = f"{store.root}/artifacts/{parent}"
+    models.save_model(found.model, f"{folder}/model")
+    write_json(signature(models.predict(train, found.model), features, "prediction"), f"{folder}/signature")
+    correlation_with_target(train, features, label).write.parquet(f"{folder}/correlation")
+    information_gain(train, features, label).write.parquet(f"{folder}/information-gain")
+    best = {p: found.best[p] for p in PARAMS if found.best[p] is not None}
+    version = store.register(name, f"{folder}/model", parent, {**best, f"test_{metric}": value})
+    store.set_alias(name, CHAMPION, version, metric, None, value)
+    return version, value

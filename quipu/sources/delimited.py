@@ -36,6 +36,22 @@ def read_csv(
     return reader.csv(path)
 
 
+def read_named(
+    spark: SparkSession, path: str, columns: list[str], optional: tuple[str, ...] = (), null_text: str = NULL_TEXT, **options: str
+) -> DataFrame:
+    """The named columns as text, found by the header; other columns are not read.
+
+    The file may hold any further columns in any order.  A missing column is an
+    error unless it is optional; files of one folder must have the same header.
+    """
+    header = spark.read.option("header", True).options(**options).csv(path).schema
+    absent = [c for c in columns if c not in header.names and c not in optional]
+    if absent:
+        raise ValueError(f"no columns {absent} in {path}")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in header.names])
+    return read_csv(spark, path, schema, null_text, **options).select(*[c for c in columns if c in header.names])
+
+
 def write_csv(df: DataFrame, path: str, null_text: str = NULL_TEXT, mode: str = "overwrite") -> None:
     """Write one file per partition, each with a header and without an index."""
     (

@@ -27,7 +27,10 @@ SCHEMAS = {
     "model_versions": (
         "name string, version int, source string, run_id string, stage string, tags map<string,string>"
     ),
-    "model_aliases": "name string, alias string, version int, promoted_at timestamp",
+    "model_aliases": (
+        "name string, alias string, version int, promoted_at timestamp, "
+        "metric string, champion_score double, challenger_score double"
+    ),
 }
 
 
@@ -98,11 +101,20 @@ class Store:
         self.append("model_versions", [(name, number, source, run_id, registry.NO_STAGE, texts)])
         return number
 
-    def set_alias(self, name: str, alias: str, version: int) -> None:
+    def set_alias(
+        self,
+        name: str,
+        alias: str,
+        version: int,
+        metric: str | None = None,
+        champion_score: float | None = None,
+        challenger_score: float | None = None,
+    ) -> None:
+        """Let an alias stand for a version, with the scores that decided it."""
         known = self.table("model_versions").filter((F.col("name") == name) & (F.col("version") == version))
         if known.isEmpty():
             raise ValueError(f"model {name} has no version {version}")
-        self.append("model_aliases", [(name, alias, version, _now())])
+        self.append("model_aliases", [(name, alias, version, _now(), metric, champion_score, challenger_score)])
 
     def resolve(self, name: str, alias: str) -> Row | None:
         """The version an alias stands for, or None when there is no such alias."""

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quipu.operators.encode import Dictionary
-from quipu.plans.score import score_requests
+from quipu.plans.score import Scored, outcomes, split_outcomes
 from quipu.schema import Table
 from quipu.sources.store import Store
 
@@ -21,6 +22,12 @@ def request_stream(spark: SparkSession, folder: str, schema: T.StructType, **opt
     return reader.parquet(folder)
 
 
+def read_scored(spark: SparkSession, target: str, keep: list[str]) -> Scored:
+    """What a stream has written so far."""
+    written = spark.read.parquet(target)
+    return split_outcomes(written.withColumn("valid", F.col("valid").cast("boolean")), keep)
+
+
 class CurrentModel:
     """The model an alias stands for, loaded again when its version changes."""
 
@@ -49,17 +56,16 @@ def score_stream(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write replies under ``target/accepted`` and the rest under ``target/quarantined``.
+    """Write the outcome of each batch once, by validity, under ``target``.
 
-    A batch writes into folders named by its number and replaces them when it is
-    run again, so a restart leaves neither gaps nor doubles.
+    A batch writes into a folder named by its number and replaces it when it is
+    run again, so a restart leaves neither gaps nor doubles.  Nothing else is written.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         current = model.get() if isinstance(model, CurrentModel) else model
-        scored = score_requests(batch, body, spec, dictionary, current, keep)
-        for name, part in (("accepted", scored.accepted), ("quarantined", scored.quarantined)):
-            part.write.mode("overwrite").parquet(f"{target}/{name}/batch={number}")
+        found = outcomes(batch, body, spec, dictionary, current, keep)
+        found.write.mode("overwrite").partitionBy("valid").parquet(f"{target}/batch={number}")
 
     writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

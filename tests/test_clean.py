@@ -50,3 +50,14 @@ def test_bool_to_int(spark):
     assert out.schema["f"].dataType == T.IntegerType()
     assert [r.f for r in out.collect()] == [1, 0, None]
     assert clean.bool_to_int(df, ["n"]).schema["f"].dataType == T.BooleanType()
+
+
+def test_whole_numbers_may_come_with_a_fraction(spark):
+    df = spark.createDataFrame([("3.0",), ("12",), ("-4.9",), ("9007199254740993",), (None,)], "a string")
+    found = [r.a for r in clean.cast_types(df, {"a": T.LongType()}).collect()]
+    assert found == [3, 12, -4, 9007199254740993, None]
+
+
+def test_a_missing_column_is_an_error(spark):
+    with pytest.raises(ValueError, match="missing"):
+        clean.cast_types(spark.createDataFrame([(1,)], "a int"), {"missing": T.LongType()})

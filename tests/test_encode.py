@@ -64,9 +64,9 @@ def test_saved_dictionary_loads_the_same(spark, words, tmp_path):
     assert loaded.sizes == dictionary.sizes
 
 
-@pytest.mark.parametrize("hot_keys", [1, 3, 1000])
-def test_large_join_equals_broadcast(spark, monkeypatch, hot_keys):
-    monkeypatch.setattr(joins, "HOT_KEYS", hot_keys)
+@pytest.mark.parametrize("hot_share", [0.9, 0.1, 0.0001])
+def test_large_join_equals_broadcast(spark, monkeypatch, hot_share):
+    monkeypatch.setattr(joins, "HOT_SHARE", hot_share)
     key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, F.lit(None))
     key = key.otherwise(F.concat(F.lit("k"), F.col("id") % 50))
     df = spark.range(2000).select("id", key.alias("k"))
@@ -97,7 +97,7 @@ def test_encode_through_the_large_join(words, monkeypatch):
     dictionary = encode.fit_dictionary(words)
     expected = {tuple(r) for r in encode.encode(words, dictionary).collect()}
     monkeypatch.setattr(encode, "BROADCAST_ROWS", 0)
-    assert not dictionary.is_small("fruit")
+    assert not dictionary.small(["fruit"])
     assert {tuple(r) for r in encode.encode(words, dictionary).collect()} == expected
 
 
@@ -118,8 +118,43 @@ def test_one_hot_of_the_older_table(spark):
     assert not any(first[c] for c in expected[1:])
 
 
-def test_one_hot_refuses_too_many_levels(spark, monkeypatch):
-    monkeypatch.setattr(encode, "MAX_INDICATORS", 2)
-    df = spark.createDataFrame([("a",), ("b",), ("c",)], "x string")
-    with pytest.raises(ValueError):
-        encode.one_hot(df, encode.fit_dictionary(df), ["x"])
+def test_large_join_spreads_equal_rows(spark):
+    """Rows that are alike in all columns do not meet in one task."""
+    df = spark.range(1000).select(F.lit("hot").alias("k"))
+    lookup = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = joins.hot_key_join(df, lookup, ["k"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in rows) == 1000 and max(r["count"] for r in rows) < 300
+
+
+def test_broadcasts_are_checked_in_sum(spark, monkeypatch):
+    df = spark.createDataFrame([(f"a{i}", f"b{i}", f"c{i}") for i in range(20)], "x string, y string, z string")
+    dictionary = encode.fit_dictionary(df)
+    expected = {tuple(r) for r in encode.encode(df, dictionary).collect()}
+    assert dictionary.small(["x", "y", "z"]) == {"x", "y", "z"}
+    monkeypatch.setattr(encode, "BROADCAST_ROWS", 45)
+    assert len(dictionary.small(["x", "y", "z"])) == 2
+    assert {tuple(r) for r in encode.encode(df, dictionary).collect()} == expected
+
+
+def test_one_hot_of_nulls_and_unseen_values(spark):
+    fitted = encode.fit_dictionary(spark.createDataFrame([("a",), ("b",), ("c",)], "x string"))
+    df = spark.createDataFrame([("a",), ("c",), (None,)], "x string")
+    assert [tuple(r) for r in encode.one_hot(df, fitted, ["x"]).collect()] == [(False, False), (False, True), (False, False)]
+    assert [r.active for r in encode.one_hot_sparse(df, fitted, ["x"]).collect()] == [[], [1], []]
+    strange = spark.createDataFrame([("z",)], "x string")
+    with pytest.raises(PySparkException, match="unseen"):
+        encode.one_hot(strange, fitted, ["x"]).collect()
+    assert [tuple(r) for r in encode.one_hot(strange, fitted, ["x"], unseen="null").collect()] == [(False, False)]
+
+
+def test_many_levels_have_a_sparse_form(spark):
+    df = spark.range(3000).select(F.col("id"), F.col("id").cast("string").alias("x"), (F.col("id") % 2).cast("string").alias("y"))
+    found = encode.one_hot_sparse(df, encode.fit_dictionary(df, ["x", "y"]), ["x", "y"])
+    places = [p for r in found.collect() for p in r.active]
+    assert sorted(set(places)) == list(range(3000)) and len(places) == 2999 + 1500

@@ -84,9 +84,20 @@ def test_retraining_promotes_only_better_models(store, rows):
     common = (store, "e", "m", rows, rows, ["a", "b"], "y")
     bad = (store, "e", "m", rows, rows, ["b"], "y")
     assert train.train_initial(*bad, models.tree_classifier("y", 1)) == 1
-    assert store.resolve("m", "champion").version == 1
+    worse = train.retrain(*bad, models.tree_classifier("y", 1))
+    assert not worse.promote and store.resolve("m", "champion").version == 1
+    better = train.retrain(*common, models.tree_classifier("y", 2), metric="f1")
+    assert better.promote and better.challenger_score == 1.0 > better.champion_score
     model, version = store.load("m", "champion")
-    assert version == 1 and models.predict(rows, model).count() == 200
+    assert version == 3 and models.predict(rows, model).filter("prediction = y").count() == 200
+    standing = store.table("model_aliases").filter("version = 3").first()
+    assert (standing.metric, standing.challenger_score, standing.champion_score) == ("f1", 1.0, better.champion_score)
+
+
+def test_a_null_name_is_inserted_once(spark):
+    old = spark.createDataFrame([("a", 1), (None, 2)], "name string, id int")
+    assert registry.absent_from(old, old, ["name"]).count() == 0
+    assert registry.absent_from(old, old.filter("name = 'a'"), ["name"]).count() == 1
 
 
 def test_without_a_champion_the_newest_is_promoted(store, rows):

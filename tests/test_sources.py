@@ -7,7 +7,7 @@ from quipu import session
 from quipu.functions import paths, text
 from quipu.plans import etl, fixtures
 from quipu.schema import DESCRIBED_CATEGORIES, MARRIAGES
-from quipu.sources.delimited import read_csv, write_csv
+from quipu.sources.delimited import read_csv, read_named, write_csv
 from quipu.sources.dictionary import entries, read_entries, write_entries
 from quipu.sources.store import Store
 from quipu.sources.documents import read_json_or_empty, signature_schema
@@ -106,3 +106,30 @@ def test_etl_merges_the_description_of_an_earlier_run(spark, tmp_path):
     samples = [spark.read.parquet(f"{store.root}/artifacts/{run}/{side}") for side in ("raw", "clean")]
     ids = [{r.row_id for r in s.select("row_id").collect()} for s in samples]
     assert len(ids[0]) == 100 and ids[0] == ids[1]
+
+
+def test_columns_are_found_by_the_header(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("extra,b,a\nx,2.0,1\ny,3,\\N\n")
+    assert [tuple(r) for r in read_named(spark, str(path), ["a", "b"]).collect()] == [("1", "2.0"), (None, "3")]
+    with pytest.raises(ValueError, match="c"):
+        read_named(spark, str(path), ["a", "c"])
+    assert read_named(spark, str(path), ["key", "a"], optional=("key",)).columns == ["a"]
+
+
+def test_flow_over_a_file_without_a_key(spark, tmp_path):
+    raw = fixtures.raw_marriages(spark, "/root/testdata/sf0.001").limit(200)
+    write_csv(raw.drop("row_id").withColumn("other", F.lit("x")).select("other", *reversed(raw.columns[1:])), str(tmp_path / "in"))
+    layout = etl.Layout(str(tmp_path / "work"))
+    etl.run(spark, str(tmp_path / "in"), layout, MARRIAGES, DESCRIBED_CATEGORIES, 42)
+    keys = spark.read.parquet(layout.raw).select("row_id")
+    assert keys.distinct().count() == 200
+    assert spark.read.parquet(layout.split).join(keys, "row_id").count() == 200
+
+
+def test_null_keys_are_paired(spark):
+    from quipu.operators import align
+
+    left = spark.createDataFrame([(1, "a"), (None, "b")], "k long, x string")
+    right = spark.createDataFrame([(None, "d"), (1, "c")], "k long, y string")
+    assert sorted(align.concat_columns(left, right, ["k"]).collect(), key=str) == [(1, "a", "c"), (None, "b", "d")]

@@ -80,3 +80,11 @@ def test_f1_of_the_positive_class(spark, rows, expected):
 def test_accuracy_per_group(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 1, 0), ("b", 0, 0)], "g string, y int, p int")
     assert {r.g: r.accuracy for r in metrics.score(df, "accuracy", "y", "p", ["g"]).collect()} == {"a": 0.5, "b": 1.0}
+
+
+def test_fractional_columns_are_binned_without_being_told(spark):
+    """Noise in a continuous column says nearly nothing about the class."""
+    df = spark.range(4000).select(F.rand(5).alias("noise"), (F.rand(6) < 0.5).cast("int").alias("y"))
+    assert stats.information_gain(df, ["noise"], "y", bins=8).first().information_gain < 0.01
+    told = stats.information_gain(df, ["noise"], "y", numeric=[]).first().information_gain
+    assert told == pytest.approx(math.log(2), abs=0.01)

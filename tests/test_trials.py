@@ -71,6 +71,19 @@ def test_best_trial_takes_the_lowest_number_on_a_tie(spark):
     assert trials.best_trial(df).first().trial == 1
 
 
+def test_a_value_that_is_no_number_never_wins(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(0, 0.9), (1, nan), (2, 0.95), (3, nan)], "trial long, value double")
+    assert trials.best_trial(df).first().trial == 2
+    assert [r.trial for r in trials.running_champion(df).orderBy("trial").collect()] == [0, 2]
+
+
+@pytest.mark.parametrize("value, text", [(0.0005, "0.0005"), (12345678.5, "12345678.5"), (1e15, "1000000000000000.0"), (0.25, "0.25")])
+def test_messages_spell_numbers_out(spark, value, text):
+    df = spark.createDataFrame([(1, value)], "trial long, value double")
+    assert trials.running_champion(df).first().message == f"Initial trial 1 achieved value: {text}"
+
+
 def test_draws_depend_on_seed_and_trial_only(spark):
     df = spark.range(500).withColumnRenamed("id", "trial")
     one = {tuple(r) for r in trials.draw_trials(df, "trial", 1).collect()}
@@ -81,7 +94,7 @@ def test_draws_depend_on_seed_and_trial_only(spark):
     for r in rows:
         assert (r.svc_c is not None) == (r.classifier == "SVC_linear")
         assert r.svc_c is None or 0.01 <= r.svc_c < 100
-        assert r.tree_max_depth is None or 2 <= r.tree_max_depth <= 32
+        assert r.tree_max_depth is None or 2 <= r.tree_max_depth <= 30
         assert r.rf_n_estimators is None or 2 <= r.rf_n_estimators <= 10
     assert {r.rf_n_estimators for r in rows} == {None, *range(2, 11)}
 

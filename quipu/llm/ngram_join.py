@@ -9,8 +9,8 @@ positional filter and a suffix filter (common elements by hash range), and is th
 verified once on the whole sets.
 
 What is asked for is components, so a pair inside one component needs no second proof:
-each n-gram's members first meet the member in which it stands earliest, then a few
-more, and only what then lies in different components meets the rest.
+each n-gram's members first meet the member in which it stands earliest, and only what
+then lies in different components meets the rest.
 
 How often an n-gram occurs is counted over all documents in a table of fixed size; it
 only orders the n-grams, so that sharing a cell costs time and no result.  N-grams are
@@ -40,7 +40,7 @@ from quipu.session import materialize
 
 CELL_BITS = 18
 RANGES = 32
-PIVOTS = (1, 8)
+PIVOTS = (1,)
 SCREEN_KEYS = 1 << 25
 
 

@@ -226,7 +226,7 @@ def test_jaccard_components_of_edges(edge):
     assert found_components(ngram_join.classes(edge, n=4, num=85)) == expected_components(edge_texts(), 4, 85, 100)
 
 
-@pytest.mark.parametrize("pivots", [(1, 8), ()])
+@pytest.mark.parametrize("pivots", [(1,), (1, 8), ()])
 def test_jaccard_components_of_edited_copies(spark, pivots):
     rng = random.Random(4)
     base = [rng.choice(WORDS) + str(k) for k in range(60)]

@@ -7,9 +7,6 @@ row per range.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +14,8 @@ from pyspark.sql import functions as F
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4_096
 
+KEY = ["_group", "_range"]
+
 
 def with_ranges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int]:
     """Add ``_range``, the number of the range of ``order`` a row falls in; and how many there are.
@@ -24,14 +23,14 @@ def with_ranges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE)
     The edges are approximate quantiles, so the ranges are of like size; they are
     constants of the plan, and equal values share a range.  ``order`` is numeric.
     """
-    ranges = min(MAX_RANGES, -(-df.count() // rows_per_range))
-    if ranges <= 1:
-        return df.withColumn("_range", F.lit(0)), 1
     place = F.col(order).cast("double")
-    shares = [i / ranges for i in range(1, ranges)]
-    edges = df.agg(F.percentile_approx(place, shares, max(10_000, 10 * ranges)).alias("e")).first()["e"]
-    if not edges:  # every place is null
+    # Count and quantiles come from one pass; the count says how many of them are edges.
+    shares = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(place, shares, 10 * MAX_RANGES).alias("e")).first()
+    ranges = min(MAX_RANGES, -(-found["n"] // rows_per_range))
+    if ranges <= 1 or not found["e"]:  # without quantiles every place is null
         return df.withColumn("_range", F.lit(0)), 1
+    edges = [found["e"][round(i * MAX_RANGES / ranges) - 1] for i in range(1, ranges)]
     splits = [float("-inf"), *sorted(set(edges)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_place", outputCol="_range", handleInvalid="keep")
     ranged = cut.transform(df.withColumn("_place", place)).drop("_place")
@@ -46,16 +45,14 @@ def running_max_before(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add, per row, the highest earlier value: ``values`` maps new to old columns."""
-    by = by or []
-    ranged, ranges = with_ranges(df, order, rows_per_range)
-    earlier = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranged, ranges = with_ranges(_grouped(df, by), order, rows_per_range)
+    earlier = Window.partitionBy(*KEY).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumns({new: F.max(old).over(earlier) for new, old in values.items()})
     if ranges == 1:
-        return local.drop("_range")
-    tops = ranged.groupBy(*by, "_range").agg(*[F.max(old).alias(new) for new, old in values.items()])
-    before = _ranges_before(by)
-    carried = tops.select(*by, "_range", *[F.max(new).over(before).alias(f"_from_{new}") for new in values])
-    joined = _carry(local, carried, by)
+        return local.drop(*KEY)
+    tops = ranged.groupBy(*KEY).agg(*[F.max(old).alias(new) for new, old in values.items()])
+    carried = tops.select(*KEY, *[F.max(new).over(_ranges_before()).alias(f"_from_{new}") for new in values])
+    joined = local.join(carried, KEY, "left")
     # greatest() skips nulls
     merged = {new: F.greatest(F.col(new), F.col(f"_from_{new}")) for new in values}
     return joined.withColumns(merged).select(*df.columns, *values)
@@ -69,34 +66,26 @@ def numbered(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add the row number from 1 within each group, by ascending ``order``."""
-    by = by or []
-    ranged, ranges = with_ranges(df, order, rows_per_range)
-    place = F.row_number().over(Window.partitionBy(*by, "_range").orderBy(order)).cast("long")
+    ranged, ranges = with_ranges(_grouped(df, by), order, rows_per_range)
+    place = F.row_number().over(Window.partitionBy(*KEY).orderBy(order)).cast("long")
     local = ranged.withColumn(out, place)
     if ranges == 1:
-        return local.drop("_range")
-    sizes = ranged.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select(
-        *by, "_range", F.coalesce(F.sum("_n").over(_ranges_before(by)), F.lit(0)).alias("_start")
-    )
-    joined = _carry(local, starts, by)
+        return local.drop(*KEY)
+    sizes = ranged.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select(*KEY, F.coalesce(F.sum("_n").over(_ranges_before()), F.lit(0)).alias("_start"))
+    joined = local.join(starts, KEY, "left")
     return joined.withColumn(out, F.col(out) + F.col("_start")).select(*df.columns, out)
 
 
-def _ranges_before(by: list[str]):
-    """The earlier ranges of a group: at most ``MAX_RANGES`` rows in a window."""
-    return Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+def _grouped(df: DataFrame, by: list[str] | None) -> DataFrame:
+    """Add the group as one text that is never null.
 
+    Windows and joins then have the same plain key, so the rows are shuffled once; a
+    very large group is spread over its ranges.
+    """
+    return df.withColumn("_group", F.to_json(F.struct(*by)) if by else F.lit(""))
 
-def _carry(local: DataFrame, carried: DataFrame, by: list[str]) -> DataFrame:
-    """Join what each range takes over; one row per group and range.
 
-    A very large group is spread over its ranges, so the join has no large key.
-    Without groups there are at most ``MAX_RANGES`` rows to broadcast.
-    """
-    keys = [*by, "_range"]
-    right = carried.withColumnsRenamed({k: f"_of_{k}" for k in keys})
-    if not by:
-        right = F.broadcast(right)
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
-    return local.join(right, same, "left").drop(*[f"_of_{k}" for k in keys])
+def _ranges_before():
+    """The earlier ranges of a group: at most ``MAX_RANGES`` rows in a window."""
+    return Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -48,6 +48,30 @@ def test_one_split_is_read_from_its_own_files(spark, orders, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan(one)
 
 
+def test_ordered_work_shuffles_the_table_once(spark, orders):
+    from quipu.operators import ordered
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = ordered.numbered(orders.select("o_orderkey", "o_orderstatus"), "o_orderkey", ["o_orderstatus"], rows_per_range=200)
+        tree = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    join = tree[tree.index("Join") :]
+    data_side = join[: join.index("Project", join.index("Window"))]
+    assert data_side.count("Exchange hashpartitioning(_group") == 1
+
+
+def test_later_rounds_of_a_split_read_only_near_rows(monkeypatch, orders):
+    seen = []
+    near = split._near
+    monkeypatch.setattr(split, "_near", lambda rows, *a: seen.append(rows) or near(rows, *a))
+    split.train_test_split(orders, ["o_orderkey"], 1, 0.3, rank_rows=1)
+    sources = [str(rows._jdf.queryExecution().optimizedPlan()) for rows in seen]
+    assert len(sources) > 1 and "orders" in sources[0] or "md5" in sources[0]
+    assert not any("md5" in source for source in sources[1:])
+
+
 def test_values_collapse_before_the_shuffle(orders):
     text = plan(encode.distinct_values(orders, ["o_orderstatus"]))
     assert text.count("HashAggregate") == 2

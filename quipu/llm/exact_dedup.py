@@ -129,10 +129,9 @@ def classes(
     totals = materialize(every.select(*KEY, "home", "batch").join(sums, [*KEY, "home"]), "classes")
     found = rows.join(totals, [*KEY, "batch"]).select("doc_id", *KEY, "keep_id", "group_size")
 
-    # Byte for byte: every text of a class with several rows.
-    shared = totals.where("group_size > 1").select(*KEY).distinct()
+    # Byte for byte: no digest may have two texts.  Copies collapse before the shuffle.
     spelled = source.select(digest(F.col("text")).alias("digest"), control(F.col("text")).alias("control"), "text", "doc_id")
-    texts = spelled.join(shared, KEY, "left_semi").select(*KEY, "text").distinct()
+    texts = spelled.select(*KEY, "text").distinct()
     clashing = materialize(texts.groupBy(*KEY).count().where("count > 1").select(*KEY), "clashes")
     if clashing.isEmpty():
         return found.select("doc_id", "digest", "keep_id", "group_size")

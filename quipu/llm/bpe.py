@@ -257,6 +257,8 @@ def _split_blocks(buckets: int, limit: int):
                 size += len(data)
         if held:
             yield _block_rows(block, held, buckets)
+        held.clear()
+        scan.release()
 
     return run
 
@@ -397,6 +399,8 @@ def decode(encoded: DataFrame, words_of: RankFile, ids: str = "ids", out: str =
             if column.null_count:
                 found = pc.if_else(column.is_valid(), found, None)
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, out])
+            del batch, column, parts, found
+            scan.release()
 
     return encoded.mapInArrow(run, schema)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quipu.llm import features
+from quipu.llm import features, scan
 
 PER_CLASS = 2000
 EPOCHS = 12
@@ -154,17 +154,22 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
             column = column.fill_null("") if column.null_count else column
             scores = [model.score(codes) for codes in features.indicators(column)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
+            del batch, column
+            scan.release()
 
     return docs.mapInArrow(run, schema)
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows whose whole text scores at least ``least``, with all their columns."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [model.score(codes) >= least for codes in features.indicators(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["row"]).filter(pa.array(keep, pa.bool_()))
+            keep = [model.score(codes) >= least for codes in features.indicators(batch.column(0).field(place))]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+            del batch
+            scan.release()
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"]])).select("row.*")
+    return rows.mapInArrow(run, rows.schema).select("row.*")

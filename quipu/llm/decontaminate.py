@@ -93,6 +93,7 @@ def _counts(docs: DataFrame, items: Items, seed_words: int) -> np.ndarray:
                     text = np.searchsorted(starts, place, side="right")
                     pairs = np.unique(text * max(len(items.grams), 1) + number)
                     total += np.bincount(pairs % max(len(items.grams), 1), minlength=len(total))
+            scan.release()
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["gram", "n"])
 
@@ -189,6 +190,7 @@ def _search(items: Items, seed_words: int, least_score: float):
                             yield from finish(held)
                             held, cells = [], 0
                 yield from finish(held)
+            scan.release()
 
     def finish(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         held.sort(key=lambda h: len(h[2]) + len(h[3]))

@@ -42,6 +42,7 @@ CELL_BITS = 18
 RANGES = 32
 PIVOTS = (1,)
 SCREEN_KEYS = 1 << 25
+PAIRS_AT_ONCE = 256
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -60,6 +61,7 @@ def _frequencies(rows: DataFrame, n: int) -> np.ndarray:
         for batch in batches:
             for codes, _ in _sets(batch.column(1), n):
                 total += np.bincount((codes >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=cells)
+            scan.release()
         used = np.flatnonzero(total)
         # Neighbouring cells go together: the shuffle has a row for 64 cells.
         whole = total.reshape(-1, 64)
@@ -106,6 +108,8 @@ def _prefixes(frequency: np.ndarray, n: int, num: int, den: int):
                     ],
                     names=names,
                 )
+            del batch, digests, prefixes, ranges, sizes
+            scan.release()
 
     return run
 
@@ -132,12 +136,15 @@ def _similar(num: int, den: int, n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = [s for part in _sets(batch.column(2), n) for s in np.split(part[0], part[1][1:-1])]
-            right = [s for part in _sets(batch.column(3), n) for s in np.split(part[0], part[1][1:-1])]
             keep = np.zeros(batch.num_rows, dtype=bool)
-            for k, (x, y) in enumerate(zip(left, right)):
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                keep[k] = den * common >= num * (len(x) + len(y) - common)
+            for a in range(0, batch.num_rows, PAIRS_AT_ONCE):
+                some = batch.slice(a, PAIRS_AT_ONCE)
+                left = [s for part in _sets(some.column(2), n) for s in np.split(part[0], part[1][1:-1])]
+                right = [s for part in _sets(some.column(3), n) for s in np.split(part[0], part[1][1:-1])]
+                for k, (x, y) in enumerate(zip(left, right)):
+                    common = len(x) + len(y) - len(np.union1d(x, y))
+                    keep[a + k] = den * common >= num * (len(x) + len(y) - common)
+            scan.release()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
     return run
@@ -167,6 +174,8 @@ def _screened(rows: DataFrame, ids: DataFrame) -> DataFrame:
                 for f in filters:
                     keep |= f.contains(keys)
                 yield batch.filter(pa.array(keep))
+                del batch
+                scan.release()
 
         rows = rows.mapInArrow(sift, rows.schema)
     return rows.join(ids, rows.columns[0], "left_semi")

@@ -1,11 +1,15 @@
-"""Licence notices in whole texts: a trained paragraph classifier, confirmed by templates.
-
-A paragraph is a line.  Its features are the distinct one- to three-word sequences that
-occur in the templates; a sparse logistic regression (L1, one output per family and one
-for "unknown") is trained on varied templates and on paragraphs of a bounded sample of
-the corpus.  A temperature fitted on rows that were kept out calibrates the
-probabilities.  A paragraph is reported if a family is likelier than "unknown" and a
-template of that family is found in it: enough of the template's word pairs in order.
+"""Licence notices in whole texts: stretches that follow a template, and a trained classifier.
+
+A paragraph is a run of adjacent lines that have words, so a notice may be wrapped.  In
+every paragraph, whatever its length, each stretch of words that has enough of a
+template's word pairs in order, within a reach that follows from the template's length,
+is a candidate.  Its features are the distinct one- to three-word sequences that occur in
+the templates; a sparse logistic regression (L1, one output per family and one for
+"unknown") is trained on varied templates and on short spans of a bounded sample of the
+corpus.  A temperature fitted on rows that were kept out calibrates the probabilities.  A
+candidate stands if its template's family is the likeliest for its words.  Of candidates
+that share words the one with the most pairs, less half of those missed or skipped, is
+reported, with the line on which it begins; so a line or paragraph may have many notices.
 
 Null and empty texts have no paragraph to report.  Repeated rows are reported row by row,
 ties go to the family that sorts first, and an empty corpus gives an empty result (the
@@ -14,6 +18,7 @@ model then learns from templates alone).  Columns beside the id and the text are
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +34,8 @@ SAMPLE_DOCUMENTS = 300
 SAMPLE_PARAGRAPHS = 4000
 LEAST_SIMILARITY = 0.6
 LONGEST = 3
+# A notice lies within so many words for each of its template's pairs, and so many more.
+REACH, REACH_MORE = 2, 16
 
 # Usual wording of licence notices, by family.
 TEMPLATES: dict[str, list[str]] = {
@@ -123,24 +130,76 @@ class Model:
             return some, np.zeros((0, len(self.families)))
         return some, _softmax(np.add.reduceat(self.weights[number], begin, axis=0) + self.bias)
 
-    def similarity(self, family: int, words: np.ndarray) -> float:
-        """Largest share of a template's word pairs that the paragraph has, in order."""
-        best = 0.0
-        own = words[:-1] * np.uint64(3) + words[1:] if len(words) > 1 else words
-        for template in self.templates[family]:
-            other = template[:-1] * np.uint64(3) + template[1:] if len(template) > 1 else template
-            best = max(best, _common_in_order(other, own) / len(other))
-        return best
-
-
-def _common_in_order(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence; ``a`` is a short template."""
-    b = b[np.isin(b, a)]
-    row = np.zeros(len(b) + 1, dtype=np.int64)
-    for x in a:
-        same = np.where(b == x, row[:-1] + 1, 0)
-        row = np.maximum.accumulate(np.maximum(row, np.concatenate([[0], same])))
-    return int(row[-1])
+    def candidates(self, hashes: np.ndarray, begins: np.ndarray, least: float) -> list[tuple[float, int, int, int, float]]:
+        """Score, first word, word after the last, family and share of pairs of each stretch that has enough of a template."""
+        grams, starts = scan.ngram_hashes(hashes, begins, 2)
+        known = np.unique(np.concatenate([_pairs(t) for own in self.templates for t in own]))
+        number = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        place = np.flatnonzero(known[number] == grams)
+        number = number[place]
+        paragraph = np.searchsorted(starts, place, side="right") - 1
+        word = begins[paragraph] + place - starts[paragraph]
+        found = []
+        for family, own in enumerate(self.templates):
+            for template in own:
+                pairs = np.searchsorted(known, _pairs(template))
+                part = np.zeros(len(known), dtype=bool)
+                part[pairs] = True
+                hits = np.flatnonzero(part[number])
+                enough, reach = int(np.ceil(least * len(pairs) - 1e-9)), REACH * len(pairs) + REACH_MORE
+                ahead = hits[enough - 1 :]
+                behind = hits[: len(ahead)]
+                close = np.flatnonzero((word[ahead] - word[behind] <= reach) & (paragraph[ahead] == paragraph[behind]))
+                if not len(close):
+                    continue
+                where: dict[int, list[int]] = {}
+                for k in range(len(pairs) - 1, -1, -1):
+                    where.setdefault(int(pairs[k]), []).append(k)
+                ends = np.minimum(np.searchsorted(word[hits], word[hits[close]] + reach, side="right"), np.searchsorted(paragraph[hits], paragraph[hits[close]], side="right"))
+                for a, b in zip(close.tolist(), ends.tolist()):
+                    first = int(word[hits[a]])
+                    for n, last in _common_in_order(where, number[hits[a:b]].tolist(), word[hits[a:b]].tolist(), enough):
+                        score = n - (last - first + 1 - n) / 2 - (len(pairs) - n) / 2
+                        found.append((score, first, last + 2, family, n / len(pairs)))
+        return found
+
+    def confirmed(self, hashes: np.ndarray, begins: np.ndarray, least: float) -> list[tuple[int, int, float, float]]:
+        """First word, family, probability and share of pairs of the notices, none of which share a word."""
+        found = self.candidates(hashes, begins, least)
+        if not found:
+            return []
+        spans, of = np.unique(np.array([f[1:3] for f in found]), axis=0, return_inverse=True)
+        size = spans[:, 1] - spans[:, 0]
+        some, odds = self.paragraphs(hashes[scan.ragged(spans[:, 0], size)], np.concatenate([[0], np.cumsum(size)]))
+        at = dict(zip(some.tolist(), range(len(some))))
+        best = odds.argmax(axis=1)
+        taken = np.zeros(len(hashes), dtype=bool)
+        out = []
+        for (_, first, end, family, alike), span in sorted(zip(found, of.ravel().tolist()), key=lambda f: (-f[0][0], f[0][1:])):
+            k = at.get(span)
+            if k is not None and best[k] == family and not taken[first:end].any():
+                taken[first:end] = True
+                out.append((first, family, float(odds[k, family]), alike))
+        return sorted(out)
+
+
+def _pairs(words: np.ndarray) -> np.ndarray:
+    return scan.ngram_hashes(words, np.array([0, len(words)]), 2)[0]
+
+
+def _common_in_order(where: dict[int, list[int]], pairs: list[int], words: list[int], enough: int) -> Iterator[tuple[int, int]]:
+    """Length of the longest common subsequence with a template, and the word, wherever it grows to ``enough`` or more.
+
+    ``where`` holds the places of a pair in the template, the last first.
+    """
+    tails: list[int] = []
+    for pair, word in zip(pairs, words):
+        before = len(tails)
+        for k in where[pair]:
+            at = bisect_left(tails, k)
+            tails[at : at + 1] = [k]
+        if len(tails) > before and len(tails) >= enough:
+            yield len(tails), word
 
 
 def _softmax(values: np.ndarray) -> np.ndarray:
@@ -153,8 +212,8 @@ def _lines(data: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([borders, np.flatnonzero(data == 0x0A) + 1]))
 
 
-def _paragraph_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """First row of the slice, word hashes, where each paragraph begins, its row and its number there."""
+def _line_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row of the slice, word hashes, where each line begins, its row and its number there."""
     for a, _, data, borders in scan.slices(column):
         lines = _lines(data, borders)
         start, _, hashes, _ = scan.word_hashes(data, lines, inside=scan.IN_TERM)
@@ -163,6 +222,14 @@ def _paragraph_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.nda
         yield a, hashes, np.searchsorted(start, lines), row, number
 
 
+def _paragraphs(lines: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Where the words of each run of lines with words begin, and the end of all."""
+    filled = np.diff(lines) > 0
+    follows = np.zeros(len(row), dtype=bool)
+    follows[1:] = filled[:-1] & (row[1:] == row[:-1])
+    return np.append(lines[:-1][filled & ~follows], lines[-1])
+
+
 def _words(text: str) -> np.ndarray:
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     return scan.word_hashes(data, np.array([0, len(data)]), inside=scan.IN_TERM)[2]
@@ -256,7 +323,7 @@ def sample(docs: DataFrame, text: str = "text", id: str = "doc_id", documents: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for _, hashes, begins, row, _ in _paragraph_words(batch.column(1)):
+            for _, hashes, begins, row, _ in _line_words(batch.column(1)):
                 for own in np.split(np.arange(len(row)), np.flatnonzero(np.diff(row)) + 1):
                     spread = own[:: max(1, len(own) // per_document)][:per_document]
                     found += [hashes[begins[k] : begins[k + 1]][:400].astype("<u8").tobytes() for k in spread]
@@ -266,7 +333,10 @@ def sample(docs: DataFrame, text: str = "text", id: str = "doc_id", documents: i
 
 
 def notices(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id", least_similarity: float = LEAST_SIMILARITY) -> DataFrame:
-    """``doc_id``, ``paragraph`` (from 0), ``family``, ``probability``, ``similarity`` of each confirmed notice."""
+    """``doc_id``, ``paragraph``, ``family``, ``probability``, ``similarity`` of each confirmed notice.
+
+    ``paragraph`` is the number, from 0, of the line on which the notice begins.
+    """
     names = ["doc_id", "paragraph", "family", "probability", "similarity"]
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
@@ -274,14 +344,10 @@ def notices(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id
         for batch in batches:
             ids = batch.column(0).to_pylist()
             found = []
-            for a, hashes, begins, row, number in _paragraph_words(batch.column(1)):
-                some, odds = model.paragraphs(hashes, begins)
-                best = odds.argmax(axis=1)
-                for k in np.flatnonzero(best < len(model.families) - 1).tolist():
-                    p = some[k]
-                    alike = model.similarity(int(best[k]), hashes[begins[p] : begins[p + 1]])
-                    if alike >= least_similarity:
-                        found.append((ids[a + row[p]], int(number[p]), model.families[best[k]], float(odds[k, best[k]]), alike))
+            for a, hashes, lines, row, number in _line_words(batch.column(1)):
+                for first, family, odds, alike in model.confirmed(hashes, _paragraphs(lines, row), least_similarity):
+                    k = np.searchsorted(lines, first, side="right") - 1
+                    found.append((ids[a + row[k]], int(number[k]), model.families[family], odds, alike))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c) if n != "doc_id" else pa.array(c, pa.int64()) for n, c in zip(names, zip(*found))], names=names)
 

@@ -326,6 +326,23 @@ def test_licence_notices(spark):
     assert found == wanted
 
 
+def test_wrapped_licence_notices(spark):
+    model = licenses.train(licenses.sample(documents(spark, edge_texts())))
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License"
+    bsd = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met"
+    isc = "// Permission to use, copy, modify, and/or distribute this software for any\r\n// purpose with or without fee is hereby granted"
+    rows = edge_texts() + [
+        (40, gpl),
+        (41, "code here\n\n" + bsd + "\nmore words"),
+        (42, "x\n\n\n" + isc),
+        (43, "\n".join("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License".split())),
+        (44, "All rights\n\nreserved."),
+        (45, "All rights reserved.\nAll rights reserved."),
+    ]
+    found = sorted((r.doc_id, r.paragraph, r.family) for r in licenses.notices(documents(spark, rows), model).collect())
+    assert found == [(40, 0, "GPL"), (41, 2, "BSD"), (42, 3, "ISC"), (43, 0, "GPL"), (45, 0, "reserved"), (45, 1, "reserved")]
+
+
 def test_licences_of_nothing(nothing):
     model = licenses.train(licenses.sample(nothing))
     assert licenses.notices(nothing, model).count() == 0

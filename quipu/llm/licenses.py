@@ -33,6 +33,7 @@ UNKNOWN = "unknown"
 SAMPLE_DOCUMENTS = 300
 SAMPLE_PARAGRAPHS = 4000
 LEAST_SIMILARITY = 0.6
+SPAN_WORDS = 64
 LONGEST = 3
 # A notice lies within so many words for each of its template's pairs, and so many more.
 REACH, REACH_MORE = 2, 16
@@ -230,6 +231,14 @@ def _paragraphs(lines: np.ndarray, row: np.ndarray) -> np.ndarray:
     return np.append(lines[:-1][filled & ~follows], lines[-1])
 
 
+def _spans(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the spans of at most ``SPAN_WORDS`` words of all lines begin, and the line of each."""
+    count = -(-np.diff(lines) // SPAN_WORDS)
+    line = np.repeat(np.arange(len(count)), count)
+    inner = np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
+    return np.append(lines[line] + inner * SPAN_WORDS, lines[-1]), line
+
+
 def _words(text: str) -> np.ndarray:
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     return scan.word_hashes(data, np.array([0, len(data)]), inside=scan.IN_TERM)[2]
@@ -311,7 +320,10 @@ def _holds_template(words: np.ndarray, templates: list[np.ndarray]) -> bool:
 
 
 def sample(docs: DataFrame, text: str = "text", id: str = "doc_id", documents: int = SAMPLE_DOCUMENTS, paragraphs: int = SAMPLE_PARAGRAPHS) -> list[np.ndarray]:
-    """Word hashes of paragraphs to learn from: a bounded number, of a bounded number of documents."""
+    """Word hashes of spans of lines to learn from: a bounded number, of a bounded number of documents.
+
+    Long lines are cut into spans that cover all of them, and the spans are drawn evenly.
+    """
     ids = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("class"))
     chosen = [(i,) for own in features.sample_ids(ids, documents).values() for i in own]
     if not chosen:
@@ -323,10 +335,12 @@ def sample(docs: DataFrame, text: str = "text", id: str = "doc_id", documents: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for _, hashes, begins, row, _ in _line_words(batch.column(1)):
+            for _, hashes, lines, row, _ in _line_words(batch.column(1)):
+                begins, line = _spans(lines)
+                row = row[line]
                 for own in np.split(np.arange(len(row)), np.flatnonzero(np.diff(row)) + 1):
-                    spread = own[:: max(1, len(own) // per_document)][:per_document]
-                    found += [hashes[begins[k] : begins[k + 1]][:400].astype("<u8").tobytes() for k in spread]
+                    spread = own[np.unique(np.linspace(0, len(own) - 1, per_document).round().astype(int))] if len(own) else own
+                    found += [hashes[begins[k] : begins[k + 1]].astype("<u8").tobytes() for k in spread]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["words"])
 
     return [np.frombuffer(w, dtype="<u8") for w in sorted(bytes(r[0]) for r in rows.select("_id", "_text").mapInArrow(run, "words binary").collect())]

@@ -343,6 +343,31 @@ def test_wrapped_licence_notices(spark):
     assert found == [(40, 0, "GPL"), (41, 2, "BSD"), (42, 3, "ISC"), (43, 0, "GPL"), (45, 0, "reserved"), (45, 1, "reserved")]
 
 
+def test_licence_notices_of_one_line(spark):
+    """Several notices of one line, and notices anywhere in very long lines."""
+    rng = random.Random(3)
+    model = licenses.train(licenses.sample(documents(spark, edge_texts())))
+    mit, apache, gpl = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3"
+    prose = [sentence(rng, 30000) for _ in range(3)]
+    rows = edge_texts() + [
+        (50, f"{mit} {apache}"),
+        (51, f"{gpl}, and {apache.lower()} {mit}"),
+        (52, f"{prose[0]} {mit} {prose[1]} {apache} {prose[2]} All rights reserved."),
+        (53, f"a\n{mit} {mit}"),
+    ]
+    found = sorted((r.doc_id, r.paragraph, r.family) for r in licenses.notices(documents(spark, rows), model).collect())
+    wanted = [(50, 0, "Apache-2.0"), (50, 0, "MIT"), (51, 0, "Apache-2.0"), (51, 0, "GPL"), (51, 0, "MIT")]
+    wanted += [(52, 0, "Apache-2.0"), (52, 0, "MIT"), (52, 0, "reserved"), (53, 1, "MIT"), (53, 1, "MIT")]
+    assert found == wanted
+
+
+def test_licence_sample_covers_long_lines(spark):
+    line = " ".join(f"w{k}" for k in range(5000))
+    found = licenses.sample(documents(spark, [(1, line)]))
+    last = licenses._words(line)[-1]
+    assert max(map(len, found)) <= licenses.SPAN_WORDS and any(last in words for words in found)
+
+
 def test_licences_of_nothing(nothing):
     model = licenses.train(licenses.sample(nothing))
     assert licenses.notices(nothing, model).count() == 0

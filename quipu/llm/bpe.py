@@ -7,7 +7,7 @@ blocks' copies of a word, encodes each distinct word once, and sends the ids bac
 blocks, where they are put together by position.  So a word that fills a third of all
 text crosses the shuffle once per block.
 
-Nulls and empty texts have no tokens.  Repeated rows and repeated ids each get their own
+Nulls and empty texts have no tokens.  A null id stays null.  Repeated rows and repeated ids each get their own
 result.  Columns beside the id and the text are not read.
 """
 
@@ -199,7 +199,7 @@ BLOCK_SCHEMA = "block long, bucket int, doc_ids binary, sizes binary, counts bin
 
 def _block_rows(block: int, held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
     """One row with the documents of a block as word numbers, and one for each bucket of its words."""
-    ids, data, borders, begin, hashes = (list(part) for part in zip(*held))
+    ids, named, data, borders, begin, hashes = (list(part) for part in zip(*held))
     text = b"".join(d.tobytes() for d in data)
     shift = np.cumsum([0, *map(len, data)])
     begin = np.concatenate([b + s.astype(b.dtype) for b, s in zip(begin, shift)])
@@ -227,7 +227,7 @@ def _block_rows(block: int, held: list[tuple[np.ndarray, ...]], buckets: int) ->
     place[by_bucket] = rank
     sizes = np.diff(np.searchsorted(begin, borders))
     cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-    doc_ids = np.concatenate(ids).astype("<i8").tobytes()
+    doc_ids = np.concatenate(ids).astype("<i8").tobytes() + np.concatenate(named).tobytes()
     rows = [(block, -1, doc_ids, scan.press_numbers(sizes), scan.press_numbers(count), scan.press_numbers(place[number]))]
     for k in np.flatnonzero(np.diff(cuts)):
         here = slice(cuts[k], cuts[k + 1])
@@ -245,7 +245,7 @@ def _split_blocks(buckets: int, limit: int):
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, named = scan.numbers(batch.column(0))
             for a, b, data, borders in scan.slices(batch.column(1)):
                 if held and size + len(data) > limit:
                     yield _block_rows(block, held, buckets)
@@ -253,7 +253,7 @@ def _split_blocks(buckets: int, limit: int):
                     scan.release()
                 begin = pretoken_starts(data, borders)
                 hashes = scan.range_hash(scan.prefix_sums(data), begin, np.append(begin[1:], len(data)))
-                held.append((ids[a:b], data.copy(), borders, begin if len(data) >= 1 << 30 else begin.astype(np.int32), hashes))
+                held.append((ids[a:b], named[a:b], data.copy(), borders, begin if len(data) >= 1 << 30 else begin.astype(np.int32), hashes))
                 size += len(data)
         if held:
             yield _block_rows(block, held, buckets)
@@ -302,7 +302,9 @@ def _encode_bucket(words_of: RankFile | TokenizerFile, numbers: bool):
 
 def _join_block(documents: pa.Table, words: pa.Table) -> pa.Table:
     """The ids of a block's documents, put together by position."""
-    ids, sizes, counts, payload = (documents.column(c)[0].as_py() for c in ("doc_ids", "sizes", "counts", "payload"))
+    doc_ids, sizes, counts, payload = (documents.column(c)[0].as_py() for c in ("doc_ids", "sizes", "counts", "payload"))
+    n_ids = len(doc_ids) // 9  # eight bytes each, and one that tells whether it is there
+    ids, named = np.frombuffer(doc_ids, dtype="<i8", count=n_ids), np.frombuffer(doc_ids, dtype=bool, offset=8 * n_ids)
     word_sizes, word_ids = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     if words.num_rows:
         for packed in words.sort_by("bucket").column("payload").to_pylist():
@@ -325,7 +327,7 @@ def _join_block(documents: pa.Table, words: pa.Table) -> pa.Table:
     scan.release()
     return pa.table(
         {
-            "doc_id": pa.array(np.frombuffer(ids, dtype="<i8"), type=pa.int64()),
+            "doc_id": pa.array(ids, type=pa.int64(), mask=~named),
             "n_tokens": pa.array(np.diff(borders), type=pa.int64()),
             "ids": scan.binary_column(out, borders * 4),
         }

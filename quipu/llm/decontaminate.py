@@ -162,7 +162,7 @@ def _search(items: Items, seed_words: int, least_score: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0)
             for a, _, hashes, begins in _terms(batch.column(1)):
                 found = []
                 for grams, starts in _all_grams(items, hashes, begins, seed_words):
@@ -184,7 +184,7 @@ def _search(items: Items, seed_words: int, least_score: float):
                         slack = len(own) // 2 + 1
                         first = max(low - slack, int(begins[doc]))
                         last = min(high + len(own) + slack, int(begins[doc + 1]))
-                        held.append((int(ids[a + doc]), k, own, hashes[first:last], first - int(begins[doc]), last - int(begins[doc])))
+                        held.append((ids[a + int(doc)].as_py(), k, own, hashes[first:last], first - int(begins[doc]), last - int(begins[doc])))
                         cells += len(own) + last - first
                         if cells > CELLS:
                             yield from finish(held)
@@ -203,7 +203,7 @@ def _search(items: Items, seed_words: int, least_score: float):
                 if share >= least_score:
                     rows.append((h[0], int(items.ids[h[1]]), share, h[4], h[5]))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "score" else pa.int64()) for n, c in zip(names, zip(*rows))], names=names)
 
     return run
 
@@ -212,7 +212,10 @@ def pairs(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
     seed_words: int = SEED_WORDS, least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``doc_id``, ``item_id``, best ``score``, and the words of the document that were aligned."""
+    """``doc_id``, ``item_id``, best ``score``, and the words of the document that were aligned.
+
+    Documents without an id share one row for each item, with a null id.
+    """
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
     tests = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.lower(item_text).alias("text"))
     tests = tests.where("item_id IS NOT NULL AND text IS NOT NULL").withColumn("size", F.octet_length("text"))

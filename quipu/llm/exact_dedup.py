@@ -146,8 +146,15 @@ def classes(
 def survivors(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    An id names one document, so rows that repeat a kept id and its text all stay.
+    An id names one document, so rows that repeat a kept id and its text all stay.  A row
+    without an id goes if its text has a row with one; else one row of the text stays.
     """
-    kept = classes(docs, text, id).where("doc_id = keep_id").select("doc_id", "digest").distinct()
+    found = classes(docs, text, id)
+    kept = found.where("doc_id = keep_id").select("doc_id", "digest").distinct()
     same = (docs[id].cast("long") == kept["doc_id"]) & (sha256(F.coalesce(docs[text], F.lit(""))) == kept["digest"])
-    return docs.join(kept, same, "left_semi")
+    nameless = docs.where(docs[id].cast("long").isNull())
+    lone = found.where("keep_id IS NULL").select("digest").distinct()
+    spelled = F.coalesce(docs[text], F.lit(""))
+    left = nameless.select(F.struct("*").alias("row"), spelled.alias("spelled")).join(lone, sha256(F.col("spelled")) == lone["digest"], "left_semi")
+    left = left.groupBy("spelled").agg(F.first("row").alias("row")).select("row.*")
+    return docs.join(kept, same, "left_semi").unionByName(left)

@@ -45,6 +45,12 @@ def release() -> None:
         _libc.malloc_trim(0)
 
 
+def numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers as int64, 0 for a null, and which of them are there."""
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), there
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, row after the last, bytes, and borders of the texts, slice by slice.
 

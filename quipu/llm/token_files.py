@@ -2,7 +2,7 @@
 
 A file holds blocks; a block holds documents in ascending id order:
 
-    magic, bits per id in the control bytes, documents, control bytes, data bytes
+    magic, bits per id in the control bytes, documents, null ids, control bytes, data bytes
     document ids (int64), ids per document (uint32), control bytes, data bytes, newline
 
 The most frequent ids have the smallest ranks, so that most take one byte.  A control
@@ -11,7 +11,8 @@ to 65,536) or of the next four (one to four bytes each).  Each document starts a
 byte of its own.  Numbers are little-endian.  Readers look lengths up by control byte.
 
 Null and empty texts consist of the end id alone.  Rows that repeat an id each get their
-own place, in the order of their ids' bytes.  An empty table gives no file and no row.
+own place, in the order of their ids' bytes.  Documents without an id come first; their
+id is written as 0, and a block says how many of its first documents they are.  An empty table gives no file and no row.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from quipu.llm import bpe, scan
 from quipu.session import materialize
 
 MAGIC = b"QTOK"
-HEAD = "<4sBIQQ"
+HEAD = "<4sBIIQQ"
 HEAD_SIZE = struct.calcsize(HEAD)
 FILE_TEXT_BYTES = 16 << 20
 BLOCK_IDS = 1 << 19
@@ -101,7 +102,7 @@ def _coder(rank: np.ndarray, end_id: int, cuts: list[int], bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, named = scan.numbers(batch.column(0))
             counts, controls, packed = [], [], []
             for _, _, data, borders in scan.slices(batch.column(1)):
                 flat = rank[np.frombuffer(data.tobytes(), dtype="<u4")]
@@ -110,13 +111,13 @@ def _coder(rank: np.ndarray, end_id: int, cuts: list[int], bits: int):
                     counts.append(b - a + 1)
                     controls.append(len(control))
                     packed.append(control + coded)
-            part = np.searchsorted(cuts, ids, side="right").astype(np.int32)
+            part = np.where(named, np.searchsorted(cuts, ids, side="right"), 0).astype(np.int32)
             rows = []
             for p in np.unique(part):
                 own = np.flatnonzero(part == p)
                 sizes = [np.array([of[i] for i in own], dtype="<u4") for of in (counts, controls, list(map(len, packed)))]
                 whole = np.frombuffer(b"".join(packed[i] for i in own), dtype=np.uint8)
-                rows.append((int(p), scan.press_arrays(ids[own].astype("<i8"), *sizes, whole)))
+                rows.append((int(p), scan.press_arrays(named[own].astype("u1"), ids[own].astype("<i8"), *sizes, whole)))
             columns = list(zip(*rows)) if rows else [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], names=["part", "packed"])
 
@@ -124,25 +125,25 @@ def _coder(rank: np.ndarray, end_id: int, cuts: list[int], bits: int):
 
 
 def _blocks(bits: int, block_ids: int):
-    def block(ids: list[int], counts: list[int], controls: list[int], documents: list[bytes]) -> bytes:
+    def block(named: list[int], ids: list[int], counts: list[int], controls: list[int], documents: list[bytes]) -> bytes:
         control = b"".join(d[:n] for d, n in zip(documents, controls))
         data = b"".join(d[n:] for d, n in zip(documents, controls))
-        head = struct.pack(HEAD, MAGIC, bits, len(ids), len(control), len(data))
+        head = struct.pack(HEAD, MAGIC, bits, len(ids), len(ids) - sum(named), len(control), len(data))
         return head + np.array(ids, dtype="<i8").tobytes() + np.array(counts, dtype="<u4").tobytes() + control + data
 
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         rows = []
         for packed in table.column("packed").to_pylist():
-            ids, counts, controls, sizes, whole = scan.unpress_arrays(packed)
+            named, ids, counts, controls, sizes, whole = scan.unpress_arrays(packed)
             ends = np.cumsum(sizes, dtype=np.int64)
             whole = whole.tobytes()
-            rows += zip(ids.tolist(), counts.tolist(), controls.tolist(), [whole[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())])
+            rows += zip(named.tolist(), ids.tolist(), counts.tolist(), controls.tolist(), [whole[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())])
         rows.sort()
         out, held, size = [], [], 0
         for row in rows:
             held.append(row)
-            size += row[1]
+            size += row[2]
             if size >= block_ids:
                 out.append(block(*zip(*held)))
                 held, size = [], 0
@@ -173,7 +174,7 @@ def write(
     key = F.col(id).cast("long")
     cuts = []
     if files > 1:
-        cuts = docs.select(F.percentile_approx(key, F.lit([k / files for k in range(1, files)]), F.lit(10 * files))).first()[0]
+        cuts = docs.select(F.percentile_approx(key, F.lit([k / files for k in range(1, files)]), F.lit(10 * files))).first()[0] or []
     bits = control_bits(vocabulary)
     coded = words.documents().select("doc_id", "ids").mapInArrow(_coder(rank, end_id, cuts, bits), "part int, packed binary")
     blocks = coded.groupBy("part").applyInArrow(_blocks(bits, block_ids), "part int, block binary")
@@ -188,7 +189,7 @@ def _parse(order: np.ndarray):
                 data = np.frombuffer(content.as_buffer(), dtype=np.uint8)
                 at = before = 0
                 while at < len(data):
-                    magic, bits, n, controls, size = struct.unpack(HEAD, data[at : at + HEAD_SIZE].tobytes())
+                    magic, bits, n, nulls, controls, size = struct.unpack(HEAD, data[at : at + HEAD_SIZE].tobytes())
                     if magic != MAGIC:
                         raise ValueError(f"no block at byte {at}")
                     at += HEAD_SIZE
@@ -201,7 +202,7 @@ def _parse(order: np.ndarray):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(n, part.as_py(), dtype=np.int32)),
-                            pa.array(ids),
+                            pa.array(ids, mask=np.arange(n) < nulls),
                             pa.array(before + borders[:-1]),
                             pa.array(counts),
                             scan.binary_column(order[ranks], borders * 4),

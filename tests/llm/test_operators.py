@@ -4,6 +4,7 @@ import hashlib
 import random
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -120,6 +121,50 @@ def test_repeated_strings_of_nothing(nothing):
     assert suffix_dedup.dedup(nothing).count() == 0
 
 
+# ids that are null or beyond what a float holds
+
+FAR = (1 << 53) + 1
+
+
+def far_texts():
+    return edge_texts() + [(None, "alone"), (None, "alone"), (None, "word"), (None, None), (None, "only"), (FAR, "far away"), (FAR + 2, "further"), (-FAR, "alone too")]
+
+
+def test_survivors_without_an_id(spark):
+    docs = documents(spark, far_texts())
+    kept = exact_dedup.survivors(docs)
+    assert kept.columns == docs.columns
+    found = Counter((r.doc_id, r.text or "") for r in kept.collect())
+    rows = [(i, t or "") for i, t in far_texts()]
+    best = {}
+    for i, t in rows:
+        best[t] = i if best.get(t) is None or (i is not None and i > best[t]) else best[t]
+    wanted = Counter((i, t) for i, t in rows if i is not None and best[t] == i)
+    wanted.update((None, t) for t, i in best.items() if i is None)
+    assert found == wanted and found[None, "alone"] == 1
+
+
+def test_bpe_keeps_ids(spark):
+    found = bpe.encode(documents(spark, far_texts()), MULTILINGUAL, block_bytes=4000, bucket_bytes=8000)
+    assert Counter(r.doc_id for r in found.select("doc_id").collect()) == Counter(i for i, _ in far_texts())
+
+
+@pytest.mark.parametrize("file_text_bytes", [30000, 1 << 24])
+def test_token_files_keep_ids(spark, tmp_path, file_text_bytes):
+    path = str(tmp_path / "files")
+    order = token_files.write(documents(spark, far_texts()), ENGLISH, 50257, 2, path, file_text_bytes=file_text_bytes, block_ids=2000, block_bytes=9000)
+    found = sorted(token_files.checksums(token_files.read(spark, path, order)).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == sorted((i for i, _ in far_texts()), key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in found] == np.cumsum([0, *(r.n_tokens for r in found)])[:-1].tolist()
+
+
+def test_decontamination_keeps_ids(spark):
+    passage = " ".join(f"v{k}" for k in range(30))
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    docs = documents(spark, far_texts() + [(None, "some " + passage), (FAR + 4, passage + " more")], partitions=1)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.pairs(docs, bench).collect()} == {(None, 1), (FAR + 4, 1)}
+
+
 # byte-level BPE
 
 

@@ -7,6 +7,9 @@ blocks' copies of a word, encodes each distinct word once, and sends the ids bac
 blocks, where they are put together by position.  So a word that fills a third of all
 text crosses the shuffle once per block.
 
+The added tokens of a tokenizer file are cut out of the texts first, as its library does by
+default, and each occurrence is a word of its own.
+
 Nulls and empty texts have no tokens.  A null id stays null.  Repeated rows and repeated ids each get their own
 result.  Columns beside the id and the text are not read.
 """
@@ -14,7 +17,9 @@ result.  Columns beside the id and the text are not read.
 from __future__ import annotations
 
 import base64
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -120,6 +125,19 @@ def pretoken_starts(data: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin[:n])
 
 
+def word_starts(data: np.ndarray, borders: np.ndarray, added: re.Pattern[bytes] | None) -> np.ndarray:
+    """Where pre-tokens begin, each added token in a text being one word between two texts."""
+    whole = data.tobytes() if added else b""
+    if added is None or not added.search(whole):
+        return pretoken_starts(data, borders)
+    cuts = zip(borders[:-1].tolist(), borders[1:].tolist())
+    spans = np.array([m.span() for a, b in cuts for m in added.finditer(whole, a, b)], dtype=np.int64).reshape(-1, 2)
+    begin = pretoken_starts(data, np.unique(np.concatenate([borders, spans.ravel()])))
+    span = np.searchsorted(spans[:, 0], begin, side="left") - 1
+    inside = (span >= 0) & (begin < np.append(spans[:, 1], 0)[span])
+    return begin[~inside]
+
+
 @dataclass(frozen=True)
 class RankFile:
     """Encoder of distinct words by a rank file (``base64 rank`` lines) and a pattern."""
@@ -130,6 +148,9 @@ class RankFile:
     def encoder(self):
         return _rank_encoder(self.path, self.pattern)
 
+    def added(self) -> None:
+        return None
+
     def token_bytes(self) -> list[bytes]:
         ranks = _ranks(self.path)
         table = [b""] * (max(ranks.values()) + 1)
@@ -147,6 +168,10 @@ class TokenizerFile:
     def encoder(self):
         return _file_encoder(self.path)
 
+    def added(self) -> re.Pattern[bytes] | None:
+        """A pattern of the added tokens, the longest first."""
+        return _added_tokens(self.path)
+
 
 def _ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -161,13 +186,23 @@ def _rank_encoder(path: str, pattern: str):
     return lambda words: [coder.encode_ordinary(w) for w in words]
 
 
+@cache
+def _added_tokens(path: str) -> re.Pattern[bytes] | None:
+    with open(path, encoding="utf-8") as content:
+        tokens = json.load(content).get("added_tokens") or []
+    for token in tokens:
+        if token.get("single_word") or token.get("lstrip") or token.get("rstrip"):
+            raise ValueError(f"added token {token['content']!r} depends on what stands around it")
+    spelled = sorted({t["content"].encode() for t in tokens}, key=lambda t: (-len(t), t))
+    return re.compile(b"|".join(map(re.escape, spelled))) if spelled else None
+
+
 @cache
 def _file_encoder(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(path)
-    coder.encode_special_tokens = True
 
     def encode(words: list[str]) -> list[list[int]]:
         out: list[list[int]] = []
@@ -237,10 +272,11 @@ def _block_rows(block: int, held: list[tuple[np.ndarray, ...]], buckets: int) ->
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def _split_blocks(buckets: int, limit: int):
+def _split_blocks(words_of: RankFile | TokenizerFile, buckets: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        added = words_of.added()
         block = TaskContext.get().partitionId() << 32
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
@@ -251,7 +287,7 @@ def _split_blocks(buckets: int, limit: int):
                     yield _block_rows(block, held, buckets)
                     held, size, block = [], 0, block + 1
                     scan.release()
-                begin = pretoken_starts(data, borders)
+                begin = word_starts(data, borders, added)
                 hashes = scan.range_hash(scan.prefix_sums(data), begin, np.append(begin[1:], len(data)))
                 held.append((ids[a:b], named[a:b], data.copy(), borders, begin if len(data) >= 1 << 30 else begin.astype(np.int32), hashes))
                 size += len(data)
@@ -365,7 +401,7 @@ def encode_words(
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     buckets = max(1, -(-int(total) // bucket_bytes))
     files = max(1, -(-int(total) // block_bytes))
-    blocks = bucketed(rows.mapInArrow(_split_blocks(buckets, block_bytes), BLOCK_SCHEMA), "block", files, "bpe_blocks")
+    blocks = bucketed(rows.mapInArrow(_split_blocks(words_of, buckets, block_bytes), BLOCK_SCHEMA), "block", files, "bpe_blocks")
     encoded = (
         blocks.where("bucket >= 0")
         .select("block", "bucket", "counts", "payload")

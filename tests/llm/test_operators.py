@@ -210,6 +210,21 @@ def test_token_files(spark, edge, tmp_path):
     assert [tuple(r) for r in found] == wanted
 
 
+def test_token_files_with_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(ENGLISH.path)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"one  {end}\n\n two{end}three", f"<|{end}|> <|endoftext|", "oftext|> plain", f"it{end}'s", f"日本 {end} é"]
+    rows = [*enumerate(texts, 1), (20, "<|endo"), (21, "ftext|>")]
+    path = str(tmp_path / "files")
+    order = token_files.write(documents(spark, rows, partitions=1), ENGLISH, 50257, 2, path)
+    found = {r.doc_id: bytes(r.ids) for r in token_files.read(spark, path, order).collect()}
+    ids = {i: coder.encode(t, add_special_tokens=False).ids + [2] for i, t in rows}
+    assert ids[1] == [64, 220, 50256, 275, 2]
+    assert found == {i: struct.pack(f"<{len(own)}I", *own) for i, own in ids.items()}
+
+
 def test_token_files_of_nothing(spark, nothing, tmp_path):
     path = str(tmp_path / "none")
     order = token_files.write(nothing, ENGLISH, 50257, 2, path)

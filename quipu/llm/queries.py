@@ -84,7 +84,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as archives, read them back, and put the transactions together."""
     path = new_path(spark, "warc")
-    warc.write(table(spark, sf_dir, "pages"), path)
+    warc.write(table(spark, sf_dir, "pages"), path, repeats=True)
     return warc.captures(warc.assemble(warc.read(spark, path)))
 
 

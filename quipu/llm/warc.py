@@ -8,9 +8,12 @@ identifiers into one nested row.
 
 A null payload counts as empty, and empty payloads equal each other.  A null address has
 no ``WARC-Target-URI`` and reads back as null; line breaks in one are written as percent
-codes.  Record identifiers follow from page, address and payload, so rows that repeat all
-three are one capture.  Of equal payloads that reach the least size, the record with the
-smallest page id is the response.  Columns beside the three named ones are not read.
+codes.  A null page id is written without a value and reads back as null.  Record
+identifiers follow from page, address and payload, so rows that repeat all three are one
+capture; with ``repeats`` each is a capture of its own, and the identifiers count them.
+Of equal payloads that reach the least size, the records with the smallest page id are
+responses, and revisits name the first of them; null page ids come last.  Columns beside
+the three named ones are not read.
 """
 
 from __future__ import annotations
@@ -42,8 +45,10 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.upper(F.concat(*parts)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32_DIGITS)
 
 
-def _record_id(kind: str, page: str = "page_id", url: str = "url") -> Column:
-    named = F.md5(F.concat_ws("|", F.lit(kind), F.col(page).cast("string"), F.col("secure"), F.coalesce(F.col(url), F.lit(""))))
+def _record_id(kind: str, copy: Column, page: str = "page_id", url: str = "url") -> Column:
+    page_id = F.coalesce(F.col(page).cast("string"), F.lit(""))
+    address = F.concat(F.col(url).isNull().cast("string"), F.lit("|"), F.coalesce(F.col(url), F.lit("")))
+    named = F.md5(F.concat_ws("|", F.lit(kind), page_id, F.col("secure"), copy.cast("string"), address))
     pieces = [F.substring(named, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *pieces), F.lit(">"))
 
@@ -59,20 +64,33 @@ def _record(kind: Column | str, block: Column, **headers: Column) -> Column:
 
 def write(
     pages: DataFrame, path: str, id: str = "page_id", url: str = "url", payload: str = "html",
-    least_bytes: int = 0, pages_per_file: int = PAGES_PER_FILE,
+    least_bytes: int = 0, pages_per_file: int = PAGES_PER_FILE, repeats: bool = False,
 ) -> None:
-    """Write gzip archives of bounded length below ``path`` through Spark's writer."""
+    """Write gzip archives of bounded length below ``path`` through Spark's writer.
+
+    With ``repeats``, rows that repeat page, address and payload are captures of their own.
+    """
     body = F.make_valid_utf8(F.coalesce(F.col(payload), F.lit("")))
     rows = pages.select(F.col(id).cast("long").alias("page_id"), F.col(url).alias("url"), body.alias("body"))
     rows = rows.withColumn("secure", F.sha2("body", 256)).withColumn("size", F.octet_length("body"))
 
     # One small row for each payload that occurs more than once.
-    first = rows.where(F.col("size") >= least_bytes).groupBy("secure")
-    first = first.agg(F.min(F.struct("page_id", F.coalesce("url", F.lit("")).alias("url"))).alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = first.where("n > 1").select("secure", "first")
-    rows = rows.join(repeated, "secure", "left")
-    same = (F.col("page_id") == F.col("first.page_id")) & (F.coalesce("url", F.lit("")) == F.col("first.url"))
+    key = ["page_id", "url", "secure"]
+    keys = rows.groupBy(*key, "size").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("page_id").isNull().alias("nameless"), "page_id", F.col("url").isNotNull().alias("addressed"), "url")
+    firsts = keys.groupBy("secure").agg(F.min(order).alias("first"), F.sum("n").alias("payloads"), F.max("n").alias("most"), F.first("size").alias("of"))
+    firsts = firsts.where("payloads > 1").select("secure", F.when(F.col("of") >= least_bytes, F.col("first")).alias("first"), (F.col("most") > 1).alias("again"))
+    rows = rows.join(firsts, "secure", "left").withColumn("copy", F.lit(0).cast("long"))
+    if repeats:
+        # Only rows that others repeat meet again: one body for each, and a small row for each copy.
+        again = F.coalesce("again", F.lit(False))
+        counted = keys.where("n > 1").select(F.struct(*key).alias("which"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") - 1)).alias("copy_"))
+        bodies = rows.where(again).dropDuplicates(key)
+        more = bodies.join(counted, F.struct(*key).eqNullSafe(F.col("which"))).withColumn("copy", F.col("copy_")).drop("which", "copy_")
+        rows = rows.where(~again).unionByName(bodies).unionByName(more)
+    same = F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("page_id").isNotNull() | (F.col("url").eqNullSafe(F.col("first.url")) & (F.col("copy") == 0)))
     revisit = F.col("first").isNotNull() & ~same
+    copy = F.col("copy")
 
     uri = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     host = F.coalesce(F.regexp_extract(uri, "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
@@ -80,11 +98,11 @@ def write(
     ask = F.concat(F.lit("GET "), F.when(target.startswith("/"), target).otherwise(F.concat(F.lit("/"), target)), F.lit(" HTTP/1.1\r\nHost: "), host, F.lit("\r\n\r\n"))
     size = F.col("size").cast("string")
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size, F.lit("\r\n\r\n"))
-    answer = _record_id("response")
-    refers = F.when(revisit, _record_id("response", "first.page_id", "first.url"))
+    answer = _record_id("response", copy)
+    refers = F.when(revisit, _record_id("response", F.lit(0), "first.page_id", "first.url"))
     request = _record(
         "request", ask,
-        WARC_Record_ID=_record_id("request"), WARC_Concurrent_To=answer, WARC_Target_URI=uri,
+        WARC_Record_ID=_record_id("request", copy), WARC_Concurrent_To=answer, WARC_Target_URI=uri,
         Content_Type=F.lit("application/http;msgtype=request"),
     )
     response = _record(
@@ -95,10 +113,10 @@ def write(
         WARC_Refers_To=refers, WARC_Profile=F.when(revisit, F.lit(REVISIT_PROFILE)),
         Content_Type=F.lit("application/http;msgtype=response"),
     )
-    notes = F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit("\r\npayload-bytes: "), size, F.lit("\r\n"))
+    notes = F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("\r\npayload-bytes: "), size, F.lit("\r\n"))
     metadata = _record(
         "metadata", notes,
-        WARC_Record_ID=_record_id("metadata"), WARC_Concurrent_To=answer, WARC_Target_URI=uri,
+        WARC_Record_ID=_record_id("metadata", copy), WARC_Concurrent_To=answer, WARC_Target_URI=uri,
         Content_Type=F.lit("application/warc-fields"),
     )
     end = F.lit("\r\n\r\n")
@@ -184,7 +202,7 @@ def captures(transactions: DataFrame) -> DataFrame:
     """Page, size, digest, type and revisited page of each assembled capture."""
     flat = transactions.select(
         "record_id",
-        field("page-id").cast("long").alias("page_id"),
+        F.nullif(field("page-id"), F.lit("")).cast("long").alias("page_id"),
         F.coalesce("response.payload_bytes", field("payload-bytes").cast("long")).alias("payload_bytes"),
         F.coalesce("response.payload_sha1", "response.payload_digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),

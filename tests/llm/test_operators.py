@@ -465,6 +465,33 @@ def test_archives(spark, tmp_path):
     assert bytes(row.request.payload) == b"" and b"page-id: 5" in bytes(row.metadata.payload)
 
 
+def test_archives_of_repeated_rows_and_null_pages(spark, tmp_path):
+    pages = [(7, "u", "twin"), (7, "u", "twin"), (7, "u", "twin"), (8, "v", "twin"), (None, "w", "lone"), (None, None, "lone"), (None, None, "lone"), (None, "z", "twin"), (4, None, "x"), (4, "", "x"), (5, "y", None)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    path = str(tmp_path / "warc")
+    warc.write(frame, path, repeats=True)
+    whole = warc.assemble(warc.read(spark, path))
+    found = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.captures(whole).collect())
+    assert found == Counter({
+        (7, 4, "response", None): 3, (8, 4, "revisit", 7): 1, (None, 4, "revisit", 7): 1, (None, 4, "response", None): 1,
+        (None, 4, "revisit", None): 2, (4, 1, "response", None): 2, (5, 0, "response", None): 1,
+    })
+
+
+def test_warc_query_has_a_row_for_each_page(spark, tmp_path):
+    import duckdb
+
+    from quipu.llm.queries import ORACLE_SQL, QUERIES
+
+    frame = spark.createDataFrame([(7, "u", "twin"), (7, "u", "twin"), (9, "v", "twin"), (3, None, None)], "page_id long, url string, html string")
+    frame.write.parquet(str(tmp_path / "pages.parquet"))
+    found = QUERIES["op8_warc"](spark, str(tmp_path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    wanted = db.sql(ORACLE_SQL["op8_warc"]).fetchall()
+    assert len(wanted) == 4 and sorted(map(tuple, found)) == sorted(wanted)
+
+
 def test_small_payloads_are_not_revisited(spark, tmp_path):
     frame = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "v", "abcd")], "page_id long, url string, html string")
     warc.write(frame, str(tmp_path / "warc"), least_bytes=4)

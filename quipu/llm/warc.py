@@ -76,18 +76,18 @@ def write(
 
     # One small row for each payload that occurs more than once.
     key = ["page_id", "url", "secure"]
-    keys = rows.groupBy(*key, "size").agg(F.count(F.lit(1)).alias("n"))
+    which = F.struct(*key).eqNullSafe(F.col("which"))
+    many = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.struct(*key).alias("which"), "n")
     order = F.struct(F.col("page_id").isNull().alias("nameless"), "page_id", F.col("url").isNotNull().alias("addressed"), "url")
-    firsts = keys.groupBy("secure").agg(F.min(order).alias("first"), F.sum("n").alias("payloads"), F.max("n").alias("most"), F.first("size").alias("of"))
-    firsts = firsts.where("payloads > 1").select("secure", F.when(F.col("of") >= least_bytes, F.col("first")).alias("first"), (F.col("most") > 1).alias("again"))
-    rows = rows.join(firsts, "secure", "left").withColumn("copy", F.lit(0).cast("long"))
-    if repeats:
+    first = rows.where(F.col("size") >= least_bytes).groupBy("secure").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    rows = rows.join(first.where("n > 1").select("secure", "first"), "secure", "left").withColumn("copy", F.lit(0).cast("long"))
+    many = materialize(many, "repeated-pages") if repeats else None
+    if many is not None and not many.isEmpty():
         # Only rows that others repeat meet again: one body for each, and a small row for each copy.
-        again = F.coalesce("again", F.lit(False))
-        counted = keys.where("n > 1").select(F.struct(*key).alias("which"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") - 1)).alias("copy_"))
-        bodies = rows.where(again).dropDuplicates(key)
-        more = bodies.join(counted, F.struct(*key).eqNullSafe(F.col("which"))).withColumn("copy", F.col("copy_")).drop("which", "copy_")
-        rows = rows.where(~again).unionByName(bodies).unionByName(more)
+        copies = many.select("which", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") - 1)).alias("copy_"))
+        bodies = rows.join(many, which, "left_semi").dropDuplicates(key)
+        more = bodies.join(copies, which).withColumn("copy", F.col("copy_")).drop("which", "copy_")
+        rows = rows.join(many, which, "left_anti").unionByName(bodies).unionByName(more)
     same = F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("page_id").isNotNull() | (F.col("url").eqNullSafe(F.col("first.url")) & (F.col("copy") == 0)))
     revisit = F.col("first").isNotNull() & ~same
     copy = F.col("copy")

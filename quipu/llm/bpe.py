@@ -288,7 +288,7 @@ def _split_blocks(words_of: RankFile | TokenizerFile, buckets: int, limit: int):
                     held, size, block = [], 0, block + 1
                     scan.release()
                 begin = word_starts(data, borders, added)
-                hashes = scan.range_hash(scan.prefix_sums(data), begin, np.append(begin[1:], len(data)))
+                hashes = scan.span_hashes(data, begin, np.append(begin[1:], len(data)))
                 held.append((ids[a:b], named[a:b], data.copy(), borders, begin if len(data) >= 1 << 30 else begin.astype(np.int32), hashes))
                 size += len(data)
         if held:

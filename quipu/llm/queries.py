@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import bpe, decontaminate, exact_dedup, features, language, licenses, ngram_join, quality, suffix_dedup, token_files, warc
+from quipu.llm import bpe, decontaminate, exact_dedup, features, fill_middle, language, licenses, ngram_join, quality, suffix_dedup, token_files, warc
 from quipu.llm.tables import table
 from quipu.session import new_path
 
@@ -100,6 +100,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts rearranged to fill in the middle, and rebuilt from the outputs."""
+    moved = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=7, percent=100, spm_percent=50)
+    return fill_middle.restore(moved).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -111,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_decontaminate": op10_decontaminate,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -139,4 +154,36 @@ ORACLE_SQL: dict[str, str] = {
         FROM digits
         WINDOW same AS (PARTITION BY payload)
     """,
+    "op13_fill_middle": r"""
+        WITH lined AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS digest,
+                   regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+            FROM documents
+        ),
+        drawn AS (
+            SELECT doc_id, text, units, len(units) AS n,
+                   ('0x' || substr(digest, 1, 8))::BIGINT % (len(units) + 1) AS one,
+                   ('0x' || substr(digest, 9, 8))::BIGINT % (len(units) + 1) AS two,
+                   ('0x' || substr(digest, 17, 8))::BIGINT % 100 AS chance,
+                   ('0x' || substr(digest, 25, 8))::BIGINT % 100 AS kind
+            FROM lined
+        ),
+        parted AS (
+            SELECT doc_id, text, n,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR chance >= 100
+                        THEN 'plain' WHEN kind < 50 THEN 'spm' ELSE 'psm' END AS form,
+                   array_to_string(units[1:least(one, two)], '') AS prefix,
+                   array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+                   array_to_string(units[greatest(one, two) + 1:], '') AS suffix
+            FROM drawn
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                                ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parted
+    """,
 }

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import bpe, decontaminate, exact_dedup, features, fill_middle, language, licenses, ngram_join, quality, suffix_dedup, token_files, warc
+from quipu.llm import bpe, decontaminate, exact_dedup, features, fill_middle, language, licenses, ngram_join, quality, suffix_dedup, token_files, vector_codes, warc
 from quipu.llm.tables import table
-from quipu.session import new_path
+from quipu.session import materialize, new_path
 
 MULTILINGUAL = bpe.RankFile(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 ENGLISH = bpe.TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"))
@@ -100,6 +100,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by codebooks fitted on all vectors, with their errors."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.fit(rows, parts=4, entries=256, rounds=4, scale=1024)
+    coded = vector_codes.label_errors(materialize(vector_codes.encode(rows, books), "vector-codes"))
+    spelled = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return coded.select("vec_id", spelled.alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts rearranged to fill in the middle, and rebuilt from the outputs."""
     moved = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=7, percent=100, spm_percent=50)
@@ -125,10 +134,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_decontaminate": op10_decontaminate,
+    "op12_vector_codes": op12_vector_codes,
     "op13_fill_middle": op13_fill_middle,
 }
 
+
+
+def _vector_codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """The rounds one after the other, each a table of books and a table of nearest entries."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * x::DOUBLE) AS BIGINT)) AS v,
+                   row_number() OVER (ORDER BY vec_id) - 1 AS place
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+        )""",
+        f"""parts AS MATERIALIZED (
+            SELECT place, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x
+            FROM kept, (SELECT unnest(range({parts})) AS p)
+        )""",
+        f"book0 AS MATERIALIZED (SELECT p, place AS e, x AS b FROM parts WHERE place < {entries})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+            SELECT place, p, any_value(x) AS x, min(struct_pack(d := d, e := e)) AS best
+            FROM (SELECT place, p, x, e, list_sum(list_transform(list_zip(x, b), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::BIGINT AS d
+                  FROM parts JOIN book{r} USING (p))
+            GROUP BY place, p
+        )""")
+        if r < rounds:
+            steps.append(f"""book{r + 1} AS MATERIALIZED (
+                SELECT p, e, coalesce(m, b) AS b
+                FROM book{r} LEFT JOIN (
+                    SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS m
+                    FROM (SELECT p, best.e AS e, i, sum(x[i])::DOUBLE AS s, count(*) AS n
+                          FROM near{r}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i)
+                          GROUP BY p, best.e, i)
+                    GROUP BY p, e
+                ) USING (p, e)
+            )""")
+    return f"""
+        WITH {", ".join(steps)},
+        coded AS (
+            SELECT place, string_agg(lower(printf('%02x', best.e)), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error
+            FROM near{rounds} GROUP BY place
+        ),
+        digest AS (SELECT sha256(string_agg(array_to_string(b, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM kept JOIN coded USING (place), digest
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_vector_codes": _vector_codes_sql(4, 256, 4, 1024),
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import bpe, decontaminate, exact_dedup, features, fill_middle, language, licenses, ngram_join, quality, suffix_dedup, token_files, vector_codes, warc
+from quipu.llm import bpe, context_mixing, decontaminate, exact_dedup, features, fill_middle, language, licenses, ngram_join, quality, suffix_dedup, token_files, vector_codes, warc
 from quipu.llm.tables import table
 from quipu.session import materialize, new_path
 
@@ -100,6 +100,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts by context mixing, learnt from those outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    scored = context_mixing.score(docs, ~features.held_out(F.col("doc_id"), 7, 2))
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), *columns)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all vectors by codebooks fitted on all vectors, with their errors."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
@@ -134,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_decontaminate": op10_decontaminate,
+    "op11_lm_score": op11_lm_score,
     "op12_vector_codes": op12_vector_codes,
     "op13_fill_middle": op13_fill_middle,
 }

@@ -4,7 +4,7 @@ A text is its bytes and an end sign.  Every byte is predicted bit by bit by seve
 predictors, each with its own context: the byte before, the two and the three bytes
 before (the latter hashed), and the current word so far (its last sixteen bytes,
 hashed).  How often each bit followed each context is counted over all texts that the
-model may learn from; the number of counts grows with them, and no task holds them all.
+model may learn from; the table of contexts grows with them, and no task holds all of it.
 
 A predictor's answer is the log odds of a one, 0 for a context never seen.  The answers
 are added with weights that a gate selects, by the bit's place in the byte and by whether
@@ -49,12 +49,15 @@ RANGE_BYTES = 8 << 20
 LEVEL_BITS = 8
 GROUP_BLOCKS = 256
 SEGMENT = 2048
+LANES = 4096
 END = 0xFF
 ORDERS = 3
 WORD_CONTEXT = 16
+#: A context's table has at least 2**SPARE_BITS cells for every byte of text, at most 2**56.
+SPARE_BITS = 3
 
 #: An answer is the log odds times ODDS_SCALE in one signed byte; the eight bits' answers make one number.
-ODDS_SCALE = 12.0
+ODDS_SCALE = 8.0
 UNSEEN = 0.4
 FIRST_WEIGHT = 0.3
 RATE = 0.02
@@ -65,7 +68,6 @@ LEAST = 1.0 / 4096
 
 _SEEDS = scan.mix(np.arange(1, 8, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _HIGH_BYTES = np.array([0] + [((1 << 8 * n) - 1) << 8 * (8 - n) for n in range(1, 9)], dtype=np.uint64)
-_CONTEXT = np.uint64(0xFFFF_FFFF_FFFF_0000)
 
 _look_up: list[np.ndarray] = []
 
@@ -79,6 +81,16 @@ def _unpack(packed: bytes) -> list[np.ndarray]:
     return [np.ascontiguousarray(a.reshape(8, -1).T).view(np.int64).ravel() for a in scan.unpress_arrays(packed)]
 
 
+def _pack_answer(totals: np.ndarray, bits: np.ndarray) -> bytes:
+    """Counts as byte planes, the eight answers of a key side by side."""
+    return scan.press_arrays(np.ascontiguousarray(totals.view(np.uint8).reshape(-1, 8).T).ravel(), bits.view(np.uint8))
+
+
+def _unpack_answer(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    totals, bits = scan.unpress_arrays(packed)
+    return np.ascontiguousarray(totals.reshape(8, -1).T).view(np.int64).ravel(), bits.copy().view(np.int64)
+
+
 def _rise(keys: np.ndarray) -> np.ndarray:
     """Differences of ascending unsigned keys, as numbers that ``_fall`` adds up again."""
     return np.diff(keys, prepend=np.uint64(0)).view(np.int64)
@@ -125,7 +137,8 @@ def _pack_blocks(limit: int):
 class Block:
     """The texts of a block, each followed by the end sign, with all that is asked for them."""
 
-    def __init__(self, packed: bytes):
+    def __init__(self, packed: bytes, context_bits: int):
+        self.context_bits = context_bits
         named, self.ids, train, sizes, text = scan.unpress_arrays(packed)
         self.named, self.train = named.astype(bool), train.astype(bool)
         self.ends = np.cumsum(sizes + 1) - 1
@@ -136,32 +149,40 @@ class Block:
         self.data[at_end] = END
         self.data[~at_end] = text
         learnt = np.repeat(self.train, sizes + 1)
-        self.keys, self.counts, self.place = zip(*[self._order(k, learnt) for k in range(1, ORDERS + 1)])
+        self.keys, self.counts, self.place = zip(*[self._distinct(k, code, learnt) for k, code in enumerate(self._orders(), 1)])
         self._units(at_end)
 
-    def _order(self, k: int, learnt: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Distinct keys of the context of ``k`` bytes, how often each is learnt, and the key of each byte."""
-        if not _look_up:
-            _look_up.append(np.zeros(1 << 24, dtype=np.int32))
-        look_up = _look_up[0]
-        context = np.zeros(len(self.data), dtype=np.uint32)
-        for back in range(1, k + 1):
-            before = np.full(len(self.data), END, dtype=np.uint32)
-            before[back:] = self.data[:-back]
-            for ahead in range(back - 1):  # nothing before the text's own first byte counts
+    def _orders(self) -> Iterator[np.ndarray]:
+        """For each order, context and byte as one number below 2**24 at every place."""
+        code = self.data.astype(np.uint32)
+        for k in range(1, ORDERS + 1):
+            before = np.full(len(self.data), END, dtype=np.uint8)
+            before[k:] = self.data[:-k]
+            for ahead in range(k - 1):  # nothing before the text's own first byte counts
                 before[np.minimum(self.starts + ahead, self.ends)] = END
-            context = context << np.uint32(8) | before
-        if k > 2:
-            context = context * np.uint32(0x9E3779B1) >> np.uint32(16)
-        small = context << np.uint32(8) | self.data
-        look_up[small] = 1
-        used = np.flatnonzero(look_up)
-        look_up[used] = np.arange(len(used), dtype=np.int32)
-        place = look_up[small]
-        look_up[used] = 0
-        keys = scan.mix((used >> 8).astype(np.uint64) ^ _SEEDS[k]) & _CONTEXT | (used & 0xFF).astype(np.uint64)
+            code |= before.astype(np.uint32) << np.uint32(8 * k)
+            if k < ORDERS:
+                yield code
+        context = (code >> np.uint32(8)) * np.uint32(0x9E3779B1) >> np.uint32(16)
+        yield context << np.uint32(8) | self.data
+
+    def _distinct(self, k: int, code: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct keys of the contexts of ``k`` bytes, how often each is learnt, and the key of each byte."""
+        if not _look_up:
+            _look_up.extend([np.zeros(1 << 24, dtype=bool), np.zeros(1 << 24, dtype=np.int32)])
+        there, number = _look_up
+        there[code] = True
+        used = np.flatnonzero(there)
+        there[used] = False
+        number[used] = np.arange(len(used), dtype=np.int32)
+        place = number[code]
+        keys = self._key(scan.mix((used >> 8).astype(np.uint64) ^ _SEEDS[k]), used & 0xFF)
         return keys, np.bincount(place[learnt], minlength=len(used)), place
 
+    def _key(self, context: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The context's hash, of as many bits as its table has, above the byte."""
+        return context >> np.uint64(64 - self.context_bits) << np.uint64(64 - self.context_bits) | byte.astype(np.uint64)
+
     def _units(self, at_end: np.ndarray) -> None:
         """Words, each with the byte after it, and what their bytes ask for."""
         stop = np.flatnonzero(at_end | ~scan.IN_WORD[self.data])
@@ -178,7 +199,7 @@ class Block:
         near = eight[at + 8] & _HIGH_BYTES[np.minimum(inner, 8)]
         far = eight[at] & _HIGH_BYTES[np.clip(inner - 8, 0, 8)]
         context = scan.mix(scan.mix(near ^ _SEEDS[ORDERS + 1]) ^ far + np.minimum(inner, WORD_CONTEXT).astype(np.uint64) * _SEEDS[0])
-        key, place = np.unique(context & _CONTEXT | self.data[at].astype(np.uint64), return_inverse=True)
+        key, place = np.unique(self._key(context, self.data[at]), return_inverse=True)
         count = np.bincount(place, weights=np.repeat(learnt, size), minlength=len(key)).astype(np.int64)
         begin = np.cumsum(size) - size
         sizes = stop + 1 - start
@@ -190,7 +211,7 @@ class Block:
         folded = scan.FOLD[self.data]
         one, two = (scan.span_hashes(folded, start[first[word]], stop[first[word]], seed=s) for s in (1, 2))
         self.word_one, at, of = np.unique(one, return_index=True, return_inverse=True)
-        self.word_two = two[at] >> np.uint64(32)  # with the first hash 96 bits tell words apart
+        self.word_two = two[at] >> np.uint64(48)  # with the first hash 80 bits tell words apart
         self.word_count = np.bincount(of, weights=learnt[word], minlength=len(at)).astype(np.int64)
         self.word_of = np.zeros(len(size), dtype=np.int64)
         self.word_of[word] = of
@@ -252,6 +273,15 @@ def predict_bits(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
+def _signed(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Answers turned from odds of a one to odds of the byte's own bits, or back.
+
+    Where a context has only ever led to one byte all eight agree, and take little room.
+    """
+    own = np.unpackbits((keys & np.uint64(0xFF)).astype(np.uint8)[:, None], axis=1).astype(np.int8) * 2 - 1
+    return (bits.view(np.int8).reshape(-1, 8) * own).view("<i8").ravel()
+
+
 ANSWER = "owner long, part long, packed binary, tokens long, distinct long"
 
 
@@ -268,9 +298,10 @@ def _answer(table: pa.Table) -> pa.Table:
     order, starts, run = _groups(one, two)
     totals = _sum_runs(n[order], starts)
     key_order, key_starts, key_run = _groups(keys)
-    bits = predict_bits(keys[key_order][key_starts], _sum_runs(counts[key_order], key_starts))
+    distinct = keys[key_order][key_starts]
+    bits = _signed(predict_bits(distinct, _sum_runs(counts[key_order], key_starts)), distinct)
     word_cuts, key_cuts = np.cumsum(words)[:-1], np.cumsum(asked)[:-1]
-    packed = [_pack(a, b) for a, b in zip(np.split(totals[run], word_cuts), np.split(bits[key_run], key_cuts))]
+    packed = [_pack_answer(a, b) for a, b in zip(np.split(totals[run], word_cuts), np.split(bits[key_run], key_cuts))]
     out = _answers(table.column("owner").to_pylist(), table.column("part").to_pylist(), packed, int(totals.sum()), int((totals > 0).sum()))
     scan.release()
     return out
@@ -302,10 +333,10 @@ def _merge(done: int, step: int, groups: int):
 def _spread(group: pa.Table, found: pa.Table) -> pa.Table:
     """The answers to a merged group, given to each of its owners."""
     owners, words, asked, word_run, key_run = _unpack(group.column("packed")[0].as_py())
-    parts = [_unpack(p) for p in found.sort_by("part").column("packed").to_pylist()]
+    parts = [_unpack_answer(p) for p in found.sort_by("part").column("packed").to_pylist()]
     totals, bits = (np.concatenate(x) for x in zip(*parts))
     cuts = np.cumsum(words)[:-1], np.cumsum(asked)[:-1]
-    packed = [_pack(a, b) for a, b in zip(np.split(totals[word_run], cuts[0]), np.split(bits[key_run], cuts[1]))]
+    packed = [_pack_answer(a, b) for a, b in zip(np.split(totals[word_run], cuts[0]), np.split(bits[key_run], cuts[1]))]
     stats = [sum(found.column(c).to_pylist()) for c in ("tokens", "distinct")]
     return _answers(owners.tolist(), [group.column("above")[0].as_py()] * len(owners), packed, *stats)
 
@@ -321,11 +352,11 @@ def _ask(requests: DataFrame, owners: int, done: int, total: int, level_bits: in
     return merged.where("part < 0").groupBy("owner").cogroup(finer.groupBy("owner")).applyInArrow(_spread, ANSWER)
 
 
-def _requests(bits: int):
+def _requests(context_bits: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for owner, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                block = Block(packed)
+                block = Block(packed, context_bits)
                 keys, counts, _ = block.merged()
                 rows = list(_packets(block.word_one, block.word_two, block.word_count, keys, counts, 0, bits))
                 del block, keys, counts
@@ -341,54 +372,69 @@ def _requests(bits: int):
 
 
 def mix_bits(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: list[np.ndarray], bits: list[np.ndarray]) -> np.ndarray:
-    """Natural log of the probability of each segment; all segments run side by side, a byte at a time."""
+    """Natural log of the probability of each segment.
+
+    Segments of like size run side by side, a byte at a time; as the gate tells the bits of
+    a byte apart, no bit waits for another one's update.
+    """
     order = np.argsort(-sizes, kind="stable")
-    starts, sizes = starts[order], sizes[order]
+    out = np.empty(len(order))
+    for a in range(0, len(order), LANES):
+        lanes = order[a : a + LANES]
+        out[lanes] = _mix_lanes(data, starts[lanes], sizes[lanes], place, bits)
+    return out
+
+
+def _mix_lanes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: list[np.ndarray], bits: list[np.ndarray]) -> np.ndarray:
     lanes, inputs = len(starts), len(place)
-    weight = np.full((8, 2, inputs, lanes), FIRST_WEIGHT, dtype=np.float32)
+    one, half, reach = np.float32(1), np.float32(0.5), np.float32(REFINE_REACH)
+    unit = np.float32(1 / ODDS_SCALE)  # the answers stay whole; their unit is in the weights
+    rate = np.float32(RATE / ODDS_SCALE / ODDS_SCALE)
+    cells = np.float32((REFINED - 1) / (2 * REFINE_REACH))
+    known = np.full((inputs, lanes, 8), FIRST_WEIGHT, dtype=np.float32) * unit
+    unknown = known.copy()
     centre = np.linspace(-REFINE_REACH, REFINE_REACH, REFINED)
-    refined = np.repeat((1 / (1 + np.exp(-centre))).astype(np.float32)[None, :, None], 8, axis=0)
-    refined = np.repeat(refined, lanes, axis=2).reshape(8, -1)
-    lane = np.arange(lanes)
+    refined = np.tile((1 / (1 + np.exp(-centre))).astype(np.float32), lanes * 8)
+    row = (np.arange(lanes * 8) * REFINED).reshape(lanes, 8)
     total = np.zeros(lanes)
-    one = np.float32(1)
     for t in range(int(sizes[0]) if lanes else 0):
         live = int(np.searchsorted(-sizes, -t, side="left"))
         at = starts[:live] + t
-        symbol = data[at]
-        odds = np.stack([b[p[at]].view(np.int8).reshape(live, 8) for p, b in zip(place, bits)])
-        chance = np.ones(live, dtype=np.float32)
-        for bit in range(8):
-            x = odds[:, :, bit].astype(np.float32)
-            x *= np.float32(1 / ODDS_SCALE)
-            gate = x[-1] != 0
-            closed, opened = weight[bit, 0, :, :live], weight[bit, 1, :, :live]
-            w = np.where(gate, opened, closed)
-            s = np.clip((w * x).sum(axis=0), -11, 11)
-            p = one / (one + np.exp(-s))
-            cell = np.rint((np.clip(s, -REFINE_REACH, REFINE_REACH) + np.float32(REFINE_REACH)) * np.float32((REFINED - 1) / (2 * REFINE_REACH))).astype(np.int64) * lanes + lane[:live]
-            r = refined[bit][cell]
-            is_one = (symbol >> (7 - bit) & 1).astype(np.float32)
-            guess = np.clip((p + r) * np.float32(0.5), LEAST, 1 - LEAST)
-            chance *= np.abs(one - is_one - guess)
-            step = x * ((is_one - p) * np.float32(RATE))
-            opened += step * gate
-            closed += step * ~gate
-            refined[bit][cell] = r + (is_one - r) * np.float32(REFINE_RATE)
-        total[:live] += np.log(chance.astype(np.float64))
-    out = np.empty(lanes)
-    out[order] = total
-    return out
-
-
-def _score_block(ends_learnt: int):
+        x = np.empty((inputs, live, 8), dtype=np.float32)
+        for k in range(inputs):
+            x[k] = bits[k][place[k][at]].view(np.int8).reshape(live, 8)
+        opened, closed = known[:, :live], unknown[:, :live]
+        gate = (x[-1] != 0).astype(np.float32)
+        w = opened - closed
+        w *= gate
+        w += closed
+        s = np.clip(np.einsum("klb,klb->lb", w, x), -11, 11)
+        p = one / (one + np.exp(-s))
+        cell = np.rint((np.clip(s, -reach, reach) + reach) * cells).astype(np.int64)
+        cell += row[:live]
+        r = refined[cell]
+        ones = np.unpackbits(data[at][:, None], axis=1).astype(np.float32)
+        guess = np.clip((p + r) * half, np.float32(LEAST), np.float32(1 - LEAST))
+        guess -= one - ones
+        np.abs(guess, out=guess)
+        four = guess[:, :4] * guess[:, 4:]
+        total[:live] += np.log((four[:, 0] * four[:, 1] * four[:, 2] * four[:, 3]).astype(np.float64))
+        x *= (ones - p) * rate
+        closed += x * (one - gate)
+        x *= gate
+        opened += x
+        refined[cell] = r + (ones - r) * np.float32(REFINE_RATE)
+    return total
+
+
+def _score_block(context_bits: int, ends_learnt: int):
     def run(blocks: pa.Table, found: pa.Table) -> pa.Table:
-        block = Block(blocks.column("packed")[0].as_py())
-        parts = [_unpack(p) for p in found.sort_by("part").column("packed").to_pylist()]
+        block = Block(blocks.column("packed")[0].as_py(), context_bits)
+        parts = [_unpack_answer(p) for p in found.sort_by("part").column("packed").to_pylist()]
         totals, answers = (np.concatenate(x) for x in zip(*parts))
-        _, _, order = block.merged()
+        keys, _, order = block.merged()
         bits = np.empty(len(order), dtype=np.int64)
-        bits[order] = answers
+        bits[order] = _signed(answers, keys)
         bits = np.split(bits, np.cumsum([len(k) for k in block.keys])[:-1])
         # Segments of the texts, each with its end sign.
         sizes = block.ends + 1 - block.starts
@@ -430,7 +476,7 @@ SCORED = "doc_id long, trained boolean, n_bytes long, n_tokens long, n_known lon
 
 
 def score(
-    docs: DataFrame, train: Column, text: str = "text", id: str = "doc_id",
+    docs: DataFrame, train: Column, text: str = "text", id: str = "doc_id", spare_bits: int = SPARE_BITS,
     block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES, level_bits: int = LEVEL_BITS, group_blocks: int = GROUP_BLOCKS,
 ) -> DataFrame:
     """Score every row of ``docs``, learning from the rows where ``train`` holds.
@@ -444,9 +490,10 @@ def score(
     n, size, ends = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0)), F.coalesce(F.sum("trained"), F.lit(0))).first()
     total = max(0, int(max(0, size - 1) // range_bytes).bit_length())
     first = min(total, level_bits)
-    requests = blocks.select("block", "packed").mapInArrow(_requests(first), "owner long, part long, packed binary")
+    context_bits = min(56, int(size).bit_length() + spare_bits)
+    requests = blocks.select("block", "packed").mapInArrow(_requests(context_bits, first), "owner long, part long, packed binary")
     answers = _ask(requests, n, first, total, level_bits, group_blocks).withColumnRenamed("owner", "block")
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score_block(ends), SCORED)
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score_block(context_bits, ends), SCORED)
     scored = materialize(scored, "mixing-scores")
     words, distinct = scored.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     tokens = words + ends

@@ -16,8 +16,8 @@ Codebooks are fitted in rounds: a task assigns its vectors and keeps one sum per
 what reaches the driver is one row per entry, whatever the number of vectors.
 
 Vectors that are null, that hold null or non-finite components, or whose length is not
-that of the first vector (smallest id, nulls last) of a length divisible by the number of
-parts, are left out.  Components beyond ``LIMIT`` in size count as ``LIMIT``, so that
+the most frequent one that the number of parts divides (the shorter on a tie), are left
+out.  Components beyond ``LIMIT`` in size count as ``LIMIT``, so that
 sums of squares fit 64 bits.  Of repeated ids all rows count; ties in the order of ids
 are told by the vectors, ties in distance by the lower entry.  An entry without parts
 stays.  With fewer vectors than entries the codebooks are shorter.  An empty table gives
@@ -40,6 +40,8 @@ from quipu.llm import scan
 from quipu.session import materialize
 
 LIMIT = 1 << 27
+#: Names of columns made inside.
+WHOLE, NO_LABEL, LABEL = "_quipu_whole", "_quipu_no_label", "_quipu_label"
 CHUNK = 1 << 12
 
 
@@ -127,12 +129,12 @@ class Codebooks:
 
 
 def _whole(rows: DataFrame, vector: str, parts: int, scale: int) -> DataFrame:
-    """Add ``_whole``, the components as whole numbers; rows without a usable vector go."""
+    """Add the components as whole numbers; rows without a usable vector go."""
     x = F.col(f"`{vector}`")
     finite = F.forall(x, lambda c: F.coalesce(F.abs(c.cast("double")) < F.lit(float("inf")), F.lit(False)))
     kept = rows.where(x.isNotNull() & (F.size(x) > 0) & (F.size(x) % parts == 0)).where(finite)
     limit = float(LIMIT)
-    return kept.withColumn("_whole", F.transform(x, lambda c: F.floor(F.greatest(F.least(c.cast("double") * scale, F.lit(limit)), F.lit(-limit))).cast("int")))
+    return kept.withColumn(WHOLE, F.transform(x, lambda c: F.floor(F.greatest(F.least(c.cast("double") * scale, F.lit(limit)), F.lit(-limit))).cast("int")))
 
 
 def _matrix(column: pa.Array, length: int) -> np.ndarray:
@@ -163,18 +165,19 @@ def _sums(books: Codebooks):
 
 def fit(rows: DataFrame, vector: str = "embedding", id: str = "vec_id", parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> Codebooks:
     """Codebooks that start from the vectors of the smallest ids and are refined in ``rounds``."""
-    kept = _whole(rows.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{vector}`").alias("_vector")), "_vector", parts, scale).select("_id", "_whole")
-    order = [F.col("_id").asc_nulls_last(), F.col("_whole")]
-    first = kept.orderBy(*order).select(F.size("_whole")).first()
-    if first is None:
+    kept = _whole(rows.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{vector}`").alias("_vector")), "_vector", parts, scale).select("_id", WHOLE)
+    order = [F.col("_id").asc_nulls_last(), F.col(WHOLE)]
+    lengths = kept.groupBy(F.size(WHOLE).alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    usual = lengths.orderBy(F.desc("n"), "length").first()
+    if usual is None:
         return Codebooks(np.zeros((parts, 0, 0), dtype=np.int64), scale, 0)
-    length = first[0]
-    kept = materialize(kept.where(F.size("_whole") == length), "vectors")
-    start = np.array([r[0] for r in kept.orderBy(*order).limit(entries).select("_whole").collect()], dtype=np.int64)
+    length = usual["length"]
+    kept = materialize(kept.where(F.size(WHOLE) == length), "vectors")
+    start = np.array([r[0] for r in kept.orderBy(*order).limit(entries).select(WHOLE).collect()], dtype=np.int64)
     books = Codebooks(np.ascontiguousarray(start.reshape(len(start), parts, -1).transpose(1, 0, 2)), scale, length)
     for _ in range(rounds):
         width = books.entries.shape[2]
-        found = kept.select("_whole").mapInArrow(_sums(books), "part int, entry int, n long, sums array<long>")
+        found = kept.select(WHOLE).mapInArrow(_sums(books), "part int, entry int, n long, sums array<long>")
         found = found.groupBy("part", "entry").agg(F.sum("n").alias("n"), *[F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(width)])
         moved = books.entries.copy()
         for r in found.collect():
@@ -186,9 +189,9 @@ def fit(rows: DataFrame, vector: str = "embedding", id: str = "vec_id", parts: i
 def encode(rows: DataFrame, books: Codebooks, vector: str = "embedding") -> DataFrame:
     """Replace the vector by ``code`` (the entries' numbers by part) and ``error`` (sum of squared distances)."""
     parts, _, width = books.entries.shape
-    whole = _whole(rows, vector, parts, books.scale).where(F.size("_whole") == books.length)
+    whole = _whole(rows, vector, parts, books.scale).where(F.size(WHOLE) == books.length)
     keep = [f for f in rows.schema.fields if f.name not in (vector, "code", "error")]
-    held = whole.select(*[F.col(f"`{f.name}`") for f in keep], "_whole")
+    held = whole.select(*[F.col(f"`{f.name}`") for f in keep], WHOLE)
     schema = T.StructType([*keep, T.StructField("code", T.ArrayType(T.IntegerType())), T.StructField("error", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,6 +233,6 @@ def label_errors(coded: DataFrame, label: str = "label") -> DataFrame:
     Sums are made before the shuffle, so that a label of very many rows costs no more than
     others; the look-up is as large as the number of labels, and joined as such.
     """
-    same = [F.col(f"`{label}`").isNull().alias("_none"), F.coalesce(F.col(f"`{label}`"), F.lit(0)).alias("_label")]
+    same = [F.col(f"`{label}`").isNull().alias(NO_LABEL), F.coalesce(F.col(f"`{label}`"), F.lit(0)).alias(LABEL)]
     sums = coded.groupBy(*same).agg(F.sum("error").alias("label_error"))
-    return coded.select("*", *same).join(sums, ["_none", "_label"]).drop("_none", "_label")
+    return coded.select("*", *same).join(sums, [NO_LABEL, LABEL]).drop(NO_LABEL, LABEL)

@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.llm import scan
+from quipu.llm.tables import bucketed
 from quipu.session import materialize
 
 BLOCK_BYTES = 4 << 20
@@ -50,6 +51,7 @@ LEVEL_BITS = 8
 GROUP_BLOCKS = 256
 SEGMENT = 2048
 LANES = 4096
+LOG_STEPS = 8
 END = 0xFF
 ORDERS = 3
 WORD_CONTEXT = 16
@@ -134,6 +136,17 @@ def _pack_blocks(limit: int):
     return run
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct value, in ascending order of the values, and which of them each value is."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
 class Block:
     """The texts of a block, each followed by the end sign, with all that is asked for them."""
 
@@ -149,7 +162,7 @@ class Block:
         self.data[at_end] = END
         self.data[~at_end] = text
         learnt = np.repeat(self.train, sizes + 1)
-        self.keys, self.counts, self.place = zip(*[self._distinct(k, code, learnt) for k, code in enumerate(self._orders(), 1)])
+        self.keys, self.counts, self.place = zip(*[self._order_keys(k, code, learnt) for k, code in enumerate(self._orders(), 1)])
         self._units(at_end)
 
     def _orders(self) -> Iterator[np.ndarray]:
@@ -166,7 +179,7 @@ class Block:
         context = (code >> np.uint32(8)) * np.uint32(0x9E3779B1) >> np.uint32(16)
         yield context << np.uint32(8) | self.data
 
-    def _distinct(self, k: int, code: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _order_keys(self, k: int, code: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, ...]:
         """Distinct keys of the contexts of ``k`` bytes, how often each is learnt, and the key of each byte."""
         if not _look_up:
             _look_up.extend([np.zeros(1 << 24, dtype=bool), np.zeros(1 << 24, dtype=np.int32)])
@@ -188,7 +201,7 @@ class Block:
         stop = np.flatnonzero(at_end | ~scan.IN_WORD[self.data])
         start = np.concatenate([[0], stop[:-1] + 1]) if len(stop) else stop
         self.unit_text = np.searchsorted(self.ends, stop)
-        _, first, self.unit = np.unique(scan.span_hashes(self.data, start, stop + 1), return_index=True, return_inverse=True)
+        first, self.unit = _distinct(scan.span_hashes(self.data, start, stop + 1))
         learnt = np.bincount(self.unit, weights=self.train[self.unit_text], minlength=len(first)).astype(np.int64)
         size = stop[first] + 1 - start[first]
         # The word contexts of the distinct units' bytes.
@@ -199,7 +212,9 @@ class Block:
         near = eight[at + 8] & _HIGH_BYTES[np.minimum(inner, 8)]
         far = eight[at] & _HIGH_BYTES[np.clip(inner - 8, 0, 8)]
         context = scan.mix(scan.mix(near ^ _SEEDS[ORDERS + 1]) ^ far + np.minimum(inner, WORD_CONTEXT).astype(np.uint64) * _SEEDS[0])
-        key, place = np.unique(self._key(context, self.data[at]), return_inverse=True)
+        key = self._key(context, self.data[at])
+        some, place = _distinct(key)
+        key = key[some]
         count = np.bincount(place, weights=np.repeat(learnt, size), minlength=len(key)).astype(np.int64)
         begin = np.cumsum(size) - size
         sizes = stop + 1 - start
@@ -210,7 +225,8 @@ class Block:
         self.is_word = size > 1
         folded = scan.FOLD[self.data]
         one, two = (scan.span_hashes(folded, start[first[word]], stop[first[word]], seed=s) for s in (1, 2))
-        self.word_one, at, of = np.unique(one, return_index=True, return_inverse=True)
+        at, of = _distinct(one)
+        self.word_one = one[at]
         self.word_two = two[at] >> np.uint64(48)  # with the first hash 80 bits tell words apart
         self.word_count = np.bincount(of, weights=learnt[word], minlength=len(at)).astype(np.int64)
         self.word_of = np.zeros(len(size), dtype=np.int64)
@@ -219,7 +235,7 @@ class Block:
     def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All contexts' keys in ascending order, their counts, and where each predictor's keys went."""
         keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         return keys[order], counts[order], order
 
 
@@ -397,33 +413,59 @@ def _mix_lanes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: l
     refined = np.tile((1 / (1 + np.exp(-centre))).astype(np.float32), lanes * 8)
     row = (np.arange(lanes * 8) * REFINED).reshape(lanes, 8)
     total = np.zeros(lanes)
-    for t in range(int(sizes[0]) if lanes else 0):
+    # Arrays made once: giving memory back and taking it again at every byte costs as much as the sums.
+    wide = [np.empty((inputs, lanes, 8), dtype=np.float32) for _ in range(2)]
+    flat = [np.empty((lanes, 8), dtype=np.float32) for _ in range(5)]
+    cells_at = np.empty((lanes, 8), dtype=np.int64)
+    product = np.ones((lanes, 8), dtype=np.float32)
+    steps = int(sizes[0]) if lanes else 0
+    for t in range(steps):
         live = int(np.searchsorted(-sizes, -t, side="left"))
         at = starts[:live] + t
-        x = np.empty((inputs, live, 8), dtype=np.float32)
+        x, w = (a[:, :live] for a in wide)
+        gate, s, p, r, guess = (a[:live] for a in flat)
+        cell = cells_at[:live]
+        opened, closed = known[:, :live], unknown[:, :live]
         for k in range(inputs):
             x[k] = bits[k][place[k][at]].view(np.int8).reshape(live, 8)
-        opened, closed = known[:, :live], unknown[:, :live]
-        gate = (x[-1] != 0).astype(np.float32)
-        w = opened - closed
+        np.not_equal(x[-1], 0, out=gate)
+        np.subtract(opened, closed, out=w)
         w *= gate
         w += closed
-        s = np.clip(np.einsum("klb,klb->lb", w, x), -11, 11)
-        p = one / (one + np.exp(-s))
-        cell = np.rint((np.clip(s, -reach, reach) + reach) * cells).astype(np.int64)
+        np.einsum("klb,klb->lb", w, x, out=s)
+        np.clip(s, -11, 11, out=s)
+        np.negative(s, out=p)
+        np.exp(p, out=p)
+        p += one
+        np.divide(one, p, out=p)
+        np.clip(s, -reach, reach, out=s)
+        s += reach
+        s *= cells
+        np.rint(s, out=cell, casting="unsafe")
         cell += row[:live]
-        r = refined[cell]
-        ones = np.unpackbits(data[at][:, None], axis=1).astype(np.float32)
-        guess = np.clip((p + r) * half, np.float32(LEAST), np.float32(1 - LEAST))
+        np.take(refined, cell, out=r, mode="clip")
+        ones = np.unpackbits(data[at][:, None], axis=1)
+        np.add(p, r, out=guess)
+        guess *= half
+        np.clip(guess, LEAST, 1 - LEAST, out=guess)
         guess -= one - ones
         np.abs(guess, out=guess)
-        four = guess[:, :4] * guess[:, 4:]
-        total[:live] += np.log((four[:, 0] * four[:, 1] * four[:, 2] * four[:, 3]).astype(np.float64))
-        x *= (ones - p) * rate
-        closed += x * (one - gate)
+        product[:live] *= guess
+        if t % LOG_STEPS == LOG_STEPS - 1 or t == steps - 1:  # before the products get too small
+            total += np.log(product).sum(axis=1, dtype=np.float64)
+            product.fill(1)
+        np.subtract(ones, p, out=p)
+        p *= rate
+        x *= p
+        np.subtract(one, gate, out=s)
+        np.multiply(x, s, out=w)
+        closed += w
         x *= gate
         opened += x
-        refined[cell] = r + (ones - r) * np.float32(REFINE_RATE)
+        np.subtract(ones, r, out=guess)
+        guess *= np.float32(REFINE_RATE)
+        r += guess
+        refined[cell] = r
     return total
 
 
@@ -486,7 +528,9 @@ def score(
     """
     clean = F.make_valid_utf8(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), clean.alias("text"))
-    blocks = materialize(rows.mapInArrow(_pack_blocks(block_bytes), "block long, n_bytes long, trained long, packed binary"), "mixing-blocks")
+    total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    packed = rows.mapInArrow(_pack_blocks(block_bytes), "block long, n_bytes long, trained long, packed binary")
+    blocks = bucketed(packed, "block", max(1, -(-int(total) // block_bytes)), "mixing_blocks")
     n, size, ends = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0)), F.coalesce(F.sum("trained"), F.lit(0))).first()
     total = max(0, int(max(0, size - 1) // range_bytes).bit_length())
     first = min(total, level_bits)

@@ -18,11 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bucketed(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder in buckets of ``key``, so that joins on it need no shuffle of it."""
+    """Write ``df`` to the shared folder in buckets of ``key``, so that joins on it need no shuffle of it.
+
+    Spark allows a session a highest number of buckets; beyond it buckets get larger, and what
+    is grouped by ``key`` within them is sorted and spilled as any group is.  The catalog only
+    lends its name while the table is written and found; nothing stays in it.
+    """
     spark = df.sparkSession
     name = f"quipu_{label}_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(buckets, key).option("path", new_path(spark, label)).saveAsTable(name)
-    return spark.table(name)
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    df.write.format("parquet").bucketBy(max(1, min(buckets, most)), key).option("path", new_path(spark, label)).saveAsTable(name)
+    found = spark.table(name)
+    found.schema  # the files and buckets are known now
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 _shipped: set[str] = set()

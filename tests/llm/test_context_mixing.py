@@ -52,13 +52,15 @@ class PlainModel:
                 weight = [[[mixing.FIRST_WEIGHT] * 4 for _ in range(2)] for _ in range(8)]
                 reach = mixing.REFINE_REACH
                 refined = [[1 / (1 + math.exp(reach - 2 * reach * j / (mixing.REFINED - 1))) for j in range(mixing.REFINED)] for _ in range(8)]
-            for bit in range(8):
-                one, node = byte >> 7 - bit & 1, (byte | 256) >> 8 - bit
-                odds = []
-                for context in contexts(data, at):
-                    zeros, ones = (self.counts[context, bit, node, v] for v in (0, 1))
+            answers = []
+            for context in contexts(data, at):
+                answers.append([])
+                for bit in range(8):
+                    zeros, ones = (self.counts[context, bit, (byte | 256) >> 8 - bit, v] for v in (0, 1))
                     scaled = round(math.log((ones + mixing.UNSEEN) / (zeros + mixing.UNSEEN)) * mixing.ODDS_SCALE)
-                    odds.append(max(-127, min(127, scaled)) / mixing.ODDS_SCALE)
+                    answers[-1].append(max(-127, min(127, scaled)) / mixing.ODDS_SCALE)
+            for bit in range(8):
+                one, odds = byte >> 7 - bit & 1, [a[bit] for a in answers]
                 w = weight[bit][odds[-1] != 0]
                 s = max(-11, min(11, sum(a * b for a, b in zip(w, odds))))
                 p = 1 / (1 + math.exp(-s))

@@ -20,7 +20,7 @@ import base64
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -35,7 +35,8 @@ from quipu.llm import scan
 from quipu.llm.tables import bucketed
 
 BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
+WORDS_AT_ONCE = 512
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -204,13 +205,7 @@ def _file_encoder(path: str):
 
     coder = Tokenizer.from_file(path)
 
-    def encode(words: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for a in range(0, len(words), 1024):
-            out.extend(e.ids for e in coder.encode_batch_fast(words[a : a + 1024], add_special_tokens=False))
-        return out
-
-    return encode
+    return lambda words: [e.ids for e in coder.encode_batch_fast(words, add_special_tokens=False)]
 
 
 def _pack_words(words: list[bytes]) -> bytes:
@@ -299,6 +294,16 @@ def _split_blocks(words_of: RankFile | TokenizerFile, buckets: int, limit: int):
     return run
 
 
+def _encode_words(encode, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each word has, and all ids; a few words at a time, as lists of ids take much room."""
+    sizes, flat = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype="<u4")]
+    for a in range(0, len(words), WORDS_AT_ONCE):
+        ids = encode([w.decode("utf-8") for w in words[a : a + WORDS_AT_ONCE]])
+        sizes.append(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+        flat.append(np.fromiter((i for word in ids for i in word), dtype="<u4", count=int(sizes[-1].sum())))
+    return np.concatenate(sizes), np.concatenate(flat)
+
+
 def _encode_bucket(words_of: RankFile | TokenizerFile, numbers: bool):
     def run(table: pa.Table) -> pa.Table:
         encode = words_of.encoder()
@@ -307,12 +312,11 @@ def _encode_bucket(words_of: RankFile | TokenizerFile, numbers: bool):
         places = []
         for packed in payloads:
             places.append(np.array([known.setdefault(w, len(known)) for w in _unpack_words(packed)], dtype=np.int64))
-        ids = encode([w.decode("utf-8") for w in known])
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter((i for word in ids for i in word), dtype="<u4", count=int(sizes.sum()))
+        sizes, flat = _encode_words(encode, list(known))
+        known.clear()
         starts = np.cumsum(sizes) - sizes
         out = []
-        total = np.zeros(len(known), dtype=np.int64)
+        total = np.zeros(len(sizes), dtype=np.int64)
         for place, counts in zip(places, table.column("counts").to_pylist()):
             total[place] += scan.unpress_numbers(counts)
             size = sizes[place]
@@ -370,6 +374,9 @@ def _join_block(documents: pa.Table, words: pa.Table) -> pa.Table:
     )
 
 
+DOCUMENTS = "doc_id long, n_tokens long, ids binary"
+
+
 @dataclass(frozen=True)
 class Words:
     """Documents as blocks of word numbers, and the ids of each block's words."""
@@ -377,13 +384,21 @@ class Words:
     blocks: DataFrame
     encoded: DataFrame
 
-    def documents(self) -> DataFrame:
-        """One row per document: ``doc_id``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit)."""
+    def documents(self, then: Callable[[pa.Table], pa.Table] | None = None, schema: str = DOCUMENTS) -> DataFrame:
+        """One row per document: ``doc_id``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit).
+
+        ``then`` turns these rows of a block into others while they are at hand in a task.
+        """
+
+        def join(documents: pa.Table, words: pa.Table) -> pa.Table:
+            found = _join_block(documents, words)
+            return then(found) if then else found
+
         return (
             self.blocks.where("bucket = -1")
             .groupBy("block")
             .cogroup(self.encoded.select("block", "bucket", "payload").groupBy("block"))
-            .applyInArrow(_join_block, "doc_id long, n_tokens long, ids binary")
+            .applyInArrow(join, schema)
         )
 
 

@@ -417,6 +417,7 @@ def _mix_lanes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: l
     wide = [np.empty((inputs, lanes, 8), dtype=np.float32) for _ in range(2)]
     flat = [np.empty((lanes, 8), dtype=np.float32) for _ in range(5)]
     cells_at = np.empty((lanes, 8), dtype=np.int64)
+    answer = np.empty(lanes, dtype=np.int64)
     product = np.ones((lanes, 8), dtype=np.float32)
     steps = int(sizes[0]) if lanes else 0
     for t in range(steps):
@@ -427,7 +428,8 @@ def _mix_lanes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: l
         cell = cells_at[:live]
         opened, closed = known[:, :live], unknown[:, :live]
         for k in range(inputs):
-            x[k] = bits[k][place[k][at]].view(np.int8).reshape(live, 8)
+            np.take(bits[k], np.take(place[k], at, mode="clip"), out=answer[:live], mode="clip")
+            x[k] = answer[:live].view(np.int8).reshape(live, 8)
         np.not_equal(x[-1], 0, out=gate)
         np.subtract(opened, closed, out=w)
         w *= gate

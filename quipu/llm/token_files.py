@@ -98,63 +98,71 @@ def token_order(words: bpe.Words, vocabulary: int, extra: dict[int, int]) -> np.
 
 
 def _coder(rank: np.ndarray, end_id: int, cuts: list[int], bits: int):
-    """One row for the documents of a batch that belong to the same file, packed together."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, named = scan.numbers(batch.column(0))
-            counts, controls, packed = [], [], []
-            for _, _, data, borders in scan.slices(batch.column(1)):
-                flat = rank[np.frombuffer(data.tobytes(), dtype="<u4")]
-                for a, b in zip((borders[:-1] // 4).tolist(), (borders[1:] // 4).tolist()):
-                    control, coded = pack(np.append(flat[a:b], rank[end_id]), bits)
-                    counts.append(b - a + 1)
-                    controls.append(len(control))
-                    packed.append(control + coded)
-            part = np.where(named, np.searchsorted(cuts, ids, side="right"), 0).astype(np.int32)
-            rows = []
-            for p in np.unique(part):
-                own = np.flatnonzero(part == p)
-                sizes = [np.array([of[i] for i in own], dtype="<u4") for of in (counts, controls, list(map(len, packed)))]
-                whole = np.frombuffer(b"".join(packed[i] for i in own), dtype=np.uint8)
-                rows.append((int(p), scan.press_arrays(named[own].astype("u1"), ids[own].astype("<i8"), *sizes, whole)))
-            columns = list(zip(*rows)) if rows else [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())], names=["part", "packed"])
+    """One row for the documents of a block that belong to the same file, packed together."""
+
+    def run(documents: pa.Table) -> pa.Table:
+        ids, named = scan.numbers(documents.column("doc_id").combine_chunks())
+        counts, controls, packed = [], [], []
+        for _, _, data, borders in scan.slices(documents.column("ids")):
+            flat = rank[np.frombuffer(data.tobytes(), dtype="<u4")]
+            for a, b in zip((borders[:-1] // 4).tolist(), (borders[1:] // 4).tolist()):
+                control, coded = pack(np.append(flat[a:b], rank[end_id]), bits)
+                counts.append(b - a + 1)
+                controls.append(len(control))
+                packed.append(control + coded)
+        part = np.where(named, np.searchsorted(cuts, ids, side="right"), 0).astype(np.int32)
+        rows = []
+        for p in np.unique(part):
+            own = np.flatnonzero(part == p)
+            sizes = [np.array([of[i] for i in own], dtype="<u4") for of in (counts, controls, list(map(len, packed)))]
+            whole = np.frombuffer(b"".join(packed[i] for i in own), dtype=np.uint8)
+            rows.append((int(p), scan.press_arrays(named[own].astype("u1"), ids[own].astype("<i8"), *sizes, whole)))
+        columns = list(zip(*rows)) if rows else [[], []]
+        scan.release()
+        return pa.table({"part": pa.array(columns[0], pa.int32()), "packed": pa.array(columns[1], pa.binary())})
 
     return run
 
 
 def _blocks(bits: int, block_ids: int):
-    def block(named: list[int], ids: list[int], counts: list[int], controls: list[int], documents: list[bytes]) -> bytes:
-        control = b"".join(d[:n] for d, n in zip(documents, controls))
-        data = b"".join(d[n:] for d, n in zip(documents, controls))
-        head = struct.pack(HEAD, MAGIC, bits, len(ids), len(ids) - sum(named), len(control), len(data))
-        return head + np.array(ids, dtype="<i8").tobytes() + np.array(counts, dtype="<u4").tobytes() + control + data
-
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        rows = []
-        for packed in table.column("packed").to_pylist():
-            named, ids, counts, controls, sizes, whole = scan.unpress_arrays(packed)
-            ends = np.cumsum(sizes, dtype=np.int64)
-            whole = whole.tobytes()
-            rows += zip(named.tolist(), ids.tolist(), counts.tolist(), controls.tolist(), [whole[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())])
-        rows.sort()
-        out, held, size = [], [], 0
-        for row in rows:
-            held.append(row)
-            size += row[2]
-            if size >= block_ids:
-                out.append(block(*zip(*held)))
-                held, size = [], 0
-        if held:
-            out.append(block(*zip(*held)))
+        pieces = [scan.unpress_arrays(packed) for packed in table.column("packed").to_pylist()]
+        named, ids, counts, controls, sizes, whole = (np.concatenate(column) for column in zip(*pieces))
+        del pieces
+        begin = np.cumsum(sizes, dtype=np.int64) - sizes
+        order = _in_order(named, ids, counts, controls, begin, sizes, whole)
+        ends = np.cumsum(counts[order], dtype=np.int64)
+        out, a = [], 0
+        while a < len(order):
+            before = ends[a - 1] if a else 0
+            b = int(np.searchsorted(ends, before + block_ids, side="left")) + 1
+            own = order[a : min(b, len(order))]
+            control = whole[scan.ragged(begin[own], controls[own].astype(np.int64))]
+            data = whole[scan.ragged(begin[own] + controls[own], sizes[own].astype(np.int64) - controls[own])]
+            head = struct.pack(HEAD, MAGIC, bits, len(own), int((named[own] == 0).sum()), len(control), len(data))
+            out.append(b"".join([head, ids[own].astype("<i8").tobytes(), counts[own].astype("<u4").tobytes(), control.tobytes(), data.tobytes()]))
+            a = b
         scan.release()
         return pa.table({"part": pa.array([part] * len(out), pa.int32()), "block": pa.array(out, pa.binary())})
 
     return run
 
 
+def _in_order(named: np.ndarray, ids: np.ndarray, counts: np.ndarray, controls: np.ndarray, begin: np.ndarray, sizes: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Documents by id, those without one first; of one id by their lengths and bytes."""
+    order = np.lexsort((controls, counts, ids, named))
+    same = np.ones(len(order), dtype=bool)
+    same[0:1] = False
+    for column in (controls, counts, ids, named):
+        same[1:] &= column[order][1:] == column[order][:-1]
+    for run in np.split(np.arange(len(order)), np.flatnonzero(~same))[1:]:
+        if len(run) > 1:
+            own = order[run]
+            order[run] = sorted(own.tolist(), key=lambda i: whole[begin[i] : begin[i] + sizes[i]].tobytes())
+    return order
+
+
 def write(
     docs: DataFrame, words_of: bpe.TokenizerFile, vocabulary: int, end_id: int, path: str, text: str = "text", id: str = "doc_id",
     file_text_bytes: int = FILE_TEXT_BYTES, block_ids: int = BLOCK_IDS, **limits: int,
@@ -176,7 +184,7 @@ def write(
     if files > 1:
         cuts = docs.select(F.percentile_approx(key, F.lit([k / files for k in range(1, files)]), F.lit(10 * files))).first()[0] or []
     bits = control_bits(vocabulary)
-    coded = words.documents().select("doc_id", "ids").mapInArrow(_coder(rank, end_id, cuts, bits), "part int, packed binary")
+    coded = words.documents(_coder(rank, end_id, cuts, bits), "part int, packed binary")
     blocks = coded.groupBy("part").applyInArrow(_blocks(bits, block_ids), "part int, block binary")
     blocks.select("part", F.col("block").cast("string").alias("value")).write.partitionBy("part").text(path)
     return order

@@ -97,7 +97,6 @@ def test_token_files(spark):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    coder.encode_special_tokens = True
     found = {r.doc_id: r for r in QUERIES["op9_token_files"](spark, SMALL).collect()}
     at = 0
     for i, t in texts(SMALL):

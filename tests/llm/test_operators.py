@@ -165,6 +165,59 @@ def test_decontamination_keeps_ids(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.pairs(docs, bench).collect()} == {(None, 1), (FAR + 4, 1)}
 
 
+# words whose linear hashes agree
+
+
+def thue_morse(n):
+    """Two strings of two letters that no polynomial hash modulo a power of two tells apart."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+LOOKALIKES = [text for n in (256, 1024, 2048, 4096) for text in thue_morse(n)]
+
+
+def test_lookalike_words_keep_their_ids(spark, tmp_path):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    rows = list(enumerate(LOOKALIKES))
+    docs = documents(spark, rows, partitions=1)
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe._ranks(MULTILINGUAL.path), special_tokens={})
+    found = {r.doc_id: (bytes(r.ids), bytes(r.decoded)) for r in bpe.decode(bpe.encode(docs, MULTILINGUAL), MULTILINGUAL).collect()}
+    ids = {i: coder.encode_ordinary(t) for i, t in rows}
+    assert found == {i: (struct.pack(f"<{len(ids[i])}I", *ids[i]), t.encode()) for i, t in rows}
+
+    path = str(tmp_path / "files")
+    order = token_files.write(docs, ENGLISH, 50257, 2, path)
+    library = Tokenizer.from_file(ENGLISH.path)
+    found = {r.doc_id: bytes(r.ids) for r in token_files.read(spark, path, order).collect()}
+    ids = {i: library.encode(t, add_special_tokens=False).ids + [2] for i, t in rows}
+    assert found == {i: struct.pack(f"<{len(own)}I", *own) for i, own in ids.items()}
+
+
+def test_lookalike_words_are_not_linked(spark):
+    found = {r.doc_id: r.component_id for r in ngram_join.classes(documents(spark, list(enumerate(LOOKALIKES))), n=4, num=85).collect()}
+    assert found == {i: i for i in range(len(LOOKALIKES))}
+
+
+# tables for joins
+
+
+def test_buckets_keep_within_the_highest_number(spark):
+    """Many more blocks than a session may have buckets; nothing stays in the catalog."""
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        rows = edge_texts()
+        encoded = bpe.encode(documents(spark, rows), MULTILINGUAL, block_bytes=500, bucket_bytes=500)
+        assert Counter(r.doc_id for r in encoded.collect()) == Counter(i for i, _ in rows)
+        found = suffix_dedup.dedup(documents(spark, rows), block_bytes=2000).select("doc_id", "n_bytes").collect()
+        assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+    assert spark.catalog.listTables() == []
+
+
 # byte-level BPE
 
 
@@ -198,7 +251,6 @@ def test_token_files(spark, edge, tmp_path):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(ENGLISH.path)
-    coder.encode_special_tokens = True
     path = str(tmp_path / "files")
     order = token_files.write(edge, ENGLISH, 50257, 2, path, file_text_bytes=30000, block_ids=2000, block_bytes=9000)
     found = sorted(token_files.checksums(token_files.read(spark, path, order)).select("doc_id", "start", "n_tokens", "ids_crc32").collect())

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quipu.functions.numbers import MAX_DEPTH
 from quipu.schema import NEGATIVE_LABEL, POSITIVE_LABEL
-from quipu.session import ensure_checkpoint_dir
+from quipu.session import ensure_checkpoint_dir, materialize, new_path
 
 VECTOR = "_features"
 
+# Fixed value: nodes of fewer rows are not split in the production forest.
+MIN_SAMPLES_SPLIT = 10
+
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     """The features as one vector, in the given order; a null stops the job."""
@@ -75,7 +78,7 @@ def linear_svm(label: str, c: float, rows: int, **params) -> LinearSVC:
     fit ended before that bound is what :func:`converged` tells.
     """
     defaults = dict(regParam=1.0 / (rows * c), standardization=False, maxIter=100, tol=1e-3)
-    return LinearSVC(featuresCol=VECTOR, labelCol=label, **{**defaults, **params})
+    return LinearSVC(labelCol=label, **{"featuresCol": VECTOR, **defaults, **params})
 
 
 def converged(model: PipelineModel) -> bool:
@@ -89,9 +92,72 @@ def forest_regressor(label: str, **params) -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol=VECTOR, labelCol=label, **{**defaults, **params})
 
 
-def fit(df: DataFrame, estimator: Estimator, features: list[str]) -> PipelineModel:
+def fit(
+    df: DataFrame, estimator: Estimator | list[Estimator | Transformer], features: list[str], min_samples_split: int | None = None
+) -> PipelineModel:
+    """Fit an estimator, behind the steps before it if it is a list, on the features.
+
+    With ``min_samples_split`` tree nodes of fewer rows are not split, see :func:`collapse_small_nodes`.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return Pipeline(stages=[_assembler(features), estimator]).fit(df)
+    stages = estimator if isinstance(estimator, list) else [estimator]
+    model = Pipeline(stages=[_assembler(features), *stages]).fit(df)
+    return collapse_small_nodes(df.sparkSession, model, min_samples_split) if min_samples_split else model
+
+
+def collapse_small_nodes(spark: SparkSession, model: PipelineModel, min_samples_split: int) -> PipelineModel:
+    """The same trees without the splits of nodes that hold fewer rows.
+
+    A tree is grown from the root without looking back, so leaving these splits out gives
+    the tree that would have grown without them.  A node never holds more rows than its
+    parent, so a node stays exactly if its parent may be split.  The trees are rewritten as
+    the table of nodes they are stored as; the model at hand stays as it is.
+    """
+    path = new_path(spark, "collapsed-model")
+    save_model(model, path)
+    last = model.stages[-1]
+    stored = f"{path}/stages/{len(model.stages) - 1}_{last.uid}/data"
+    rows = spark.read.parquet(stored)
+    nodes = rows if "nodeData" in rows.columns else rows.select(F.lit(0).alias("treeID"), F.struct(*rows.columns).alias("nodeData"))
+    kept = materialize(_without_small_splits(nodes.select("treeID", "nodeData.*"), min_samples_split), "tree-nodes")
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in nodes.schema["nodeData"].dataType]
+    whole = kept.select("treeID", F.struct(*fields).alias("nodeData")) if "nodeData" in rows.columns else kept.select(*fields)
+    whole.write.mode("overwrite").parquet(stored)
+    return load_model(spark, path)
+
+
+def _without_small_splits(nodes: DataFrame, limit: int) -> DataFrame:
+    """Nodes by tree, numbered from 0 in the order in which a tree is told from the root, left before right."""
+    may_split = (F.col("leftChild") >= 0) & (F.col("rawCount") >= limit)
+    children = nodes.where(may_split).select("treeID", F.explode(F.array("leftChild", "rightChild")).alias("id"))
+    roots = nodes.select("treeID", F.lit(0).alias("id")).distinct()
+    kept = nodes.join(children.unionByName(roots), ["treeID", "id"], "left_semi")
+    # A tree's nodes are held by the driver in any case, when the model is fitted and loaded.
+    place = (F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1).cast("int")
+    numbered = kept.withColumn("_place", place)
+    places = numbered.select("treeID", F.col("id").alias("rightChild"), F.col("_place").alias("_right"))
+    joined = numbered.join(places, ["treeID", "rightChild"], "left")
+    leaf = F.struct(F.lit(-1).alias("featureIndex"), F.array().cast("array<double>").alias("leftCategoriesOrThreshold"), F.lit(-1).alias("numCategories"))
+    return joined.select(
+        "treeID",
+        F.col("_place").alias("id"),
+        "prediction",
+        "impurity",
+        "impurityStats",
+        "rawCount",
+        F.when(may_split, F.col("gain")).otherwise(-1.0).alias("gain"),
+        F.when(may_split, F.col("_place") + 1).otherwise(-1).alias("leftChild"),
+        F.when(may_split, F.col("_right")).otherwise(-1).alias("rightChild"),
+        F.when(may_split, F.col("split")).otherwise(leaf).alias("split"),
+    )
+
+
+def tree_nodes(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """The nodes of a fitted model's trees as stored, one row each."""
+    path = new_path(spark, "model-nodes")
+    save_model(model, path)
+    rows = spark.read.parquet(f"{path}/stages/{len(model.stages) - 1}_{model.stages[-1].uid}/data")
+    return rows.select("treeID", "nodeData.*") if "nodeData" in rows.columns else rows.withColumn("treeID", F.lit(0))
 
 
 def predict(df: DataFrame, model: PipelineModel, out: str = "prediction") -> DataFrame:

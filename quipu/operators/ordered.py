@@ -1,40 +1,87 @@
 """Running computations over an order, without one task holding all rows.
 
-A long run is cut into ranges of the order column.  Each range is worked on by
-its own window, and what the ranges before it contribute comes from one small
-row per range.
+A long run is cut into ranges of the order column.  Each range is worked on by its own
+window, and what the ranges before it contribute comes from one small row per range.
+Ranges are found in levels: a level cuts every range of the level above into at most
+``FAN`` parts, so there is no highest number of them.  The table of range totals is cut
+the same way, so no window over it holds more than ``FAN`` rows.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quipu.operators.joins import lookup_join
+from quipu.session import materialize
+
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4_096
+FAN = 1_024
 
-KEY = ["_group", "_range"]
+#: How totals are added up within a window, and two of them to one.
+COMBINE = {
+    "max": (F.max, F.greatest),  # both skip nulls
+    "sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
+}
 
 
-def with_ranges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, int]:
-    """Add ``_range``, the number of the range of ``order`` a row falls in; and how many there are.
+def with_ranges(
+    df: DataFrame, order: str, by: list[str] | None = None, rows_per_range: int = ROWS_PER_RANGE, fan: int = FAN
+) -> tuple[DataFrame, list[str]]:
+    """Add the range of ``order`` a row falls in, level by level; and the names of these columns.
 
-    The edges are approximate quantiles, so the ranges are of like size; they are
-    constants of the plan, and equal values share a range.  ``order`` is numeric.
+    The edges are approximate quantiles, of the rows of one ``by`` where it is given, so the
+    ranges are of like size; equal values share a range, and ``order`` is numeric.  Edges
+    are one row per range of the level above, joined by its path.  Few rows get no range.
     """
+    by = by or []
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.agg(F.max("n")).first()[0] or 0
     place = F.col(order).cast("double")
-    # Count and quantiles come from one pass; the count says how many of them are edges.
-    shares = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(place, shares, 10 * MAX_RANGES).alias("e")).first()
-    ranges = min(MAX_RANGES, -(-found["n"] // rows_per_range))
-    if ranges <= 1 or not found["e"]:  # without quantiles every place is null
-        return df.withColumn("_range", F.lit(0)), 1
-    edges = [found["e"][round(i * MAX_RANGES / ranges) - 1] for i in range(1, ranges)]
-    splits = [float("-inf"), *sorted(set(edges)), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="_place", outputCol="_range", handleInvalid="keep")
-    ranged = cut.transform(df.withColumn("_place", place)).drop("_place")
-    return ranged.withColumn("_range", F.col("_range").cast("int")), len(splits) - 1
+    path: list[str] = []
+    while rows > rows_per_range:
+        parts = min(fan, -(-rows // rows_per_range))
+        shares = [i / parts for i in range(1, parts)]
+        keys = [*by, *path]
+        edges = df.groupBy(*keys).agg(F.percentile_approx(place, shares, 20 * parts).alias("_edges"))
+        level = f"_range_{len(path)}"
+        if keys:
+            joined = lookup_join(df, materialize(edges, "range-edges"), keys)
+        else:
+            joined = df.withColumn("_edges", F.lit(edges.first()["_edges"] or []).cast("array<double>"))
+        df = joined.withColumn(level, _edges_up_to("_edges", place, parts)).drop("_edges")
+        path.append(level)
+        rows = -(-rows // parts)
+    return df, path
+
+
+def _edges_up_to(edges: str, place: Column, parts: int) -> Column:
+    """How many of the ascending edges are at most ``place``, by halving; 0 for a null."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(parts.bit_length()))])
+
+    def step(found: Column, size: Column) -> Column:
+        return F.when(F.get(edges, found + size - 1) <= place, found + size).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def before(totals: DataFrame, group: list[str], path: list[str], values: list[str], combine: str) -> DataFrame:
+    """For each range of a group, what its earlier ranges come to; null where there are none.
+
+    ``totals`` has one row per group and path; ranges of one range of the level above are
+    summed in a window, and that range's own earlier ones by the same step one level up.
+    """
+    whole, pair = COMBINE[combine]
+    *above, last = path
+    earlier = Window.partitionBy(*group, *above).orderBy(last).rowsBetween(Window.unboundedPreceding, -1)
+    found = totals.select(*group, *path, *[whole(v).over(earlier).alias(v) for v in values])
+    if not above:
+        return found
+    wider = totals.groupBy(*group, *above).agg(*[whole(v).alias(v) for v in values])
+    carried = before(wider, group, above, values, combine)
+    carried = carried.select(*group, *above, *[F.col(v).alias(f"_above_{v}") for v in values])
+    joined = found.join(carried, [*group, *above])
+    return joined.select(*group, *path, *[pair(F.col(v), F.col(f"_above_{v}")).alias(v) for v in values])
 
 
 def running_max_before(
@@ -43,16 +90,19 @@ def running_max_before(
     values: dict[str, str],
     by: list[str] | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
+    fan: int = FAN,
 ) -> DataFrame:
     """Add, per row, the highest earlier value: ``values`` maps new to old columns."""
-    ranged, ranges = with_ranges(_grouped(df, by), order, rows_per_range)
-    earlier = Window.partitionBy(*KEY).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranged, path = with_ranges(_grouped(df, by), order, None, rows_per_range, fan)
+    key = ["_group", *path]
+    earlier = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumns({new: F.max(old).over(earlier) for new, old in values.items()})
-    if ranges == 1:
-        return local.drop(*KEY)
-    tops = ranged.groupBy(*KEY).agg(*[F.max(old).alias(new) for new, old in values.items()])
-    carried = tops.select(*KEY, *[F.max(new).over(_ranges_before()).alias(f"_from_{new}") for new in values])
-    joined = local.join(carried, KEY, "left")
+    if not path:
+        return local.select(*df.columns, *values)
+    tops = ranged.groupBy(*key).agg(*[F.max(old).alias(new) for new, old in values.items()])
+    carried = before(tops, ["_group"], path, list(values), "max")
+    carried = carried.select(*key, *[F.col(new).alias(f"_from_{new}") for new in values])
+    joined = local.join(carried, key, "left")
     # greatest() skips nulls
     merged = {new: F.greatest(F.col(new), F.col(f"_from_{new}")) for new in values}
     return joined.withColumns(merged).select(*df.columns, *values)
@@ -64,17 +114,19 @@ def numbered(
     by: list[str] | None = None,
     out: str = "row_number",
     rows_per_range: int = ROWS_PER_RANGE,
+    fan: int = FAN,
 ) -> DataFrame:
     """Add the row number from 1 within each group, by ascending ``order``."""
-    ranged, ranges = with_ranges(_grouped(df, by), order, rows_per_range)
-    place = F.row_number().over(Window.partitionBy(*KEY).orderBy(order)).cast("long")
+    ranged, path = with_ranges(_grouped(df, by), order, None, rows_per_range, fan)
+    key = ["_group", *path]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(order)).cast("long")
     local = ranged.withColumn(out, place)
-    if ranges == 1:
-        return local.drop(*KEY)
-    sizes = ranged.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select(*KEY, F.coalesce(F.sum("_n").over(_ranges_before()), F.lit(0)).alias("_start"))
-    joined = local.join(starts, KEY, "left")
-    return joined.withColumn(out, F.col(out) + F.col("_start")).select(*df.columns, out)
+    if not path:
+        return local.select(*df.columns, out)
+    sizes = ranged.groupBy(*key).agg(F.count(F.lit(1)).alias("_start"))
+    starts = before(sizes, ["_group"], path, ["_start"], "sum")
+    joined = local.join(starts, key, "left")
+    return joined.withColumn(out, F.col(out) + F.coalesce("_start", F.lit(0))).select(*df.columns, out)
 
 
 def _grouped(df: DataFrame, by: list[str] | None) -> DataFrame:
@@ -84,8 +136,3 @@ def _grouped(df: DataFrame, by: list[str] | None) -> DataFrame:
     very large group is spread over its ranges.
     """
     return df.withColumn("_group", F.to_json(F.struct(*by)) if by else F.lit(""))
-
-
-def _ranges_before():
-    """The earlier ranges of a group: at most ``MAX_RANGES`` rows in a window."""
-    return Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

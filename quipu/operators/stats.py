@@ -13,6 +13,7 @@ from quipu.operators.encode import Dictionary, distinct_values
 from quipu.session import materialize
 
 MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
+ROWS_PER_VALUE = 5
 
 
 def category_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -74,13 +75,16 @@ def information_gain(
     """``(feature, information_gain)`` in nats, ascending.
 
     Mutual information of the observed table of counts.  Columns in ``numeric``, by
-    default those of a fractional type, are cut into bins of equal frequency first.  With ``n_xy`` rows per value and
+    default those of a fractional type and whole numbers of fewer than
+    ``ROWS_PER_VALUE`` rows a value (keys, amounts), are cut into bins of equal frequency
+    first; a table of counts with hardly a row per cell tells nothing.  With ``n_xy`` rows per value and
     class, ``n_x`` per value and ``n_y`` per class, the gain is
     ``(sum n_xy ln n_xy - sum n_x ln n_x - sum n_y ln n_y + n ln n) / n``, so
     nothing has to be joined back to the counts.
     """
     if numeric is None:
         numeric = [c for c in features if isinstance(df.schema[c].dataType, T.FractionalType)]
+        numeric += _thin(df, [c for c in features if isinstance(df.schema[c].dataType, T.IntegralType)])
     edges = bin_edges(df, numeric, bins, accuracy) if numeric else {}
     values = [
         (bin_number(c, edges[c]) if c in edges else F.col(c)).cast("string").alias(c) for c in features
@@ -110,6 +114,14 @@ def information_gain(
     return report.orderBy("information_gain", "feature")
 
 
+def _thin(df: DataFrame, columns: list[str]) -> list[str]:
+    """The columns with few rows per distinct value, counted approximately in one pass."""
+    if not columns:
+        return []
+    found = df.agg(*[F.struct(F.count(c).alias("n"), F.approx_count_distinct(c, 0.02).alias("d")).alias(c) for c in columns]).first()
+    return [c for c in columns if found[c]["n"] < ROWS_PER_VALUE * found[c]["d"]]
+
+
 def scaler_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(column, mean, std)`` with the population standard deviation."""
     one_row = df.agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quipu.operators.trials import FAMILIES
 from quipu.plans.fixtures import LINE_FEATURES, marriage_select
 from quipu.schema import DESCRIBED_CATEGORIES, MARRIAGES
 
@@ -95,6 +96,37 @@ def _binned(column: str, bins: int) -> str:
     return f"(SELECT count(*) FROM ({edges}) WHERE edge < lines.{column})"
 
 
+def _digamma(n: str) -> str:
+    """At a whole number: the asymptotic series ten steps up, less the reciprocals in between."""
+    z = f"({n} + 10.0::DOUBLE)"
+    series = f"ln({z}) - 0.5 / {z} - 1 / (12 * pow({z}, 2)) + 1 / (120 * pow({z}, 4)) - 1 / (252 * pow({z}, 6)) + 1 / (240 * pow({z}, 8))"
+    return f"({series} - " + " - ".join(f"1 / ({n} + {j}.0::DOUBLE)" for j in range(10)) + ")"
+
+
+def _near_information(features: list[str], target: str, key: str, source: str, k: int) -> str:
+    """Nearest-neighbour information of each feature, ranks being looked up in the sorted values."""
+
+    def points(c: str) -> str:
+        unit = f"(SELECT CASE WHEN m > 0 THEN pow(2.0::DOUBLE, floor(log2(m)) - 30) ELSE pow(2.0::DOUBLE, -30) END FROM (SELECT max(abs({c}::DOUBLE)) AS m FROM {source}))"
+        return f"SELECT '{c}' AS feature, {target} AS y, {key} AS id, {c}::DOUBLE + {_uniform(c, key)} * {unit} AS x FROM {source} WHERE {c} IS NOT NULL"
+
+    beside = ", ".join(f"{side}(x, {i}) OVER w AS {side}{i}" for side in ("lag", "lead") for i in range(1, k + 1))
+    near = ", ".join(f"struct_pack(d := abs({side}{i} - x), v := {side}{i})" for side in ("lag", "lead") for i in range(1, k + 1))
+    return f"""
+    every AS MATERIALIZED ({" UNION ALL ".join(points(c) for c in features)}),
+    points AS MATERIALIZED (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY feature, y) AS n FROM every) WHERE n > 1),
+    beside AS (SELECT *, {beside} FROM points WINDOW w AS (PARTITION BY feature, y ORDER BY x, id)),
+    far AS (SELECT feature, n, x, list_sort(list_filter([{near}], lambda s: s.v IS NOT NULL))[least({k}, n - 1)] AS far FROM beside),
+    ends AS (SELECT feature, n, x, CASE WHEN far.v < x THEN far.v ELSE x - far.d END AS low,
+             CASE WHEN far.v > x THEN far.v ELSE x + far.d END AS high FROM far),
+    ranks AS MATERIALIZED (SELECT feature, x, sum(count(*)) OVER (PARTITION BY feature ORDER BY x) AS rank FROM points GROUP BY feature, x),
+    counted AS (SELECT e.feature, n, coalesce(h.rank, 0) - coalesce(l.rank, 0) AS m
+                FROM ends e ASOF LEFT JOIN ranks h ON e.feature = h.feature AND e.high > h.x
+                ASOF LEFT JOIN ranks l ON e.feature = l.feature AND e.low >= l.x)
+    SELECT feature, round(greatest({_digamma("count(*)")} + avg({_digamma(f"least({k}, n - 1)")}) - avg({_digamma("n")}) - avg({_digamma("m")}), 0.0), 8) AS information_gain
+    FROM counted GROUP BY feature"""
+
+
 def _uniform(name: str, key: str) -> str:
     digits = f"substr(md5(concat('{SEED}|{name}|', {_part(key)})), 1, 8)"
     return f"(CAST(concat('0x', {digits}) AS BIGINT) / 4294967296.0::DOUBLE)"
@@ -234,6 +266,7 @@ ORACLE: dict[str, str] = {
         {_gain('l_returnflag', 'l_returnflag', 'l_linestatus')}
         UNION ALL {_gain('l_linenumber', 'l_linenumber', 'l_linestatus')}
         UNION ALL {_gain('l_quantity', 'l_quantity', 'l_linestatus')}""",
+    "information_gain_knn": f"WITH {TYPED}, {CLEAN}, {ENCODED}, {_near_information(MARRIAGES.features, MARRIAGES.target, 'row_id', 'encoded', 3)}",
     "information_gain_binned": f"""
         WITH lines AS (SELECT l_quantity, l_discount, l_extendedprice > 30000 AS expensive FROM lineitem),
         source AS (SELECT expensive, {_binned('l_quantity', 8)} AS q, {_binned('l_discount', 8)} AS d FROM lines)
@@ -255,11 +288,12 @@ ORACLE: dict[str, str] = {
         FROM part, s""",
     "trial_grid": f"""
         WITH drawn AS (SELECT o_orderkey,
-            ['SVC_linear', 'DecisionTreeClassifier', 'RandomForest'][CAST(floor({_uniform('classifier', 'o_orderkey')} * 3) AS INTEGER) + 1]
+            [{", ".join(f"'{f}'" for f in FAMILIES)}][CAST(floor({_uniform('classifier', 'o_orderkey')} * {len(FAMILIES)}) AS INTEGER) + 1]
             AS classifier FROM orders)
         SELECT o_orderkey AS trial, classifier,
-            CASE WHEN classifier = 'SVC_linear' THEN round(exp(ln(0.01::DOUBLE) + {_uniform('svc_c', 'o_orderkey')}
+            CASE WHEN starts_with(classifier, 'SVC') THEN round(exp(ln(0.01::DOUBLE) + {_uniform('svc_c', 'o_orderkey')}
                 * (ln(100.0::DOUBLE) - ln(0.01::DOUBLE))), 6) END AS svc_c,
+            CASE WHEN classifier = 'SVC_poly' THEN CAST(2 + floor({_uniform('svc_poly_degree', 'o_orderkey')} * 5) AS INTEGER) END AS svc_poly_degree,
             CASE WHEN classifier = 'DecisionTreeClassifier' THEN {_log_int('tree_max_depth', 2, 30)} END AS tree_max_depth,
             CASE WHEN classifier = 'RandomForest' THEN {_log_int('rf_max_depth', 2, 30)} END AS rf_max_depth,
             CASE WHEN classifier = 'RandomForest' THEN {_log_int('rf_n_estimators', 2, 10)} END AS rf_n_estimators
@@ -339,10 +373,31 @@ ORACLE: dict[str, str] = {
     "train_and_promote": """
         SELECT 'model' AS name, 'champion' AS alias, CAST(1 AS INTEGER) AS version, 'f1' AS metric, CAST(NULL AS BOOLEAN) AS challenger_better
         UNION ALL SELECT 'model', 'champion', 2, 'accuracy', true""",
-    "cv_scores": "SELECT trial, CAST(fold AS INTEGER) AS fold, true AS is_score FROM range(2) t(trial), range(5) f(fold)",
+    "cv_scores": f"""
+        WITH {TYPED}, {CLEAN},
+        base AS (SELECT row_id, es_divorcio AS s, {_hash('row_id')} AS h FROM cleaned),
+        {_test_sizes('0.3')},
+        train AS (SELECT r.s, h FROM ranked r JOIN sizes USING (s) WHERE place > n_test),
+        sums AS (SELECT s, count(*) AS n FROM train GROUP BY s),
+        runs AS (SELECT s, CAST(sum(n) OVER (ORDER BY s) AS BIGINT) - n AS first, n FROM sums),
+        dealt AS (SELECT s, i AS fold, (first + n + {FOLDS - 1} - i) // {FOLDS} - (first + {FOLDS - 1} - i) // {FOLDS} AS size
+                  FROM runs, range({FOLDS}) r(i))
+        SELECT trial, CAST(fold AS INTEGER) AS fold, CAST(sum(size) AS BIGINT) AS n_rows,
+            CAST(sum(size) FILTER (s > 0) AS BIGINT) AS n_positive, true AS score_holds
+        FROM dealt, range(3) t(trial) GROUP BY trial, fold""",
     "model_search": """
-        SELECT CAST(25 AS BIGINT) AS n_scores, CAST(5 AS BIGINT) AS n_trials, CAST(3 AS BIGINT) AS n_families, CAST(0 AS BIGINT) AS out_of_range,
+        SELECT CAST(45 AS BIGINT) AS n_scores, CAST(9 AS BIGINT) AS n_trials, CAST(5 AS BIGINT) AS n_families, CAST(0 AS BIGINT) AS n_wrong,
             true AS best_is_highest, 'model' AS name, CAST(1 AS INTEGER) AS version, true AS has_test_score""",
+    "forest_min_split": """
+        WITH told AS (SELECT l_quantity AS q, l_quantity + 100 * l_discount > 28 AS y FROM lineitem),
+        sums AS (SELECT q, count(*) AS n, count(*) FILTER (y) AS p FROM told GROUP BY q),
+        upto AS (SELECT q, n, sum(n) OVER w AS nl, sum(p) OVER w AS pl, sum(n) OVER () AS nt, sum(p) OVER () AS pt FROM sums WINDOW w AS (ORDER BY q)),
+        sides AS (SELECT *, nt - nl AS nr, pt - pl AS pr FROM upto),
+        best AS (SELECT arg_min(struct_pack(q := q, l := pl * 2 > nl, r := pr * 2 > nr),
+                     nl * (1 - pow(pl / nl, 2) - pow(1 - pl / nl, 2)) + nr * (1 - pow(pr / nr, 2) - pow(1 - pr / nr, 2))) AS b
+                 FROM sides WHERE nr > 0),
+        called AS (SELECT q, n, CAST(CASE WHEN q <= b.q THEN b.l ELSE b.r END AS INTEGER) AS c FROM sums, best)
+        SELECT q AS l_quantity, n AS n_rows, c AS lowest, c AS highest, CAST(3 AS BIGINT) AS n_nodes FROM called""",
     "ingest_wide_csv": f"""
         WITH {TYPED}, {CLEAN} SELECT * EXCLUDE (row_id), (SELECT count(*) FROM orders) AS n_keys FROM cleaned""",
     "score_accuracy": f"""

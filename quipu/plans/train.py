@@ -33,13 +33,20 @@ def fit_and_log(
     test: DataFrame,
     features: list[str],
     label: str,
-    estimator: Estimator,
+    estimator: Estimator | None,
     metric: str,
 ) -> tuple[int, float]:
-    """Fit, score on the test rows, log the run, save the model, add its version."""
-    model = models.fit(train, estimator, features)
+    """Fit, score on the test rows, log the run, save the model, add its version.
+
+    Without an estimator this is the production forest, which does not split small nodes.
+    """
+    small = models.MIN_SAMPLES_SPLIT if estimator is None else None
+    estimator = estimator or models.forest_classifier(label)
+    model = models.fit(train, estimator, features, small)
     value = score(models.predict(test, model), metric, label, "prediction").first()[metric]
     params = {p.name: v for p, v in estimator.extractParamMap().items()}
+    if small:
+        params["minSamplesSplit"] = small
     params["model"] = type(estimator).__name__
     store.get_or_create_experiment(experiment)
     run_name = f"{CHALLENGER_RUN}{datetime.now():%Y%m%d_%H%M%S}"
@@ -64,7 +71,7 @@ def train_initial(
 ) -> int:
     """Train a first model and make it champion without a comparison."""
     version, value = fit_and_log(
-        store, experiment, name, train, test, features, label, estimator or models.forest_classifier(label), metric
+        store, experiment, name, train, test, features, label, estimator, metric
     )
     store.set_alias(name, CHAMPION, version, metric, None, value)
     return version
@@ -83,7 +90,7 @@ def retrain(
 ) -> Row:
     """Train a challenger and promote it if it is strictly better by the metric."""
     version, value = fit_and_log(
-        store, experiment, name, train, test, features, label, estimator or models.forest_classifier(label), metric
+        store, experiment, name, train, test, features, label, estimator, metric
     )
     return promote(store, name, test, label, version, value, metric)
 

@@ -88,3 +88,12 @@ def test_fractional_columns_are_binned_without_being_told(spark):
     assert stats.information_gain(df, ["noise"], "y", bins=8).first().information_gain < 0.01
     told = stats.information_gain(df, ["noise"], "y", numeric=[]).first().information_gain
     assert told == pytest.approx(math.log(2), abs=0.01)
+
+
+def test_thin_integers_are_binned(spark):
+    """A key says as much about any target as the target itself if each value counts for itself."""
+    df = spark.range(2000).selectExpr("id", "id % 7 AS code", "cast(hash(id) % 2 = 0 AS int) AS y")
+    found = {r.feature: r.information_gain for r in stats.information_gain(df, ["id", "code"], "y").collect()}
+    assert found["id"] < 0.03 and found["code"] < 0.01
+    counted = {r.feature: r.information_gain for r in stats.information_gain(df, ["id"], "y", numeric=[]).collect()}
+    assert counted["id"] > 0.6

@@ -14,12 +14,13 @@ def values(spark):
     return spark.createDataFrame(rows, "study string, trial long, value double"), rows
 
 
-@pytest.mark.parametrize("rows_per_range", [37, 1_000_000])
-def test_running_maximum_and_numbers(values, rows_per_range):
+@pytest.mark.parametrize("rows_per_range, fan", [(37, 1024), (7, 4), (40, 3), (1_000_000, 1024)])
+def test_running_maximum_and_numbers(values, rows_per_range, fan):
+    """In one level of ranges, in four and three levels, and without ranges."""
     df, rows = values
-    out = ordered.running_max_before(df, "trial", {"top": "value"}, ["study"], rows_per_range)
+    out = ordered.running_max_before(df, "trial", {"top": "value"}, ["study"], rows_per_range, fan)
     found = {(r.study, r.trial): r.top for r in out.collect()}
-    numbers = ordered.numbered(df.filter("trial % 3 = 0"), "trial", ["study"], "n", rows_per_range)
+    numbers = ordered.numbered(df.filter("trial % 3 = 0"), "trial", ["study"], "n", rows_per_range, fan)
     numbers = {(r.study, r.trial): r.n for r in numbers.collect()}
     for s in ("a", "b", None):
         own = sorted((t, v) for study, t, v in rows if study == s)
@@ -92,7 +93,9 @@ def test_draws_depend_on_seed_and_trial_only(spark):
     rows = trials.draw_trials(df, "trial", 1).collect()
     assert {r.classifier for r in rows} == set(trials.FAMILIES)
     for r in rows:
-        assert (r.svc_c is not None) == (r.classifier == "SVC_linear")
+        assert (r.svc_c is not None) == r.classifier.startswith("SVC")
+        assert (r.svc_poly_degree is not None) == (r.classifier == "SVC_poly")
+        assert r.svc_poly_degree is None or 2 <= r.svc_poly_degree <= 6
         assert r.svc_c is None or 0.01 <= r.svc_c < 100
         assert r.tree_max_depth is None or 2 <= r.tree_max_depth <= 30
         assert r.rf_n_estimators is None or 2 <= r.rf_n_estimators <= 10
@@ -106,6 +109,91 @@ def test_mean_of_folds(spark):
 
 def test_ranges_are_of_like_size(spark):
     df = spark.range(10_000).withColumn("x", F.col("id") * F.col("id"))
-    ranged, n = ordered.with_ranges(df, "x", 1000)
-    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
-    assert n == len(sizes) == 10 and max(sizes) <= 1001
+    ranged, path = ordered.with_ranges(df, "x", rows_per_range=1000)
+    sizes = [r["count"] for r in ranged.groupBy(*path).count().collect()]
+    assert len(path) == 1 and len(sizes) == 10 and max(sizes) <= 1200
+
+
+def test_levels_of_ranges_follow_the_order(spark):
+    df = spark.range(10_000).withColumn("x", (F.col("id") * 7919) % 10_007)
+    ranged, path = ordered.with_ranges(df, "x", rows_per_range=50, fan=7)
+    ranges = ranged.groupBy(*path).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("a"), F.max("x").alias("b")).orderBy(*path).collect()
+    assert len(path) == 3 and max(r.n for r in ranges) <= 80
+    assert all(one.b < two.a for one, two in zip(ranges, ranges[1:]))
+
+
+def test_ranges_of_few_and_of_missing_places(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (3.0, 3), (float("nan"), 4)], "x double, v int")
+    assert ordered.with_ranges(df, "x", rows_per_range=10)[1] == []
+    assert ordered.with_ranges(df.where("false"), "x", rows_per_range=1)[1] == []
+    ranged, path = ordered.with_ranges(df, "x", rows_per_range=1, fan=2)
+    assert sorted(r.v for r in ranged.collect()) == [1, 2, 3, 4] and len(path) == 2
+
+
+def test_no_window_over_totals_holds_more_than_a_level(spark):
+    totals = spark.createDataFrame([("g", i // 9, i // 3 % 3, i % 3, i) for i in range(27)], "_group string, a int, b int, c int, v long")
+    found = ordered.before(totals, ["_group"], ["a", "b", "c"], ["v"], "sum")
+    assert [r.v or 0 for r in found.orderBy("a", "b", "c").collect()] == [sum(range(i)) for i in range(27)]
+    windows = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "windowspecdefinition" in line]
+    assert len({line.split("windowspecdefinition(")[1].split(" ASC")[0].count("#") for line in windows}) == 3
+
+
+# suggestions
+
+
+def _score(study):
+    """Three fixed functions: one family and a place in its range, a broad slope, and two ranges at once."""
+    near = lambda value, low, high, best: 1 - F.abs(F.ln(value) - F.ln(F.lit(best))) / (F.ln(F.lit(high)) - F.ln(F.lit(low)))
+    peak = F.when(F.col("classifier") == "SVC_rbf", near(F.col("svc_c"), 0.01, 100.0, 3.0)).otherwise(F.lit(0.2))
+    deep = F.when(F.col("classifier") == "DecisionTreeClassifier", F.col("tree_max_depth") / 30.0).otherwise(F.lit(0.3))
+    both = F.when(
+        F.col("classifier") == "RandomForest", near(F.col("rf_max_depth"), 2.0, 30.0, 12.0) * near(F.col("rf_n_estimators"), 2.0, 10.0, 7.0)
+    ).otherwise(F.lit(0.0))
+    return F.when(study % 3 == 0, peak).when(study % 3 == 1, deep).otherwise(both)
+
+
+def test_suggestions_beat_draws(spark):
+    """Twelve searches of each function, side by side: at as many trials the best is better in the mean."""
+    studies = spark.range(36).withColumnRenamed("id", "study")
+
+    def numbers(first, last):
+        return studies.crossJoin(spark.range(first, last).withColumnRenamed("id", "trial"))
+
+    def drawn(rows):
+        seeded = rows.withColumn("_key", F.col("study") * 1000 + F.col("trial"))
+        return trials.draw_trials(seeded, "_key", 3).drop("_key").withColumn("value", _score(F.col("study")))
+
+    history = drawn(numbers(0, 15)).cache()
+    for first in (15, 30):
+        found = trials.suggest_trials(history, numbers(first, first + 15), 5, study=["study"]).withColumn("value", _score(F.col("study")))
+        history = history.unionByName(found).cache()
+        history.count()
+    plain = drawn(numbers(0, 45))
+    best = lambda df: {r.f: r.m for r in df.groupBy("study").agg(F.max("value").alias("v")).groupBy((F.col("study") % 3).alias("f")).agg(F.avg("v").alias("m")).collect()}
+    learnt, random_ = best(history), best(plain)
+    assert all(learnt[f] > random_[f] for f in range(3)), (learnt, random_)
+
+
+def test_suggestions_keep_to_the_space(spark):
+    history = trials.draw_trials(spark.range(30).withColumnRenamed("id", "trial"), "trial", 2).withColumn("value", F.when(F.col("trial") % 7 > 0, F.rand(1)).when(F.col("trial") == 7, F.lit(float("nan"))))
+    new = spark.range(100, 180).withColumnRenamed("id", "trial")
+    one, two = (trials.suggest_trials(history.repartition(n).sortWithinPartitions("trial"), new.repartition(n), 4).orderBy("trial").collect() for n in (1, 3))
+    assert [r.trial for r in one] == list(range(100, 180))
+    assert [r.classifier for r in one] == [r.classifier for r in two]
+    for r in one:
+        assert {p.name for p in trials.SPACE if r[p.name] is not None} == {p.name for p in trials.SPACE if r.classifier in p.families}
+        for p in trials.SPACE:
+            assert r[p.name] is None or p.low <= r[p.name] <= p.high
+
+
+def test_suggestions_without_history(spark):
+    history = trials.draw_trials(spark.range(0).withColumnRenamed("id", "trial"), "trial", 2).withColumn("value", F.lit(0.5))
+    found = trials.suggest_trials(history, spark.range(60).withColumnRenamed("id", "trial"), 4).collect()
+    assert {r.classifier for r in found} == set(trials.FAMILIES)
+
+
+def test_places_and_values_go_together(spark):
+    for p in trials.SPACE:
+        rows = spark.range(1, 100).select((F.col("id") / 100).alias("u")).select("u", p.place(p.value(F.col("u"))).alias("back")).collect()
+        slack = 1e-9 if p.kind == "log_float" else 0.5
+        assert all(abs(r.u - r.back) <= slack for r in rows) and all(0 <= r.back <= 1 for r in rows)

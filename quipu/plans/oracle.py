@@ -386,7 +386,7 @@ ORACLE: dict[str, str] = {
             CAST(sum(size) FILTER (s > 0) AS BIGINT) AS n_positive, true AS score_holds
         FROM dealt, range(3) t(trial) GROUP BY trial, fold""",
     "model_search": """
-        SELECT CAST(45 AS BIGINT) AS n_scores, CAST(9 AS BIGINT) AS n_trials, CAST(5 AS BIGINT) AS n_families, CAST(0 AS BIGINT) AS n_wrong,
+        SELECT CAST(35 AS BIGINT) AS n_scores, CAST(7 AS BIGINT) AS n_trials, CAST(5 AS BIGINT) AS n_families, CAST(0 AS BIGINT) AS n_wrong,
             true AS best_is_highest, 'model' AS name, CAST(1 AS INTEGER) AS version, true AS has_test_score""",
     "forest_min_split": """
         WITH told AS (SELECT l_quantity AS q, l_quantity + 100 * l_discount > 28 AS y FROM lineitem),

@@ -84,6 +84,30 @@ def before(totals: DataFrame, group: list[str], path: list[str], values: list[st
     return joined.select(*group, *path, *[pair(F.col(v), F.col(f"_above_{v}")).alias(v) for v in values])
 
 
+def placed(df: DataFrame, order: list[Column], sums: dict[str, str] | None = None, out: str = "place") -> DataFrame:
+    """Add the number from 1 that a row has by ``order``, of columns of any type, and running sums.
+
+    ``sums`` maps new to old columns; a sum holds the row's own value.  The rows are
+    range-partitioned, sorted and written with their place in their partition; one row per
+    partition then says how much stands before it.  ``order`` must tell the rows apart.
+    """
+    sums = sums or {}
+    within = F.lit((1 << 33) - 1)  # monotonically_increasing_id keeps the row in the low 33 bits
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id().bitwiseAND(within) + 1})
+    rows = materialize(rows, "placed")
+    parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(old).alias(f"_all_{new}") for new, old in sums.items()])
+    # One row per task that sorted.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    upto = {f"_upto_{c}": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in parts.columns if c != "_part"}
+    starts = parts.withColumns(upto).select("_part", *upto)
+    local = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumns({f"_sum_{new}": F.sum(old).over(local) for new, old in sums.items()})
+    joined = summed.join(F.broadcast(starts), "_part")
+    found = {out: F.col("_row") + F.col("_upto__rows"), **{new: F.col(f"_sum_{new}") + F.col(f"_upto__all_{new}") for new in sums}}
+    return joined.select(*df.columns, *[value.alias(name) for name, value in found.items()])
+
+
 def running_max_before(
     df: DataFrame,
     order: str,

@@ -113,9 +113,12 @@ def encode(
     dictionary: Dictionary,
     columns: list[str] | None = None,
     unseen: str = "error",
+    small: set[str] | None = None,
 ) -> DataFrame:
     """Replace values by their codes; columns without a dictionary pass through.
 
+    ``small`` names the columns whose dictionaries may be broadcast; by default their size decides.
+
     A null stays null.  A value outside the dictionary stops the job, or with
     ``unseen="null"`` becomes null, or with ``unseen="quarantine"`` also puts
     the column's name into the array column ``unseen``.
@@ -124,12 +127,8 @@ def encode(
         raise ValueError(f"unknown policy {unseen!r}")
     order = df.columns
     wanted = _covered(df, dictionary, columns)
-    out = source = _as_text(df, wanted)
-    small = dictionary.small(wanted)
-    hot = _hot_values(source, [c for c in wanted if c not in small])
-    for c in wanted:
-        codes = dictionary.codes(c).withColumnRenamed("_code", f"_code_{c}")
-        out = lookup_join(out, codes, [c], c in small, hot.get(c))
+    source = _as_text(df, wanted)
+    out = _with_codes(source, dictionary, {c: c for c in wanted}, small)
 
     def missed(c: str):
         return F.col(f"_code_{c}").isNull() & F.col(c).isNotNull()
@@ -153,17 +152,52 @@ def _covered(df: DataFrame, dictionary: Dictionary, columns: list[str] | None) -
     return [c for c in (columns or df.columns) if c in dictionary.sizes and c in present]
 
 
-def _hot_values(source: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
-    """The hot values of each column, all counted in one pass over the source."""
-    if not columns:
-        return {}
-    long = source.select(*columns).unpivot([], columns, "_column", "_value")
-    counts = long.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    counts = materialize(counts.where("_n > 1"), "value-counts")
-    rows = source.count()
-    return {
-        c: counts.filter((F.col("_column") == c) & (F.col("_n") >= HOT_SHARE * rows)).select(F.col("_value").alias(c)) for c in columns
-    }
+def _with_codes(df: DataFrame, dictionary: Dictionary, columns: dict[str, str], small: set[str] | None = None) -> DataFrame:
+    """Add ``_code_<c>`` for each column ``c`` of the dictionary, whose values stand in ``columns[c]``.
+
+    Small dictionaries are broadcast, and so are the frequent values of the others.  A row
+    whose values are all resolved by then is not shuffled.  The values still open, of all
+    columns together, go to the dictionary as pairs of column and value, and their codes go
+    back to their rows by number: one exchange of the rows, however many columns there are.
+    """
+    small = dictionary.small(list(columns)) if small is None else small
+    for c in [c for c in columns if c in small]:
+        codes = dictionary.codes(c).select(F.col(c).alias(columns[c]), F.col("_code").alias(f"_code_{c}"))
+        df = df.join(F.broadcast(codes), columns[c], "left")
+    large = {c: at for c, at in columns.items() if c not in small}
+    if not large:
+        return df
+    names = df.columns
+    hot = _hot_codes(df, dictionary, large)
+    for c, at in large.items():
+        own = hot.where(F.col("column") == c).select(F.col("value").alias(f"_value_{c}"), F.col("code").alias(f"_code_{c}"), F.lit(True).alias(f"_hot_{c}"))
+        df = df.join(F.broadcast(own), F.col(at) == F.col(f"_value_{c}"), "left").drop(f"_value_{c}")
+    open_pairs = [
+        F.when(F.col(f"_hot_{c}").isNull() & F.col(at).isNotNull(), F.struct(F.lit(c).alias("column"), F.col(at).alias("value"))) for c, at in large.items()
+    ]
+    marked = df.withColumn("_open", F.array_compact(F.array(*open_pairs))).drop(*[f"_hot_{c}" for c in large])
+    # Written, so that a row keeps its number whoever reads it.
+    marked = materialize(marked.withColumn("_number", F.monotonically_increasing_id()), "marked-rows")
+    waiting = marked.where(F.size("_open") > 0)
+    pairs = waiting.select("_number", F.explode("_open").alias("_p")).select("_number", "_p.*")
+    answers = pairs.join(dictionary.rows.filter(F.col("column").isin(list(large))), ["column", "value"])
+    by_row = answers.groupBy("_number").agg(*[F.max(F.when(F.col("column") == c, F.col("code"))).alias(f"_found_{c}") for c in large])
+    back = waiting.join(by_row, "_number", "left")
+    found = [F.coalesce(f"_code_{c}", f"_found_{c}").alias(f"_code_{c}") for c in large]
+    shown = [*names, *[f"_code_{c}" for c in large]]
+    return marked.where(F.size("_open") == 0).select(*shown).unionByName(back.select(*names, *found))
+
+
+def _hot_codes(df: DataFrame, dictionary: Dictionary, columns: dict[str, str]) -> DataFrame:
+    """``(column, value, code)`` of the frequent values, all columns counted in one pass; the code of an unknown one is null."""
+    values = [F.col(at).alias(c) for c, at in columns.items()]
+    long = df.select(*values).unpivot([], list(columns), "column", "value")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialize(counts.where("_n > 1 AND value IS NOT NULL"), "value-counts")
+    # At most 1 / HOT_SHARE values of a column have that share.
+    often = counts.where(F.col("_n") >= HOT_SHARE * df.count()).select("column", "value")
+    known = dictionary.rows.join(F.broadcast(often), ["column", "value"], "left_semi")
+    return materialize(often.join(F.broadcast(known), ["column", "value"], "left"), "hot-codes")
 
 
 def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -187,12 +221,7 @@ def unseen_rows(df: DataFrame, dictionary: Dictionary, columns: list[str] | None
     """The rows of ``df``, as they were, with at least one value outside the dictionary."""
     wanted = _covered(df, dictionary, columns)
     copies = df.withColumns({f"_text_{c}": F.col(c).cast("string") for c in wanted})
-    out = copies
-    small = dictionary.small(wanted)
-    hot = _hot_values(copies, [f"_text_{c}" for c in wanted if c not in small])
-    for c in wanted:
-        codes = dictionary.codes(c).select(F.col(c).alias(f"_text_{c}"), F.col("_code").alias(f"_code_{c}"))
-        out = lookup_join(out, codes, [f"_text_{c}"], c in small, hot.get(f"_text_{c}"))
+    out = _with_codes(copies, dictionary, {c: f"_text_{c}" for c in wanted})
     names = [F.when(F.col(f"_code_{c}").isNull() & F.col(c).isNotNull(), F.lit(c)) for c in wanted]
     found = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
     return out.withColumn("unseen", found).filter(F.size("unseen") > 0).select(*df.columns, "unseen")

@@ -286,6 +286,12 @@ ORACLE: dict[str, str] = {
                    FROM part)
         SELECT p_partkey, round((p_size - ms) / ss, 6) AS p_size, round((p_retailprice - mp) / sp, 6) AS p_retailprice
         FROM part, s""",
+    "encode_large_columns": """
+        WITH told AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, CAST(o_orderdate AS VARCHAR) AS day, o_orderstatus AS status,
+            CASE WHEN o_custkey % 3 > 0 THEN o_orderpriority END AS priority FROM orders)
+        SELECT o_orderkey, dense_rank() OVER (ORDER BY customer) - 1 AS customer, dense_rank() OVER (ORDER BY day) - 1 AS day,
+            dense_rank() OVER (ORDER BY status) - 1 AS status,
+            CASE WHEN priority IS NOT NULL THEN dense_rank() OVER (ORDER BY priority NULLS LAST) - 1 END AS priority FROM told""",
     "trial_grid": f"""
         WITH drawn AS (SELECT o_orderkey,
             [{", ".join(f"'{f}'" for f in FAMILIES)}][CAST(floor({_uniform('classifier', 'o_orderkey')} * {len(FAMILIES)}) AS INTEGER) + 1]

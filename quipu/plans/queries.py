@@ -209,6 +209,19 @@ def encode_large_dictionary(spark, folder):
     return hot_key_join(orders, codes, ["customer"]).withColumnRenamed("_code", "code")
 
 
+@query
+def encode_large_columns(spark, folder):
+    """Four columns whose dictionaries count as too large to broadcast, two of them with a few very frequent values."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("customer"),
+        F.col("o_orderdate").cast("string").alias("day"),
+        F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_custkey") % 3 > 0, F.col("o_orderpriority")).alias("priority"),
+    )
+    return encode.encode(orders, encode.fit_dictionary(orders, ["customer", "day", "status", "priority"]), small=set())
+
+
 @query
 def decode_codes(spark, folder):
     parts = table(spark, folder, "part").select("p_partkey", "p_brand", "p_type")

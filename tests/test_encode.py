@@ -158,3 +158,45 @@ def test_many_levels_have_a_sparse_form(spark):
     found = encode.one_hot_sparse(df, encode.fit_dictionary(df, ["x", "y"]), ["x", "y"])
     places = [p for r in found.collect() for p in r.active]
     assert sorted(set(places)) == list(range(3000)) and len(places) == 2999 + 1500
+
+
+def _wide(spark):
+    """A frequent value, a frequent unknown one, nulls and rare ones; and a payload that none of this touches."""
+    x = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 300))
+    y = F.when(F.col("id") % 2 == 0, "strange").otherwise(F.concat(F.lit("y"), F.col("id") % 40))
+    return spark.range(3000).select("id", x.alias("x"), y.alias("y"), F.lit("few").alias("z"), F.concat(F.lit("pad"), F.col("id")).alias("pad"))
+
+
+@pytest.mark.parametrize("hot_share", [0.9, 0.1, 0.0001])
+def test_large_columns_together(spark, monkeypatch, hot_share):
+    df = _wide(spark)
+    dictionary = encode.fit_dictionary(df.where("y <> 'strange'"), ["x", "y", "z"])
+    monkeypatch.setattr(encode, "HOT_SHARE", hot_share)
+    expected = encode.encode(df, dictionary, unseen="quarantine")
+    for small in (set(), {"z"}, {"x"}):
+        found = encode.encode(df, dictionary, unseen="quarantine", small=small)
+        assert found.dtypes == expected.dtypes
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    monkeypatch.setattr(encode, "BROADCAST_ROWS", 0)
+    assert {r.id for r in encode.unseen_rows(df, dictionary).collect()} == set(range(0, 3000, 2))
+
+
+@pytest.mark.parametrize("columns", [["x"], ["x", "y", "z"]])
+def test_large_columns_exchange_the_rows_once(spark, columns):
+    """Whatever the number of columns; and rows whose values are all frequent are not exchanged at all."""
+    df = _wide(spark)
+    dictionary = encode.fit_dictionary(df, columns)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tree = encode.encode(df, dictionary, columns, small=set())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    lines = tree.splitlines()
+
+    def carries_rows(at):
+        """Whether the payload column is among what stands below an exchange, up to the next scan."""
+        return "pad#" in next(line for line in lines[at + 1 :] if "Project" in line or "Scan" in line)
+
+    assert sum(carries_rows(i) for i, line in enumerate(lines) if "Exchange hashpartitioning" in line) == 1
+    resolved = tree[: tree.index("Exchange")] if "Union" in tree else ""
+    assert "Union" in tree and resolved.count("FileScan") == 1

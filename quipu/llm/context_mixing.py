@@ -1,14 +1,13 @@
 """Probability of whole texts by online logistic mixing of hashed-context bit predictors.
 
 A text is its bytes and an end sign.  Every byte is predicted bit by bit by several
-predictors, each with its own context: the byte before, the two and the three bytes
-before (the latter hashed), and the current word so far (its last sixteen bytes,
-hashed).  How often each bit followed each context is counted over all texts that the
+predictors, each with its own hashed context: the two bytes before, the three bytes
+before, and the current word so far (its last sixteen bytes).  How often each bit followed each context is counted over all texts that the
 model may learn from; the table of contexts grows with them, and no task holds all of it.
 
 A predictor's answer is the log odds of a one, 0 for a context never seen.  The answers
-are added with weights that a gate selects, by the bit's place in the byte and by whether
-the word context is known; after every bit the weights follow the error.  A table from
+are added with weights that a gate selects: those of the bit's place in the byte and, where
+the word context is known, an offset to them; after every bit they follow the error.  A table from
 quantised answer and place to probability refines the sum, and follows the bits too.  Weights
 and table start anew with every text and after every ``SEGMENT`` bytes of it, so that
 segments run side by side as lanes of arrays; contexts reach across segments.
@@ -53,7 +52,7 @@ SEGMENT = 2048
 LANES = 4096
 LOG_STEPS = 8
 END = 0xFF
-ORDERS = 3
+ORDERS = (2, 3)
 WORD_CONTEXT = 16
 #: A context's table has at least 2**SPARE_BITS cells for every byte of text, at most 2**56.
 SPARE_BITS = 3
@@ -61,8 +60,8 @@ SPARE_BITS = 3
 #: An answer is the log odds times ODDS_SCALE in one signed byte; the eight bits' answers make one number.
 ODDS_SCALE = 8.0
 UNSEEN = 0.4
-FIRST_WEIGHT = 0.3
-RATE = 0.02
+FIRST_WEIGHT = 0.35
+RATE = 0.012
 REFINED = 33
 REFINE_REACH = 8.0
 REFINE_RATE = 0.02
@@ -71,6 +70,9 @@ LEAST = 1.0 / 4096
 _SEEDS = scan.mix(np.arange(1, 8, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _HIGH_BYTES = np.array([0] + [((1 << 8 * n) - 1) << 8 * (8 - n) for n in range(1, 9)], dtype=np.uint64)
 
+#: The bits of each byte, the highest first.
+BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32)
+
 _look_up: list[np.ndarray] = []
 
 
@@ -162,22 +164,21 @@ class Block:
         self.data[at_end] = END
         self.data[~at_end] = text
         learnt = np.repeat(self.train, sizes + 1)
-        self.keys, self.counts, self.place = zip(*[self._order_keys(k, code, learnt) for k, code in enumerate(self._orders(), 1)])
+        self.keys, self.counts, self.place = zip(*[self._order_keys(k, code, learnt) for k, code in self._orders()])
         self._units(at_end)
 
-    def _orders(self) -> Iterator[np.ndarray]:
-        """For each order, context and byte as one number below 2**24 at every place."""
-        code = self.data.astype(np.uint32)
-        for k in range(1, ORDERS + 1):
+    def _orders(self) -> Iterator[tuple[int, np.ndarray]]:
+        """For each order, hashed context and byte as one number below 2**24 at every place."""
+        code = np.zeros(len(self.data), dtype=np.uint32)
+        for k in range(1, ORDERS[-1] + 1):
             before = np.full(len(self.data), END, dtype=np.uint8)
             before[k:] = self.data[:-k]
             for ahead in range(k - 1):  # nothing before the text's own first byte counts
                 before[np.minimum(self.starts + ahead, self.ends)] = END
-            code |= before.astype(np.uint32) << np.uint32(8 * k)
-            if k < ORDERS:
-                yield code
-        context = (code >> np.uint32(8)) * np.uint32(0x9E3779B1) >> np.uint32(16)
-        yield context << np.uint32(8) | self.data
+            code |= before.astype(np.uint32) << np.uint32(8 * (k - 1))
+            if k in ORDERS:
+                hashed = code * np.uint32(0x9E3779B1) >> np.uint32(16) if k > 2 else code
+                yield k, hashed << np.uint32(8) | self.data
 
     def _order_keys(self, k: int, code: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, ...]:
         """Distinct keys of the contexts of ``k`` bytes, how often each is learnt, and the key of each byte."""
@@ -211,7 +212,7 @@ class Block:
         eight = np.ndarray(len(self.data) + 9, dtype="<u8", buffer=padded, strides=(1,))
         near = eight[at + 8] & _HIGH_BYTES[np.minimum(inner, 8)]
         far = eight[at] & _HIGH_BYTES[np.clip(inner - 8, 0, 8)]
-        context = scan.mix(scan.mix(near ^ _SEEDS[ORDERS + 1]) ^ far + np.minimum(inner, WORD_CONTEXT).astype(np.uint64) * _SEEDS[0])
+        context = scan.mix(scan.mix(near ^ _SEEDS[ORDERS[-1] + 1]) ^ far + np.minimum(inner, WORD_CONTEXT).astype(np.uint64) * _SEEDS[0])
         key = self._key(context, self.data[at])
         some, place = _distinct(key)
         key = key[some]
@@ -407,15 +408,15 @@ def _mix_lanes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: l
     unit = np.float32(1 / ODDS_SCALE)  # the answers stay whole; their unit is in the weights
     rate = np.float32(RATE / ODDS_SCALE / ODDS_SCALE)
     cells = np.float32((REFINED - 1) / (2 * REFINE_REACH))
-    known = np.full((inputs, lanes, 8), FIRST_WEIGHT, dtype=np.float32) * unit
-    unknown = known.copy()
+    common = np.full((inputs, lanes, 8), FIRST_WEIGHT, dtype=np.float32) * unit
+    offset = np.zeros_like(common)
     centre = np.linspace(-REFINE_REACH, REFINE_REACH, REFINED)
     refined = np.tile((1 / (1 + np.exp(-centre))).astype(np.float32), lanes * 8)
     row = (np.arange(lanes * 8) * REFINED).reshape(lanes, 8)
     total = np.zeros(lanes)
     # Arrays made once: giving memory back and taking it again at every byte costs as much as the sums.
     wide = [np.empty((inputs, lanes, 8), dtype=np.float32) for _ in range(2)]
-    flat = [np.empty((lanes, 8), dtype=np.float32) for _ in range(5)]
+    flat = [np.empty((lanes, 8), dtype=np.float32) for _ in range(6)]
     cells_at = np.empty((lanes, 8), dtype=np.int64)
     answer = np.empty(lanes, dtype=np.int64)
     product = np.ones((lanes, 8), dtype=np.float32)
@@ -424,16 +425,14 @@ def _mix_lanes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: l
         live = int(np.searchsorted(-sizes, -t, side="left"))
         at = starts[:live] + t
         x, w = (a[:, :live] for a in wide)
-        gate, s, p, r, guess = (a[:live] for a in flat)
+        gate, s, p, r, guess, ones = (a[:live] for a in flat)
         cell = cells_at[:live]
-        opened, closed = known[:, :live], unknown[:, :live]
         for k in range(inputs):
             np.take(bits[k], np.take(place[k], at, mode="clip"), out=answer[:live], mode="clip")
             x[k] = answer[:live].view(np.int8).reshape(live, 8)
         np.not_equal(x[-1], 0, out=gate)
-        np.subtract(opened, closed, out=w)
-        w *= gate
-        w += closed
+        np.multiply(offset[:, :live], gate, out=w)
+        w += common[:, :live]
         np.einsum("klb,klb->lb", w, x, out=s)
         np.clip(s, -11, 11, out=s)
         np.negative(s, out=p)
@@ -446,11 +445,12 @@ def _mix_lanes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: l
         np.rint(s, out=cell, casting="unsafe")
         cell += row[:live]
         np.take(refined, cell, out=r, mode="clip")
-        ones = np.unpackbits(data[at][:, None], axis=1)
+        np.take(BITS, np.take(data, at, mode="clip"), axis=0, out=ones, mode="clip")
         np.add(p, r, out=guess)
         guess *= half
         np.clip(guess, LEAST, 1 - LEAST, out=guess)
-        guess -= one - ones
+        guess -= one
+        guess += ones
         np.abs(guess, out=guess)
         product[:live] *= guess
         if t % LOG_STEPS == LOG_STEPS - 1 or t == steps - 1:  # before the products get too small
@@ -459,11 +459,9 @@ def _mix_lanes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: l
         np.subtract(ones, p, out=p)
         p *= rate
         x *= p
-        np.subtract(one, gate, out=s)
-        np.multiply(x, s, out=w)
-        closed += w
+        common[:, :live] += x
         x *= gate
-        opened += x
+        offset[:, :live] += x
         np.subtract(ones, r, out=guess)
         guess *= np.float32(REFINE_RATE)
         r += guess

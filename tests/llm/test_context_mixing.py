@@ -23,7 +23,7 @@ SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 def contexts(data, at):
     """What stands before a byte, for each predictor."""
-    for k in range(1, mixing.ORDERS + 1):
+    for k in mixing.ORDERS:
         before = bytes(data[max(0, at - k) : at]).rjust(k, bytes([mixing.END]))
         if k == 3:
             before = int.from_bytes(before, "big") * 0x9E3779B1 % (1 << 32) >> 16
@@ -49,7 +49,8 @@ class PlainModel:
         total = 0.0
         for at, byte in enumerate(data):
             if at % mixing.SEGMENT == 0:
-                weight = [[[mixing.FIRST_WEIGHT] * 4 for _ in range(2)] for _ in range(8)]
+                common = [[mixing.FIRST_WEIGHT] * 3 for _ in range(8)]
+                offset = [[0.0] * 3 for _ in range(8)]
                 reach = mixing.REFINE_REACH
                 refined = [[1 / (1 + math.exp(reach - 2 * reach * j / (mixing.REFINED - 1))) for j in range(mixing.REFINED)] for _ in range(8)]
             answers = []
@@ -61,14 +62,16 @@ class PlainModel:
                     answers[-1].append(max(-127, min(127, scaled)) / mixing.ODDS_SCALE)
             for bit in range(8):
                 one, odds = byte >> 7 - bit & 1, [a[bit] for a in answers]
-                w = weight[bit][odds[-1] != 0]
+                gate = odds[-1] != 0
+                w = [a + gate * b for a, b in zip(common[bit], offset[bit])]
                 s = max(-11, min(11, sum(a * b for a, b in zip(w, odds))))
                 p = 1 / (1 + math.exp(-s))
                 cell = round((max(-reach, min(reach, s)) + reach) * (mixing.REFINED - 1) / (2 * reach))
                 guess = max(mixing.LEAST, min(1 - mixing.LEAST, (p + refined[bit][cell]) / 2))
                 total += math.log10(guess if one else 1 - guess)
-                for k in range(4):
-                    w[k] += odds[k] * (one - p) * mixing.RATE
+                for k in range(3):
+                    common[bit][k] += odds[k] * (one - p) * mixing.RATE
+                    offset[bit][k] += gate * odds[k] * (one - p) * mixing.RATE
                 refined[bit][cell] += (one - refined[bit][cell]) * mixing.REFINE_RATE
         return total
 

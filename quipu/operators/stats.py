@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from quipu.operators.encode import Dictionary, distinct_values
 from quipu.session import materialize
 
-MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
+INLINE_BYTES = 4 * 1024 * 1024  # values in the document itself; longer ones are pages beside it
+PAGE_VALUES = 16_384
 ROWS_PER_VALUE = 5
 
 
@@ -21,19 +22,33 @@ def category_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return distinct_values(df, columns)
 
 
+def inline_columns(dictionary: Dictionary, columns: list[str], limit: int = INLINE_BYTES) -> list[str]:
+    """Those of the columns, smallest first, whose values together stay within ``limit`` bytes."""
+    total, found = 0, []
+    for c in sorted(columns, key=lambda c: (dictionary.sizes[c][1] or 0, c)):
+        total += dictionary.sizes[c][1] or 0
+        if total <= limit:
+            found.append(c)
+    return found
+
+
 def category_map(dictionary: Dictionary, columns: list[str]) -> DataFrame:
     """The sorted values of each column as one array, for a description.
 
-    The arrays end up in one document, so their size is checked first; columns
-    with more values stay a table, see :func:`category_values`.
+    An array is held by one task, so this is for columns of few values, see
+    :func:`inline_columns`; the others are described by :func:`category_pages`.
     """
-    size = sum(dictionary.sizes[c][1] for c in columns)
-    if size > MAX_DOCUMENT_BYTES:
-        raise ValueError(f"{size} bytes of values do not belong in one document")
     rows = dictionary.rows.filter(F.col("column").isin(columns))
     return rows.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("values"))
 
 
+def category_pages(dictionary: Dictionary, columns: list[str], page_values: int = PAGE_VALUES) -> DataFrame:
+    """``(column, page, values)``: the sorted values of each column, at most ``page_values`` in a row."""
+    rows = dictionary.rows.filter(F.col("column").isin(columns))
+    page = F.floor(F.col("code") / page_values).alias("page")
+    return rows.groupBy("column", page).agg(F.sort_array(F.collect_list("value")).alias("values"))
+
+
 def correlation_with_target(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """``(feature, correlation)``, ascending; Pearson's over the rows with both values.
 

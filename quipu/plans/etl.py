@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,16 +14,17 @@ from quipu.operators.clean import bool_to_int, cast_types, clean, features_only
 from quipu.operators.encode import Dictionary, encode, fit_dictionary, load_dictionary, save_dictionary
 from quipu.operators.registry import merge_entries
 from quipu.operators.split import paired_sample, train_test_split
-from quipu.operators.stats import category_map
+from quipu.operators.stats import INLINE_BYTES, category_map, category_pages, inline_columns
 from quipu.schema import FLAG, Table
-from quipu.session import materialize
+from quipu.session import local_frame, materialize
 from quipu.sources.delimited import read_named, write_csv
-from quipu.sources.dictionary import entries, read_entries, write_entries
+from quipu.sources.dictionary import entries, quoted, read_entries, write_entries, write_pages
 from quipu.sources.store import Store
 
 
-# Fixed value: the prefix of a run name.
+# The prefix of a run name, and the entry of the category values.
 ETL_RUN = "ETL_run_"
+CATEGORIES = "categories_values_per_categorical"
 
 
 @dataclass(frozen=True)
@@ -66,17 +68,29 @@ def describe(
     spec: Table,
     categories: list[str],
     moment: Column,
+    pages: str,
+    inline_bytes: int = INLINE_BYTES,
 ) -> DataFrame:
     """The data dictionary of a table before and after it was cleaned, as entries.
 
     The values come from the fitted dictionary; the tables give only their schemas.
+    Columns of very many values are written as pages to the new folder ``pages``, to which
+    their entry points; :func:`quipu.sources.dictionary.read_categories` reads both forms.
     """
     before = features_only(raw, spec.target).drop(spec.key)
     after = features_only(encoded, spec.target).drop(spec.key)
-    values = category_map(dictionary, categories)
+    inline = inline_columns(dictionary, categories, inline_bytes)
+    told = category_map(dictionary, inline).select("column", F.to_json("values").alias("told"))
+    paged = [c for c in categories if c not in inline]
+    if paged:
+        write_pages(category_pages(dictionary, paged), pages)
+        pointers = [(c, pages, dictionary.sizes[c][0]) for c in paged]
+        pointed = local_frame(raw.sparkSession, pointers, "column string, pages string, n bigint")
+        told = told.unionByName(pointed.select("column", F.to_json(F.struct("pages", F.col("n").alias("values"))).alias("told")))
     # One entry per described column.
     # The names of the entries.
-    row = values.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("column", "values")))).alias("v"))
+    named = F.transform(F.sort_array(F.collect_list(F.struct("column", "told"))), lambda c: F.concat(quoted(c["column"]), F.lit(":"), c["told"]))
+    row = told.agg(F.parse_json(F.concat(F.lit("{"), F.array_join(named, ","), F.lit("}"))).alias("v"))
     return entries(
         row,
         columns=_names(before.columns),
@@ -85,8 +99,8 @@ def describe(
         categorical_columns=_names(categories),
         columns_dtypes=_types(before),
         columns_dtypes_after_clean=_types(after),
-        categories_values_per_categorical=F.col("v"),
         date=F.date_format(moment, DASHED),
+        **{CATEGORIES: F.col("v")},
     )
 
 
@@ -127,7 +141,8 @@ def run(
     encoded = spark.read.schema(encoded.schema).parquet(layout.encoded)
     save_dictionary(dictionary, layout.dictionary)
 
-    new = describe(raw, encoded, dictionary, spec, categories, F.current_timestamp())
+    pages = f"{layout.description}-values/{uuid.uuid4().hex}"
+    new = describe(raw, encoded, dictionary, spec, categories, F.current_timestamp(), pages)
     merged = merge_entries(read_entries(spark, layout.description), new, ["key"])
     # The document is read and replaced, so its new form is fixed first.
     write_entries(materialize(merged, "description"), layout.description)

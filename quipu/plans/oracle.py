@@ -196,6 +196,8 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'columns_dtypes_after_clean', '{_json_types(dict(sorted(CODE_TYPES.items())))}'
         UNION ALL SELECT 'categories_values_per_categorical', {_category_entry()}
         UNION ALL SELECT 'date', concat('"', strftime(max(o_orderdate), '%Y/%m/%d-%H:%M:%S'), '"') FROM orders""",
+    "category_pages": f"""
+        WITH {TYPED} {" UNION ".join(f"SELECT '{c}' AS column, {c} AS value FROM typed" for c in DESCRIBED_CATEGORIES)}""",
     "model_roundtrip": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS differing FROM lineitem",
     "project_features": f"WITH {TYPED} SELECT {_texts()} FROM typed",
     "cast_schema": f"WITH {TYPED} SELECT * FROM typed",

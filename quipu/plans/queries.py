@@ -16,7 +16,7 @@ from quipu.plans.fixtures import LINE_FEATURES, LINES
 from quipu.schema import DESCRIBED_CATEGORIES, MARRIAGES, POSITIVE_LABEL
 from quipu.session import materialize, new_path
 from quipu.sources.delimited import read_csv, write_csv
-from quipu.sources.dictionary import read_entries, write_entries
+from quipu.sources.dictionary import read_categories, read_entries, write_entries
 from quipu.sources.documents import read_json_or_empty, signature, signature_fields, write_json
 from quipu.sources.requests import CORRUPT, parse_requests
 from quipu.sources.store import Store
@@ -60,11 +60,22 @@ def data_dictionary(spark, folder):
     newest = table(spark, folder, "orders").agg(F.max("o_orderdate").cast("string").alias("d")).first()["d"]
     moment = F.lit(newest).cast("timestamp")
     path = new_path(spark, "description")
-    described = etl.describe(raw, encoded, dictionary, MARRIAGES, DESCRIBED_CATEGORIES, moment)
+    described = etl.describe(raw, encoded, dictionary, MARRIAGES, DESCRIBED_CATEGORIES, moment, new_path(spark, "values"))
     write_entries(registry.merge_entries(read_entries(spark, path), described, ["key"]), path)
     return read_entries(spark, path)
 
 
+@query
+def category_pages(spark, folder):
+    """A description whose longer lists of values are pages beside it, read back as one table."""
+    raw = fixtures.raw_marriages(spark, folder)
+    encoded, dictionary = etl.encode_table(raw, MARRIAGES)
+    path, moment = new_path(spark, "description"), F.current_timestamp()
+    described = etl.describe(raw, encoded, dictionary, MARRIAGES, DESCRIBED_CATEGORIES, moment, new_path(spark, "values"), inline_bytes=100)
+    write_entries(described, path)
+    return read_categories(spark, path, etl.CATEGORIES)
+
+
 @query
 def model_roundtrip(spark, folder):
     lines = fixtures.expensive_lines(spark, folder)

@@ -133,3 +133,26 @@ def test_null_keys_are_paired(spark):
     left = spark.createDataFrame([(1, "a"), (None, "b")], "k long, x string")
     right = spark.createDataFrame([(None, "d"), (1, "c")], "k long, y string")
     assert sorted(align.concat_columns(left, right, ["k"]).collect(), key=str) == [(1, "a", "c"), (None, "b", "d")]
+
+
+def test_description_of_many_values(spark, tmp_path):
+    """More bytes of values than a document is made for, and a document of the older form."""
+    from quipu.operators import encode
+    from quipu.plans import etl
+    from quipu.schema import TEXT, Field, Table
+    from quipu.sources.dictionary import read_categories, read_entries, write_entries
+
+    spec = Table(fields=(Field("x", TEXT), Field("y", TEXT)), target="t", key="id")
+    raw = spark.range(80_000).select("id", F.concat(F.repeat(F.lit("\u00e9 \""), 300), F.col("id")).alias("x"), (F.col("id") % 3).cast("string").alias("y"), F.lit(1).alias("t"))
+    dictionary = encode.fit_dictionary(raw, ["x", "y"])
+    assert dictionary.sizes["x"][1] > 64 << 20
+    path = str(tmp_path / "d")
+    write_entries(etl.describe(raw, raw, dictionary, spec, ["x", "y"], F.current_timestamp(), str(tmp_path / "pages")), path)
+    assert sum(len(r.value) for r in read_entries(spark, path).collect()) < 10_000
+    found = read_categories(spark, path, etl.CATEGORIES)
+    assert {r["column"]: r["n"] for r in found.groupBy("column").agg(F.count_distinct("value").alias("n")).collect()} == {"x": 80_000, "y": 3}
+    assert found.where("column = 'x'").join(raw, found["value"] == raw["x"], "left_anti").isEmpty()
+
+    old = str(tmp_path / "old")
+    spark.createDataFrame([('{"' + etl.CATEGORIES + '":{"a":["1","\u00f1"],"b":[]},"columns":["a"]}',)], "value string").coalesce(1).write.text(old)
+    assert sorted(map(tuple, read_categories(spark, old, etl.CATEGORIES).collect())) == [("a", "1"), ("a", "\u00f1")]

@@ -56,6 +56,16 @@ def test_category_map(spark):
     assert found == {"x": ["a", "b", "ñ"], "y": ["1", "2"]}
 
 
+def test_pages_of_values(spark):
+    df = spark.range(1000).select(F.concat(F.lit("v"), F.col("id")).alias("x"), (F.col("id") % 3).cast("string").alias("y"))
+    dictionary = encode.fit_dictionary(df)
+    assert stats.inline_columns(dictionary, ["x", "y"], 100) == ["y"]
+    assert stats.inline_columns(dictionary, ["x", "y"]) == ["y", "x"]
+    pages = stats.category_pages(dictionary, ["x"], 64).orderBy("page").collect()
+    assert [len(r["values"]) for r in pages] == [64] * 15 + [40]
+    assert [v for r in pages for v in r["values"]] == sorted(f"v{i}" for i in range(1000))
+
+
 def test_scaling_uses_the_population_deviation(spark):
     df = spark.createDataFrame([(0.0, 3.0), (1.0, 3.0), (1.0, 3.0), (0.0, 3.0)], "p double, k double")
     found = {r["column"]: r for r in stats.scaler_stats(df, ["p", "k"]).collect()}

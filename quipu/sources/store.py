@@ -1,21 +1,23 @@
-"""Run log and model registry as append-only Parquet tables under one folder.
+"""Run log and model registry as append-only tables under one folder.
 
-The tables have one writer.  An alias is never changed in place: the row that
-was promoted last stands.
+What is appended is a commit of a shared log, so there may be several writers: versions
+are numbered without gap or double, and a name is created once.  An alias is never changed
+in place: the row that was promoted last stands.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.operators import models, registry
 from quipu.session import local_frame
+from quipu.sources.commits import ROW_OPTIONS, CommitLog, row_lines
 
 SCHEMAS = {
     "experiments": "name string, experiment_id string, created_at timestamp",
@@ -44,36 +46,44 @@ class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, f"{self.root}/log")
 
     def table(self, name: str) -> DataFrame:
         """The table as it stands now; empty before its first write."""
-        try:
-            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return local_frame(self.spark, [], SCHEMAS[name])
+        lines = self.log.lines().where(F.col("table") == name)
+        rows = lines.where("row IS NOT NULL").select(F.from_json("row", SCHEMAS[name], ROW_OPTIONS).alias("r")).select("r.*")
+        # One folder per search that was logged.
+        folders = [f"{self.root}/{r['folder']}" for r in lines.where("folder IS NOT NULL").select("folder").collect()]
+        return rows.unionByName(self.spark.read.schema(SCHEMAS[name]).parquet(*folders)) if folders else rows
 
     def append(self, name: str, rows: list[tuple]) -> None:
-        self.append_rows(name, local_frame(self.spark, rows, SCHEMAS[name]).coalesce(1))
+        self.log.append(self._lines(name, rows))
+
+    def _lines(self, name: str, rows: list[tuple]) -> list[dict]:
+        return row_lines(name, local_frame(self.spark, rows, SCHEMAS[name]))
 
     def append_rows(self, name: str, rows: DataFrame) -> None:
-        rows.select(*self.table(name).columns).write.mode("append").parquet(f"{self.root}/{name}")
+        """Append a table of any size: it is written first, and then committed at once."""
+        folder = f"data/{name}-{uuid.uuid4().hex}"
+        columns = local_frame(self.spark, [], SCHEMAS[name]).columns
+        rows.select(*columns).write.parquet(f"{self.root}/{folder}")
+        self.log.append([{"table": name, "folder": folder}])
 
     def get_or_create_experiment(self, name: str) -> str:
-        new = local_frame(self.spark, [(name, uuid.uuid4().hex, _now())], SCHEMAS["experiments"])
-        self._append_absent("experiments", new)
+        self._append_absent("experiments", (name, uuid.uuid4().hex, _now()))
         return self.table("experiments").filter(F.col("name") == name).first()["experiment_id"]
 
     def create_model_if_absent(self, name: str, description: str | None = None) -> None:
-        new = local_frame(self.spark, [(name, description, _now())], SCHEMAS["registered_models"])
-        self._append_absent("registered_models", new)
+        self._append_absent("registered_models", (name, description, _now()))
 
-    def _append_absent(self, table: str, new: DataFrame) -> None:
-        missing = registry.absent_from(new, self.table(table), ["name"])
-        rows = [tuple(r) for r in missing.select(*self.table(table).columns).collect()]
-        if rows:
-            self.append(table, rows)
+    def _append_absent(self, table: str, row: tuple) -> None:
+        """Append the row unless its name, which comes first, is there; whoever commits first wins."""
+        new = local_frame(self.spark, [row], SCHEMAS[table])
+        while True:
+            number = self.log.latest()
+            missing = registry.absent_from(new, self.table(table), ["name"])
+            if missing.isEmpty() or self.log.try_commit(number + 1, row_lines(table, new)):
+                return
 
     def log_run(
         self,
@@ -95,11 +105,18 @@ class Store:
     ) -> int:
         """Add the next version of a model, creating the model if it is new."""
         self.create_model_if_absent(name)
-        new = local_frame(self.spark, [(name, source, 0)], "name string, source string, seq int")
-        number = registry.assign_versions(new, self.table("model_versions"), "seq").first()["version"]
         texts = {k: str(v) for k, v in (tags or {}).items()}
-        self.append("model_versions", [(name, number, source, run_id, registry.NO_STAGE, texts)])
-        return number
+        number = self.log.latest()
+        version = (self.table("model_versions").filter(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
+        while True:
+            row = (name, version, source, run_id, registry.NO_STAGE, texts)
+            if self.log.try_commit(number + 1, self._lines("model_versions", [row])):
+                return version
+            # Another writer was faster: what it committed tells whether the version is taken.
+            number += 1
+            for line in self.log.commit_lines(number):
+                if line["table"] == "model_versions" and json.loads(line["row"])["name"] == name:
+                    version = max(version, json.loads(line["row"])["version"] + 1)
 
     def set_alias(
         self,

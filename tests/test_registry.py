@@ -1,9 +1,12 @@
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
 
 from quipu.operators import models, registry
 from quipu.plans import train
+from quipu.sources.commits import CommitLog
 from quipu.sources.store import Store
 
 
@@ -115,3 +118,60 @@ def test_a_champion_that_cannot_be_loaded_is_an_error(store, rows, tmp_path):
     with pytest.raises(Exception, match="nothing"):
         train.promote(store, "m", rows, "y", 1, 0.9)
     assert store.resolve("m", "champion").version == 1
+
+
+# several writers
+
+
+def test_eight_writers_register_without_gap_or_double(spark, tmp_path):
+    """200 versions of three models, by writers that do not know of each other, over several checkpoints."""
+    root = str(tmp_path / "store")
+
+    def write(writer):
+        own = Store(spark, root)
+        return [(m, own.register(m, f"src-{writer}-{i}", f"run-{writer}-{i}", {"writer": writer})) for i in range(25) for m in [f"m{(writer + i) % 3}"]]
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        told = [pair for found in pool.map(write, range(8)) for pair in found]
+    store = Store(spark, root)
+    rows = store.table("model_versions").collect()
+    assert len(rows) == 200 and sorted((r.name, r.version) for r in rows) == sorted(told)
+    for name, n in Counter(r.name for r in rows).items():
+        assert sorted(r.version for r in rows if r.name == name) == list(range(1, n + 1))
+    assert len({r.source for r in rows}) == 200
+    assert store.table("registered_models").count() == 3
+    assert store.log.latest() == 203
+    assert sum(n.endswith(".pointer") for n in store.log._names()) == 4
+
+
+def test_commits_are_created_once(spark, tmp_path):
+    log, other = (CommitLog(spark, str(tmp_path / "a log"), checkpoint_every=3) for _ in range(2))
+    assert log.latest() == 0 and log.lines().collect() == []
+    assert log.try_commit(1, [{"table": "t", "row": '{"a":"\u00f1\\n"}'}])
+    assert not other.try_commit(1, [{"table": "t", "row": "late"}])
+    assert [other.append([{"table": "t", "row": str(i)}]) for i in range(5)] == [2, 3, 4, 5, 6]
+    assert log.commit_lines(1) == [{"table": "t", "row": '{"a":"\u00f1\\n"}'}]
+    assert sorted(r.row for r in log.lines().collect()) == sorted(['{"a":"\u00f1\\n"}', "0", "1", "2", "3", "4"])
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        wins = list(pool.map(lambda i: CommitLog(spark, str(tmp_path / "a log")).try_commit(7, [{"table": "t", "row": f"w{i}"}]), range(16)))
+    assert sum(wins) == 1
+
+
+def test_a_writer_that_dies_leaves_nothing(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    log.append([{"table": "t", "row": "1"}])
+    (tmp_path / "log" / ".000000000002.json.dead").write_text('{"table": "t", "row": "half')
+    assert log.latest() == 1 and log.lines().count() == 1 and log.append([{"table": "t", "row": "2"}]) == 2
+
+
+def test_rows_keep_their_types(store):
+    store.log_run("e", "r", {"p": 1}, {"m": 0.1 + 0.2, "n": float("nan")}, {"t": "\u00e9 \""}, None)
+    run = store.table("runs").first()
+    assert run.params == {"p": "1"} and run.metrics["m"] == 0.1 + 0.2 and run.tags == {"t": "\u00e9 \""} and run.parent_run_id is None
+    assert isinstance(run.started_at, datetime)
+
+
+def test_an_experiment_is_created_once(spark, tmp_path):
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        ids = set(pool.map(lambda _: Store(spark, str(tmp_path / "s")).get_or_create_experiment("e"), range(6)))
+    assert len(ids) == 1 and Store(spark, str(tmp_path / "s")).table("experiments").count() == 1

@@ -12,6 +12,7 @@ from quipu.operators.encode import Dictionary
 from quipu.plans.score import Scored, outcomes, split_outcomes
 from quipu.schema import Table
 from quipu.sources.store import Store
+from quipu.streaming.sink import BatchSink
 
 
 def request_stream(spark: SparkSession, folder: str, schema: T.StructType, **options: str) -> DataFrame:
@@ -23,8 +24,8 @@ def request_stream(spark: SparkSession, folder: str, schema: T.StructType, **opt
 
 
 def read_scored(spark: SparkSession, target: str, keep: list[str]) -> Scored:
-    """What a stream has written so far."""
-    written = spark.read.parquet(target)
+    """What a stream has committed so far."""
+    written = BatchSink(spark, target, ["valid"]).read()
     return split_outcomes(written.withColumn("valid", F.col("valid").cast("boolean")), keep)
 
 
@@ -55,17 +56,21 @@ def score_stream(
     target: str,
     checkpoint: str,
     trigger: dict | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Write the outcome of each batch once, by validity, under ``target``.
 
-    A batch writes into a folder named by its number and replaces it when it is
-    run again, so a restart leaves neither gaps nor doubles.  Nothing else is written.
+    A batch is committed when it is written, so a restart leaves neither gaps nor doubles,
+    and readers never see half of one.  With ``compact_every`` so many batches are merged
+    into larger files whenever they have come together.
     """
+    sink = BatchSink(requests.sparkSession, target, ["valid"])
 
     def write(batch: DataFrame, number: int) -> None:
         current = model.get() if isinstance(model, CurrentModel) else model
-        found = outcomes(batch, body, spec, dictionary, current, keep)
-        found.write.mode("overwrite").partitionBy("valid").parquet(f"{target}/batch={number}")
+        sink.write(outcomes(batch, body, spec, dictionary, current, keep), number)
+        if compact_every and (number + 1) % compact_every == 0:
+            sink.compact(compact_every)
 
     writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -142,7 +142,7 @@ def test_stream_leaves_nothing_in_the_shared_folder(spark, requests, trained, tm
     before = {p for p in shared.rglob("*") if p.is_dir()}
     stream = request_stream(spark, source, requests.schema, maxFilesPerTrigger="2")
     score_stream(stream, "body", SPEC, dictionary, model, ["id"], target, str(tmp_path / "checkpoint")).awaitTermination()
-    assert len(list(Path(target).glob("batch=*"))) >= 3
+    assert len(list(Path(target).glob("committed_folder=*"))) >= 3
     assert {p for p in shared.rglob("*") if p.is_dir()} == before
 
 

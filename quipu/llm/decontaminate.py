@@ -1,15 +1,22 @@
 """Passages of test items in training documents, edited ones too.
 
-Words are lower-cased runs of ASCII letters and digits and of anything beyond ASCII.  Word n-grams of the test
-items are counted over all documents; those that are not far more frequent than the item's
-median n-gram are its seeds, however often the item itself was copied.  Where a stretch of a document, about as long as an item, holds enough of the item's seeds, local
-alignment (Smith-Waterman, words as letters) scores the stretch by the share of the
-item's own score.
+Words are lower-cased runs of ASCII letters and digits and of anything beyond ASCII.  The
+pairs of words of an item that stand next to each other, or with one word between, are
+counted over all documents; those that are not far more frequent than the item's median
+pair are its seeds, however often the item itself was copied.  In documents pairs are read
+with and without a word between too, so that inserted, dropped and replaced words leave
+seeds in place.  Where a stretch of a document, about as long as an item, holds enough of
+the item's seeds, local alignment (Smith-Waterman, words as letters) scores the stretch by
+the share of the item's own score.
+
+The alignment alone would accept some pairs that leave no three seeds: two or more words
+put in between most words of an item, or long items kept only in single scattered words.
+A test measures the recall against the full alignment of all pairs.
 
 Test items are sent to all tasks in blocks of a fixed number of bytes, so a benchmark of
 any size works with bounded memory; documents are read once per block and pass.  Null and
-empty texts and items have no words and match nothing.  Items of fewer words than a seed
-have their whole sequence as the only seed.  Repeated rows of a document or an item give
+empty texts and items have no words and match nothing.  Items of one word have it as the
+only seed.  Very long texts are read whole, a slice of their own.  Repeated rows of a document or an item give
 the pair once, with its best score.  Columns beside ids and texts are not read.
 """
 
@@ -25,8 +32,7 @@ from pyspark.sql import functions as F
 
 from quipu.llm import scan
 
-SEED_WORDS = 3
-LEAST_SEEDS = 2
+LEAST_SEEDS = 3
 LEAST_SCORE = 0.5
 FREQUENT, FEW = 4, 8
 MATCH, MISMATCH, GAP = 2, 1, 1
@@ -66,10 +72,27 @@ def _terms(column: pa.Array, limit: int = scan.SLICE_BYTES):
         yield a, b, hashes, begins
 
 
-def _index(ids: np.ndarray, words: np.ndarray, begins: np.ndarray, seed_words: int, keep: np.ndarray | None = None, least: int = 1) -> Items:
-    grams, starts = scan.ngram_hashes(words, begins, seed_words, whole_if_short=True)
-    owner = np.repeat(np.arange(len(ids)), np.diff(starts))
-    offset = np.arange(len(grams)) - np.repeat(starts[:-1], np.diff(starts))
+def _apart(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of each text's pairs of words with one word between, alike those of neighbours, and where each text's begin."""
+    counts = np.maximum(np.diff(begins) - 2, 0)
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    first = scan.ragged(begins[:-1], counts)
+    joined = np.stack([hashes[first], hashes[first + 2]], axis=1).ravel()
+    codes, _ = scan.ngram_hashes(joined, np.arange(0, 2 * len(first) + 1, 2), 2)
+    return codes, starts
+
+
+def _item_grams(words: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the items' seeds, the item and the first word of each."""
+    found = []
+    for codes, starts in (scan.ngram_hashes(words, begins, 2, whole_if_short=True), _apart(words, begins)):
+        owner = np.repeat(np.arange(len(begins) - 1), np.diff(starts))
+        found.append((codes, owner, np.arange(len(codes)) - starts[owner]))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def _index(ids: np.ndarray, words: np.ndarray, begins: np.ndarray, keep: np.ndarray | None = None, least: int = 1) -> Items:
+    grams, owner, offset = _item_grams(words, begins)
     if keep is not None:
         grams, owner, offset = grams[keep], owner[keep], offset[keep]
     order = np.argsort(grams, kind="stable")
@@ -81,18 +104,19 @@ def _index(ids: np.ndarray, words: np.ndarray, begins: np.ndarray, seed_words: i
     return Items(ids, words, begins, distinct, np.append(first, len(order)), owner[order], offset[order], need, sift)
 
 
-def _counts(docs: DataFrame, items: Items, seed_words: int) -> np.ndarray:
+def _counts(docs: DataFrame, items: Items) -> np.ndarray:
     """In how many documents each n-gram of the items occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(items.grams), dtype=np.int64)
         for batch in batches:
             for _, _, hashes, begins in _terms(batch.column(1)):
-                for grams, starts in _all_grams(items, hashes, begins, seed_words):
+                met = []
+                for grams, starts in _all_grams(items, hashes, begins):
                     place, number = items.find(grams)
-                    text = np.searchsorted(starts, place, side="right")
-                    pairs = np.unique(text * max(len(items.grams), 1) + number)
-                    total += np.bincount(pairs % max(len(items.grams), 1), minlength=len(total))
+                    met.append(np.searchsorted(starts, place, side="right") * max(len(items.grams), 1) + number)
+                pairs = np.unique(np.concatenate(met)) if met else np.zeros(0, dtype=np.int64)
+                total += np.bincount(pairs % max(len(items.grams), 1), minlength=len(total))
             scan.release()
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["gram", "n"])
@@ -103,11 +127,14 @@ def _counts(docs: DataFrame, items: Items, seed_words: int) -> np.ndarray:
     return out
 
 
-def _all_grams(items: Items, hashes: np.ndarray, begins: np.ndarray, seed_words: int):
-    """N-grams of each length that the items' seeds have: shorter ones only if an item is short."""
-    for n in np.unique(np.minimum(items.length(), seed_words)):
-        if n:
-            yield scan.ngram_hashes(hashes, begins, int(n))
+def _all_grams(items: Items, hashes: np.ndarray, begins: np.ndarray):
+    """Pairs of neighbours, pairs with a word between, and single words if an item is one."""
+    shortest = items.length()[items.length() > 0].min(initial=2)
+    if shortest == 1:
+        yield scan.ngram_hashes(hashes, begins, 1)
+    if items.length().max(initial=0) > 1:
+        yield scan.ngram_hashes(hashes, begins, 2)
+        yield _apart(hashes, begins)
 
 
 def _stretches(items: Items, place: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -157,7 +184,7 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def _search(items: Items, seed_words: int, least_score: float):
+def _search(items: Items, least_score: float):
     names = ["doc_id", "item_id", "score", "first_word", "last_word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +192,7 @@ def _search(items: Items, seed_words: int, least_score: float):
             ids = batch.column(0)
             for a, _, hashes, begins in _terms(batch.column(1)):
                 found = []
-                for grams, starts in _all_grams(items, hashes, begins, seed_words):
+                for grams, starts in _all_grams(items, hashes, begins):
                     place, number = items.find(grams)
                     text = np.searchsorted(starts, place, side="right") - 1
                     found.append((text, begins[text] + place - starts[text], number))
@@ -210,7 +237,7 @@ def _search(items: Items, seed_words: int, least_score: float):
 
 def pairs(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
-    seed_words: int = SEED_WORDS, least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE, block_bytes: int = BLOCK_BYTES,
+    least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``doc_id``, ``item_id``, best ``score``, and the words of the document that were aligned.
 
@@ -230,24 +257,27 @@ def pairs(
         parts = list(_terms(own.column("text"), limit=1 << 40))
         words = parts[0][2] if parts else np.zeros(0, dtype=np.uint64)
         begins = parts[0][3] if parts else np.zeros(1, dtype=np.int64)
-        every = _index(ids, words, begins, seed_words)
-        counts = _counts(rows, every, seed_words)
-        items = _index(ids, words, begins, seed_words, _rare(ids, words, begins, seed_words, every, counts), least_seeds)
-        part = rows.mapInArrow(_search(items, seed_words, least_score), schema)
+        every = _index(ids, words, begins)
+        counts = _counts(rows, every)
+        items = _index(ids, words, begins, _rare(words, begins, every, counts), least_seeds)
+        part = rows.mapInArrow(_search(items, least_score), schema)
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("score", -F.col("first_word"), F.col("last_word"))).alias("best")
     joined = found.groupBy("doc_id", "item_id").agg(best)
     return joined.select("doc_id", "item_id", "best.score", (-F.col("best.col2")).alias("first_word"), F.col("best.last_word").alias("last_word"))
 
 
-def _rare(ids: np.ndarray, words: np.ndarray, begins: np.ndarray, seed_words: int, every: Items, counts: np.ndarray) -> np.ndarray:
-    """Which n-grams of each item do not stand out as frequent among the item's own."""
-    grams, starts = scan.ngram_hashes(words, begins, seed_words, whole_if_short=True)
+def _rare(words: np.ndarray, begins: np.ndarray, every: Items, counts: np.ndarray) -> np.ndarray:
+    """Which seeds of each item do not stand out as frequent among the item's own."""
+    grams, owner, _ = _item_grams(words, begins)
     if not len(grams):
         return np.zeros(0, dtype=bool)
     seen = counts[np.searchsorted(every.grams, grams)]
-    usual = np.array([np.median(seen[a:b]) if b > a else 0 for a, b in zip(starts[:-1], starts[1:])])
-    return seen <= FREQUENT * np.maximum(usual, FEW)[np.repeat(np.arange(len(ids)), np.diff(starts))]
+    order = np.argsort(owner, kind="stable")
+    usual = np.zeros(len(begins) - 1)
+    for own in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
+        usual[owner[own[0]]] = np.median(seen[own])
+    return seen <= FREQUENT * np.maximum(usual, FEW)[owner]
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", **limits) -> DataFrame:

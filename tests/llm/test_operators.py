@@ -593,6 +593,49 @@ def test_decontamination(spark, block_bytes):
         assert sorted(r.doc_id for r in left.collect()) == sorted(i for i, _ in rows if i not in {i for i, _ in wanted})
 
 
+def edited(rng, words, rate):
+    """Each word replaced, dropped, doubled by another or kept."""
+    out = []
+    for w in words:
+        if rng.random() >= rate:
+            out.append(w)
+        else:
+            out += rng.choice([[f"n{rng.randrange(900)}"], [], [w, f"n{rng.randrange(900)}"]])
+    return out
+
+
+def test_recall_against_full_alignment(spark):
+    """All documents with all items, each aligned in full: at least nine in ten of what that accepts, and nothing else."""
+    rng = random.Random(12)
+    items = [(k, [f"w{rng.randrange(300)}" for _ in range(24)]) for k in range(8)]
+    texts = []
+    for k, words in items:
+        for rate in (0.1, 0.2, 0.3, 0.35, 0.4, 0.45):
+            texts += [edited(rng, words, rate) for _ in range(4)]
+        for every in (1, 2, 3):
+            texts.append([x for i, w in enumerate(words) for x in ([w, f"n{i}"] if i % every == every - 1 else [w])])
+            texts.append([w for i, w in enumerate(words) if i % (every + 1) != every])
+        texts.append(words[:13])
+        texts.append(rng.sample(words, 24))
+    filler = lambda: [f"w{rng.randrange(300)}" for _ in range(30)]
+    rows = [(i, filler() + t + filler()) for i, t in enumerate(texts)] + [(1000 + i, filler() * 3) for i in range(60)]
+
+    def codes(words):
+        column = decontaminate.pa.array([" ".join(words)])
+        return next(decontaminate._terms(column))[2]
+
+    pairs = [(i, k) for i, _ in rows for k, _ in items]
+    spelled, asked = {i: codes(t) for i, t in rows}, {k: codes(w) for k, w in items}
+    scores = decontaminate.align([asked[k] for _, k in pairs], [spelled[i] for i, _ in pairs])
+    full = {pair for pair, s in zip(pairs, scores.tolist()) if s / (decontaminate.MATCH * 24) >= decontaminate.LEAST_SCORE}
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.pairs(documents(spark, [(i, " ".join(t)) for i, t in rows]), bench).collect()}
+    assert found <= full and len(full) > 150
+    assert len(found) >= 0.98 * len(full), sorted(full - found)
+    spaced = {i for i, t in enumerate(texts) if len(t) in (36, 48) and t[0].startswith("w")}
+    assert len(spaced) >= 16 and spaced <= {i for i, _ in found}
+
+
 def test_decontamination_of_nothing(spark, nothing, edge):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert decontaminate.pairs(nothing, bench).count() == 0

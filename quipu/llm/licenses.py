@@ -7,7 +7,9 @@ is a candidate.  Its features are the distinct one- to three-word sequences that
 the templates; a sparse logistic regression (L1, one output per family and one for
 "unknown") is trained on varied templates and on short spans of a bounded sample of the
 corpus.  A temperature fitted on rows that were kept out calibrates the probabilities.  A
-candidate stands if its template's family is the likeliest for its words.  Of candidates
+candidate stands if its template's family is the likeliest for its words, if it holds the
+words that name the template's licence and no other's, and if no denial stands just before
+it; so neighbours (LGPL and GPL, other versions, unlisted SPDX names) stay apart or unknown.  Of candidates
 that share words the one with the most pairs, less half of those missed or skipped, is
 reported, with the line on which it begins; so a line or paragraph may have many notices.
 
@@ -40,6 +42,12 @@ REACH, REACH_MORE = 2, 16
 
 # Usual wording of licence notices, by family.
 TEMPLATES: dict[str, list[str]] = {
+    "AGPL": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
@@ -60,7 +68,16 @@ TEMPLATES: dict[str, list[str]] = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC-SA 4.0.",
     ],
+    "EPL": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Released under the Eclipse Public License 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
     "GPL": [
+        "GNU General Public License Version 3",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "SPDX-License-Identifier: GPL-3.0-or-later",
@@ -69,6 +86,14 @@ TEMPLATES: dict[str, list[str]] = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
         "Released under the ISC License.",
     ],
+    "LGPL": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
@@ -78,12 +103,32 @@ TEMPLATES: dict[str, list[str]] = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Released under the Mozilla Public License 2.0.",
     ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ],
+    "Zlib": [
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Released under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+    ],
     "reserved": [
         "All rights reserved.",
         "Copyright. All rights reserved. No part of this publication may be reproduced without permission.",
     ],
 }
 
+# Words that name a licence.  A stretch must hold those of its template, and no others.
+NAMING = (
+    "affero agpl apache attribution bsd by creative eclipse epl gnu gpl isc lesser lgpl mit mozilla mpl nc "
+    "noncommercial unencumbered unlicense zlib"
+).split()
+# Families of one version, and the words that tell it.
+VERSIONS = {"Apache-2.0": ["2", "0"]}
+# Words that, just before a stretch, say the opposite.
+DENIALS = "not never isn aren neither nor".split()
+DENIAL_REACH = 2
+
 # Paragraphs that use such words for something else.
 OTHERWISE = [
     "She renewed her driving license last week.",
@@ -153,13 +198,19 @@ class Model:
                 close = np.flatnonzero((word[ahead] - word[behind] <= reach) & (paragraph[ahead] == paragraph[behind]))
                 if not len(close):
                     continue
+                told, others, denials = _telling(self.families[family], template)
                 where: dict[int, list[int]] = {}
                 for k in range(len(pairs) - 1, -1, -1):
                     where.setdefault(int(pairs[k]), []).append(k)
                 ends = np.minimum(np.searchsorted(word[hits], word[hits[close]] + reach, side="right"), np.searchsorted(paragraph[hits], paragraph[hits[close]], side="right"))
                 for a, b in zip(close.tolist(), ends.tolist()):
                     first = int(word[hits[a]])
+                    if np.isin(hashes[max(first - DENIAL_REACH, int(begins[paragraph[hits[a]]])) : first], denials).any():
+                        continue
                     for n, last in _common_in_order(where, number[hits[a:b]].tolist(), word[hits[a:b]].tolist(), enough):
+                        own_words = hashes[first : last + 2]
+                        if not np.isin(told, own_words).all() or np.isin(others, own_words).any():
+                            continue
                         score = n - (last - first + 1 - n) / 2 - (len(pairs) - n) / 2
                         found.append((score, first, last + 2, family, n / len(pairs)))
         return found
@@ -184,6 +235,14 @@ class Model:
         return sorted(out)
 
 
+def _telling(family: str, template: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words that a stretch of the template must hold, words it must not hold, and words that deny what follows."""
+    naming = _words(" ".join(NAMING))
+    held = np.isin(naming, template)
+    versions = _words(" ".join(VERSIONS.get(family, [])))
+    return np.concatenate([naming[held], versions[np.isin(versions, template)]]), naming[~held], _words(" ".join(DENIALS))
+
+
 def _pairs(words: np.ndarray) -> np.ndarray:
     return scan.ngram_hashes(words, np.array([0, len(words)]), 2)[0]
 

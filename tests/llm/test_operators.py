@@ -563,6 +563,39 @@ def test_archives_of_nothing(spark, tmp_path):
     assert warc.captures(warc.assemble(warc.read(spark, str(tmp_path / "warc")))).count() == 0
 
 
+NEIGHBOURS = [
+    ("SPDX-License-Identifier: EPL-2.0", "EPL"),
+    ("SPDX-License-Identifier: LGPL-2.1-only", "LGPL"),
+    ("SPDX-License-Identifier: GPL-2.0-only", "GPL"),
+    ("SPDX-License-Identifier: MIT", "MIT"),
+    ("SPDX-License-Identifier: WTFPL", None),
+    ("SPDX-License-Identifier: CDDL-1.0", None),
+    ("Eclipse Public License 2.0", None),
+    ("Released under the Eclipse Public License 2.0.", "EPL"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "GPL"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation", "LGPL"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published", "AGPL"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published", "GPL"),
+    ("Licensed under the Apache License, Version 1.1.", None),
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Not released under the MIT License.", None),
+    ("It was never released under the MIT License.", None),
+    ("Released under the MIT License.", "MIT"),
+    ("Licensed under CC BY 4.0.", "CC-BY"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.", "Zlib"),
+]
+
+
+def test_licences_are_told_from_their_neighbours(spark):
+    rng = random.Random(4)
+    rows = [(i, f"{sentence(rng, 12)}\n\n{text}\n\n{sentence(rng, 12)}") for i, (text, _) in enumerate(NEIGHBOURS)]
+    model = licenses.train([licenses._words(sentence(rng, 20)) for _ in range(100)])
+    found = {r.doc_id: r.family for r in licenses.notices(documents(spark, rows), model).collect()}
+    assert {NEIGHBOURS[i][0]: found.get(i) for i in range(len(rows))} == dict(NEIGHBOURS)
+
+
 # decontamination
 
 

@@ -13,6 +13,7 @@ from quipu.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, HOT_SHARE, RO
 from quipu.session import local_frame, materialize
 
 SCHEMA = "column string, value string, code bigint"
+ONE_HOT_LEVELS = 10_000  # no table has more columns than that
 
 
 @dataclass(frozen=True)
@@ -245,12 +246,16 @@ def one_hot_sparse(df: DataFrame, dictionary: Dictionary, columns: list[str], ou
 def one_hot(df: DataFrame, dictionary: Dictionary, columns: list[str], unseen: str = "error") -> DataFrame:
     """Indicator columns for all levels but the lowest, in place of each column.
 
-    The levels become column names; :func:`one_hot_sparse` is the form for very many.
+    The levels become column names, at most ``ONE_HOT_LEVELS`` of them;
+    :func:`one_hot_sparse` is the form for any number.
     A null sets no indicator.  A value outside the dictionary stops the job, or with
     ``unseen="null"`` counts as a null.
     """
     if unseen not in ("error", "null"):
         raise ValueError(f"unknown policy {unseen!r}")
+    count = sum(dictionary.sizes[c][0] for c in columns)
+    if count > ONE_HOT_LEVELS:
+        raise ValueError(f"{count} levels are too many for columns; use one_hot_sparse")
     kept = dictionary.rows.filter(F.col("column").isin(columns) & (F.col("code") > 0))
     levels: dict[str, list[str]] = {c: [] for c in columns}
     for row in kept.orderBy("column", "code").collect():

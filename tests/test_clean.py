@@ -61,3 +61,11 @@ def test_whole_numbers_may_come_with_a_fraction(spark):
 def test_a_missing_column_is_an_error(spark):
     with pytest.raises(ValueError, match="missing"):
         clean.cast_types(spark.createDataFrame([(1,)], "a int"), {"missing": T.LongType()})
+
+
+def test_large_whole_numbers_as_text_are_exact(spark):
+    texts = ["9007199254740993.0", "-9223372036854775808", "9223372036854775807.9", "1e3", " 7 ", "12.999999"]
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    wanted = [9007199254740993, -9223372036854775808, 9223372036854775807, 1000, 7, 12]
+    for policy in ("error", "null"):
+        assert [r.a for r in clean.cast_types(df, {"a": T.LongType()}, policy).collect()] == wanted

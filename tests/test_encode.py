@@ -200,3 +200,11 @@ def test_large_columns_exchange_the_rows_once(spark, columns):
     assert sum(carries_rows(i) for i, line in enumerate(lines) if "Exchange hashpartitioning" in line) == 1
     resolved = tree[: tree.index("Exchange")] if "Union" in tree else ""
     assert "Union" in tree and resolved.count("FileScan") == 1
+
+
+def test_too_many_levels_for_columns(spark, monkeypatch):
+    df = spark.range(50).select(F.col("id").cast("string").alias("x"))
+    dictionary = encode.fit_dictionary(df)
+    monkeypatch.setattr(encode, "ONE_HOT_LEVELS", 49)
+    with pytest.raises(ValueError, match="one_hot_sparse"):
+        encode.one_hot(df, dictionary, ["x"])

@@ -3,6 +3,13 @@
 Documents that the quality classifier rejects go; of equal texts, and of each group of
 similar ones (five-word shingles, Jaccard similarity of 0.8 or more), one document stays;
 documents with a benchmark passage go; what is left is encoded, decoded and checked.
+
+A null text counts as empty: such documents equal each other, and are similar to none.  A row
+without an id cannot be named by a pair or a label; it stays unless the classifier rejects
+it or its text has a row with an id.  Rows that repeat an id and text stay together; of
+equal texts under different ids the largest stays, of similar ones the smallest.  Texts
+are taken whole, however long.  All other columns pass through all stages but the last.  An
+empty table gives an empty result of each stage.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ import regex
 import corpus_pipeline
 from quipu.llm import bpe
 from quipu.llm.queries import MULTILINGUAL, QUERIES
+from fixtures import documents, edge_texts
 from test_operators import expected_components, expected_cut
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -155,6 +156,41 @@ def test_stages_against_brute_force(stages):
         assert r.decoded_sha256 == hashlib.sha256(whole[r.doc_id].encode()).hexdigest()
 
 
+def test_stages_on_edge_texts(spark, tmp_path):
+    """Nulls, empty, long and repeated texts, clashing names; every stage keeps what its contract says."""
+    rows = [*edge_texts(), (None, "no id"), (None, None), (2**60 + 1, "far away")]
+    docs = documents(spark, rows)
+    whole = Counter(rows)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(k))
+        stage(spark, docs, SMALL).write.parquet(path)
+        found = spark.read.parquet(path)
+        if k < 4:
+            assert found.columns == docs.columns
+            left = Counter((r.doc_id, r.text) for r in found.collect())
+            assert not left - whole
+        if k == 1:
+            texts = [t or "" for _, t in left]
+            assert len(texts) == len(set(texts))  # rows that repeat id and text are one entry here
+            last = {}
+            for i, t in whole:
+                last[t or ""] = max(-1 if i is None else i, last.get(t or "", -1))
+            assert {t or "": -1 if i is None else i for i, t in left} == last
+        if k == 2:
+            named = [(i, t) for i, t in whole if i is not None]
+            smallest = {i for i, _, component in expected_components(named, 5, 80, 100) if i == component}
+            assert {i for i, _ in left if i is not None} == smallest
+            assert Counter(x for x in left if x[0] is None) == Counter(x for x in whole if x[0] is None)
+        whole, docs = left, found
+    assert sorted((r.n_tokens == 0 for r in docs.collect())).count(True) == sum(not t for _, t in whole)
+
+
+def test_stages_on_nothing(spark):
+    empty = documents(spark, [(1, "x")]).where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SMALL).collect() == []
+
+
 def test_words_of_the_public_pattern():
     """The pattern that the pre-tokens follow is the one the vocabulary files come with."""
     assert regex.findall(public_tokenizers.PATTERN, "it's  12!") == ["it", "'s", " ", " 12", "!"]

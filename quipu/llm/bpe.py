@@ -5,7 +5,9 @@ keeps for every document the positions as numbers of the block's distinct words,
 sends each distinct word of the block once, packed by hash bucket.  A bucket meets all
 blocks' copies of a word, encodes each distinct word once, and sends the ids back to the
 blocks, where they are put together by position.  So a word that fills a third of all
-text crosses the shuffle once per block.
+text crosses the shuffle once per block.  A block cuts its words into at most ``FAN``
+packets; beyond as many blocks the exchange goes by groups of about ``FAN`` blocks, each of which
+encodes a distinct word once, so that packets grow with the blocks and no bucket grows.
 
 The added tokens of a tokenizer file are cut out of the texts first, as its library does by
 default, and each occurrence is a word of its own.
@@ -37,6 +39,7 @@ from quipu.llm.tables import bucketed
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 WORDS_AT_ONCE = 512
+FAN = 1_024
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -227,7 +230,7 @@ def _unpack_words(packed: bytes) -> list[bytes]:
 BLOCK_SCHEMA = "block long, bucket int, doc_ids binary, sizes binary, counts binary, payload binary"
 
 
-def _block_rows(block: int, held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
+def _block_rows(block: int, held: list[tuple[np.ndarray, ...]], buckets: int, groups: int) -> pa.RecordBatch:
     """One row with the documents of a block as word numbers, and one for each bucket of its words."""
     ids, named, data, borders, begin, hashes = (list(part) for part in zip(*held))
     text = b"".join(d.tobytes() for d in data)
@@ -258,16 +261,17 @@ def _block_rows(block: int, held: list[tuple[np.ndarray, ...]], buckets: int) ->
     sizes = np.diff(np.searchsorted(begin, borders))
     cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
     doc_ids = np.concatenate(ids).astype("<i8").tobytes() + np.concatenate(named).tobytes()
+    before = int(scan.mix(np.array([block], dtype=np.uint64))[0]) % groups * buckets  # buckets of the groups before the block's
     rows = [(block, -1, doc_ids, scan.press_numbers(sizes), scan.press_numbers(count), scan.press_numbers(place[number]))]
     for k in np.flatnonzero(np.diff(cuts)):
         here = slice(cuts[k], cuts[k + 1])
-        rows.append((block, int(k), None, None, scan.press_numbers(count[here]), _pack_words([spelled[i] for i in by_bucket[here]])))
+        rows.append((block, before + int(k), None, None, scan.press_numbers(count[here]), _pack_words([spelled[i] for i in by_bucket[here]])))
     types = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
     names = ("block", "bucket", "doc_ids", "sizes", "counts", "payload")
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def _split_blocks(words_of: RankFile | TokenizerFile, buckets: int, limit: int):
+def _split_blocks(words_of: RankFile | TokenizerFile, buckets: int, groups: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -279,7 +283,7 @@ def _split_blocks(words_of: RankFile | TokenizerFile, buckets: int, limit: int):
             ids, named = scan.numbers(batch.column(0))
             for a, b, data, borders in scan.slices(batch.column(1)):
                 if held and size + len(data) > limit:
-                    yield _block_rows(block, held, buckets)
+                    yield _block_rows(block, held, buckets, groups)
                     held, size, block = [], 0, block + 1
                     scan.release()
                 begin = word_starts(data, borders, added)
@@ -287,7 +291,7 @@ def _split_blocks(words_of: RankFile | TokenizerFile, buckets: int, limit: int):
                 held.append((ids[a:b], named[a:b], data.copy(), borders, begin if len(data) >= 1 << 30 else begin.astype(np.int32), hashes))
                 size += len(data)
         if held:
-            yield _block_rows(block, held, buckets)
+            yield _block_rows(block, held, buckets, groups)
         held.clear()
         scan.release()
 
@@ -404,19 +408,22 @@ class Words:
 
 def encode_words(
     docs: DataFrame, words_of: RankFile | TokenizerFile, text: str = "text", id: str = "doc_id",
-    block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, count_tokens: bool = False,
+    block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, count_tokens: bool = False, fan: int = FAN,
 ) -> Words:
-    """Split the texts, and encode each distinct word once.
+    """Split the texts, and encode each distinct word of a group of blocks once.
 
-    The number of buckets follows the bytes of all texts, so that what one task gathers
-    stays the same at any size.  Invalid UTF-8 is replaced as Spark does.
+    The number of buckets, and beyond ``fan`` that of groups, follows the bytes of all texts,
+    so that what one task gathers stays the same at any size.  Invalid UTF-8 is replaced as
+    Spark does.
     """
     clean = F.make_valid_utf8(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), clean.alias("text"))
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     buckets = max(1, -(-int(total) // bucket_bytes))
     files = max(1, -(-int(total) // block_bytes))
-    blocks = bucketed(rows.mapInArrow(_split_blocks(words_of, buckets, block_bytes), BLOCK_SCHEMA), "block", files, "bpe_blocks")
+    groups = -(-buckets // fan)
+    packets = -(-buckets // groups)
+    blocks = bucketed(rows.mapInArrow(_split_blocks(words_of, packets, groups, block_bytes), BLOCK_SCHEMA), "block", files, "bpe_blocks")
     encoded = (
         blocks.where("bucket >= 0")
         .select("block", "bucket", "counts", "payload")

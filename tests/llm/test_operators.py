@@ -234,6 +234,24 @@ def test_bpe_is_that_of_the_library(edge):
     assert found == sorted(wanted)
 
 
+def test_packets_of_a_block_do_not_grow_with_the_table(spark):
+    """Beyond as many blocks the exchange goes by groups: rows in proportion to the blocks, and the same ids."""
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 300)) for i in range(120)]
+    small = documents(spark, rows[:60], partitions=2)
+    large = documents(spark, rows, partitions=2)
+    limits = dict(block_bytes=1500, bucket_bytes=1500, fan=4)
+    counts = []
+    for docs in (small, large):
+        blocks = bpe.encode_words(docs, MULTILINGUAL, **limits).blocks
+        n = blocks.where("bucket = -1").count()
+        counts.append((blocks.where("bucket >= 0").count(), n))
+        assert counts[-1][0] <= 4 * n and blocks.agg(F.max("bucket")).first()[0] > 4
+    assert counts[1][0] <= 2.2 * counts[0][0]
+    grouped = {r.doc_id: bytes(r.ids) for r in bpe.encode(large, MULTILINGUAL, **limits).collect()}
+    assert grouped == {r.doc_id: bytes(r.ids) for r in bpe.encode(large, MULTILINGUAL).collect()}
+
+
 def test_decoding_keeps_nulls_and_columns(spark):
     rows = spark.createDataFrame([(1, None, "x"), (2, bytearray(b""), None)], "doc_id long, ids binary, score string")
     found = bpe.decode(rows, MULTILINGUAL).collect()

@@ -48,7 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(SHARED_DIR_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # a local cluster has executors of its own
         raise ValueError(f"set {SHARED_DIR_CONF} to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:

@@ -49,3 +49,11 @@ def test_room_is_never_overdrawn():
 
 def test_room_is_what_executors_keep(spark):
     assert cache_bytes(spark) > 1 << 28
+
+
+def test_request_files_grow_in_number_and_not_in_size():
+    from quipu.plans.queries import ROWS_PER_FILE, request_files
+
+    assert [request_files(n) for n in (0, 150_000, 400_000)] == [4, 4, 4]
+    for rows in (900_001, 9_000_000, 54_000_000):
+        assert request_files(rows) % 2 == 0 and rows / request_files(rows) <= ROWS_PER_FILE

@@ -69,3 +69,12 @@ def test_large_whole_numbers_as_text_are_exact(spark):
     wanted = [9007199254740993, -9223372036854775808, 9223372036854775807, 1000, 7, 12]
     for policy in ("error", "null"):
         assert [r.a for r in clean.cast_types(df, {"a": T.LongType()}, policy).collect()] == wanted
+
+
+def test_integers_with_a_fraction_are_not_tried_as_integers(spark):
+    texts = ["3.0", "-7", "+4", " 5 ", "1e3", "9007199254740993", "9007199254740993.0", "-0.9", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, a string")
+    cast = clean.cast_types(df, {"a": T.LongType()})
+    assert [r.a for r in cast.orderBy("i").collect()] == [3, -7, 4, 5, 1000, 9007199254740993, 9007199254740993, 0, None]
+    # A failing cast throws, for each row: only texts without a point reach the one to an integer.
+    assert "NOT contains(a" in cast._jdf.queryExecution().optimizedPlan().toString().replace("Contains", "contains")

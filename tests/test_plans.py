@@ -1,9 +1,13 @@
 """The shape of physical plans: what must not shuffle, what must reach the scan."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.operators import encode, split, stats
+from quipu.operators import clean, encode, split, stats
+from quipu.plans import fixtures
+from quipu.schema import MARRIAGES
 from quipu.sources.tables import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -75,3 +79,24 @@ def test_later_rounds_of_a_split_read_only_near_rows(monkeypatch, orders):
 def test_values_collapse_before_the_shuffle(orders):
     text = plan(encode.distinct_values(orders, ["o_orderstatus"]))
     assert text.count("HashAggregate") == 2
+
+
+def test_code_of_cleaning_and_encoding_is_small_enough_to_be_compiled(spark):
+    cleaned = clean.clean(fixtures.raw_marriages(spark, FOLDER), MARRIAGES)
+    dictionary = encode.fit_dictionary(cleaned, MARRIAGES.text_features)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for unseen in ("error", "quarantine"):
+            encoded = encode.encode(cleaned, dictionary, MARRIAGES.text_features, unseen)
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+            sizes = re.findall(r"maxMethodCodeSize:(\d+)", encoded._jdf.queryExecution().explainString(mode))
+            assert sizes and max(map(int, sizes)) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_parts_of_a_table_stay_as_they_are_between_steps(spark):
+    rows = spark.range(0, 1000, 1, 7).withColumn("part", F.spark_partition_id())
+    kept = encode.apart(rows).withColumn("now", F.spark_partition_id())
+    assert kept.rdd.getNumPartitions() == 7 and kept.where("part <> now").isEmpty()

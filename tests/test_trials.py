@@ -122,6 +122,15 @@ def test_levels_of_ranges_follow_the_order(spark):
     assert all(one.b < two.a for one, two in zip(ranges, ranges[1:]))
 
 
+def test_ranges_are_found_by_generated_code(spark):
+    """No function over arrays, which is interpreted, and no step spelled out in the next one."""
+    df = spark.range(5_000).withColumn("x", F.rand(1)).withColumn("g", F.col("id") % 3)
+    for by in ([], ["g"]):
+        ranged, path = ordered.with_ranges(df, "x", by, rows_per_range=10, fan=64)
+        plan = ranged._jdf.queryExecution().optimizedPlan().toString()
+        assert len(path) == 2 and "lambda" not in plan and len(plan) < 50_000
+
+
 def test_ranges_of_few_and_of_missing_places(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (3.0, 3), (float("nan"), 4)], "x double, v int")
     assert ordered.with_ranges(df, "x", rows_per_range=10)[1] == []

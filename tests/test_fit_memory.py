@@ -27,7 +27,7 @@ def test_rows_in_one_file_are_dealt_to_parts_by_what_a_fit_keeps(spark, monkeypa
     assert all(df.count() == 40_000 for df in seen)
 
 
-def test_mapped_rows_are_dealt_again_if_they_are_few(spark, monkeypatch):
+def test_mapped_rows_are_dealt_again_if_they_are_few(spark, monkeypatch, tmp_path):
     """The solver's rows come out of an exchange, and tasks behind it know nothing of the mapping."""
     seen = []
     solve = models.LinearSVC.fit
@@ -37,7 +37,9 @@ def test_mapped_rows_are_dealt_again_if_they_are_few(spark, monkeypatch):
     for most in (1 << 30, 100_000):
         monkeypatch.setattr(models, "MAPPED_BYTES", most)
         model = models.fit(table(spark), kernels.kernel_svm(table(spark), FEATURES, "y", "poly", 1.0, 40_000, 2, maxIter=2), FEATURES)
-        found.append(sorted((r.a, r.b, r.prediction) for r in models.predict(table(spark), model).distinct().collect()))
+        models.save_model(model, str(tmp_path / str(most)))
+        loaded = models.load_model(spark, str(tmp_path / str(most)))
+        found.append(sorted((r.a, r.b, r.prediction) for r in models.predict(table(spark), loaded).distinct().collect()))
     first = [df._jdf.queryExecution().optimizedPlan().toString().split()[0] for df in seen]
     assert first == ["Repartition", "Project"]
     assert [df.rdd.getNumPartitions() for df in seen] == [10, 10]
